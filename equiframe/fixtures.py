@@ -205,9 +205,10 @@ _fx("fx_history", [], """
 SELECT CAST(s.s_nationkey AS STRING) AS sym_cd, CAST(l.l_shipdate AS DATE) AS info_update,
        'N' || CAST(s.s_nationkey AS STRING) || '-' || max(l.l_returnflag) AS sym_nm,
        max(l.l_linestatus) AS mkt_cd,
-       CASE WHEN max(l.l_returnflag) = 'R' THEN NULL ELSE 'SEC-' || min(l.l_returnflag) END AS sec_krx
+       CASE WHEN max(l.l_returnflag) = 'R' THEN NULL
+            ELSE 'SEC-' || substr(CAST(year(l.l_shipdate) AS STRING), 1, 3) || min(l.l_returnflag) END AS sec_krx
 FROM {lineitem} l JOIN {supplier} s ON l.l_suppkey = s.s_suppkey
-GROUP BY s.s_nationkey, CAST(l.l_shipdate AS DATE)
+GROUP BY s.s_nationkey, CAST(l.l_shipdate AS DATE), year(l.l_shipdate)
 """)
 
 # --- raw exchange listing (all text) ----------------------------------------
@@ -382,9 +383,10 @@ def oracle(fixtures: list[str], body: str) -> str:
 
     ``body`` may continue the WITH list by starting with a comma.
     """
-    head = with_clause(fixtures, "duckdb")
     body = body.strip()
-    return head + ("\n" if body.startswith(",") else "\n") + body
+    if not fixtures:
+        return "WITH " + body[1:].lstrip() if body.startswith(",") else body
+    return with_clause(fixtures, "duckdb") + "\n" + body
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -29,7 +29,9 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return repr(round(v, 9))
+        if v.is_integer() and abs(v) < 2 ** 53:
+            return str(int(v))
+        return repr(v)
     if hasattr(v, "isoformat"):
         return str(v)[:10] if len(str(v)) >= 10 and str(v)[10:].strip("0: ") == "" else str(v)
     return str(v)
