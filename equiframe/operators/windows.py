@@ -66,8 +66,11 @@ def rolling(df: DataFrame, value: str, windows: dict[str, int], keys: list[str],
         blocks = F.when(spill, F.array(home, home + 1)).otherwise(F.array(home))
     else:
         blocks = F.array(home)
+    # Explicit repartition: an input already hash-partitioned on the keys
+    # alone would otherwise satisfy the window and keep a hot key in one task.
     d = (df.withColumn("_home", home)
-           .withColumn("_blk", F.explode(blocks)))
+           .withColumn("_blk", F.explode(blocks))
+           .repartition(*[F.col(k) for k in keys], F.col("_blk")))
     base = Window.partitionBy(*keys, "_blk").orderBy(t)
     cols = []
     for name, n in windows.items():
@@ -97,7 +100,7 @@ def suffix_product(df: DataFrame, value: str, keys: list[str], order: str, out:
     last_cols = last_cols or {}
     blk = F.floor(F.datediff(F.col(order), F.lit("1970-01-01").cast("date")) / block_days).cast("long")
     v = F.col(value)
-    base = df.withColumn("_blk", blk)
+    base = df.withColumn("_blk", blk).repartition(*[F.col(k) for k in keys], F.col("_blk"))
 
     w_in = (Window.partitionBy(*keys, "_blk").orderBy(F.col(order).desc())
             .rowsBetween(Window.unboundedPreceding, -1))
