@@ -118,7 +118,7 @@ def q_scan_filter(spark, sf):
     inclusive date range over stock_daily."""
     daily = _fx(spark, sf, "fx_daily")
     syms = _latest_market_syms(spark, sf, "O")
-    return finish(sym_dt_pick(daily, syms, "1997-01-01", "1999-12-31"))
+    return sym_dt_pick(daily, syms, "1997-01-01", "1999-12-31")
 
 
 _CONS = ["sales_12mf", "opr_prof_12mf", "earn_12mf", "earn_dom_12mf", "bps_12mf", "eps_down_fy2"]
@@ -132,7 +132,7 @@ WHERE {" OR ".join(c + " IS NOT NULL" for c in _CONS)}
 def q_drop_all_null(spark, sf):
     """vendor consensus rows with at least one item present."""
     v = _fx(spark, sf, "fx_vendor").select("base_dt", "sym_cd", *_CONS)
-    return finish(st.drop_all_null(v, ["base_dt", "sym_cd"]))
+    return st.drop_all_null(v, ["base_dt", "sym_cd"])
 
 
 @register("col_range", _sql(["fx_daily"], """
@@ -143,7 +143,7 @@ def q_col_range(spark, sf):
     """Drop the range trd_vol:trd_val, keep num_key:close plus mkt_cap
     (ranges resolved on the schema's column order)."""
     daily = _fx(spark, sf, "fx_daily")
-    return finish(select_range(drop_range(daily, "trd_vol", "trd_val"), ("num_key", "close"), "mkt_cap"))
+    return select_range(drop_range(daily, "trd_vol", "trd_val"), ("num_key", "close"), "mkt_cap")
 
 
 # --------------------------------------------------------------------------
@@ -262,7 +262,7 @@ def q_parse_number(spark, sf):
     """X1 on every text field of the landed listing (names included, which
     mostly have no number)."""
     raw = _fx(spark, sf, "fx_listing")
-    return finish(raw.select("ISU_SRT_CD", *[parse_number(c).alias(c) for c in _LISTING_NUM]))
+    return raw.select("ISU_SRT_CD", *[parse_number(c).alias(c) for c in _LISTING_NUM])
 
 
 @register("json_explode", _sql([], """
@@ -275,8 +275,8 @@ def q_json_explode(spark, sf):
     payload = _fx(spark, sf, "fx_payload")
     rows = explode_payload(payload, "payload", ["event_id", "user_id", "value", "props"],
                            keep=["event_type"])
-    return finish(rows.select("event_type", F.col("event_id").cast("long"), F.col("user_id").cast("long"),
-                              F.col("value").cast("double"), "props"))
+    return rows.select("event_type", F.col("event_id").cast("long"), F.col("user_id").cast("long"),
+                              F.col("value").cast("double"), "props")
 
 
 _CS_NUM = ["sales", "opr_prof", "earn", "earn_dom", "grs_asset", "net_asset", "cash_flow"]
@@ -290,7 +290,7 @@ def q_vendor_cs(spark, sf):
     """Statement export text -> typed items chosen by metadata."""
     raw = _fx(spark, sf, "fx_cs_raw")
     meta = item_metadata(spark)
-    return finish(cross_section(raw, meta, "fs", F.col("period")))
+    return cross_section(raw, meta, "fs", F.col("period"))
 
 
 _QMAP = "CASE quarter WHEN '1st-Quarter' THEN 'Q1' WHEN 'Semi-Annual' THEN 'Q2' WHEN 'Semi-Quarter' THEN 'Q2' " \
@@ -303,7 +303,7 @@ _QMAP = "CASE quarter WHEN '1st-Quarter' THEN 'Q1' WHEN 'Semi-Annual' THEN 'Q2'
 
 def q_vendor_fb(spark, sf):
     """Fiscal-basis export -> typed rows; quarter labels recoded."""
-    return finish(fiscal_basis(_fx(spark, sf, "fx_fb_raw"), item_metadata(spark)))
+    return fiscal_basis(_fx(spark, sf, "fx_fb_raw"), item_metadata(spark))
 
 
 def _sector_case(col: str) -> str:
@@ -335,7 +335,7 @@ def q_listed_universe(spark, sf):
     """Landed listing -> the day's common-share universe with sector."""
     out = ing.listed_universe(_fx(spark, sf, "fx_listing"), _fx(spark, sf, "fx_base_price"),
                               _fx(spark, sf, "fx_excluded"), _fx(spark, sf, "fx_sectors"), LISTING_DAY)
-    return finish(out)
+    return out
 
 
 _MKT_SQL = "replace(replace(replace(replace(marketName, 'KRX', 'X'), 'KOSPI', 'P'), 'KOSDAQ', 'Q'), '테마', 'T')"
@@ -401,8 +401,8 @@ def q_stock_daily(spark, sf):
     split = F.lit(SPLIT_DAY).cast("date")
     stored = d.filter(F.col("base_dt") < split)
     universe = d.filter(F.col("base_dt") >= split)
-    return finish(ing.stock_daily(universe, _fx(spark, sf, "fx_vendor"), _fx(spark, sf, "fx_history"),
-                                  stored))
+    return ing.stock_daily(universe, _fx(spark, sf, "fx_vendor"), _fx(spark, sf, "fx_history"),
+                                  stored)
 
 
 @register("stock_cons", _sql(["fx_daily", "fx_vendor"], f"""
@@ -414,7 +414,7 @@ WHERE {" OR ".join("v." + c + " IS NOT NULL" for c in _CONS)}
 def q_stock_cons(spark, sf):
     """Consensus rows keyed by num_key (right join keeps vendor-only
     rows with a NULL key)."""
-    return finish(ing.stock_cons(_fx(spark, sf, "fx_daily"), _fx(spark, sf, "fx_vendor")))
+    return ing.stock_cons(_fx(spark, sf, "fx_daily"), _fx(spark, sf, "fx_vendor"))
 
 
 @register("stock_managed", _sql(["fx_daily", "fx_vendor"], """
@@ -459,7 +459,7 @@ FROM j LEFT JOIN il ON il.codeName = j.sym_nm
 def q_index_daily(spark, sf):
     """Index levels joined to base values and index codes."""
     il = ing.index_list(_fx(spark, sf, "fx_index_raw"))
-    return finish(ing.index_daily(_fx(spark, sf, "fx_index_levels"), _fx(spark, sf, "fx_index_base"), il))
+    return ing.index_daily(_fx(spark, sf, "fx_index_levels"), _fx(spark, sf, "fx_index_base"), il)
 
 
 # --------------------------------------------------------------------------
@@ -522,7 +522,7 @@ def q_split_pl(spark, sf):
     all-NULL rows dropped."""
     meta = item_metadata(spark)
     _, pl = st.split_statements(cross_section(_fx(spark, sf, "fx_cs_raw"), meta, "fs", F.col("period")), meta)
-    return finish(pl)
+    return pl
 
 
 @register("split_statements_bs", _sql(["fx_cs_raw"], _cs_typed_sql() + f"""
@@ -533,7 +533,7 @@ def q_split_bs(spark, sf):
     """Balance-sheet part (metadata bs flag), all-NULL rows dropped."""
     meta = item_metadata(spark)
     bs, _ = st.split_statements(cross_section(_fx(spark, sf, "fx_cs_raw"), meta, "fs", F.col("period")), meta)
-    return finish(bs)
+    return bs
 
 
 @register("split_statements_new", _sql(["fx_fb_raw", "fx_bs"],
@@ -549,7 +549,7 @@ def q_split_new(spark, sf):
     meta = item_metadata(spark)
     df = fiscal_basis(_fx(spark, sf, "fx_fb_raw"), meta)
     _, pl = st.split_statements(df, meta, known_quarters=_fx(spark, sf, "fx_bs"))
-    return finish(pl)
+    return pl
 
 
 @register("trailing_pl", _sql(["fx_bs", "fx_pl"], _GRID + _tp_sql("grid") + "SELECT * FROM tpf"))
@@ -558,7 +558,7 @@ def q_trailing_pl(spark, sf):
     """D12 on the full (symbol x quarter) grid of the stored statements."""
     bs, pl = _stmt_inputs(spark, sf)
     grid = st.complete_grid(bs, "sym_cd", "fs_q", pl.drop("dpr", "prop_div"))
-    return finish(st.trailing_pl(grid))
+    return st.trailing_pl(grid)
 
 
 _WQ = """
@@ -580,7 +580,7 @@ def q_trailing_existing(spark, sf):
     """D13 existing symbols: the quarters published over the trading
     calendar (first..last), grid from Q1 of the year before."""
     bs, pl = _stmt_inputs(spark, sf)
-    return finish(st.trailing_pl_range(bs, pl, _fx(spark, sf, "fx_workdays").select("fs_q")))
+    return st.trailing_pl_range(bs, pl, _fx(spark, sf, "fx_workdays").select("fs_q"))
 
 
 @register("trailing_pl_new", _sql(["fx_bs", "fx_pl"], _GRID.replace(
@@ -592,7 +592,7 @@ def q_trailing_new(spark, sf):
     """D13 new-symbol variant: every quarter for the given symbols (here
     every symbol with a P&L row: a full rebuild)."""
     bs, pl = _stmt_inputs(spark, sf)
-    return finish(st.trailing_pl_new(bs, pl, pl.select("sym_cd")))
+    return st.trailing_pl_new(bs, pl, pl.select("sym_cd"))
 
 
 _FBS = """
@@ -611,7 +611,7 @@ _FBS = """
 
 def q_filled_bs(spark, sf):
     """Complete grid, balance-sheet items carried forward per symbol."""
-    return finish(st.filled_balance_sheet(_fx(spark, sf, "fx_bs")))
+    return st.filled_balance_sheet(_fx(spark, sf, "fx_bs"))
 
 
 # --------------------------------------------------------------------------
@@ -652,7 +652,7 @@ def _value_factors(spark, sf):
 def q_value_factors(spark, sf):
     """Ten value factors for every stock_daily row (point-in-time
     statements through the calendar's published quarter)."""
-    return finish(_value_factors(spark, sf))
+    return _value_factors(spark, sf)
 
 
 _MOM_CTE = _CAL + ", mom AS (SELECT num_key, " + ", ".join(_roll_sql(k, n, True) for k, n in MOM.items()) + " FROM gp)\n"
@@ -726,7 +726,7 @@ SELECT sym_cd, base_dt, open, high, low, close, base_p FROM fx_daily WHERE sym_c
 
 def q_ohlc(spark, sf):
     """Raw prices of the looked-up symbols."""
-    return finish(prc.ohlc(_fx(spark, sf, "fx_history"), _fx(spark, sf, "fx_daily"), _names(spark, sf)))
+    return prc.ohlc(_fx(spark, sf, "fx_history"), _fx(spark, sf, "fx_daily"), _names(spark, sf))
 
 
 def _adj_sql(src: str) -> str:
@@ -758,7 +758,7 @@ def q_adjusted_ohlc(spark, sf):
     """Adjusted open/high/low/close, half-even rounded; small date
     blocks so that the cross-block suffix path runs."""
     d = _fx(spark, sf, "fx_daily").select("sym_cd", "base_dt", "open", "high", "low", "close", "base_p")
-    return finish(prc.adjust_prices(d, close_only=False, block_days=90))
+    return prc.adjust_prices(d, close_only=False, block_days=90)
 
 
 @register("price_view", _sql(["fx_history", "fx_daily"], _NAMES + f"""
@@ -769,8 +769,8 @@ def q_adjusted_ohlc(spark, sf):
 def q_price_view(spark, sf):
     """Named stocks, date range first, then adjustment anchored at
     the range end (candle form)."""
-    return finish(prc.price_view(_fx(spark, sf, "fx_history"), _fx(spark, sf, "fx_daily"),
-                                 _names(spark, sf), VIEW_START, VIEW_END, "candle"))
+    return prc.price_view(_fx(spark, sf, "fx_history"), _fx(spark, sf, "fx_daily"),
+                                 _names(spark, sf), VIEW_START, VIEW_END, "candle")
 
 
 @register("lookback_window", _sql(["fx_daily"], """
@@ -780,7 +780,7 @@ SELECT d.* FROM fx_daily d JOIN (SELECT sym_cd, max(base_dt) AS last FROM fx_dai
 
 def q_lookback(spark, sf):
     """each symbol's last year of rows (the 1y range button)."""
-    return finish(prc.recent_prices(_fx(spark, sf, "fx_daily"), "1y"))
+    return prc.recent_prices(_fx(spark, sf, "fx_daily"), "1y")
 
 
 # --------------------------------------------------------------------------
@@ -805,7 +805,7 @@ def q_upsert(spark, sf):
                    F.when(F.col("num_key") % 5 == 0, F.lit(None).cast("double"))
                     .otherwise(F.col("close") * F.lit(0.95)).alias("bps_12mf"),
                    (F.col("close") * F.lit(0.02)).alias("eps_down_fy2"))
-    return finish(sinks.upsert_partial(_fx(spark, sf, "fx_cons"), src, ["num_key"]))
+    return sinks.upsert_partial(_fx(spark, sf, "fx_cons"), src, ["num_key"])
 
 
 @register("delete_where", _sql(["fx_daily", "fx_cons"], """
@@ -816,7 +816,7 @@ def q_delete(spark, sf):
     """Delete consensus rows with earn_dom_12mf > 1000 (a NULL
     predicate keeps the row)."""
     c = _fx(spark, sf, "fx_cons")
-    return finish(sinks.delete_where(c, F.col("earn_dom_12mf") > 1000))
+    return sinks.delete_where(c, F.col("earn_dom_12mf") > 1000)
 
 
 _LOADED = f"fx_daily WHERE base_dt < DATE '{LOADED_UNTIL}'"
