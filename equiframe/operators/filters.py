@@ -114,13 +114,12 @@ def lookback_window(df: DataFrame, span: str, keys: list[str] | None = None,
     keys = keys if keys is not None else ["sym_cd"]
     if span == "all":
         return df
-    if keys:
-        last = df.groupBy(*keys).agg(F.max(date_col).alias("_last"))
-        joined = df.join(last, on=keys, how="inner")
-    else:
-        joined = df.crossJoin(F.broadcast(df.agg(F.max(date_col).alias("_last"))))
-    start = lookback_start(F.col("_last"), span)
-    return joined.filter(F.col(date_col) >= start).drop("_last")
+    if not keys:
+        last_all = df.agg(F.max(date_col)).scalar()
+        return df.filter(F.col(date_col) >= lookback_start(last_all, span))
+    last = df.groupBy(*keys).agg(F.max(date_col).alias("_last"))
+    joined = df.join(last, on=keys, how="inner")
+    return joined.filter(F.col(date_col) >= lookback_start(F.col("_last"), span)).drop("_last")
 
 
 def on_date(df: DataFrame, day: DateLike, col: str = "info_update") -> DataFrame:

@@ -167,3 +167,41 @@ def lag_within(col: str, keys: list[str], order: list[str], n: int = 1, default=
     only when there is no prior row (a NULL prior value stays NULL)."""
     w = Window.partitionBy(*keys).orderBy(*order)
     return F.lag(F.col(col), n, default).over(w)
+
+
+def as_of_latest(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, right_time: str,
+                 out: str, block_days: int = DEFAULT_BLOCK) -> DataFrame:
+    """As-of lookup: for every ``left`` row, the greatest ``right_time`` of
+    ``right`` at or before ``left_time`` within ``keys`` (NULL if none).
+
+    Union + carry-forward window instead of a range join, blocked like
+    ``suffix_product``: the carry-in from earlier blocks is a prefix maximum
+    over one row per (key, block), and the in-block carry runs on a
+    (key, block) shuffle, so a hot key spreads over many tasks.
+    """
+    epoch = F.lit("1970-01-01").cast("date")
+
+    def blk(c: str) -> Column:
+        return F.floor(F.datediff(F.col(c), epoch) / block_days).cast("long")
+
+    vtype = right.schema[right_time].dataType
+    lrows = (left.withColumn("_blk", blk(left_time)).withColumn("_t", F.col(left_time))
+                 .withColumn("_k", F.lit(1)).withColumn("_v", F.lit(None).cast(vtype)))
+    rrows = right.select(*keys, blk(right_time).alias("_blk"), F.col(right_time).alias("_t"),
+                         F.lit(0).alias("_k"), F.col(right_time).alias("_v"))
+
+    blocks = (lrows.select(*keys, "_blk").distinct().withColumn("_mx", F.lit(None).cast(vtype))
+              .unionByName(rrows.groupBy(*keys, "_blk").agg(F.max("_v").alias("_mx")))
+              .groupBy(*keys, "_blk").agg(F.max("_mx").alias("_mx")))
+    before = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = blocks.select(*keys, "_blk", F.max("_mx").over(before).alias("_carry"))
+
+    within = (Window.partitionBy(*keys, "_blk").orderBy("_t", "_k")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    u = (lrows.unionByName(rrows, allowMissingColumns=True)
+              .repartition(*[F.col(k) for k in keys], F.col("_blk"))
+              .withColumn("_in", F.last("_v", ignorenulls=True).over(within))
+              .filter(F.col("_k") == 1))
+    res = u.join(carry, on=[*keys, "_blk"], how="left")
+    return (res.withColumn(out, F.coalesce(F.col("_in"), F.col("_carry")))
+               .select(*left.columns, out))

@@ -9,7 +9,7 @@ bounded and broadcast.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from equiframe.functions.numeric import all_differ_from, any_not_null
@@ -19,6 +19,7 @@ from equiframe.functions.text import (MANAGED_NORMAL, MANAGED_TYPE_CODE, MARKET_
 from equiframe.operators.columns import relocate
 from equiframe.operators.filters import listed_common_shares
 from equiframe.operators.keys import assign_keys
+from equiframe.operators.windows import as_of_latest
 
 # ---------------------------------------------------------------------------
 # Exchange field names -> table columns (same order).
@@ -103,22 +104,11 @@ def stock_info_merge(existing: DataFrame, batch: DataFrame, new_only: bool = Tru
 
 
 def info_as_of(daily: DataFrame, info: DataFrame) -> DataFrame:
-    """The latest ``info_update`` on or before each (sym_cd, base_dt).
-
-    As-of join by union + window: the version days of a symbol are
-    interleaved with its trading days and the last version day seen so far
-    is carried forward (``last(..., ignorenulls)``).  No range join, no
-    pairs.
-    """
-    days = daily.select("sym_cd", F.col("base_dt").alias("_d"), F.lit(1).alias("_k"),
-                        F.lit(None).cast("date").alias("_v"))
-    versions = info.select("sym_cd", F.col("info_update").alias("_d"), F.lit(0).alias("_k"),
-                           F.col("info_update").alias("_v"))
-    w = (Window.partitionBy("sym_cd").orderBy("_d", "_k")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    carried = days.unionByName(versions).select(
-        "sym_cd", "_d", "_k", F.last("_v", ignorenulls=True).over(w).alias("info_update"))
-    return carried.filter(F.col("_k") == 1).select("sym_cd", F.col("_d").alias("base_dt"), "info_update")
+    """The latest ``info_update`` on or before each (sym_cd, base_dt): the
+    attribute version valid on that day (blocked as-of lookup, no range
+    join, no pairs)."""
+    return as_of_latest(daily.select("sym_cd", "base_dt"), info.select("sym_cd", "info_update"),
+                        ["sym_cd"], "base_dt", "info_update", "info_update")
 
 
 def stock_daily(universe: DataFrame, vendor: DataFrame, info: DataFrame,

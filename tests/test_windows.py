@@ -99,3 +99,17 @@ def test_keys_contiguous_unique_and_ordered(spark):
     assert keys == list(range(101, 101 + len(rows)))
     by_key = [(r.base_dt, r.sym_cd) for r in sorted(out, key=lambda r: r.num_key)]
     assert by_key == sorted(rows)
+
+
+def test_as_of_latest_matches_brute_force(spark):
+    from equiframe.operators.windows import as_of_latest
+    rnd = random.Random(11)
+    d0 = dt.date(2020, 1, 1)
+    left = [(k, d0 + dt.timedelta(days=rnd.randrange(400))) for k in "abc" for _ in range(150)]
+    right = [(k, d0 + dt.timedelta(days=rnd.randrange(-30, 400))) for k in "ab" for _ in range(12)]
+    ldf = spark.createDataFrame(left, "k string, d date")
+    rdf = spark.createDataFrame(right, "k string, v date")
+    for block in (7, 50, 4096):
+        got = sorted((r.k, r.d, r.v) for r in as_of_latest(ldf, rdf, ["k"], "d", "v", "v", block).collect())
+        want = sorted((k, d, max((v for kk, v in right if kk == k and v <= d), default=None)) for k, d in left)
+        assert got == want
