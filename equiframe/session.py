@@ -29,7 +29,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", "8g"))
+               .config("spark.driver.memory", "8g")
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     for k, v in {**RECOMMENDED_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

@@ -95,11 +95,10 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: list[s
         return
     target = spark.read.parquet(path)
     if partition_by:
+        # partition values (years, days) are a bounded set
         touched = source.select(*partition_by).distinct()
         target = target.join(F.broadcast(touched), on=partition_by, how="left_semi")
-        merged = upsert_partial(target.select(*spark.read.parquet(path).columns), source, keys)
-    else:
-        merged = upsert_partial(target, source, keys)
+    merged = upsert_partial(target, source, keys)
     stage = _staging(spark, staging_root)
     merged.write.partitionBy(*partition_by).parquet(stage)
     (spark.read.parquet(stage).write.mode("overwrite")
