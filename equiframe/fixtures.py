@@ -389,10 +389,30 @@ def oracle(fixtures: list[str], body: str) -> str:
     return with_clause(fixtures, "duckdb") + "\n" + body
 
 
+# sf_dir -> folder holding materialised fixtures (see ``stage``)
+_STAGED: dict[str, str] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The fixture ``name`` as a Spark DataFrame over ``sf_dir``."""
+    """The fixture ``name`` as a Spark DataFrame over ``sf_dir`` (read from
+    the staged copy when ``stage`` materialised one)."""
+    staged = _STAGED.get(sf_dir.rstrip("/"))
+    if staged:
+        return spark.read.parquet(f"{staged}/{name}")
     return spark.sql(with_clause([name], "spark", sf_dir) + f"\nSELECT * FROM {name}")
 
 
+def stage(spark: SparkSession, sf_dir: str, out_dir: str, only: list[str] | None = None) -> None:
+    """Materialise every fixture of ``sf_dir`` as Parquet under ``out_dir``
+    so that later loads read stored tables, as production queries do."""
+    for n in only or names():
+        load(spark, sf_dir, n).write.mode("overwrite").parquet(f"{out_dir}/{n}")
+    _STAGED[sf_dir.rstrip("/")] = out_dir
+
+
+def unstage(sf_dir: str) -> None:
+    _STAGED.pop(sf_dir.rstrip("/"), None)
+
+
 def names() -> list[str]:
     return list(_FIXTURES)

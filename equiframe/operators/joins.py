@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from equiframe.session import checkpoint_dir
+
 # Row bound for the runtime-checked broadcast.
 MAX_BROADCAST_ROWS = 2_000_000
 
@@ -19,12 +21,16 @@ MAX_BROADCAST_ROWS = 2_000_000
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast-hint ``df`` only if it has at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows; beyond the bound the frame
-    is returned unhinted and joins by shuffle.
+    The frame is first materialised with ``checkpoint()`` (in the cluster's
+    ``spark.checkpoint.dir``) so the row count and the join read the same
+    stored rows -- nothing is computed twice.  Beyond the bound the
+    checkpointed frame is returned unhinted and joins by shuffle.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    checkpoint_dir(df.sparkSession)
+    stored = df.checkpoint(eager=True)
+    if stored.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(stored)
+    return stored
 
 
 def bounded_broadcast(df: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from equiframe.functions.numeric import safe_div
 from equiframe.operators.columns import first_columns, select_range
 from equiframe.operators.filters import DateLike, sym_dt_pick
-from equiframe.operators.joins import bounded_broadcast
+from equiframe.operators.joins import bounded_broadcast, broadcast_if_small
 from equiframe.operators.windows import market_calendar, rolling
 from equiframe.plans.statements import filled_balance_sheet
 from equiframe.sources.sinks import upsert_partial
@@ -37,20 +37,23 @@ def value_factors(daily: DataFrame, cons: DataFrame, workdays: DataFrame, bs: Da
     ``mkt_cap / num_stock_o * num_stock_t``; a zero or NULL denominator
     gives NULL.  The symbol/date filter reaches the stock_daily scan.
 
-    Broadcast: only the calendar (one row per trading day).  The statement
-    sides are (symbols x quarters) and join by shuffle on (sym_cd, fs_q)
-    unless AQE finds them small at runtime.
+    Join order and sides: the calendar (one row per trading day) is
+    broadcast; the statement sides (symbols x quarters, independent of the
+    daily volume) are materialised once and broadcast when under a row
+    bound (checked), else joined by shuffle; consensus joins last, on
+    num_key, so the result comes out partitioned by num_key for the
+    factor-table upsert.
     """
     d = sym_dt_pick(select_range(daily, ("num_key", "sym_cd"), ("mkt_cap", "num_stock_t")),
                     syms, start, end)
     c = select_range(cons, ("num_key", "bps_12mf"))
-    fbs = filled_balance_sheet(bs).select("sym_cd", "fs_q", "net_asset")
-    prep = select_range(pl_prep, ("sym_cd", "cash_flow_a4q"))
-    j = (d.join(c, on="num_key", how="left")
-          .withColumn("earn_12mf", F.coalesce("earn_dom_12mf", "earn_12mf"))
-          .join(bounded_broadcast(workdays.select("base_dt", "fs_q")), on="base_dt", how="left")
+    fbs = broadcast_if_small(filled_balance_sheet(bs).select("sym_cd", "fs_q", "net_asset"))
+    prep = broadcast_if_small(select_range(pl_prep, ("sym_cd", "cash_flow_a4q")))
+    j = (d.join(bounded_broadcast(workdays.select("base_dt", "fs_q")), on="base_dt", how="left")
           .join(fbs, on=["sym_cd", "fs_q"], how="left")
-          .join(prep, on=["sym_cd", "fs_q"], how="left"))
+          .join(prep, on=["sym_cd", "fs_q"], how="left")
+          .join(c, on="num_key", how="left")
+          .withColumn("earn_12mf", F.coalesce("earn_dom_12mf", "earn_12mf")))
     per_share = safe_div(F.col("mkt_cap"), F.col("num_stock_o"))
     adj = per_share * F.col("num_stock_t")
     ratios = {
@@ -95,11 +98,12 @@ def update_factors(value: DataFrame, mom: DataFrame, existing: DataFrame | None
     """D16 + D17 writes: the factor table after upserting the value factors
     and then the momentum columns, each on num_key, each touching only its
     own columns."""
-    cols = ["num_key", *VALUE_FACTORS, *[c for c in mom.columns if c != "num_key"]]
-    spark = value.sparkSession
-    target = existing if existing is not None else spark.createDataFrame(
-        [], ", ".join(f"{c} {'bigint' if c == 'num_key' else 'double'}" for c in cols))
-    step1 = upsert_partial(target, value, ["num_key"])
+    mom_cols = [c for c in mom.columns if c != "num_key"]
+    if existing is None:
+        # upserting into an empty table is an insert
+        step1 = value.select("num_key", *VALUE_FACTORS, *[F.lit(None).cast("double").alias(c) for c in mom_cols])
+    else:
+        step1 = upsert_partial(existing, value, ["num_key"])
     return upsert_partial(step1, mom, ["num_key"])
 
 
