@@ -54,19 +54,25 @@ def value_factors(daily: DataFrame, cons: DataFrame, workdays: DataFrame, bs: Da
           .join(prep, on=["sym_cd", "fs_q"], how="left")
           .join(c, on="num_key", how="left")
           .withColumn("earn_12mf", F.coalesce("earn_dom_12mf", "earn_12mf")))
+    have = set(j.columns)
+
+    def item(c: str) -> F.Column:
+        # an item the vendor export does not carry gives NULL ratios
+        return F.col(c) if c in have else F.lit(None).cast("double")
+
     per_share = safe_div(F.col("mkt_cap"), F.col("num_stock_o"))
     adj = per_share * F.col("num_stock_t")
     ratios = {
-        "inv_per": safe_div(F.col("earn_a4q"), adj),
-        "inv_por": safe_div(F.col("opr_prof_a4q"), adj),
-        "inv_psr": safe_div(F.col("sales_a4q"), adj),
-        "inv_pocr": safe_div(F.col("op_cash_flow_a4q"), adj),
-        "inv_pcr": safe_div(F.col("cash_flow_a4q"), adj),
-        "inv_pbr": safe_div(F.col("net_asset"), adj),
-        "inv_per_12mf": safe_div(F.col("earn_12mf"), adj),
-        "inv_por_12mf": safe_div(F.col("opr_prof_12mf"), adj),
-        "inv_psr_12mf": safe_div(F.col("sales_12mf"), adj),
-        "inv_pbr_12mf": safe_div(F.col("bps_12mf"), per_share),
+        "inv_per": safe_div(item("earn_a4q"), adj),
+        "inv_por": safe_div(item("opr_prof_a4q"), adj),
+        "inv_psr": safe_div(item("sales_a4q"), adj),
+        "inv_pocr": safe_div(item("op_cash_flow_a4q"), adj),
+        "inv_pcr": safe_div(item("cash_flow_a4q"), adj),
+        "inv_pbr": safe_div(item("net_asset"), adj),
+        "inv_per_12mf": safe_div(item("earn_12mf"), adj),
+        "inv_por_12mf": safe_div(item("opr_prof_12mf"), adj),
+        "inv_psr_12mf": safe_div(item("sales_12mf"), adj),
+        "inv_pbr_12mf": safe_div(item("bps_12mf"), per_share),
     }
     return j.select("num_key", *[ratios[k].alias(k) for k in VALUE_FACTORS])
 

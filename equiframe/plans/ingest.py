@@ -16,7 +16,6 @@ from equiframe.functions.numeric import all_differ_from, any_not_null
 from equiframe.functions.text import (MANAGED_NORMAL, MANAGED_TYPE_CODE, MARKET_CODE_LETTER,
                                       market_letters, null_if_equal, parse_number, recode_exact,
                                       sector_recode, unite)
-from equiframe.operators.columns import relocate
 from equiframe.operators.filters import listed_common_shares
 from equiframe.operators.keys import assign_keys
 from equiframe.operators.windows import as_of_latest
@@ -63,14 +62,12 @@ def listed_universe(prices: DataFrame, base: DataFrame, excluded: DataFrame, sec
     column already on ``prices``.
     """
     joined = prices.join(base.select("ISU_SRT_CD", "BAS_PRC"), on="ISU_SRT_CD", how="left")
-    typed = joined.select(*[
+    base_dt = F.to_date(F.lit(day), "yyyyMMdd") if isinstance(day, str) else day
+    typed = joined.select(base_dt.alias("base_dt"), *[
         (F.col(f) if c in ("sym_cd", "sym_nm", "mkt_cd") else parse_number(F.col(f))).alias(c)
         for f, c in zip(PRICE_FIELDS, PRICE_COLUMNS)])
-    base_dt = F.to_date(F.lit(day), "yyyyMMdd") if isinstance(day, str) else day
     typed = (typed.filter(F.col("sym_cd").isNotNull())
-                  .withColumn("base_dt", base_dt)
                   .withColumn("base_p", null_if_equal("base_p", 1.0)))
-    typed = relocate(typed, ["base_dt"])
     universe = listed_common_shares(typed)
     universe = universe.join(excluded.select(F.col("ISU_SRT_CD").alias("sym_cd")).distinct(),
                              on="sym_cd", how="left_anti")
