@@ -8,6 +8,8 @@ setting is absent (tests).
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Settings the library relies on: AQE for runtime re-planning (coalescing,
@@ -41,15 +43,20 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session leaves it unset (local tests) is ``fallback`` used
-    and installed as the session's checkpoint directory.
+    Only when the session leaves it unset is a folder of our own installed:
+    ``fallback`` if given (tests), else -- on a ``local[...]`` master only --
+    a fresh scratch folder.  A cluster session without the setting is a
+    configuration error: a machine-local folder would not survive executor
+    loss.
     """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        spark.sparkContext.setCheckpointDir(found)
-        return found
-    if fallback is None:
-        raise RuntimeError("spark.checkpoint.dir is not set and no fallback was given")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    spark.sparkContext.setCheckpointDir(fallback)
-    return fallback
+    sc = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not found:
+        if fallback is None:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+            fallback = tempfile.mkdtemp(prefix="equiframe-ckpt-")
+        found = fallback
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(found)
+    return found
