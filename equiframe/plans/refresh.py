@@ -29,24 +29,30 @@ from equiframe.plans import calendar as cal
 from equiframe.plans import factors as fac
 from equiframe.plans import ingest as ing
 from equiframe.plans import statements as st
-from equiframe.sources.sinks import _exists, replace_partitions, upsert_table
+from equiframe.sources.sinks import read_if_present, replace_partitions, upsert_table
 from equiframe.sources.tables import TableStore
 
 # table -> (upsert keys, partition columns)
+# Dated tables are partitioned by ``year``: of base_dt, of info_update, or --
+# for tables keyed by num_key -- of the trading day the key stands for, so an
+# upsert rewrites only the years it touches.  Statement tables and the index
+# list are small (symbols x quarters) and kept whole.
 TABLES: dict[str, tuple[list[str], list[str]]] = {
     "workdays": (["base_dt"], ["year"]),
     "index_list": (["idx_code"], []),
-    "stock_info": (["sym_cd", "info_update"], []),
+    "stock_info": (["sym_cd", "info_update"], ["year"]),
     "stock_daily": (["base_dt", "sym_cd"], ["year"]),
-    "stock_cons": (["num_key"], []),
-    "stock_managed": (["num_key", "type"], []),
-    "stocks_in_index": (["num_key", "idx_code"], []),
+    "stock_cons": (["num_key"], ["year"]),
+    "stock_managed": (["num_key", "type"], ["year"]),
+    "stocks_in_index": (["num_key", "idx_code"], ["year"]),
     "index_daily": (["base_dt", "idx_code"], ["year"]),
     "company_fs_bs": (["sym_cd", "fs_q"], []),
     "company_fs_pl": (["sym_cd", "fs_q"], []),
     "company_fs_pl_prep": (["sym_cd", "fs_q"], []),
-    "factor_daily": (["num_key"], []),
+    "factor_daily": (["num_key"], ["year"]),
 }
+# where the partition year comes from when the rows carry no base_dt
+YEAR_SOURCE = {"stock_info": "info_update"}
 
 
 # tables written column-wise by several actions: their full column set
@@ -71,15 +77,15 @@ class EquityStore(TableStore):
 
     # -- reads ---------------------------------------------------------------
     def exists(self, name: str) -> bool:
-        return _exists(self.spark, self.path(name))
+        return read_if_present(self.spark, self.path(name)) is not None
 
     def table(self, name: str, start: DateLike = None, end: DateLike = None) -> DataFrame | None:
         """The stored table (``None`` if never written).  With a date range a
         ``year`` predicate is added so only the touched partitions are read;
         the partition column itself is dropped."""
-        if not self.exists(name):
+        df = read_if_present(self.spark, self.path(name))
+        if df is None:
             return None
-        df = self.scan(name)
         if "year" in df.columns and "year" in TABLES.get(name, ([], []))[1]:
             lo, hi = _year(start), _year(end)
             if lo is not None:
@@ -90,7 +96,10 @@ class EquityStore(TableStore):
         return df
 
     # -- writes --------------------------------------------------------------
-    def upsert(self, name: str, rows: DataFrame) -> None:
+    def upsert(self, name: str, rows: DataFrame, key_days: DataFrame | None = None) -> None:
+        """Upsert ``rows`` with the table's keys.  Rows keyed by num_key get
+        their partition year from ``key_days`` (num_key, base_dt) -- the
+        stock_daily rows of the same load, joined on num_key."""
         keys, parts = TABLES[name]
         if name in FULL_COLUMNS and not self.exists(name):
             # first write creates the whole table, so later column-wise
@@ -99,7 +108,13 @@ class EquityStore(TableStore):
             rows = rows.select(*[F.col(c) if c in have else F.lit(None).cast(t).alias(c)
                                  for c, t in FULL_COLUMNS[name]])
         if "year" in parts:
-            rows = rows.withColumn("year", F.year("base_dt"))
+            if "base_dt" in rows.columns:
+                rows = rows.withColumn("year", F.year("base_dt"))
+            elif name in YEAR_SOURCE:
+                rows = rows.withColumn("year", F.year(YEAR_SOURCE[name]))
+            else:
+                years = key_days.select("num_key", F.year("base_dt").alias("year"))
+                rows = rows.join(years, on="num_key", how="inner")
         upsert_table(self.spark, self.path(name), rows, keys, partition_by=parts,
                      staging_root=self.staging_root)
 
@@ -149,9 +164,12 @@ class EquityStore(TableStore):
         self.upsert("stock_daily", daily)
         daily = self.table("stock_daily", span["a"], span["b"]).filter(
             F.col("base_dt").between(F.lit(span["a"]), F.lit(span["b"])))
-        self.upsert("stock_cons", ing.stock_cons(daily, vendor).filter(F.col("num_key").isNotNull()))
-        self.upsert("stock_managed", ing.stock_managed(daily, vendor).filter(F.col("num_key").isNotNull()))
-        self.upsert("stocks_in_index", ing.stocks_in_index(daily, members))
+        key_days = daily.select("num_key", "base_dt")
+        # rows without a stock_daily key (vendor-only) have no place in a
+        # num_key-keyed table and drop out in the year lookup
+        self.upsert("stock_cons", ing.stock_cons(daily, vendor), key_days)
+        self.upsert("stock_managed", ing.stock_managed(daily, vendor), key_days)
+        self.upsert("stocks_in_index", ing.stocks_in_index(daily, members), key_days)
         idx = self.table("index_list")
         self.upsert("index_daily", ing.index_daily(levels, index_base, idx))
 
@@ -177,15 +195,17 @@ class EquityStore(TableStore):
         """D15 + D16 over ``[start, end]`` and D17 over the whole market
         calendar (momentum needs the history before ``start``); both upserted
         into factor_daily touching only their own columns."""
-        daily_all = self.table("stock_daily")
-        value = fac.value_factors(self.table("stock_daily", start, end), self.table("stock_cons"),
-                                  self.table("workdays"), self.table("company_fs_bs"),
-                                  self.table("company_fs_pl_prep"), start=start, end=end)
-        self.upsert("factor_daily", value)
-        mom = fac.momentum(daily_all)
-        if start is not None or end is not None:
-            keys = self.table("stock_daily", start, end)
-            keys = keys.filter(F.col("base_dt").between(F.lit(start or "0001-01-01").cast("date"),
-                                                        F.lit(end or "9999-12-31").cast("date")))
-            mom = mom.join(keys.select("num_key"), on="num_key", how="left_semi")
-        self.upsert("factor_daily", mom)
+        in_range = self.table("stock_daily", start, end).filter(
+            F.col("base_dt").between(F.lit(start or "0001-01-01").cast("date"),
+                                     F.lit(end or "9999-12-31").cast("date")))
+        key_days = in_range.select("num_key", "base_dt")
+        cons = self.table("stock_cons", start, end)
+        if cons is None:  # no consensus landed yet: every *_12mf factor is NULL
+            cons = self.spark.createDataFrame(
+                [], ", ".join(["num_key bigint"] + [f"{c} double" for c in ing.CONSENSUS]))
+        value = fac.value_factors(in_range, cons, self.table("workdays"),
+                                  self.table("company_fs_bs"), self.table("company_fs_pl_prep"))
+        self.upsert("factor_daily", value, key_days)
+        # momentum needs the history before ``start``: computed over the
+        # whole calendar, written for the keys in range (the year join)
+        self.upsert("factor_daily", fac.momentum(self.table("stock_daily")), key_days)

@@ -14,6 +14,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 
 from equiframe.session import checkpoint_dir
 
@@ -80,6 +81,19 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
+def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+    """The stored table, or ``None`` when nothing readable was written yet
+    (missing folder, or an empty partitioned write that left no files)."""
+    if not _exists(spark, path):
+        return None
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None
+        raise
+
+
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: list[str],
                  partition_by: list[str] | None = None, staging_root: str | None = None) -> None:
     """S3 on a stored Parquet table.
@@ -90,10 +104,10 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: list[s
     they are rewritten.
     """
     partition_by = partition_by or []
-    if not _exists(spark, path):
-        source.write.partitionBy(*partition_by).parquet(path)
+    target = read_if_present(spark, path)
+    if target is None:
+        source.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         return
-    target = spark.read.parquet(path)
     if partition_by:
         # partition values (years, days) are a bounded set
         touched = source.select(*partition_by).distinct()

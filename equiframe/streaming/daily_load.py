@@ -29,7 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 from equiframe.operators.joins import after_high_water_mark
 from equiframe.plans.ingest import stock_daily
 from equiframe.session import checkpoint_dir
-from equiframe.sources.sinks import _exists, upsert_table
+from equiframe.sources.sinks import read_if_present, upsert_table
 
 UNIVERSE_SCHEMA = T.StructType([
     T.StructField("base_dt", T.DateType()),
@@ -47,7 +47,7 @@ UNIVERSE_SCHEMA = T.StructType([
 def load_batch(spark: SparkSession, batch: DataFrame, table_path: str, vendor: DataFrame,
                info: DataFrame) -> None:
     """One micro-batch: new days only, keyed, upserted by year partition."""
-    existing = spark.read.parquet(table_path) if _exists(spark, table_path) else None
+    existing = read_if_present(spark, table_path)
     fresh = after_high_water_mark(batch, "base_dt", existing, "base_dt") if existing is not None else batch
     rows = stock_daily(fresh, vendor, info, existing.drop("year") if existing is not None else None)
     rows = rows.withColumn("year", F.year("base_dt"))
