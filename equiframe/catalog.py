@@ -378,6 +378,27 @@ def q_stock_info_merge(spark, sf):
     return ing.stock_info_merge(stored, after)
 
 
+@register("stock_info_history", _sql(["fx_history"], """
+SELECT sym_cd, min(info_update) AS info_update, sym_nm, mkt_cd, sec_krx
+FROM fx_history GROUP BY sym_cd, sym_nm, mkt_cd, sec_krx
+"""))
+def q_stock_info_history(spark, sf):
+    """D5 whole history: every landed day merged into an empty store; one
+    row per attribute version at its first-seen day (A -> B -> A keeps two)."""
+    h = _fx(spark, sf, "fx_history")
+    return ing.stock_info_merge(h.limit(0), h, new_only=False)
+
+
+@register("latest_stock_info", _sql(["fx_history"], """
+SELECT sym_cd, info_update, sym_nm, mkt_cd, sec_krx FROM (
+  SELECT *, row_number() OVER (PARTITION BY sym_cd ORDER BY info_update DESC) AS rn FROM fx_history) z
+WHERE rn = 1
+"""))
+def q_latest_stock_info(spark, sf):
+    """Each symbol's latest attribute row (a max_by aggregate)."""
+    return latest_per_key(_fx(spark, sf, "fx_history"), ["sym_cd"], "info_update")
+
+
 _SD_COLS = ["trd_vol", "trd_val", "open", "high", "low", "close", "base_p", "net_buy_fi", "mkt_cap",
             "num_stock_o", "num_stock_t"]
 
@@ -783,6 +804,35 @@ def q_lookback(spark, sf):
     return prc.recent_prices(_fx(spark, sf, "fx_daily"), "1y")
 
 
+@register("lookback_mtd", _sql(["fx_daily"], """
+SELECT d.* FROM fx_daily d JOIN (SELECT sym_cd, max(base_dt) AS last FROM fx_daily GROUP BY sym_cd) m
+  ON m.sym_cd = d.sym_cd WHERE d.base_dt >= date_trunc('month', m.last)
+"""))
+def q_lookback_mtd(spark, sf):
+    """each symbol's rows from the first of its last month (MTD)."""
+    return prc.recent_prices(_fx(spark, sf, "fx_daily"), "mtd")
+
+
+@register("lookback_ytd", _sql(["fx_daily"], """
+SELECT d.* FROM fx_daily d JOIN (SELECT sym_cd, max(base_dt) AS last FROM fx_daily GROUP BY sym_cd) m
+  ON m.sym_cd = d.sym_cd WHERE d.base_dt >= date_trunc('year', m.last)
+"""))
+def q_lookback_ytd(spark, sf):
+    """each symbol's rows from January 1st of its last year (YTD)."""
+    return prc.recent_prices(_fx(spark, sf, "fx_daily"), "ytd")
+
+
+@register("price_view_line", _sql(["fx_history", "fx_daily"], _NAMES + f"""
+, pv AS (SELECT * FROM fx_daily WHERE sym_cd IN (SELECT sym_cd FROM codes)
+         AND base_dt BETWEEN DATE '{VIEW_START}' AND DATE '{VIEW_END}')
+""" + _adj_sql("pv") + "SELECT sym_cd, base_dt, close_adj AS close FROM adj", ["close"], 4))
+def q_price_view_line(spark, sf):
+    """D23 line form: unrounded adjusted close of the named stocks over the
+    range, anchored at the range end."""
+    return finish(prc.price_view(_fx(spark, sf, "fx_history"), _fx(spark, sf, "fx_daily"),
+                                 _names(spark, sf), VIEW_START, VIEW_END, "line"), ["close"], 4)
+
+
 # --------------------------------------------------------------------------
 # Step 9: write path
 # --------------------------------------------------------------------------
