@@ -21,9 +21,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Ordinal units per block for the blocked windows (trading days for
-# ``rolling``, calendar days for ``suffix_product``).
+# Ordinal units per block for ``rolling`` (trading days): large, because
+# each block repeats the n-1 preceding days (a 252-day window costs ~6%).
 DEFAULT_BLOCK = 4096
+# Calendar days per block for ``suffix_product`` and ``as_of_latest``: no
+# halo, so blocks can be small; the per-block table has symbols x blocks rows.
+DEFAULT_BLOCK_DAYS = 512
 
 AGGREGATES = {
     "product": F.product,
@@ -85,7 +88,7 @@ def rolling(df: DataFrame, value: str, windows: dict[str, int], keys: list[str],
 
 
 def suffix_product(df: DataFrame, value: str, keys: list[str], order: str, out: str,
-                   last_cols: dict[str, str] | None = None, block_days: int = DEFAULT_BLOCK) -> DataFrame:
+                   last_cols: dict[str, str] | None = None, block_days: int = DEFAULT_BLOCK_DAYS) -> DataFrame:
     """Product of ``value`` over the rows strictly after each row.
 
     Within each ``keys`` group ordered by the date column ``order``: the last
@@ -170,7 +173,7 @@ def lag_within(col: str, keys: list[str], order: list[str], n: int = 1, default=
 
 
 def as_of_latest(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, right_time: str,
-                 out: str, block_days: int = DEFAULT_BLOCK) -> DataFrame:
+                 out: str, block_days: int = DEFAULT_BLOCK_DAYS) -> DataFrame:
     """As-of lookup: for every ``left`` row, the greatest ``right_time`` of
     ``right`` at or before ``left_time`` within ``keys`` (NULL if none).
 
