@@ -51,6 +51,15 @@ TABLES: dict[str, tuple[list[str], list[str]]] = {
     "company_fs_pl_prep": (["sym_cd", "fs_q"], []),
     "factor_daily": (["num_key"], ["year"]),
 }
+# within-partition sort of the stored files (lookup key first)
+SORT_WITHIN = {
+    "stock_daily": ["sym_cd", "base_dt"],
+    "index_daily": ["idx_code", "base_dt"],
+    "stock_info": ["sym_cd", "info_update"],
+    "company_fs_bs": ["sym_cd", "fs_q"],
+    "company_fs_pl": ["sym_cd", "fs_q"],
+    "company_fs_pl_prep": ["sym_cd", "fs_q"],
+}
 # where the partition year comes from when the rows carry no base_dt
 YEAR_SOURCE = {"stock_info": "info_update"}
 
@@ -116,7 +125,7 @@ class EquityStore(TableStore):
                 years = key_days.select("num_key", F.year("base_dt").alias("year"))
                 rows = rows.join(years, on="num_key", how="inner")
         upsert_table(self.spark, self.path(name), rows, keys, partition_by=parts,
-                     staging_root=self.staging_root)
+                     staging_root=self.staging_root, sort_within=SORT_WITHIN.get(name, keys))
 
     # -- actions -------------------------------------------------------------
     def refresh_workdays(self, years: DataFrame, holidays: DataFrame) -> None:

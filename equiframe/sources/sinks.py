@@ -95,7 +95,8 @@ def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: list[str],
-                 partition_by: list[str] | None = None, staging_root: str | None = None) -> None:
+                 partition_by: list[str] | None = None, staging_root: str | None = None,
+                 sort_within: list[str] | None = None) -> None:
     """S3 on a stored Parquet table.
 
     With ``partition_by`` (columns of both target and source), only the
@@ -104,9 +105,15 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: list[s
     they are rewritten.
     """
     partition_by = partition_by or []
+    order = [*partition_by, *(sort_within or [])]
+
+    def laid_out(df: DataFrame) -> DataFrame:
+        # sorted files give tight row-group min/max stats on the lookup key
+        return df.sortWithinPartitions(*order) if order else df
+
     target = read_if_present(spark, path)
     if target is None:
-        source.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        laid_out(source).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         return
     if partition_by:
         # partition values (years, days) are a bounded set
@@ -114,7 +121,7 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: list[s
         target = target.join(F.broadcast(touched), on=partition_by, how="left_semi")
     merged = upsert_partial(target, source, keys)
     stage = _staging(spark, staging_root)
-    merged.write.partitionBy(*partition_by).parquet(stage)
+    laid_out(merged).write.partitionBy(*partition_by).parquet(stage)
     (spark.read.parquet(stage).write.mode("overwrite")
           .option("partitionOverwriteMode", "dynamic" if partition_by else "static")
           .partitionBy(*partition_by).parquet(path))
