@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from equiframe import fixtures as fx
-from equiframe.functions.text import parse_number, sector_recode
+from equiframe.functions.text import NUMBER_PATTERN, parse_number, sector_recode
 from equiframe.operators.columns import drop_range, select_range
 from equiframe.operators.filters import sym_dt_pick
 from equiframe.operators.windows import latest_per_key, market_calendar, rolling
@@ -244,7 +244,7 @@ def q_report_lag(spark, sf):
 # Step 4: scalar functions and ingest normalisers
 # --------------------------------------------------------------------------
 
-_NUM_RE = r"-?[0-9][0-9,]*([.][0-9]+)?|-?[.][0-9]+"
+_NUM_RE = NUMBER_PATTERN
 
 
 def _pn(x: str) -> str:
