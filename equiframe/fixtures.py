@@ -17,19 +17,15 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from equiframe.functions.text import SECTOR_RECODE
+
 SOURCE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
-# Values the fixtures draw text from (vendor quarter labels, KRX industry
-# names); they are the reference's fixed labels, reused so that the recoders
-# see real inputs.
+# Text the fixtures draw from: the vendor's quarter labels, the KRX industry
+# names of the library's fixed recode table (plus one name it does not map),
+# and index market names.
 QUARTER_LABELS = ["1st-Quarter", "Semi-Annual", "3rd-Quarter", "Annual"]
-KRX_INDUSTRIES = [
-    "음식료·담배", "섬유·의류", "종이·목재", "출판·매체복제", "제약", "비금속", "금속",
-    "기계·장비", "일반전기전자", "의료·정밀기기", "운송장비·부품", "기타제조", "전기·가스·수도",
-    "건설", "유통", "숙박·음식", "운송", "금융", "기타서비스", "오락·문화", "통신서비스",
-    "방송서비스", "인터넷", "디지털컨텐츠", "소프트웨어", "컴퓨터서비스", "통신장비", "정보기기",
-    "반도체", "IT부품", "기타업종",
-]
+KRX_INDUSTRIES = [*SECTOR_RECODE, "기타업종"]
 INDEX_MARKETS = ["KRX", "KOSPI", "KOSDAQ", "테마", "KRX 테마"]
 
 
