@@ -17,7 +17,7 @@ from equiframe.functions.numeric import any_not_null
 from equiframe.operators.filters import in_set, quarter_between
 from equiframe.operators.joins import complete_grid, expand_grid
 from equiframe.operators.windows import fill_forward
-from equiframe.sources.vendor import item_list
+from equiframe.sources.vendor import item_list, item_rows
 
 KEYS = ["sym_cd", "fs_q"]
 # P&L items excluded from the trailing computation.
@@ -39,8 +39,9 @@ def split_statements(df: DataFrame, meta: DataFrame,
     dropped.  With ``known_quarters`` (new-symbol variant) rows are kept only
     for quarters already present in the stored balance sheet.
     """
-    bs_cols = [c for c in item_list(meta, "fs", "bs") if c in df.columns]
-    pl_cols = [c for c in item_list(meta, "fs", "pl") if c in df.columns]
+    rows = item_rows(meta, "fs")
+    bs_cols = [c for c in item_list(rows, "fs", "bs") if c in df.columns]
+    pl_cols = [c for c in item_list(rows, "fs", "pl") if c in df.columns]
     bs = drop_all_null(df.select(*KEYS, *bs_cols))
     pl = drop_all_null(df.select(*KEYS, *pl_cols))
     if known_quarters is not None:

@@ -49,18 +49,21 @@ def item_metadata(spark: SparkSession, items: list[tuple] | None = None) -> Data
     return spark.createDataFrame(rows, META_SCHEMA)
 
 
-def item_list(meta: DataFrame, table: str, flag: str | None = None, new_only: bool = False) -> list[str]:
-    """Items of ``table`` (optionally with a flag set), in metadata order.
+def item_rows(meta: DataFrame, table: str) -> list:
+    """The metadata rows of ``table`` in metadata order.
 
     Metadata is small by nature (one row per vendor item); it is the only
-    thing the library collects to the driver.
+    thing the library collects to the driver, once per call.
     """
-    m = meta.filter(F.col("table") == table)
-    if new_only:
-        m = m.filter(F.col("new").cast("boolean"))
-    if flag:
-        m = m.filter(F.col(flag).cast("boolean"))
-    return [r["item"] for r in m.select("item").collect()]
+    return meta.filter(F.col("table") == table).collect()
+
+
+def item_list(meta: DataFrame | list, table: str, flag: str | None = None, new_only: bool = False) -> list[str]:
+    """Items of ``table`` (optionally with a flag set), in metadata order;
+    ``meta`` is the metadata frame or rows already taken by ``item_rows``."""
+    rows = meta if isinstance(meta, list) else item_rows(meta, table)
+    return [r["item"] for r in rows
+            if r["table"] == table and (not new_only or r["new"]) and (not flag or r[flag])]
 
 
 def _period(period: str | Column, parse) -> Column:
@@ -79,8 +82,9 @@ def cross_section(raw: DataFrame, meta: DataFrame, kind: str, period: str | Colu
     with ``parse_number`` (NA tokens -> NULL) and the one-character vendor
     prefix is dropped from ``sym_cd``.
     """
-    items = [i for i in item_list(meta, kind, new_only=new_only) if i in raw.columns]
-    numeric = set(item_list(meta, kind, "numeric", new_only=new_only))
+    rows = item_rows(meta, kind)
+    items = [i for i in item_list(rows, kind, new_only=new_only) if i in raw.columns]
+    numeric = set(item_list(rows, kind, "numeric", new_only=new_only))
     if kind == "fs":
         head = [_period(period, lambda c: c).alias("fs_q")]
         lead = ["sym_cd", "fs_q"]
@@ -99,8 +103,9 @@ def fiscal_basis(raw: DataFrame, meta: DataFrame, new_only: bool = False) -> Dat
     Semi-Quarter -> Q2, 3rd-Quarter -> Q3, Annual -> Q4); month, year and
     quarter columns are dropped.
     """
-    items = [i for i in item_list(meta, "fs", new_only=new_only) if i in raw.columns]
-    numeric = set(item_list(meta, "fs", "numeric", new_only=new_only))
+    rows = item_rows(meta, "fs")
+    items = [i for i in item_list(rows, "fs", new_only=new_only) if i in raw.columns]
+    numeric = set(item_list(rows, "fs", "numeric", new_only=new_only))
     fs_q = F.concat_ws(" ", F.col("year").cast("string"), quarter_label(F.col("quarter").cast("string")))
     body = [(parse_number(F.col(i)) if i in numeric else F.col(i).cast("string")).alias(i) for i in items]
     return raw.select(strip_prefix(F.col("sym_cd").cast("string")).alias("sym_cd"),
