@@ -15,9 +15,11 @@ RECORDS_TYPE = "array<map<string,string>>"
 
 
 def first_key_records(payload: Column | str) -> Column:
-    """The array under the payload's first key, as ``array<map<string,string>>``."""
+    """The array under the payload's first key, as ``array<map<string,string>>``
+    (NULL for an empty or malformed document: ``get`` tolerates a missing
+    first key under ANSI mode, where ``[0]`` would fail the job)."""
     p = F.col(payload) if isinstance(payload, str) else payload
-    key = F.json_object_keys(p)[0]
+    key = F.get(F.json_object_keys(p), 0)
     path = F.concat(F.lit("$['"), key, F.lit("']"))
     return F.from_json(F.call_function("get_json_object", p, path), RECORDS_TYPE)
 

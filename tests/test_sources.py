@@ -41,3 +41,12 @@ def test_filters_and_reshape(spark):
     w = spark.createDataFrame([(1, "정상", "정지", None)], "num_key int, sym_mng string, sym_stop string, sym_reg string")
     long = unpivot_columns(w, ["num_key"], ["sym_mng", "sym_stop", "sym_reg"], "managed", "value").collect()
     assert [(r.managed, r.value) for r in long] == [("sym_mng", "정상"), ("sym_stop", "정지"), ("sym_reg", None)]
+
+
+def test_payload_explode_tolerates_empty_and_bad_documents(spark):
+    from equiframe.sources.payload import explode_payload
+    df = spark.createDataFrame([(1, '{"OutBlock_1":[{"a":"1","b":"x"},{"a":"2"}],"CURRENT_DATETIME":"t"}'),
+                                (2, '{}'), (3, 'not json'), (4, None), (5, '{"out":[]}')],
+                               "id int, payload string")
+    got = sorted((r.id, r.a, r.b) for r in explode_payload(df, "payload", ["a", "b"]).collect())
+    assert got == [(1, "1", "x"), (1, "2", None)]
