@@ -275,8 +275,9 @@ def q_json_explode(spark, sf):
     payload = _fx(spark, sf, "fx_payload")
     rows = explode_payload(payload, "payload", ["event_id", "user_id", "value", "props"],
                            keep=["event_type"])
-    return rows.select("event_type", F.col("event_id").cast("long"), F.col("user_id").cast("long"),
-                              F.col("value").cast("double"), "props")
+    return rows.select("event_type", F.col("event_id").try_cast("long").alias("event_id"),
+                       F.col("user_id").try_cast("long").alias("user_id"),
+                       F.col("value").try_cast("double").alias("value"), "props")
 
 
 _CS_NUM = ["sales", "opr_prof", "earn", "earn_dom", "grs_asset", "net_asset", "cash_flow"]

@@ -35,13 +35,13 @@ def date_quarter_string(d) -> Column:
 
 
 def quarter_year(fs_q) -> Column:
-    """Year part of ``"YYYY Qn"`` (positions 1-4)."""
-    return F.substring(_col(fs_q), 1, 4).cast("int")
+    """Year part of ``"YYYY Qn"`` (positions 1-4); NULL for malformed text."""
+    return F.substring(_col(fs_q), 1, 4).try_cast("int")
 
 
 def quarter_number(fs_q) -> Column:
-    """Quarter part of ``"YYYY Qn"`` (position 7)."""
-    return F.substring(_col(fs_q), 7, 1).cast("int")
+    """Quarter part of ``"YYYY Qn"`` (position 7); NULL for malformed text."""
+    return F.substring(_col(fs_q), 7, 1).try_cast("int")
 
 
 def quarter_ordinal(fs_q) -> Column:
