@@ -74,22 +74,13 @@ def _staging(spark: SparkSession, staging_root: str | None) -> str:
     return f"{root.rstrip('/')}/staging-{uuid.uuid4().hex}"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
-
-
 def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
     """The stored table, or ``None`` when nothing readable was written yet
     (missing folder, or an empty partitioned write that left no files)."""
-    if not _exists(spark, path):
-        return None
     try:
         return spark.read.parquet(path)
     except AnalysisException as e:
-        if "UNABLE_TO_INFER_SCHEMA" in str(e):
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 

@@ -19,6 +19,7 @@ trigger as a standing job.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,7 +60,10 @@ def start_daily_load(spark: SparkSession, landing_dir: str, table_path: str,
                      checkpoint: str | None = None, available_now: bool = True,
                      schema: T.StructType = UNIVERSE_SCHEMA) -> StreamingQuery:
     """Start the stream; ``vendor``/``info`` are read fresh per batch."""
-    ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/daily-load-{abs(hash(table_path))}"
+    # stable across restarts: the offsets of a table's load always live in
+    # the same place
+    digest = hashlib.sha1(table_path.encode()).hexdigest()[:16]
+    ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/daily-load-{digest}"
     src = spark.readStream.schema(schema).parquet(landing_dir)
     writer = (src.writeStream
                  .foreachBatch(lambda df, _id: load_batch(spark, df, table_path, vendor(), info()))
