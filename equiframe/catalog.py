@@ -14,7 +14,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from equiframe import fixtures as fx
 from equiframe.functions.text import NUMBER_PATTERN, parse_number, sector_recode
@@ -85,8 +84,6 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-DAILY_DOUBLES = ["trd_vol", "trd_val", "open", "high", "low", "close", "base_p", "net_buy_fi",
-                 "mkt_cap", "num_stock_o", "num_stock_t"]
 
 # --------------------------------------------------------------------------
 # Step 1: scans, filters, column ranges
@@ -112,7 +109,6 @@ SELECT d.* FROM fx_daily d
 WHERE d.sym_cd IN (SELECT sym_cd FROM latest_o)
   AND d.base_dt >= DATE '1997-01-01' AND d.base_dt <= DATE '1999-12-31'
 """))
-
 def q_scan_filter(spark, sf):
     """F1 sym_dt_pick: symbols (as a semi join on a derived list) and an
     inclusive date range over stock_daily."""
@@ -128,7 +124,6 @@ _CONS = ["sales_12mf", "opr_prof_12mf", "earn_12mf", "earn_dom_12mf", "bps_12mf"
 SELECT base_dt, sym_cd, {", ".join(_CONS)} FROM fx_vendor
 WHERE {" OR ".join(c + " IS NOT NULL" for c in _CONS)}
 """))
-
 def q_drop_all_null(spark, sf):
     """vendor consensus rows with at least one item present."""
     v = _fx(spark, sf, "fx_vendor").select("base_dt", "sym_cd", *_CONS)
@@ -138,7 +133,6 @@ def q_drop_all_null(spark, sf):
 @register("col_range", _sql(["fx_daily"], """
 SELECT num_key, base_dt, sym_cd, open, high, low, close, mkt_cap FROM fx_daily
 """))
-
 def q_col_range(spark, sf):
     """Drop the range trd_vol:trd_val, keep num_key:close plus mkt_cap
     (ranges resolved on the schema's column order)."""
@@ -257,7 +251,6 @@ _LISTING_NUM = ["ACC_TRDVOL", "ACC_TRDVAL", "TDD_OPNPRC", "TDD_HGPRC", "TDD_LWPR
 @register("parse_number", _sql(["fx_listing"], "SELECT ISU_SRT_CD, " +
                                ", ".join(f"{_pn(c)} AS {c}" for c in _LISTING_NUM) +
                                " FROM fx_listing"))
-
 def q_parse_number(spark, sf):
     """X1 on every text field of the landed listing (names included, which
     mostly have no number)."""
@@ -268,7 +261,6 @@ def q_parse_number(spark, sf):
 @register("json_explode", _sql([], """
 SELECT event_type, event_id, user_id, value, props FROM events
 """))
-
 def q_json_explode(spark, sf):
     """Landed payload documents -> one row per record of the array
     under each document's first key; fields typed after the explode."""
@@ -286,7 +278,6 @@ _CS_NUM = ["sales", "opr_prof", "earn", "earn_dom", "grs_asset", "net_asset", "c
 @register("vendor_cross_section", _sql(["fx_cs_raw"], "SELECT substr(sym_cd, 2) AS sym_cd, period AS fs_q, " +
                                        ", ".join(f"{_pn(c)} AS {c}" for c in _CS_NUM) +
                                        ", memo FROM fx_cs_raw"))
-
 def q_vendor_cs(spark, sf):
     """Statement export text -> typed items chosen by metadata."""
     raw = _fx(spark, sf, "fx_cs_raw")
@@ -301,7 +292,6 @@ _QMAP = "CASE quarter WHEN '1st-Quarter' THEN 'Q1' WHEN 'Semi-Annual' THEN 'Q2'
 @register("vendor_fiscal_basis", _sql(["fx_fb_raw"], f"SELECT substr(sym_cd, 2) AS sym_cd, year || ' ' || {_QMAP} AS fs_q, " +
                                       ", ".join(f"{_pn(c)} AS {c}" for c in _CS_NUM) +
                                       ", memo FROM fx_fb_raw"))
-
 def q_vendor_fb(spark, sf):
     """Fiscal-basis export -> typed rows; quarter labels recoded."""
     return fiscal_basis(_fx(spark, sf, "fx_fb_raw"), item_metadata(spark))
@@ -313,8 +303,6 @@ def _sector_case(col: str) -> str:
     return f"CASE {col} {arms} ELSE {col} END"
 
 
-_PX = ["trd_vol", "trd_val", "open", "high", "low", "close", "base_p"]
-
 
 @register("listed_universe", _sql(["fx_listing", "fx_base_price", "fx_excluded", "fx_sectors"], f"""
 , typed AS (
@@ -331,7 +319,6 @@ WHERE t.mkt_cd <> 'KNX' AND t.sym_cd LIKE '%0' AND t.sym_cd NOT LIKE '9%'
   AND t.sym_nm NOT LIKE '%스팩%' AND t.base_p IS NOT NULL
   AND t.sym_cd NOT IN (SELECT ISU_SRT_CD FROM fx_excluded)
 """))
-
 def q_listed_universe(spark, sf):
     """Landed listing -> the day's common-share universe with sector."""
     out = ing.listed_universe(_fx(spark, sf, "fx_listing"), _fx(spark, sf, "fx_base_price"),
@@ -400,9 +387,6 @@ def q_latest_stock_info(spark, sf):
     return latest_per_key(_fx(spark, sf, "fx_history"), ["sym_cd"], "info_update")
 
 
-_SD_COLS = ["trd_vol", "trd_val", "open", "high", "low", "close", "base_p", "net_buy_fi", "mkt_cap",
-            "num_stock_o", "num_stock_t"]
-
 
 @register("stock_daily", _sql(["fx_daily", "fx_vendor", "fx_history"], f"""
 , px AS (SELECT base_dt, sym_cd, trd_vol, trd_val, open, high, low, close, base_p
@@ -415,7 +399,6 @@ SELECT (SELECT m FROM mk) + row_number() OVER (ORDER BY p.base_dt, p.sym_cd) AS
         WHERE h.sym_cd = p.sym_cd AND h.info_update <= p.base_dt) AS info_update
 FROM px p LEFT JOIN fx_vendor v ON v.base_dt = p.base_dt AND v.sym_cd = p.sym_cd
 """))
-
 def q_stock_daily(spark, sf):
     """Landed prices from the split day on + vendor items + attribute
     version as of each day + contiguous num_key after the stored maximum."""
@@ -432,7 +415,6 @@ SELECT d.num_key, {", ".join("v." + c for c in _CONS)}
 FROM fx_vendor v LEFT JOIN fx_daily d ON d.base_dt = v.base_dt AND d.sym_cd = v.sym_cd
 WHERE {" OR ".join("v." + c + " IS NOT NULL" for c in _CONS)}
 """))
-
 def q_stock_cons(spark, sf):
     """Consensus rows keyed by num_key (right join keeps vendor-only
     rows with a NULL key)."""
@@ -459,8 +441,6 @@ def q_stocks_in_index(spark, sf):
     return ing.stocks_in_index(_fx(spark, sf, "fx_daily"), _fx(spark, sf, "fx_members"))
 
 
-_IDX = ["trd_vol", "trd_val", "open", "high", "low", "close", "base_p"]
-
 
 @register("index_daily", _sql(["fx_index_levels", "fx_index_base", "fx_index_raw"], f"""
 , il AS (SELECT coalesce({_MKT_SQL}, 'NA') || coalesce(short_code, 'NA') AS idx_code,
@@ -477,7 +457,6 @@ SELECT j.base_dt, il.idx_code, {_pn('ACC_TRDVOL')} AS trd_vol, {_pn('ACC_TRDVAL'
 FROM j LEFT JOIN il ON il.codeName = j.sym_nm
   AND il.mkt_nm = CASE j.mkt WHEN '01' THEN 'X' WHEN '02' THEN 'P' WHEN '03' THEN 'Q' WHEN '04' THEN 'T' ELSE j.mkt END
 """))
-
 def q_index_daily(spark, sf):
     """Index levels joined to base values and index codes."""
     il = ing.index_list(_fx(spark, sf, "fx_index_raw"))
@@ -538,7 +517,6 @@ def _cs_typed_sql() -> str:
 @register("split_statements", _sql(["fx_cs_raw"], _cs_typed_sql() + f"""
 SELECT sym_cd, fs_q, {", ".join(_PL_META)} FROM cs WHERE {" OR ".join(c + " IS NOT NULL" for c in _PL_META)}
 """))
-
 def q_split_pl(spark, sf):
     """Normalised statement export -> P&L part (metadata pl flag),
     all-NULL rows dropped."""
@@ -550,7 +528,6 @@ def q_split_pl(spark, sf):
 @register("split_statements_bs", _sql(["fx_cs_raw"], _cs_typed_sql() + f"""
 SELECT sym_cd, fs_q, {", ".join(_BS_ITEMS)} FROM cs WHERE {" OR ".join(c + " IS NOT NULL" for c in _BS_ITEMS)}
 """))
-
 def q_split_bs(spark, sf):
     """Balance-sheet part (metadata bs flag), all-NULL rows dropped."""
     meta = item_metadata(spark)
@@ -564,7 +541,6 @@ def q_split_bs(spark, sf):
 SELECT sym_cd, fs_q, {", ".join(_PL_META)} FROM fb
 WHERE ({" OR ".join(c + " IS NOT NULL" for c in _PL_META)}) AND fs_q IN (SELECT fs_q FROM fx_bs)
 """))
-
 def q_split_new(spark, sf):
     """D11 new-symbol variant: fiscal-basis export, P&L part, only quarters
     already in the stored balance sheet (semi join)."""
@@ -575,7 +551,6 @@ def q_split_new(spark, sf):
 
 
 @register("trailing_pl", _sql(["fx_bs", "fx_pl"], _GRID + _tp_sql("grid") + "SELECT * FROM tpf"))
-
 def q_trailing_pl(spark, sf):
     """D12 on the full (symbol x quarter) grid of the stored statements."""
     bs, pl = _stmt_inputs(spark, sf)
@@ -597,7 +572,6 @@ _WQ = """
 """ + _tp_sql("grid") + """
 SELECT * FROM tpf WHERE fs_q >= (SELECT a FROM wq) AND fs_q <= (SELECT b FROM wq)
 """))
-
 def q_trailing_existing(spark, sf):
     """D13 existing symbols: the quarters published over the trading
     calendar (first..last), grid from Q1 of the year before."""
@@ -609,7 +583,6 @@ def q_trailing_existing(spark, sf):
     "LEFT JOIN fx_pl p ON p.sym_cd = s.sym_cd AND p.fs_q = q.fs_q",
     "LEFT JOIN fx_pl p ON p.sym_cd = s.sym_cd AND p.fs_q = q.fs_q "
     "WHERE s.sym_cd IN (SELECT sym_cd FROM fx_pl)") + _tp_sql("grid") + "SELECT * FROM tpf"))
-
 def q_trailing_new(spark, sf):
     """D13 new-symbol variant: every quarter for the given symbols (here
     every symbol with a P&L row: a full rebuild)."""
@@ -630,7 +603,6 @@ _FBS = """
 
 
 @register("filled_balance_sheet", _sql(["fx_bs"], _FBS + "SELECT * FROM fbs"))
-
 def q_filled_bs(spark, sf):
     """Complete grid, balance-sheet items carried forward per symbol."""
     return st.filled_balance_sheet(_fx(spark, sf, "fx_bs"))
@@ -670,7 +642,6 @@ def _value_factors(spark, sf):
 
 
 @register("value_factors", _sql(_VF_FIX, _VF_SQL + "SELECT * FROM vf"))
-
 def q_value_factors(spark, sf):
     """Ten value factors for every stock_daily row (point-in-time
     statements through the calendar's published quarter)."""
@@ -745,7 +716,6 @@ def q_symbol_lookup(spark, sf):
 @register("ohlc", _sql(["fx_history", "fx_daily"], _NAMES + """
 SELECT sym_cd, base_dt, open, high, low, close, base_p FROM fx_daily WHERE sym_cd IN (SELECT sym_cd FROM codes)
 """))
-
 def q_ohlc(spark, sf):
     """Raw prices of the looked-up symbols."""
     return prc.ohlc(_fx(spark, sf, "fx_history"), _fx(spark, sf, "fx_daily"), _names(spark, sf))
@@ -775,7 +745,6 @@ def q_adjusted_close(spark, sf):
 
 
 @register("adjusted_ohlc", _sql(["fx_daily"], _adj_sql("fx_daily") + f"SELECT sym_cd, base_dt, {_OHLC_ADJ} FROM adj"))
-
 def q_adjusted_ohlc(spark, sf):
     """Adjusted open/high/low/close, half-even rounded; small date
     blocks so that the cross-block suffix path runs."""
@@ -787,7 +756,6 @@ def q_adjusted_ohlc(spark, sf):
 , pv AS (SELECT * FROM fx_daily WHERE sym_cd IN (SELECT sym_cd FROM codes)
          AND base_dt BETWEEN DATE '{VIEW_START}' AND DATE '{VIEW_END}')
 """ + _adj_sql("pv") + f"SELECT sym_cd, base_dt, {_OHLC_ADJ} FROM adj"))
-
 def q_price_view(spark, sf):
     """Named stocks, date range first, then adjustment anchored at
     the range end (candle form)."""
@@ -799,7 +767,6 @@ def q_price_view(spark, sf):
 SELECT d.* FROM fx_daily d JOIN (SELECT sym_cd, max(base_dt) AS last FROM fx_daily GROUP BY sym_cd) m
   ON m.sym_cd = d.sym_cd WHERE d.base_dt >= m.last - INTERVAL 12 MONTH
 """))
-
 def q_lookback(spark, sf):
     """each symbol's last year of rows (the 1y range button)."""
     return prc.recent_prices(_fx(spark, sf, "fx_daily"), "1y")
@@ -846,7 +813,6 @@ SELECT coalesce(t.num_key, s.num_key) AS num_key, t.sales_12mf, t.opr_prof_12mf,
        CASE WHEN s.num_key IS NOT NULL THEN s.eps_down_fy2 ELSE t.eps_down_fy2 END AS eps_down_fy2
 FROM fx_cons t FULL OUTER JOIN src s ON s.num_key = t.num_key
 """))
-
 def q_upsert(spark, sf):
     """S3: consensus table upserted with two supplied columns for every
     stock_daily key (matched: those columns replaced, NULL included;
@@ -862,7 +828,6 @@ def q_upsert(spark, sf):
 @register("delete_where", _sql(["fx_daily", "fx_cons"], """
 SELECT * FROM fx_cons WHERE NOT coalesce(earn_dom_12mf > 1000, false)
 """))
-
 def q_delete(spark, sf):
     """Delete consensus rows with earn_dom_12mf > 1000 (a NULL
     predicate keeps the row)."""

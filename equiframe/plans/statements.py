@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from equiframe.functions.dates import quarter_number, quarter_ordinal, quarter_string, quarter_year
 from equiframe.functions.numeric import any_not_null
 from equiframe.operators.filters import in_set, quarter_between
-from equiframe.operators.joins import complete_grid, expand_grid
+from equiframe.operators.joins import complete_grid, expand_grid  # noqa: F401 (re-exported)
 from equiframe.operators.windows import fill_forward
 from equiframe.sources.vendor import item_list, item_rows
 
@@ -132,9 +132,5 @@ def filled_balance_sheet(bs: DataFrame, cols: list[str] | None = None) -> DataFr
     return fill_forward(grid, cols, ["sym_cd"], quarter_ordinal("fs_q"))
 
 
-def quarter_of(year_col: str, q_col: str) -> F.Column:
-    return quarter_string(F.col(year_col), F.col(q_col))
-
-
 __all__ = ["drop_all_null", "split_statements", "trailing_pl", "trailing_pl_existing",
            "trailing_pl_range", "trailing_pl_new", "filled_balance_sheet", "expand_grid"]

@@ -6,7 +6,6 @@ import re
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from equiframe import fixtures as fx
 from equiframe.operators.filters import lookback_window

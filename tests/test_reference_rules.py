@@ -5,7 +5,6 @@ import calendar
 import datetime as dt
 import random
 
-from pyspark.sql import functions as F
 
 from equiframe.functions import report_quarter, report_year
 from equiframe.plans.statements import trailing_pl
