@@ -65,26 +65,35 @@ def trailing_pl(grid: DataFrame, items: list[str] | None = None) -> DataFrame:
     dropped.  ``l4`` counts grid rows: the grid must be complete.
     """
     items = items or [c for c in grid.columns if c not in KEYS]
-    y = quarter_year("fs_q")
+    # Year and quarter ordinal as columns, used by every window spec, so one
+    # sort on (sym_cd, _y, _o) serves all three windows: rows in (year,
+    # ordinal) order are rows in ordinal order.
+    g = grid.select(*KEYS, *items, quarter_year("fs_q").alias("_y"), quarter_ordinal("fs_q").alias("_o"))
+    y, o = F.col("_y"), F.col("_o")
     q = quarter_number("fs_q")
     by_sym = Window.partitionBy("sym_cd")
-    w_rows = by_sym.orderBy(quarter_ordinal("fs_q"))
+    w_rows = by_sym.orderBy(y, o)
     w_prev_year = by_sym.orderBy(y).rangeBetween(-1, -1)
-    w_year = Window.partitionBy("sym_cd", y).orderBy(quarter_ordinal("fs_q"))
+    w_year = Window.partitionBy("sym_cd", "_y").orderBy(o)
 
+    # the lags first, last year's Q4 on top: the (sym_cd, year) range window
+    # then reuses the ordering the lag windows sorted for
+    lagged = g.select(*KEYS, *items, "_y", "_o",
+                      *[F.lag(F.col(x), 4).over(w_rows).alias(f"_l4_{x}") for x in items],
+                      *[F.lag(F.col(x), 1, 0.0).over(w_year).alias(f"_l1_{x}") for x in items])
     a4q, net = {}, {}
     for x in items:
         v = F.col(x)
         y1 = F.max(F.when(q == 4, v)).over(w_prev_year)
-        l4 = F.lag(v, 4).over(w_rows)
+        l4 = F.col(f"_l4_{x}")
         a4q[x] = F.when(q == 4, v).otherwise(F.coalesce(v + y1 - l4, y1))
-        net[x] = v - F.lag(v, 1, 0.0).over(w_year)
+        net[x] = v - F.col(f"_l1_{x}")
     if "earn" in a4q and "earn_dom" in a4q:
         a4q["earn"] = F.coalesce(a4q["earn_dom"], a4q["earn"])
         net["earn"] = F.coalesce(net["earn_dom"], net["earn"])
     kept = [x for x in items if x != "earn_dom"]
-    out = grid.select(*KEYS, *[a4q[x].alias(f"{x}_a4q") for x in kept],
-                      *[net[x].alias(f"{x}_n") for x in kept])
+    out = lagged.select(*KEYS, *[a4q[x].alias(f"{x}_a4q") for x in kept],
+                        *[net[x].alias(f"{x}_n") for x in kept])
     return drop_all_null(out)
 
 
