@@ -29,8 +29,11 @@ def assign_keys(df: DataFrame, order: list[str], key: str = "num_key", start: Co
     a total order, e.g. the table key) and put ``key`` first."""
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # Without an explicit count AQE may coalesce adjacent (small) ranges --
+    # a one-day load does not fan out over a cluster-sized partition count;
+    # merged neighbours keep the global order.
+    by_range = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    ranged = (by_range.sortWithinPartitions(*order)
                 .withColumn("_id", F.monotonically_increasing_id())
                 .checkpoint(eager=True))
     part = F.shiftright(F.col("_id"), _POS_BITS)

@@ -94,11 +94,12 @@ def test_keys_contiguous_unique_and_ordered(spark):
     # one hot day holding a third of the rows
     rows += [(dt.date(2023, 3, 1), f"{i:06d}") for i in range(len(rows) // 2)]
     df = spark.createDataFrame(rows, "base_dt date, sym_cd string")
-    out = assign_keys(df, ["base_dt", "sym_cd"], start=F.lit(100).cast("long"), partitions=7).collect()
-    keys = sorted(r.num_key for r in out)
-    assert keys == list(range(101, 101 + len(rows)))
-    by_key = [(r.base_dt, r.sym_cd) for r in sorted(out, key=lambda r: r.num_key)]
-    assert by_key == sorted(rows)
+    for parts in (7, None):  # explicit ranges, or AQE-coalesced ones
+        out = assign_keys(df, ["base_dt", "sym_cd"], start=F.lit(100).cast("long"), partitions=parts).collect()
+        keys = sorted(r.num_key for r in out)
+        assert keys == list(range(101, 101 + len(rows)))
+        by_key = [(r.base_dt, r.sym_cd) for r in sorted(out, key=lambda r: r.num_key)]
+        assert by_key == sorted(rows)
 
 
 def test_as_of_latest_matches_brute_force(spark):
