@@ -29,7 +29,7 @@ from equiframe.plans import calendar as cal
 from equiframe.plans import factors as fac
 from equiframe.plans import ingest as ing
 from equiframe.plans import statements as st
-from equiframe.sources.sinks import read_if_present, replace_partitions, upsert_table
+from equiframe.sources.sinks import not_yet_stored, read_if_present, replace_partitions, upsert_table
 from equiframe.sources.tables import TableStore
 
 # table -> (upsert keys, partition columns)
@@ -143,15 +143,14 @@ class EquityStore(TableStore):
         """D4-D10 for every landed day at once.
 
         ``prices`` carry a ``base_dt`` column (any number of days); the other
-        landed frames are keyed by (base_dt, ...) as well.  Days at or
-        before the stored high-water mark are skipped, so a re-run writes
-        nothing twice.
+        landed frames are keyed by (base_dt, ...) as well.  Listings already
+        stored (same base_dt, sym_cd) are skipped, so a re-run -- also after
+        a partially applied one -- writes nothing twice.
         """
         stored_daily = self.table("stock_daily")
-        if stored_daily is not None:
-            mark = stored_daily.agg(F.max("base_dt")).scalar()
-            prices = prices.filter(F.col("base_dt") > mark)
         universe = ing.listed_universe(prices, base, excluded, sectors, F.col("base_dt"))
+        universe = not_yet_stored(universe, read_if_present(self.spark, self.path("stock_daily")),
+                                  ["base_dt", "sym_cd"])
         # the landed span (two scalars) bounds the partitions read back below
         span = prices.agg(F.min("base_dt").alias("a"), F.max("base_dt").alias("b")).first()
         if span["a"] is None:

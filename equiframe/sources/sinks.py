@@ -69,6 +69,23 @@ def replace_partition_values(target: DataFrame, new_rows: DataFrame, part: Colum
     return kept.unionByName(fresh.select(*target.columns))
 
 
+def not_yet_stored(batch: DataFrame, stored: DataFrame | None, keys: list[str],
+                   date_col: str = "base_dt") -> DataFrame:
+    """Landed rows whose key is not stored yet (a replayed or partially
+    applied load writes nothing twice).  Only the stored rows inside the
+    batch's date span are read; with a ``year`` partition column the span
+    also prunes partitions."""
+    if stored is None:
+        return batch
+    lo = batch.agg(F.min(date_col)).scalar()
+    hi = batch.agg(F.max(date_col)).scalar()
+    recent = stored
+    if "year" in stored.columns:
+        recent = recent.filter(F.col("year").between(F.year(lo), F.year(hi)))
+    recent = recent.filter(F.col(date_col).between(lo, hi)).select(*keys)
+    return batch.join(recent, on=keys, how="left_anti")
+
+
 def _staging(spark: SparkSession, staging_root: str | None) -> str:
     root = staging_root or checkpoint_dir(spark)
     return f"{root.rstrip('/')}/staging-{uuid.uuid4().hex}"
@@ -113,7 +130,10 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: list[s
     merged = upsert_partial(target, source, keys)
     stage = _staging(spark, staging_root)
     laid_out(merged).write.partitionBy(*partition_by).parquet(stage)
-    (spark.read.parquet(stage).write.mode("overwrite")
+    staged = read_if_present(spark, stage)
+    if staged is None:  # nothing touched (empty source)
+        return
+    (staged.write.mode("overwrite")
           .option("partitionOverwriteMode", "dynamic" if partition_by else "static")
           .partitionBy(*partition_by).parquet(path))
 
@@ -124,5 +144,8 @@ def replace_partitions(spark: SparkSession, path: str, new_rows: DataFrame, part
     replaced wholesale (dynamic partition overwrite), others untouched."""
     stage = _staging(spark, staging_root)
     new_rows.write.partitionBy(*partition_by).parquet(stage)
-    (spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    staged = read_if_present(spark, stage)
+    if staged is None:  # no new rows
+        return
+    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
           .partitionBy(*partition_by).parquet(path))

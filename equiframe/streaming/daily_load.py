@@ -5,8 +5,9 @@ fetches them and upserts the daily tables.  Here the landed day files are a
 file stream: each micro-batch holds the newly landed files, and
 ``foreachBatch``
 
-1. drops days at or before the stored high-water mark (a replayed batch
-   after a failure therefore writes nothing twice),
+1. drops landed rows whose (base_dt, sym_cd) is already stored (a replayed
+   or partially applied batch after a failure writes nothing twice; only
+   the batch's date span of the table is read),
 2. builds the stock_daily rows (vendor items, attribute version as of the
    day, contiguous ``num_key`` after the stored maximum),
 3. upserts them on (base_dt, sym_cd) into the year-partitioned table
@@ -27,10 +28,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from equiframe.operators.joins import after_high_water_mark
 from equiframe.plans.ingest import stock_daily
 from equiframe.session import checkpoint_dir
-from equiframe.sources.sinks import read_if_present, upsert_table
+from equiframe.sources.sinks import not_yet_stored, read_if_present, upsert_table
 
 UNIVERSE_SCHEMA = T.StructType([
     T.StructField("base_dt", T.DateType()),
@@ -49,7 +49,7 @@ def load_batch(spark: SparkSession, batch: DataFrame, table_path: str, vendor: D
                info: DataFrame) -> None:
     """One micro-batch: new days only, keyed, upserted by year partition."""
     existing = read_if_present(spark, table_path)
-    fresh = after_high_water_mark(batch, "base_dt", existing, "base_dt") if existing is not None else batch
+    fresh = not_yet_stored(batch, existing, ["base_dt", "sym_cd"])
     rows = stock_daily(fresh, vendor, info, existing.drop("year") if existing is not None else None)
     rows = rows.withColumn("year", F.year("base_dt"))
     upsert_table(spark, table_path, rows, ["base_dt", "sym_cd"], partition_by=["year"])
