@@ -78,7 +78,7 @@ def value_factors(daily: DataFrame, cons: DataFrame, workdays: DataFrame, bs: Da
 
 
 def momentum(daily: DataFrame, windows: dict[str, int] | None = None, syms=None,
-             block: int | None = None) -> DataFrame:
+             block: int | None = None, start: DateLike = None, end: DateLike = None) -> DataFrame:
     """Trailing gross returns over the market calendar.
 
     ``gret = close / base_p`` (base price = previous close adjusted for
@@ -87,16 +87,28 @@ def momentum(daily: DataFrame, windows: dict[str, int] | None = None, syms=None,
     market calendar (the distinct base_dt of stock_daily).  One row per
     stock_daily row of the (optional) symbol set.
 
+    With ``start``/``end`` only those rows are returned, and only the rows
+    from ``longest window - 1`` trading days before ``start`` are read into
+    the windows (the bound is found on the calendar by scalar subqueries),
+    so a refresh does not re-window the whole history.
+
     The calendar (one row per trading day) is broadcast; the panel is
     shuffled once, on (sym_cd, block) -- see ``rolling``.
     """
     windows = windows or MOMENTUM_WINDOWS
-    cal = bounded_broadcast(market_calendar(daily, "base_dt", "t"))
-    panel = sym_dt_pick(daily, syms).select(
-        "num_key", "sym_cd", "base_dt", safe_div(F.col("close"), F.col("base_p")).alias("gret"))
-    panel = panel.join(cal, on="base_dt", how="inner")
+    cal = market_calendar(daily, "base_dt", "t")
+    panel = sym_dt_pick(daily, syms, end=end)
+    if start is not None:
+        first_t = cal.filter(F.col("base_dt") >= F.lit(start).cast("date")).agg(F.min("t")).scalar()
+        lower = cal.filter(F.col("t") >= first_t - (max(windows.values()) - 1)).agg(F.min("base_dt")).scalar()
+        panel = panel.filter(F.col("base_dt") >= lower)
+    panel = panel.select("num_key", "sym_cd", "base_dt",
+                         safe_div(F.col("close"), F.col("base_p")).alias("gret"))
+    panel = panel.join(bounded_broadcast(cal), on="base_dt", how="inner")
     kw = {"block": block} if block else {}
     rolled = rolling(panel, "gret", windows, ["sym_cd"], "t", agg="product", **kw)
+    if start is not None:
+        rolled = rolled.filter(F.col("base_dt") >= F.lit(start).cast("date"))
     return rolled.select("num_key", *[(F.col(k) - 1).alias(k) for k in windows])
 
 

@@ -214,6 +214,8 @@ class EquityStore(TableStore):
         value = fac.value_factors(in_range, cons, self.table("workdays"),
                                   self.table("company_fs_bs"), self.table("company_fs_pl_prep"))
         self.upsert("factor_daily", value, key_days)
-        # momentum needs the history before ``start``: computed over the
-        # whole calendar, written for the keys in range (the year join)
-        self.upsert("factor_daily", fac.momentum(self.table("stock_daily")), key_days)
+        # momentum needs up to 251 trading days before ``start``: read from two
+        # years earlier (partition pruning), bounded exactly inside momentum
+        lo_year = _year(start)
+        history = self.table("stock_daily", f"{lo_year - 2}-01-01" if lo_year else None, end)
+        self.upsert("factor_daily", fac.momentum(history, start=start, end=end), key_days)

@@ -114,3 +114,15 @@ def test_as_of_latest_matches_brute_force(spark):
         got = sorted((r.k, r.d, r.v) for r in as_of_latest(ldf, rdf, ["k"], "d", "v", "v", block).collect())
         want = sorted((k, d, max((v for kk, v in right if kk == k and v <= d), default=None)) for k, d in left)
         assert got == want
+
+
+def test_momentum_range_equals_full_history_restricted(spark):
+    from equiframe import fixtures as fx
+    from equiframe.plans.factors import momentum
+    daily = fx.load(spark, "/root/testdata/sf0.01", "fx_daily")
+    windows = {"r5": 5, "r60": 60}
+    full = {r.num_key: (r.r5, r.r60) for r in momentum(daily, windows).collect()}
+    keys = {r.num_key for r in daily.filter("base_dt BETWEEN '1998-03-01' AND '1999-06-30'").collect()}
+    part = {r.num_key: (r.r5, r.r60) for r in momentum(daily, windows, start="1998-03-01", end="1999-06-30").collect()}
+    assert set(part) == keys
+    assert all(part[k] == full[k] for k in keys)
