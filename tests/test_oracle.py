@@ -4,7 +4,7 @@ DuckDB oracle on the smallest scale."""
 import pytest
 
 import __spark_entry__ as E
-from tools.compare import compare, duck
+from tools.compare import compare, duck, type_mismatches
 
 SF = "/root/testdata/sf0.001"
 SQL = E.oracle_sql()
@@ -21,10 +21,11 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, con, name):
-    got = E.queries()[name](spark, SF).toPandas()
-    want = con.execute(SQL[name]).df()
-    ok, msg = compare(got, want)
+    sdf = E.queries()[name](spark, SF)
+    rel = con.sql(SQL[name])
+    ok, msg = compare(sdf.toPandas(), rel.df())
     assert ok, msg
+    assert not type_mismatches(sdf.schema, rel)
 
 
 def test_entry_smoke(spark):

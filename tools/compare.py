@@ -43,6 +43,18 @@ def rows(df: pd.DataFrame) -> list[tuple]:
     return sorted(out, key=lambda t: tuple("" if x is None else x for x in t))
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
+def type_mismatches(spark_schema, duck_relation) -> dict[str, tuple[str, str]]:
+    """Columns whose Spark type differs from the DuckDB result type."""
+    s = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+         for f in spark_schema.fields}
+    d = {c: str(t) for c, t in zip(duck_relation.columns, duck_relation.types)}
+    return {c: (s.get(c), d.get(c)) for c in set(s) | set(d) if s.get(c) != d.get(c)}
+
+
 def compare(spark_pdf: pd.DataFrame, duck_pdf: pd.DataFrame, show: int = 5) -> tuple[bool, str]:
     if sorted(spark_pdf.columns) != sorted(duck_pdf.columns):
         return False, f"columns differ: {sorted(spark_pdf.columns)} vs {sorted(duck_pdf.columns)}"
