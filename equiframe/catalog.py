@@ -377,6 +377,21 @@ def q_stock_info_history(spark, sf):
     return ing.stock_info_merge(h.limit(0), h, new_only=False)
 
 
+@register("stock_info_changes", _sql(["fx_history"], """
+SELECT sym_cd, info_update, sym_nm, mkt_cd, sec_krx FROM (
+  SELECT *, lag(sym_nm) OVER w AS p_nm, lag(mkt_cd) OVER w AS p_mkt, lag(sec_krx) OVER w AS p_sec,
+         row_number() OVER w AS rn
+  FROM fx_history WINDOW w AS (PARTITION BY sym_cd ORDER BY info_update)) z
+WHERE rn = 1 OR sym_nm IS DISTINCT FROM p_nm OR mkt_cd IS DISTINCT FROM p_mkt
+   OR sec_krx IS DISTINCT FROM p_sec
+"""))
+def q_stock_info_changes(spark, sf):
+    """D5 true-history option: every change of a symbol's attributes is a
+    version (A -> B -> A keeps three), over the whole history."""
+    h = _fx(spark, sf, "fx_history")
+    return ing.stock_info_changes(h.limit(0), h, new_only=False)
+
+
 @register("latest_stock_info", _sql(["fx_history"], """
 SELECT sym_cd, info_update, sym_nm, mkt_cd, sec_krx FROM (
   SELECT *, row_number() OVER (PARTITION BY sym_cd ORDER BY info_update DESC) AS rn FROM fx_history) z

@@ -9,7 +9,7 @@ bounded and broadcast.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from equiframe.functions.numeric import all_differ_from, any_not_null
@@ -78,6 +78,27 @@ def listed_universe(prices: DataFrame, base: DataFrame, excluded: DataFrame, sec
         "sym_nm", "mkt_cd", "sec_krx").orderBy("sym_cd")
 
 
+def stock_info_changes(existing: DataFrame, batch: DataFrame, new_only: bool = True) -> DataFrame:
+    """D5, true-history variant: a row is a new version whenever its
+    attributes differ (NULL-safe) from the symbol's previous row by
+    ``info_update`` -- A -> B -> A keeps three versions.
+
+    A lag per symbol over the attribute rows (at most one per symbol and
+    day).  With ``new_only`` only versions from ``batch`` are returned.
+    """
+    attrs = [c for c in existing.columns if c not in ("sym_cd", "info_update")]
+    tagged = (existing.withColumn("_src", F.lit(0))
+              .unionByName(batch.select(*existing.columns).withColumn("_src", F.lit(1))))
+    w = Window.partitionBy("sym_cd").orderBy("info_update", "_src")
+    changed = F.lag(F.lit(1)).over(w).isNull()
+    for a in attrs:
+        changed = changed | ~F.col(a).eqNullSafe(F.lag(F.col(a)).over(w))
+    out = tagged.withColumn("_new", changed).filter(F.col("_new"))
+    if new_only:
+        out = out.filter(F.col("_src") == 1)
+    return out.select(*existing.columns)
+
+
 def stock_info_merge(existing: DataFrame, batch: DataFrame, new_only: bool = True) -> DataFrame:
     """Attribute history, first-seen wins.
 

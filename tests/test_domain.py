@@ -70,3 +70,13 @@ def test_zero_shares_every_factor_null(spark):
     row = value_factors(daily, cons, wd, bs, prep).collect()[0].asDict()
     assert row.pop("num_key") == 1
     assert all(v is None for v in row.values())
+
+
+def test_stock_info_changes_keeps_returns(spark):
+    d = [dt.date(2023, 1, 1), dt.date(2023, 1, 2), dt.date(2023, 1, 3), dt.date(2023, 1, 4)]
+    existing = spark.createDataFrame([("s", d[0], "A")], "sym_cd string, info_update date, sym_nm string")
+    batch = spark.createDataFrame([("s", d[1], "B"), ("s", d[2], "A"), ("s", d[3], "A")],
+                                  "sym_cd string, info_update date, sym_nm string")
+    from equiframe.plans.ingest import stock_info_changes
+    got = sorted((r.info_update, r.sym_nm) for r in stock_info_changes(existing, batch).collect())
+    assert got == [(d[1], "B"), (d[2], "A")]
