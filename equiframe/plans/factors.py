@@ -15,13 +15,13 @@ from equiframe.operators.filters import DateLike, sym_dt_pick
 from equiframe.operators.joins import bounded_broadcast, broadcast_if_small
 from equiframe.operators.windows import market_calendar, rolling
 from equiframe.plans.statements import filled_balance_sheet
+from equiframe.schemas import VALUE_FACTORS
 from equiframe.sources.sinks import upsert_partial
 
 # Momentum look-backs in trading days (3, 6 and 12 months).
 MOMENTUM_WINDOWS = {"ret_3m": 60, "ret_6m": 120, "ret_12m": 252}
 
-VALUE_FACTORS = ["inv_per", "inv_por", "inv_psr", "inv_pocr", "inv_pcr", "inv_pbr",
-                 "inv_per_12mf", "inv_por_12mf", "inv_psr_12mf", "inv_pbr_12mf"]
+
 
 
 def value_factors(daily: DataFrame, cons: DataFrame, workdays: DataFrame, bs: DataFrame,

@@ -29,6 +29,7 @@ from equiframe.plans import calendar as cal
 from equiframe.plans import factors as fac
 from equiframe.plans import ingest as ing
 from equiframe.plans import statements as st
+from equiframe import schemas
 from equiframe.sources.sinks import not_yet_stored, read_if_present, replace_partitions, upsert_table
 from equiframe.sources.tables import TableStore
 
@@ -65,10 +66,7 @@ YEAR_SOURCE = {"stock_info": "info_update"}
 
 
 # tables written column-wise by several actions: their full column set
-FULL_COLUMNS: dict[str, list[tuple[str, str]]] = {
-    "factor_daily": [("num_key", "bigint")] + [(c, "double") for c in fac.VALUE_FACTORS]
-                    + [(c, "double") for c in fac.MOMENTUM_WINDOWS],
-}
+FULL_COLUMNS = {"factor_daily": schemas.FACTOR_DAILY}
 
 
 def _year(start: DateLike) -> int | None:
@@ -114,8 +112,8 @@ class EquityStore(TableStore):
             # first write creates the whole table, so later column-wise
             # upserts have their columns to fill
             have = set(rows.columns)
-            rows = rows.select(*[F.col(c) if c in have else F.lit(None).cast(t).alias(c)
-                                 for c, t in FULL_COLUMNS[name]])
+            rows = rows.select(*[F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
+                                 for f in FULL_COLUMNS[name].fields])
         if "year" in parts:
             if "base_dt" in rows.columns:
                 rows = rows.withColumn("year", F.year("base_dt"))
@@ -209,8 +207,7 @@ class EquityStore(TableStore):
         key_days = in_range.select("num_key", "base_dt")
         cons = self.table("stock_cons", start, end)
         if cons is None:  # no consensus landed yet: every *_12mf factor is NULL
-            cons = self.spark.createDataFrame(
-                [], ", ".join(["num_key bigint"] + [f"{c} double" for c in ing.CONSENSUS]))
+            cons = self.spark.createDataFrame([], schemas.STOCK_CONS)
         value = fac.value_factors(in_range, cons, self.table("workdays"),
                                   self.table("company_fs_bs"), self.table("company_fs_pl_prep"))
         self.upsert("factor_daily", value, key_days)

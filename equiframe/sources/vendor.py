@@ -11,23 +11,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from equiframe.functions.dates import parse_yyyymmdd
 from equiframe.functions.text import parse_number, quarter_label, strip_prefix
+from equiframe.schemas import FN_TABLES
 
-META_SCHEMA = T.StructType([
-    T.StructField("table", T.StringType()),
-    T.StructField("item", T.StringType()),
-    T.StructField("item_kind", T.StringType()),
-    T.StructField("item_code", T.StringType()),
-    T.StructField("item_nm", T.StringType()),
-    T.StructField("item_freq", T.StringType()),
-    T.StructField("numeric", T.IntegerType()),
-    T.StructField("new", T.IntegerType()),
-    T.StructField("bs", T.IntegerType()),
-    T.StructField("pl", T.IntegerType()),
-])
+META_SCHEMA = FN_TABLES
 
 # Item metadata for the statement and daily exports used by the fixtures:
 # (table, item, numeric, new, bs, pl).
