@@ -47,11 +47,12 @@ def value_factors(daily: DataFrame, cons: DataFrame, workdays: DataFrame, bs: Da
     d = sym_dt_pick(select_range(daily, ("num_key", "sym_cd"), ("mkt_cap", "num_stock_t")),
                     syms, start, end)
     c = select_range(cons, ("num_key", "bps_12mf"))
-    fbs = broadcast_if_small(filled_balance_sheet(bs).select("sym_cd", "fs_q", "net_asset"))
-    prep = broadcast_if_small(select_range(pl_prep, ("sym_cd", "cash_flow_a4q")))
+    fbs = filled_balance_sheet(bs).select("sym_cd", "fs_q", "net_asset")
+    prep = select_range(pl_prep, ("sym_cd", "cash_flow_a4q"))
+    # one statement side keyed (sym_cd, fs_q): materialised once, size-checked
+    stmts = broadcast_if_small(fbs.join(prep, on=["sym_cd", "fs_q"], how="full_outer"))
     j = (d.join(bounded_broadcast(workdays.select("base_dt", "fs_q")), on="base_dt", how="left")
-          .join(fbs, on=["sym_cd", "fs_q"], how="left")
-          .join(prep, on=["sym_cd", "fs_q"], how="left")
+          .join(stmts, on=["sym_cd", "fs_q"], how="left")
           .join(c, on="num_key", how="left")
           .withColumn("earn_12mf", F.coalesce("earn_dom_12mf", "earn_12mf")))
     have = set(j.columns)
