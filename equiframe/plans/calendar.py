@@ -89,3 +89,15 @@ def new_symbols(stock_info: DataFrame, snapshot: DataFrame) -> DataFrame:
     before the daily load."""
     return (stock_info.select("sym_cd").distinct()
                       .join(snapshot.select("sym_cd").distinct(), on="sym_cd", how="left_anti"))
+
+
+def update_plan(workdays: DataFrame, stock_daily: DataFrame, company_fs_bs: DataFrame,
+                stock_info: DataFrame, snapshot: DataFrame, as_of: _dt.datetime) -> dict[str, DataFrame]:
+    """Everything the next load needs, as of ``as_of``: trading days,
+    calendar years, statement quarters and new symbols (lazy frames)."""
+    return {
+        "days": days_to_update(workdays, stock_daily, as_of),
+        "years": years_to_update(stock_daily, as_of),
+        "quarters": quarters_to_update(workdays, company_fs_bs, stock_daily, as_of),
+        "new_symbols": new_symbols(stock_info, snapshot),
+    }

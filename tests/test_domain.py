@@ -80,3 +80,19 @@ def test_stock_info_changes_keeps_returns(spark):
     from equiframe.plans.ingest import stock_info_changes
     got = sorted((r.info_update, r.sym_nm) for r in stock_info_changes(existing, batch).collect())
     assert got == [(d[1], "B"), (d[2], "A")]
+
+
+def test_update_plan_golden(spark):
+    from equiframe.plans.calendar import update_plan, with_report_lag
+    days = [dt.date(2023, 5, 29) + dt.timedelta(days=i) for i in range(10)]
+    wd = with_report_lag(spark.createDataFrame([(d,) for d in days if d.weekday() < 5], "base_dt date"))
+    daily = spark.createDataFrame([(dt.date(2023, 5, 31), "s")], "base_dt date, sym_cd string")
+    bs = spark.createDataFrame([("s", "2022 Q4")], "sym_cd string, fs_q string")
+    info = spark.createDataFrame([("s",), ("t",)], "sym_cd string")
+    plan = update_plan(wd, daily, bs, info, info.filter("sym_cd = 's'"), dt.datetime(2023, 6, 6, 8, 0))
+    # before 09:00 the cut-off is two days back: 2023-06-04 (a Sunday)
+    assert [r.base_dt for r in plan["days"].orderBy("base_dt").collect()] == \
+        [dt.date(2023, 6, 1), dt.date(2023, 6, 2)]
+    assert sorted(r.year for r in plan["years"].collect()) == [2023]
+    assert sorted(r.fs_q for r in plan["quarters"].collect()) == ["2022 Q4", "2023 Q1"]
+    assert [r.sym_cd for r in plan["new_symbols"].collect()] == ["t"]
