@@ -19,6 +19,7 @@ from equiframe import fixtures as fx
 from equiframe.functions.text import NUMBER_PATTERN, parse_number, sector_recode
 from equiframe.operators.columns import drop_range, select_range
 from equiframe.operators.filters import sym_dt_pick
+from equiframe.operators.joins import bounded_broadcast
 from equiframe.operators.windows import latest_per_key, market_calendar, rolling
 from equiframe.plans import calendar as cal
 from equiframe.plans import factors as fac
@@ -181,7 +182,7 @@ def q_rolling(spark, sf):
     daily = _fx(spark, sf, "fx_daily")
     c = market_calendar(daily)
     p = daily.select("num_key", "sym_cd", "base_dt",
-                     F.try_divide(F.col("close"), F.col("base_p")).alias("g")).join(F.broadcast(c), "base_dt")
+                     F.try_divide(F.col("close"), F.col("base_p")).alias("g")).join(bounded_broadcast(c), "base_dt")
     return finish(rolling(p, "g", ROLL, ["sym_cd"], "t", "product", block=64).select("num_key", *ROLL), list(ROLL))
 
 
