@@ -59,9 +59,15 @@ def listed_universe(prices: DataFrame, base: DataFrame, excluded: DataFrame, sec
     name and market parsed as a number; base price 1 means "none"; the
     listed-universe filter; special vehicles (excluded codes) removed; KRX
     sector recoded; sorted by code.  ``day`` is ``YYYYMMDD`` text or a date
-    column already on ``prices``.
+    column already on ``prices``; when ``prices`` and another landed frame
+    both carry ``base_dt`` (several days landed at once) they pair by day.
     """
-    joined = prices.join(base.select("ISU_SRT_CD", "BAS_PRC"), on="ISU_SRT_CD", how="left")
+    def day_key(other: DataFrame) -> list[str]:
+        # several landed days at once: every landed frame pairs by day too
+        return ["base_dt"] if "base_dt" in prices.columns and "base_dt" in other.columns else []
+
+    bkey = day_key(base)
+    joined = prices.join(base.select("ISU_SRT_CD", *bkey, "BAS_PRC"), on=["ISU_SRT_CD", *bkey], how="left")
     base_dt = F.to_date(F.lit(day), "yyyyMMdd") if isinstance(day, str) else day
     typed = joined.select(base_dt.alias("base_dt"), *[
         (F.col(f) if c in ("sym_cd", "sym_nm", "mkt_cd") else parse_number(F.col(f))).alias(c)
@@ -69,11 +75,13 @@ def listed_universe(prices: DataFrame, base: DataFrame, excluded: DataFrame, sec
     typed = (typed.filter(F.col("sym_cd").isNotNull())
                   .withColumn("base_p", null_if_equal("base_p", 1.0)))
     universe = listed_common_shares(typed)
-    universe = universe.join(excluded.select(F.col("ISU_SRT_CD").alias("sym_cd")).distinct(),
-                             on="sym_cd", how="left_anti")
-    sec = sectors.select(F.col("ISU_SRT_CD").alias("sym_cd"),
+    ekey = day_key(excluded)
+    universe = universe.join(excluded.select(F.col("ISU_SRT_CD").alias("sym_cd"), *ekey).distinct(),
+                             on=["sym_cd", *ekey], how="left_anti")
+    skey = day_key(sectors)
+    sec = sectors.select(F.col("ISU_SRT_CD").alias("sym_cd"), *skey,
                          sector_recode(F.col("IDX_IND_NM")).alias("sec_krx"))
-    return universe.join(sec, on="sym_cd", how="left").select(
+    return universe.join(sec, on=["sym_cd", *skey], how="left").select(
         "base_dt", "sym_cd", "trd_vol", "trd_val", "open", "high", "low", "close", "base_p",
         "sym_nm", "mkt_cd", "sec_krx").orderBy("sym_cd")
 

@@ -96,3 +96,21 @@ def test_update_plan_golden(spark):
     assert sorted(r.year for r in plan["years"].collect()) == [2023]
     assert sorted(r.fs_q for r in plan["quarters"].collect()) == ["2022 Q4", "2023 Q1"]
     assert [r.sym_cd for r in plan["new_symbols"].collect()] == ["t"]
+
+
+def test_listed_universe_pairs_landed_frames_by_day(spark):
+    from pyspark.sql import functions as F
+    from equiframe.plans.ingest import listed_universe
+    d1, d2 = dt.date(2023, 1, 2), dt.date(2023, 1, 3)
+    px = spark.createDataFrame([(d, "000010", "1", "1", "9", "9", "9", "9", "ACME", "STK") for d in (d1, d2)],
+                               "base_dt date, ISU_SRT_CD string, ACC_TRDVOL string, ACC_TRDVAL string, "
+                               "TDD_OPNPRC string, TDD_HGPRC string, TDD_LWPRC string, TDD_CLSPRC string, "
+                               "ISU_ABBRV string, MKT_ID string")
+    base = spark.createDataFrame([(d1, "000010", "8"), (d2, "000010", "9")],
+                                 "base_dt date, ISU_SRT_CD string, BAS_PRC string")
+    excluded = spark.createDataFrame([(d2, "000010")], "base_dt date, ISU_SRT_CD string")
+    sectors = spark.createDataFrame([(d1, "000010", "반도체"), (d2, "000010", "제약")],
+                                    "base_dt date, ISU_SRT_CD string, IDX_IND_NM string")
+    got = [(r.base_dt, r.base_p, r.sec_krx) for r in
+           listed_universe(px, base, excluded, sectors, F.col("base_dt")).collect()]
+    assert got == [(d1, 8.0, "전기전자")]  # day 2 is excluded that day only
