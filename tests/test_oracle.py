@@ -32,3 +32,12 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["num_key", "ret_1w", "ret_3m", "ret_6m", "ret_12m"]
     assert df.count() > 0
+
+
+def test_contract_shapes(spark):
+    first, second = E.entry(spark).schema, E.entry(spark).schema
+    assert first == second
+    for name, fn in E.queries().items():
+        cols = fn(spark, SF).columns
+        assert len(cols) == len(set(cols)), name
+        assert all(c == c.strip() and c for c in cols), name
