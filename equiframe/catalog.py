@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from equiframe import fixtures as fx
-from equiframe.functions.text import NUMBER_PATTERN, parse_number, sector_recode
+from equiframe.functions.dates import parse_yyyymmdd
+from equiframe.functions.text import NUMBER_PATTERN, parse_number, remove_dashes, sector_recode
 from equiframe.operators.columns import drop_range, select_range
 from equiframe.operators.filters import sym_dt_pick
 from equiframe.operators.joins import bounded_broadcast
@@ -235,6 +236,17 @@ def q_report_lag(spark, sf):
     return cal.with_report_lag(days)
 
 
+@register("day_codes", _sql([], _YEARS_SQL + """
+SELECT base_dt, replace(CAST(base_dt AS VARCHAR), '-', '') AS code, base_dt AS parsed FROM bdays
+"""))
+def q_day_codes(spark, sf):
+    """X7 + X8: trading days as request codes (dashes removed) and parsed
+    back from ``YYYYMMDD`` text."""
+    days = _workdays(spark, sf).select("base_dt")
+    coded = days.select("base_dt", remove_dashes(F.col("base_dt").cast("string")).alias("code"))
+    return coded.select("base_dt", "code", parse_yyyymmdd("code").alias("parsed"))
+
+
 # --------------------------------------------------------------------------
 # Step 4: scalar functions and ingest normalisers
 # --------------------------------------------------------------------------

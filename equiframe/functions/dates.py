@@ -18,7 +18,7 @@ def _col(c) -> Column:
 
 def parse_yyyymmdd(c) -> Column:
     """``20230102`` -> DATE (NULL on bad text)."""
-    return F.try_to_date(_col(c).cast("string"), F.lit("yyyyMMdd"))
+    return F.try_to_date(_col(c).cast("string"), "yyyyMMdd")
 
 
 def format_yyyymmdd(c) -> Column:

@@ -55,3 +55,16 @@ def test_unite_and_safe_div(spark):
                                "a string, b string, x double, y double")
     got = df.select(unite(["a", "b"]).alias("u"), safe_div("x", "y").alias("r")).collect()
     assert [(r.u, r.r) for r in got] == [("P001", None), ("NA002", 2.0)]
+
+
+def test_parse_yyyymmdd_and_daily_cross_section(spark):
+    import datetime as dt
+
+    from equiframe.functions import parse_yyyymmdd
+    from equiframe.sources.vendor import cross_section, item_metadata
+    df = spark.createDataFrame([("20230102",), ("2023-01-02",), ("bad",), (None,)], "x string")
+    assert [r[0] for r in df.select(parse_yyyymmdd("x")).collect()] == [dt.date(2023, 1, 2), None, None, None]
+    meta = item_metadata(spark, [("daily", "mkt_cap", 1, 0, 0, 0), ("daily", "sec_fn_1", 0, 0, 0, 0)])
+    raw = spark.createDataFrame([("A005930", "1,234", "IT")], "sym_cd string, mkt_cap string, sec_fn_1 string")
+    row = cross_section(raw, meta, "daily", "20230102").first()
+    assert tuple(row) == (dt.date(2023, 1, 2), "005930", 1234.0, "IT")
