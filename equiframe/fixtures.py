@@ -406,9 +406,6 @@ def stage(spark: SparkSession, sf_dir: str, out_dir: str, only: list[str] | None
     _STAGED[sf_dir.rstrip("/")] = out_dir
 
 
-def unstage(sf_dir: str) -> None:
-    _STAGED.pop(sf_dir.rstrip("/"), None)
-
 
 def names() -> list[str]:
     return list(_FIXTURES)

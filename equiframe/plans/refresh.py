@@ -14,7 +14,9 @@ one Spark job over all pending days / quarters instead of a loop:
 * ``refresh_factors`` -- value factors over a date range and momentum,
   upserted into ``factor_daily`` column-wise.
 
-Dated reads add a ``year`` predicate so Spark prunes partitions.
+Dated reads add a ``year`` predicate so Spark prunes partitions.  An action
+never keeps a lazy read of a table it rewrites: what it needs from that
+table is materialised first (keys are checkpointed, small sets too).
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ from equiframe.plans import ingest as ing
 from equiframe.plans import statements as st
 from equiframe import schemas
 from equiframe.sources.sinks import not_yet_stored, read_if_present, replace_partitions, upsert_table
+from equiframe.session import checkpoint_dir
 from equiframe.sources.tables import TableStore
 
 # table -> (upsert keys, partition columns)
@@ -190,7 +193,10 @@ class EquityStore(TableStore):
 
     def load_new_symbol_statements(self, normalised: DataFrame, meta: DataFrame, symbols: DataFrame) -> None:
         """D11 (known quarters only) + D13 for new symbols, all quarters."""
-        known = self.table("company_fs_bs")
+        # the known quarters are read before company_fs_bs is rewritten below
+        # (a lazy read would point at replaced files); a small set, stored once
+        checkpoint_dir(self.spark)
+        known = self.table("company_fs_bs").select("fs_q").distinct().checkpoint(eager=True)
         bs, pl = st.split_statements(normalised, meta, known_quarters=known)
         self.upsert("company_fs_bs", bs)
         self.upsert("company_fs_pl", pl)

@@ -8,7 +8,7 @@ from equiframe import fixtures as fx
 from equiframe.plans import calendar as cal
 from equiframe.plans.refresh import EquityStore
 from equiframe.sources.tables import read_parquet
-from equiframe.sources.vendor import cross_section, item_metadata
+from equiframe.sources.vendor import cross_section, fiscal_basis, item_metadata
 
 SF = "/root/testdata/sf0.001"
 
@@ -57,6 +57,12 @@ def test_refresh_actions_end_to_end(spark):
         if store.exists(name):
             assert {r.year for r in store.scan(name).select("year").distinct().collect()} == {1998}
 
+    # new symbols: fiscal-basis export, known quarters only, all quarters prepped
+    fb = fiscal_basis(load("fx_fb_raw"), meta)
+    before = store.table("company_fs_pl_prep").count()
+    store.load_new_symbol_statements(fb, meta, fb.select("sym_cd").distinct())
+    assert store.table("company_fs_pl_prep").count() >= before
+
     store.refresh_factors()
     fd = store.table("factor_daily")
     assert fd.count() == n
