@@ -50,3 +50,23 @@ def test_payload_explode_tolerates_empty_and_bad_documents(spark):
                                "id int, payload string")
     got = sorted((r.id, r.a, r.b) for r in explode_payload(df, "payload", ["a", "b"]).collect())
     assert got == [(1, "1", "x"), (1, "2", None)]
+
+
+def test_more_operator_paths(spark):
+    from equiframe.operators.filters import lookback_window
+    from equiframe.operators.windows import rolling
+    from equiframe.sources.vendor import cross_section, item_metadata
+    df = spark.createDataFrame([("a", t, float(t)) for t in range(1, 8)], "k string, t int, v double")
+    partial = {r.t: r.s for r in rolling(df, "v", {"s": 3}, ["k"], "t", agg="sum", full_only=False).collect()}
+    assert partial == {1: 1.0, 2: 3.0, 3: 6.0, 4: 9.0, 5: 12.0, 6: 15.0, 7: 18.0}
+    many = list(range(1500))
+    ids = spark.range(0, 3000).withColumnRenamed("id", "x")
+    assert in_set(ids, "x", many).count() == 1500
+    days = spark.createDataFrame([("a", dt.date(2022, 12, 1)), ("a", dt.date(2023, 2, 10)), ("a", dt.date(2023, 3, 1))],
+                                 "sym_cd string, base_dt date")
+    assert lookback_window(days, "all").count() == 3
+    assert lookback_window(days, "1m").count() == 2
+    assert lookback_window(days, "3y").count() == 3
+    meta = item_metadata(spark, [("fs", "sales", 1, 0, 0, 1), ("fs", "earn_dom", 1, 1, 0, 1)])
+    raw = spark.createDataFrame([("A1", "10", "2")], "sym_cd string, sales string, earn_dom string")
+    assert cross_section(raw, meta, "fs", "2023 Q1", new_only=True).columns == ["sym_cd", "fs_q", "earn_dom"]

@@ -76,3 +76,22 @@ def test_adjusted_last_close_equals_raw_last_close(spark):
     last = adj.groupBy("sym_cd").agg(F.max_by("close", "base_dt").alias("c")).collect()
     raw = {s: [r for r in rows if r[0] == s][-1][5] for s in ("a", "b", "c")}
     assert {r.sym_cd: r.c for r in last} == raw
+
+
+def test_upsert_table_unpartitioned_swaps_whole_table(spark):
+    root = _root()
+    path = f"{root}/index_list"
+    t = spark.createDataFrame([("X001", "a"), ("P002", "b")], "idx_code string, codeName string")
+    upsert_table(spark, path, t, ["idx_code"], staging_root=root)
+    upsert_table(spark, path, spark.createDataFrame([("P002", "B"), ("Q003", "c")], "idx_code string, codeName string"),
+                 ["idx_code"], staging_root=root)
+    got = sorted(tuple(r) for r in spark.read.parquet(path).collect())
+    assert got == [("P002", "B"), ("Q003", "c"), ("X001", "a")]
+
+
+def test_replace_partition_by_predicate(spark):
+    from equiframe.sources.sinks import replace_partition
+    t = spark.createDataFrame([(dt.date(2020, 1, 2),), (dt.date(2021, 1, 4),)], "base_dt date")
+    new = spark.createDataFrame([(dt.date(2021, 1, 5),)], "base_dt date")
+    got = sorted(r.base_dt for r in replace_partition(t, new, F.year("base_dt") == 2021).collect())
+    assert got == [dt.date(2020, 1, 2), dt.date(2021, 1, 5)]
