@@ -392,7 +392,8 @@ _STAGED: dict[str, str] = {}
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The fixture ``name`` as a Spark DataFrame over ``sf_dir`` (read from
     the staged copy when ``stage`` materialised one)."""
-    staged = _STAGED.get(sf_dir.rstrip("/"))
+    sf_dir = str(sf_dir).rstrip("/")
+    staged = _STAGED.get(sf_dir)
     if staged:
         return spark.read.parquet(f"{staged}/{name}")
     return spark.sql(with_clause([name], "spark", sf_dir) + f"\nSELECT * FROM {name}")
@@ -403,7 +404,7 @@ def stage(spark: SparkSession, sf_dir: str, out_dir: str, only: list[str] | None
     so that later loads read stored tables, as production queries do."""
     for n in only or names():
         load(spark, sf_dir, n).write.mode("overwrite").parquet(f"{out_dir}/{n}")
-    _STAGED[sf_dir.rstrip("/")] = out_dir
+    _STAGED[str(sf_dir).rstrip("/")] = out_dir
 
 
 

@@ -29,4 +29,4 @@ class TableStore:
 
 
 def read_parquet(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
