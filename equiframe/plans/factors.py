@@ -2,6 +2,11 @@
 
 The reference computes value factors one working day at a time and
 momentum one symbol at a time; here each is one job over the whole range.
+
+Scale: value factors shuffle the panel once (the consensus join on num_key;
+calendar and statements are bounded broadcasts); momentum shuffles it once
+on (sym_cd, block); the factor table is an upsert on num_key touching only
+the supplied columns.
 """
 
 from __future__ import annotations

@@ -1,4 +1,11 @@
-"""Symbol lookup, raw OHLC, corporate-action adjusted prices."""
+"""Symbol lookup, raw OHLC, corporate-action adjusted prices.
+
+Scale: the latest-name lookup is a ``max_by`` aggregate (partial, map-side);
+the looked-up codes reach the price table as a semi join; the adjustment is
+the blocked ``suffix_product`` (no symbol history in one task).  The date
+range is applied before the adjustment, as the adjusted prices are anchored
+at its last day.
+"""
 
 from __future__ import annotations
 
