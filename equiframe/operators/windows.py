@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from equiframe.session import checkpoint_dir
+
 # Ordinal units per block for ``rolling`` (trading days): large, because
 # each block repeats the n-1 preceding days (a 252-day window costs ~6%).
 DEFAULT_BLOCK = 4096
@@ -88,7 +90,8 @@ def rolling(df: DataFrame, value: str, windows: dict[str, int], keys: list[str],
 
 
 def suffix_product(df: DataFrame, value: str, keys: list[str], order: str, out: str,
-                   last_cols: dict[str, str] | None = None, block_days: int = DEFAULT_BLOCK_DAYS) -> DataFrame:
+                   last_cols: dict[str, str] | None = None, block_days: int = DEFAULT_BLOCK_DAYS,
+                   materialize: bool = False) -> DataFrame:
     """Product of ``value`` over the rows strictly after each row.
 
     Within each ``keys`` group ordered by the date column ``order``: the last
@@ -99,11 +102,17 @@ def suffix_product(df: DataFrame, value: str, keys: list[str], order: str, out:
 
     Plan: date blocks of ``block_days``; within a block a growing
     descending frame (O(n)); across blocks a suffix over per-block totals.
+    The input is read by two branches (rows, block totals): over a stored
+    table that is two pruned scans; for a derived input ``materialize``
+    checkpoints it once (in ``spark.checkpoint.dir``) instead.
     """
     last_cols = last_cols or {}
     blk = F.floor(F.datediff(F.col(order), F.lit("1970-01-01").cast("date")) / block_days).cast("long")
     v = F.col(value)
     base = df.withColumn("_blk", blk).repartition(*[F.col(k) for k in keys], F.col("_blk"))
+    if materialize:
+        checkpoint_dir(df.sparkSession)
+        base = base.checkpoint(eager=True)
 
     w_in = (Window.partitionBy(*keys, "_blk").orderBy(F.col(order).desc())
             .rowsBetween(Window.unboundedPreceding, -1))

@@ -33,7 +33,8 @@ def ohlc(info: DataFrame, daily: DataFrame, names: Iterable[str] | DataFrame) ->
     return px.join(codes, on="sym_cd", how="left_semi").orderBy("sym_cd", "base_dt")
 
 
-def adjust_prices(px: DataFrame, close_only: bool = False, block_days: int | None = None) -> DataFrame:
+def adjust_prices(px: DataFrame, close_only: bool = False, block_days: int | None = None,
+                  materialize: bool = False) -> DataFrame:
     """Back-adjust prices for corporate actions.
 
     Per symbol by date, ``close_adj_i = last close x product over later days
@@ -44,7 +45,8 @@ def adjust_prices(px: DataFrame, close_only: bool = False, block_days: int | Non
     """
     ratio = px.withColumn("_r", safe_div(F.col("base_p"), F.col("close")))
     kw = {"block_days": block_days} if block_days else {}
-    adj = suffix_product(ratio, "_r", ["sym_cd"], "base_dt", "_f", {"_last": "close"}, **kw)
+    adj = suffix_product(ratio, "_r", ["sym_cd"], "base_dt", "_f", {"_last": "close"},
+                         materialize=materialize, **kw)
     adj = adj.withColumn("close_adj", F.col("_last") * F.col("_f"))
     if close_only:
         return adj.select("sym_cd", "base_dt", F.col("close_adj").alias("close"))
@@ -66,7 +68,9 @@ def price_view(info: DataFrame, daily: DataFrame, names, start: DateLike, end: D
     if kind not in VIEW_KINDS:
         raise ValueError(f"kind must be one of {VIEW_KINDS}")
     px = between_dates(ohlc(info, daily, names), start, end)
-    out = adjust_prices(px, close_only=(kind == "line"))
+    # the looked-up, filtered prices are stored once rather than recomputed
+    # by both branches of the adjustment
+    out = adjust_prices(px, close_only=(kind == "line"), materialize=True)
     return out.orderBy("sym_cd", "base_dt")
 
 
