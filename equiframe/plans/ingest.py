@@ -52,13 +52,14 @@ def index_list(raw: DataFrame) -> DataFrame:
 
 
 def listed_universe(prices: DataFrame, base: DataFrame, excluded: DataFrame, sectors: DataFrame,
-                    day: str | Column) -> DataFrame:
+                    day: str | Column, ordered: bool = True) -> DataFrame:
     """The day's common-share universe with sector.
 
     prices (text) left-join base prices on code; every field but code,
     name and market parsed as a number; base price 1 means "none"; the
     listed-universe filter; special vehicles (excluded codes) removed; KRX
-    sector recoded; sorted by code.  ``day`` is ``YYYYMMDD`` text or a date
+    sector recoded; sorted by code (``ordered``; a global sort, so writers
+    that keep their own file order turn it off).  ``day`` is ``YYYYMMDD`` text or a date
     column already on ``prices``; when ``prices`` and another landed frame
     both carry ``base_dt`` (several days landed at once) they pair by day.
     """
@@ -81,9 +82,10 @@ def listed_universe(prices: DataFrame, base: DataFrame, excluded: DataFrame, sec
     skey = day_key(sectors)
     sec = sectors.select(F.col("ISU_SRT_CD").alias("sym_cd"), *skey,
                          sector_recode(F.col("IDX_IND_NM")).alias("sec_krx"))
-    return universe.join(sec, on=["sym_cd", *skey], how="left").select(
+    out = universe.join(sec, on=["sym_cd", *skey], how="left").select(
         "base_dt", "sym_cd", "trd_vol", "trd_val", "open", "high", "low", "close", "base_p",
-        "sym_nm", "mkt_cd", "sec_krx").orderBy("sym_cd")
+        "sym_nm", "mkt_cd", "sec_krx")
+    return out.orderBy("sym_cd") if ordered else out
 
 
 def stock_info_changes(existing: DataFrame, batch: DataFrame, new_only: bool = True) -> DataFrame:
@@ -185,15 +187,16 @@ def stock_managed(daily: DataFrame, vendor: DataFrame) -> DataFrame:
                 .select("num_key", code.cast("int").alias("type")))
 
 
-def stocks_in_index(daily: DataFrame, members: DataFrame) -> DataFrame:
+def stocks_in_index(daily: DataFrame, members: DataFrame, ordered: bool = True) -> DataFrame:
     """Index membership keyed by num_key (inner join on (base_dt,
-    sym_cd)), sorted by (num_key, idx_code)."""
+    sym_cd)), sorted by (num_key, idx_code) unless ``ordered`` is off."""
     keys = daily.select("num_key", "base_dt", "sym_cd")
-    return (keys.join(members.select("base_dt", "sym_cd", "idx_code"), on=["base_dt", "sym_cd"])
-                .select("num_key", "idx_code").orderBy("num_key", "idx_code"))
+    out = (keys.join(members.select("base_dt", "sym_cd", "idx_code"), on=["base_dt", "sym_cd"])
+               .select("num_key", "idx_code"))
+    return out.orderBy("num_key", "idx_code") if ordered else out
 
 
-def index_daily(levels: DataFrame, base: DataFrame, idx_list: DataFrame) -> DataFrame:
+def index_daily(levels: DataFrame, base: DataFrame, idx_list: DataFrame, ordered: bool = True) -> DataFrame:
     """Index levels per (base_dt, idx_code).
 
     Per market code (01-04 -> X, P, Q, T): levels left-join the base
@@ -213,4 +216,5 @@ def index_daily(levels: DataFrame, base: DataFrame, idx_list: DataFrame) -> Data
     lookup = idx_list.select(F.col("mkt_nm").alias("_letter"), F.col("codeName").alias("sym_nm"),
                              "idx_code")
     out = j.withColumn("_letter", letter).join(lookup, on=["_letter", "sym_nm"], how="left")
-    return out.select("base_dt", "idx_code", *fields).orderBy("idx_code")
+    out = out.select("base_dt", "idx_code", *fields)
+    return out.orderBy("idx_code") if ordered else out

@@ -149,7 +149,8 @@ class EquityStore(TableStore):
         a partially applied one -- writes nothing twice.
         """
         stored_daily = self.table("stock_daily")
-        universe = ing.listed_universe(prices, base, excluded, sectors, F.col("base_dt"))
+        # no global sorts on the way to storage: files are sorted per partition
+        universe = ing.listed_universe(prices, base, excluded, sectors, F.col("base_dt"), ordered=False)
         universe = not_yet_stored(universe, read_if_present(self.spark, self.path("stock_daily")),
                                   ["base_dt", "sym_cd"])
         # the landed span (two scalars) bounds the partitions read back below
@@ -178,9 +179,9 @@ class EquityStore(TableStore):
         # num_key-keyed table and drop out in the year lookup
         self.upsert("stock_cons", ing.stock_cons(daily, vendor), key_days)
         self.upsert("stock_managed", ing.stock_managed(daily, vendor), key_days)
-        self.upsert("stocks_in_index", ing.stocks_in_index(daily, members), key_days)
+        self.upsert("stocks_in_index", ing.stocks_in_index(daily, members, ordered=False), key_days)
         idx = self.table("index_list")
-        self.upsert("index_daily", ing.index_daily(levels, index_base, idx))
+        self.upsert("index_daily", ing.index_daily(levels, index_base, idx, ordered=False))
 
     def load_statements(self, normalised: DataFrame, meta: DataFrame, quarters: DataFrame) -> None:
         """D11 + D13 for existing symbols: bs/pl upserts, then the trailing
