@@ -109,7 +109,8 @@ class EquityStore(TableStore):
     def upsert(self, name: str, rows: DataFrame, key_days: DataFrame | None = None) -> None:
         """Upsert ``rows`` with the table's keys.  Rows keyed by num_key get
         their partition year from ``key_days`` (num_key, base_dt) -- the
-        stock_daily rows of the same load, joined on num_key."""
+        stock_daily rows of the same load -- or, when not given, from the
+        stored stock_daily; rows whose key is unknown there are not stored."""
         keys, parts = TABLES[name]
         if name in FULL_COLUMNS and not self.exists(name):
             # first write creates the whole table, so later column-wise
@@ -123,6 +124,8 @@ class EquityStore(TableStore):
             elif name in YEAR_SOURCE:
                 rows = rows.withColumn("year", F.year(YEAR_SOURCE[name]))
             else:
+                if key_days is None:  # look the keys' trading days up in the store
+                    key_days = self.table("stock_daily").select("num_key", "base_dt")
                 years = key_days.select("num_key", F.year("base_dt").alias("year"))
                 rows = rows.join(years, on="num_key", how="inner")
         upsert_table(self.spark, self.path(name), rows, keys, partition_by=parts,

@@ -72,3 +72,15 @@ def test_refresh_actions_end_to_end(spark):
     store.refresh_factors(days[0], days[1])
     after = sorted(tuple(r) for r in store.table("factor_daily").collect())
     assert after == before
+
+
+def test_store_upsert_of_num_key_table_without_key_days(spark):
+    import datetime as dt
+    root = tempfile.mkdtemp(prefix="equiframe-store-", dir="/tmp")
+    store = EquityStore(spark, f"{root}/db", staging_root=f"{root}/staging")
+    daily = spark.createDataFrame([(1, dt.date(2020, 1, 2), "s"), (2, dt.date(2021, 1, 4), "s")],
+                                  "num_key bigint, base_dt date, sym_cd string")
+    store.upsert("stock_daily", daily)
+    store.upsert("stock_managed", spark.createDataFrame([(1, 1), (2, 3), (9, 2)], "num_key bigint, type int"))
+    got = sorted((r.num_key, r.type, r.year) for r in store.scan("stock_managed").collect())
+    assert got == [(1, 1, 2020), (2, 3, 2021)]
