@@ -55,6 +55,12 @@ TABLES: dict[str, tuple[list[str], list[str]]] = {
     "company_fs_pl_prep": (["sym_cd", "fs_q"], []),
     "factor_daily": (["num_key"], ["year"]),
 }
+# the action that fills each table (for error messages)
+BUILT_BY = {
+    "workdays": "refresh_workdays", "index_list": "refresh_index_list", "stock_daily": "load_daily",
+    "stock_info": "load_daily", "company_fs_bs": "load_statements", "company_fs_pl": "load_statements",
+    "company_fs_pl_prep": "load_statements",
+}
 # within-partition sort of the stored files (lookup key first)
 SORT_WITHIN = {
     "stock_daily": ["sym_cd", "base_dt"],
@@ -105,6 +111,14 @@ class EquityStore(TableStore):
             df = df.drop("year")
         return df
 
+    def require(self, name: str, start: DateLike = None, end: DateLike = None) -> DataFrame:
+        """Like ``table`` but a missing table is an error naming the action
+        that builds it."""
+        df = self.table(name, start, end)
+        if df is None:
+            raise ValueError(f"table {name!r} has no data yet; build it first ({BUILT_BY.get(name, 'load')})")
+        return df
+
     # -- writes --------------------------------------------------------------
     def upsert(self, name: str, rows: DataFrame, key_days: DataFrame | None = None) -> None:
         """Upsert ``rows`` with the table's keys.  Rows keyed by num_key get
@@ -183,7 +197,7 @@ class EquityStore(TableStore):
         self.upsert("stock_cons", ing.stock_cons(daily, vendor), key_days)
         self.upsert("stock_managed", ing.stock_managed(daily, vendor), key_days)
         self.upsert("stocks_in_index", ing.stocks_in_index(daily, members, ordered=False), key_days)
-        idx = self.table("index_list")
+        idx = self.require("index_list")
         self.upsert("index_daily", ing.index_daily(levels, index_base, idx, ordered=False))
 
     def load_statements(self, normalised: DataFrame, meta: DataFrame, quarters: DataFrame) -> None:
@@ -211,15 +225,15 @@ class EquityStore(TableStore):
         """D15 + D16 over ``[start, end]`` and D17 over the whole market
         calendar (momentum needs the history before ``start``); both upserted
         into factor_daily touching only their own columns."""
-        in_range = self.table("stock_daily", start, end).filter(
+        in_range = self.require("stock_daily", start, end).filter(
             F.col("base_dt").between(F.lit(start or "0001-01-01").cast("date"),
                                      F.lit(end or "9999-12-31").cast("date")))
         key_days = in_range.select("num_key", "base_dt")
         cons = self.table("stock_cons", start, end)
         if cons is None:  # no consensus landed yet: every *_12mf factor is NULL
             cons = self.spark.createDataFrame([], schemas.STOCK_CONS)
-        value = fac.value_factors(in_range, cons, self.table("workdays"),
-                                  self.table("company_fs_bs"), self.table("company_fs_pl_prep"))
+        value = fac.value_factors(in_range, cons, self.require("workdays"),
+                                  self.require("company_fs_bs"), self.require("company_fs_pl_prep"))
         self.upsert("factor_daily", value, key_days)
         # momentum needs up to 251 trading days before ``start``: read from two
         # years earlier (partition pruning), bounded exactly inside momentum

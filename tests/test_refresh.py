@@ -84,3 +84,11 @@ def test_store_upsert_of_num_key_table_without_key_days(spark):
     store.upsert("stock_managed", spark.createDataFrame([(1, 1), (2, 3), (9, 2)], "num_key bigint, type int"))
     got = sorted((r.num_key, r.type, r.year) for r in store.scan("stock_managed").collect())
     assert got == [(1, 1, 2020), (2, 3, 2021)]
+
+
+def test_missing_prerequisite_is_a_clear_error(spark):
+    import pytest
+    root = tempfile.mkdtemp(prefix="equiframe-store-", dir="/tmp")
+    store = EquityStore(spark, f"{root}/db")
+    with pytest.raises(ValueError, match="load_daily"):
+        store.refresh_factors()
