@@ -58,15 +58,22 @@ def load_batch(spark: SparkSession, batch: DataFrame, table_path: str, vendor: D
 def start_daily_load(spark: SparkSession, landing_dir: str, table_path: str,
                      vendor: Callable[[], DataFrame], info: Callable[[], DataFrame],
                      checkpoint: str | None = None, available_now: bool = True,
-                     schema: T.StructType = UNIVERSE_SCHEMA) -> StreamingQuery:
-    """Start the stream; ``vendor``/``info`` are read fresh per batch."""
+                     schema: T.StructType = UNIVERSE_SCHEMA,
+                     prepare: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
+    """Start the stream; ``vendor``/``info`` are read fresh per batch.
+
+    ``schema`` is the landed files' schema; ``prepare`` turns a micro-batch
+    of landed rows into universe rows (e.g. ``listed_universe`` over raw
+    exchange listings carrying ``base_dt``).
+    """
     # stable across restarts: the offsets of a table's load always live in
     # the same place
     digest = hashlib.sha1(table_path.encode()).hexdigest()[:16]
     ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/daily-load-{digest}"
     src = spark.readStream.schema(schema).parquet(landing_dir)
     writer = (src.writeStream
-                 .foreachBatch(lambda df, _id: load_batch(spark, df, table_path, vendor(), info()))
+                 .foreachBatch(lambda df, _id: load_batch(spark, prepare(df) if prepare else df,
+                                                          table_path, vendor(), info()))
                  .option("checkpointLocation", ckpt))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -37,3 +37,22 @@ def test_daily_load_stream_is_incremental_and_idempotent(spark):
     # keys follow (base_dt, sym_cd) order
     ordered = [r.num_key for r in t2.orderBy("base_dt", "sym_cd").select("num_key").collect()]
     assert ordered == list(range(1, total + 1))
+
+
+def test_daily_load_stream_from_raw_listings(spark):
+    from equiframe.plans.ingest import listed_universe
+    root = tempfile.mkdtemp(prefix="equiframe-stream-", dir="/tmp")
+    landing, table = f"{root}/landing", f"{root}/stock_daily"
+    raw = fx.load(spark, SF, "fx_listing").withColumn("base_dt", F.lit("2023-01-02").cast("date"))
+    raw.write.parquet(landing)
+    base, excluded, sectors = (fx.load(spark, SF, n) for n in ("fx_base_price", "fx_excluded", "fx_sectors"))
+
+    def prepare(df):
+        return listed_universe(df, base, excluded, sectors, F.col("base_dt"), ordered=False)
+
+    q = start_daily_load(spark, landing, table, lambda: fx.load(spark, SF, "fx_vendor"),
+                         lambda: fx.load(spark, SF, "fx_history"), checkpoint=f"{root}/ckpt",
+                         schema=raw.schema, prepare=prepare)
+    q.awaitTermination(240)
+    want = prepare(raw).count()
+    assert want > 0 and spark.read.parquet(table).count() == want
