@@ -139,7 +139,7 @@ class EquityStore(TableStore):
                 rows = rows.withColumn("year", F.year(YEAR_SOURCE[name]))
             else:
                 if key_days is None:  # look the keys' trading days up in the store
-                    key_days = self.table("stock_daily").select("num_key", "base_dt")
+                    key_days = self.require("stock_daily").select("num_key", "base_dt")
                 years = key_days.select("num_key", F.year("base_dt").alias("year"))
                 rows = rows.join(years, on="num_key", how="inner")
         upsert_table(self.spark, self.path(name), rows, keys, partition_by=parts,
