@@ -438,27 +438,28 @@ def q_stock_daily(spark, sf):
                                   stored)
 
 
-@register("stock_cons", _sql(["fx_daily", "fx_vendor"], f"""
+@register("stock_cons", _sql(["fx_daily", "fx_vendor_universe"], f"""
 SELECT d.num_key, {", ".join("v." + c for c in _CONS)}
-FROM fx_vendor v LEFT JOIN fx_daily d ON d.base_dt = v.base_dt AND d.sym_cd = v.sym_cd
+FROM fx_vendor_universe v LEFT JOIN fx_daily d ON d.base_dt = v.base_dt AND d.sym_cd = v.sym_cd
 WHERE {" OR ".join("v." + c + " IS NOT NULL" for c in _CONS)}
 """))
 def q_stock_cons(spark, sf):
-    """Consensus rows keyed by num_key (right join keeps vendor-only
-    rows with a NULL key)."""
-    return ing.stock_cons(_fx(spark, sf, "fx_daily"), _fx(spark, sf, "fx_vendor"))
+    """Consensus rows keyed by num_key; vendor data is fetched for the
+    day's universe, so every row finds its key (the right join's NULL-key
+    branch is unit-tested)."""
+    return ing.stock_cons(_fx(spark, sf, "fx_daily"), _fx(spark, sf, "fx_vendor_universe"))
 
 
-@register("stock_managed", _sql(["fx_daily", "fx_vendor"], """
+@register("stock_managed", _sql(["fx_daily", "fx_vendor_universe"], """
 , k AS (SELECT d.num_key, v.sym_mng, v.sym_stop, v.sym_reg
-        FROM fx_vendor v LEFT JOIN fx_daily d ON d.base_dt = v.base_dt AND d.sym_cd = v.sym_cd)
+        FROM fx_vendor_universe v LEFT JOIN fx_daily d ON d.base_dt = v.base_dt AND d.sym_cd = v.sym_cd)
 SELECT num_key, CAST(1 AS INTEGER) AS type FROM k WHERE sym_mng <> '정상'
 UNION ALL SELECT num_key, CAST(2 AS INTEGER) FROM k WHERE sym_stop <> '정상'
 UNION ALL SELECT num_key, CAST(3 AS INTEGER) FROM k WHERE sym_reg <> '정상'
 """))
 def q_stock_managed(spark, sf):
     """Unpivot the three status columns; keep non-normal ones as type 1/2/3."""
-    return ing.stock_managed(_fx(spark, sf, "fx_daily"), _fx(spark, sf, "fx_vendor"))
+    return ing.stock_managed(_fx(spark, sf, "fx_daily"), _fx(spark, sf, "fx_vendor_universe"))
 
 
 @register("stocks_in_index", _sql(["fx_daily", "fx_members"], """

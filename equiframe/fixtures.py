@@ -164,7 +164,7 @@ FROM fx_orders_q WHERE (nation + y * 4 + q) % 11 <> 0
 """)
 
 # --- vendor daily items per (customer nation, order week) -------------------
-_fx("fx_vendor", [], """
+_VENDOR_ITEMS = """
 SELECT base_dt, sym_cd,
        CASE WHEN n % 5 = 0 THEN '관리' ELSE '정상' END AS sym_mng,
        CASE WHEN n % 7 = 0 THEN '정지' WHEN n % 11 = 0 THEN NULL ELSE '정상' END AS sym_stop,
@@ -182,7 +182,12 @@ SELECT base_dt, sym_cd,
             ELSE CAST(tot_c AS DOUBLE) / 100 * CAST(0.09 AS DOUBLE) END AS earn_dom_12mf,
        CASE WHEN n % 4 = 0 THEN NULL ELSE CAST(tot_c AS DOUBLE) / 100 * CAST(0.5 AS DOUBLE) END AS bps_12mf,
        CASE WHEN n % 4 = 0 OR n % 2 = 0 THEN NULL ELSE CAST(n AS DOUBLE) END AS eps_down_fy2
-FROM (
+FROM ({inner}) v
+"""
+
+# vendor items per (customer nation, order week): its grid differs from
+# fx_daily's, so some vendor rows have no stock_daily row
+_fx("fx_vendor", [], _VENDOR_ITEMS.replace("{inner}", """
   SELECT CAST(date_trunc('week', o.o_orderdate) AS DATE) AS base_dt,
          CAST(c.c_nationkey AS STRING) AS sym_cd, c.c_nationkey AS nation,
          count(*) AS n,
@@ -193,8 +198,22 @@ FROM (
          max(c.c_mktsegment) AS seg_hi, min(c.c_mktsegment) AS seg_lo
   FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey
   GROUP BY CAST(date_trunc('week', o.o_orderdate) AS DATE), c.c_nationkey
-) v
-""")
+"""))
+
+# vendor items fetched for the day's universe, as the reference does: the
+# same (supplier nation, ship week) grid as fx_daily
+_fx("fx_vendor_universe", [], _VENDOR_ITEMS.replace("{inner}", """
+  SELECT CAST(date_trunc('week', l.l_shipdate) AS DATE) AS base_dt,
+         CAST(s.s_nationkey AS STRING) AS sym_cd, s.s_nationkey AS nation,
+         count(*) AS n,
+         CAST(round(sum(l.l_extendedprice) * 100, 0) AS BIGINT) AS tot_c,
+         round(sum(CASE WHEN l.l_linestatus = 'F' THEN l.l_extendedprice
+                        ELSE CAST(0 AS DOUBLE) END), 2) AS fin,
+         sum(CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END) AS lowp,
+         max(l.l_returnflag) AS seg_hi, min(l.l_linestatus) AS seg_lo
+  FROM {lineitem} l JOIN {supplier} s ON l.l_suppkey = s.s_suppkey
+  GROUP BY CAST(date_trunc('week', l.l_shipdate) AS DATE), s.s_nationkey
+"""))
 
 # --- stock_info history: attributes per (nation, ship date) -----------------
 _fx("fx_history", [], """

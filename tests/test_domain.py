@@ -114,3 +114,20 @@ def test_listed_universe_pairs_landed_frames_by_day(spark):
     got = [(r.base_dt, r.base_p, r.sec_krx) for r in
            listed_universe(px, base, excluded, sectors, F.col("base_dt")).collect()]
     assert got == [(d1, 8.0, "전기전자")]  # day 2 is excluded that day only
+
+
+def test_stock_cons_right_join_keeps_vendor_only_rows(spark):
+    from equiframe.plans.ingest import stock_cons, stock_managed
+    d1 = dt.date(2023, 1, 2)
+    daily = spark.createDataFrame([(7, d1, "a")], "num_key bigint, base_dt date, sym_cd string")
+    vendor = spark.createDataFrame(
+        [(d1, "a", 1.0, None, None, None, None, None, "정상", "정지", None),
+         (d1, "b", None, 2.0, None, None, None, None, "관리", "정상", "정상"),   # no stock_daily row
+         (d1, "c", None, None, None, None, None, None, "정상", "정상", "정상")],  # no consensus item
+        "base_dt date, sym_cd string, sales_12mf double, opr_prof_12mf double, earn_12mf double, "
+        "earn_dom_12mf double, bps_12mf double, eps_down_fy2 double, sym_mng string, sym_stop string, "
+        "sym_reg string")
+    cons = sorted((r.num_key or -1, r.sales_12mf, r.opr_prof_12mf) for r in stock_cons(daily, vendor).collect())
+    assert cons == [(-1, None, 2.0), (7, 1.0, None)]
+    managed = sorted((r.num_key or -1, r.type) for r in stock_managed(daily, vendor).collect())
+    assert managed == [(-1, 1), (7, 2)]
