@@ -111,7 +111,7 @@ SELECT d.* FROM fx_daily d
 WHERE d.sym_cd IN (SELECT sym_cd FROM latest_o)
   AND d.base_dt >= DATE '1997-01-01' AND d.base_dt <= DATE '1999-12-31'
 """))
-def q_scan_filter(spark, sf):
+def q_scan_filter(spark: SparkSession, sf: str) -> DataFrame:
     """F1 sym_dt_pick: symbols (as a semi join on a derived list) and an
     inclusive date range over stock_daily."""
     daily = _fx(spark, sf, "fx_daily")
@@ -126,7 +126,7 @@ _CONS = ["sales_12mf", "opr_prof_12mf", "earn_12mf", "earn_dom_12mf", "bps_12mf"
 SELECT base_dt, sym_cd, {", ".join(_CONS)} FROM fx_vendor
 WHERE {" OR ".join(c + " IS NOT NULL" for c in _CONS)}
 """))
-def q_drop_all_null(spark, sf):
+def q_drop_all_null(spark: SparkSession, sf: str) -> DataFrame:
     """vendor consensus rows with at least one item present."""
     v = _fx(spark, sf, "fx_vendor").select("base_dt", "sym_cd", *_CONS)
     return st.drop_all_null(v, ["base_dt", "sym_cd"])
@@ -135,7 +135,7 @@ def q_drop_all_null(spark, sf):
 @register("col_range", _sql(["fx_daily"], """
 SELECT num_key, base_dt, sym_cd, open, high, low, close, mkt_cap FROM fx_daily
 """))
-def q_col_range(spark, sf):
+def q_col_range(spark: SparkSession, sf: str) -> DataFrame:
     """Drop the range trd_vol:trd_val, keep num_key:close plus mkt_cap
     (ranges resolved on the schema's column order)."""
     daily = _fx(spark, sf, "fx_daily")
@@ -166,7 +166,7 @@ MOM = fac.MOMENTUM_WINDOWS
 @register("momentum_returns", _sql(["fx_daily"], _CAL + "SELECT num_key, " +
                                    ", ".join(_roll_sql(k, n, True) for k, n in MOM.items()) +
                                    " FROM gp", list(MOM)))
-def q_momentum(spark, sf):
+def q_momentum(spark: SparkSession, sf: str) -> DataFrame:
     """60/120/252-trading-day momentum for every stock_daily row."""
     return finish(fac.momentum(_fx(spark, sf, "fx_daily")), list(MOM))
 
@@ -177,7 +177,7 @@ ROLL = {"p5": 5, "p20": 20}
 @register("rolling_product", _sql(["fx_daily"], _CAL + "SELECT num_key, " +
                                   ", ".join(_roll_sql(k, n, False) for k, n in ROLL.items()) +
                                   " FROM gp", list(ROLL)))
-def q_rolling(spark, sf):
+def q_rolling(spark: SparkSession, sf: str) -> DataFrame:
     """Full-window rolling product of close/base_p over 5 and 20
     trading days of the market calendar (small blocks force the halo path)."""
     daily = _fx(spark, sf, "fx_daily")
@@ -220,7 +220,7 @@ def _workdays(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("business_calendar", _sql([], _YEARS_SQL + f"SELECT base_dt, {_lag_cols()} FROM bdays"))
-def q_business_calendar(spark, sf):
+def q_business_calendar(spark: SparkSession, sf: str) -> DataFrame:
     """Trading days of every year present in lineitem, weekends and
     fixed holidays removed, with the published quarter and report year."""
     return _workdays(spark, sf)
@@ -229,7 +229,7 @@ def q_business_calendar(spark, sf):
 @register("report_lag_quarters", _sql([], f"""
 SELECT base_dt, {_lag_cols()} FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS base_dt FROM lineitem) d
 """))
-def q_report_lag(spark, sf):
+def q_report_lag(spark: SparkSession, sf: str) -> DataFrame:
     """D1 rule on every ship date: quarter of (day - 6 months) in March,
     else (day - 5 months); report year of (day - 15 months)."""
     days = read_parquet(spark, sf, "lineitem").select(F.to_date("l_shipdate").alias("base_dt")).distinct()
@@ -239,7 +239,7 @@ def q_report_lag(spark, sf):
 @register("day_codes", _sql([], _YEARS_SQL + """
 SELECT base_dt, replace(CAST(base_dt AS VARCHAR), '-', '') AS code, base_dt AS parsed FROM bdays
 """))
-def q_day_codes(spark, sf):
+def q_day_codes(spark: SparkSession, sf: str) -> DataFrame:
     """X7 + X8: trading days as request codes (dashes removed) and parsed
     back from ``YYYYMMDD`` text."""
     days = _workdays(spark, sf).select("base_dt")
@@ -264,7 +264,7 @@ _LISTING_NUM = ["ACC_TRDVOL", "ACC_TRDVAL", "TDD_OPNPRC", "TDD_HGPRC", "TDD_LWPR
 @register("parse_number", _sql(["fx_listing"], "SELECT ISU_SRT_CD, " +
                                ", ".join(f"{_pn(c)} AS {c}" for c in _LISTING_NUM) +
                                " FROM fx_listing"))
-def q_parse_number(spark, sf):
+def q_parse_number(spark: SparkSession, sf: str) -> DataFrame:
     """X1 on every text field of the landed listing (names included, which
     mostly have no number)."""
     raw = _fx(spark, sf, "fx_listing")
@@ -274,7 +274,7 @@ def q_parse_number(spark, sf):
 @register("json_explode", _sql([], """
 SELECT event_type, event_id, user_id, value, props FROM events
 """))
-def q_json_explode(spark, sf):
+def q_json_explode(spark: SparkSession, sf: str) -> DataFrame:
     """Landed payload documents -> one row per record of the array
     under each document's first key; fields typed after the explode."""
     payload = _fx(spark, sf, "fx_payload")
@@ -291,7 +291,7 @@ _CS_NUM = ["sales", "opr_prof", "earn", "earn_dom", "grs_asset", "net_asset", "c
 @register("vendor_cross_section", _sql(["fx_cs_raw"], "SELECT substr(sym_cd, 2) AS sym_cd, period AS fs_q, " +
                                        ", ".join(f"{_pn(c)} AS {c}" for c in _CS_NUM) +
                                        ", memo FROM fx_cs_raw"))
-def q_vendor_cs(spark, sf):
+def q_vendor_cs(spark: SparkSession, sf: str) -> DataFrame:
     """Statement export text -> typed items chosen by metadata."""
     raw = _fx(spark, sf, "fx_cs_raw")
     meta = item_metadata(spark)
@@ -305,7 +305,7 @@ _QMAP = "CASE quarter WHEN '1st-Quarter' THEN 'Q1' WHEN 'Semi-Annual' THEN 'Q2'
 @register("vendor_fiscal_basis", _sql(["fx_fb_raw"], f"SELECT substr(sym_cd, 2) AS sym_cd, year || ' ' || {_QMAP} AS fs_q, " +
                                       ", ".join(f"{_pn(c)} AS {c}" for c in _CS_NUM) +
                                       ", memo FROM fx_fb_raw"))
-def q_vendor_fb(spark, sf):
+def q_vendor_fb(spark: SparkSession, sf: str) -> DataFrame:
     """Fiscal-basis export -> typed rows; quarter labels recoded."""
     return fiscal_basis(_fx(spark, sf, "fx_fb_raw"), item_metadata(spark))
 
@@ -332,7 +332,7 @@ WHERE t.mkt_cd <> 'KNX' AND t.sym_cd LIKE '%0' AND t.sym_cd NOT LIKE '9%'
   AND t.sym_nm NOT LIKE '%스팩%' AND t.base_p IS NOT NULL
   AND t.sym_cd NOT IN (SELECT ISU_SRT_CD FROM fx_excluded)
 """))
-def q_listed_universe(spark, sf):
+def q_listed_universe(spark: SparkSession, sf: str) -> DataFrame:
     """Landed listing -> the day's common-share universe with sector."""
     out = ing.listed_universe(_fx(spark, sf, "fx_listing"), _fx(spark, sf, "fx_base_price"),
                               _fx(spark, sf, "fx_excluded"), _fx(spark, sf, "fx_sectors"), LISTING_DAY)
@@ -346,7 +346,7 @@ _MKT_SQL = "replace(replace(replace(replace(marketName, 'KRX', 'X'), 'KOSPI', 'P
 SELECT full_code, coalesce({_MKT_SQL}, 'NA') || coalesce(short_code, 'NA') AS idx_code,
        {_MKT_SQL} AS mkt_nm, short_code, codeName FROM fx_index_raw
 """))
-def q_index_list(spark, sf):
+def q_index_list(spark: SparkSession, sf: str) -> DataFrame:
     """D3: raw index list -> idx_code = market letter + short code."""
     return ing.index_list(_fx(spark, sf, "fx_index_raw"))
 
@@ -354,7 +354,7 @@ def q_index_list(spark, sf):
 @register("sector_recode", _sql(["fx_sectors"], f"""
 SELECT ISU_SRT_CD, {_sector_case('IDX_IND_NM')} AS sec_krx FROM fx_sectors
 """))
-def q_sector_recode(spark, sf):
+def q_sector_recode(spark: SparkSession, sf: str) -> DataFrame:
     """KRX industry name -> sector (exact match; unmatched kept)."""
     s = _fx(spark, sf, "fx_sectors")
     return s.select("ISU_SRT_CD", sector_recode("IDX_IND_NM").alias("sec_krx"))
@@ -369,7 +369,7 @@ SELECT sym_cd, min(info_update) AS info_update, sym_nm, mkt_cd, sec_krx
 FROM fx_history GROUP BY sym_cd, sym_nm, mkt_cd, sec_krx
 HAVING min(info_update) >= DATE '{SPLIT_DAY}'
 """))
-def q_stock_info_merge(spark, sf):
+def q_stock_info_merge(spark: SparkSession, sf: str) -> DataFrame:
     """Stored first-seen history (days before the split) merged with
     every landed day after it; returns the new versions to save."""
     h = _fx(spark, sf, "fx_history")
@@ -383,7 +383,7 @@ def q_stock_info_merge(spark, sf):
 SELECT sym_cd, min(info_update) AS info_update, sym_nm, mkt_cd, sec_krx
 FROM fx_history GROUP BY sym_cd, sym_nm, mkt_cd, sec_krx
 """))
-def q_stock_info_history(spark, sf):
+def q_stock_info_history(spark: SparkSession, sf: str) -> DataFrame:
     """D5 whole history: every landed day merged into an empty store; one
     row per attribute version at its first-seen day (A -> B -> A keeps two)."""
     h = _fx(spark, sf, "fx_history")
@@ -398,7 +398,7 @@ SELECT sym_cd, info_update, sym_nm, mkt_cd, sec_krx FROM (
 WHERE rn = 1 OR sym_nm IS DISTINCT FROM p_nm OR mkt_cd IS DISTINCT FROM p_mkt
    OR sec_krx IS DISTINCT FROM p_sec
 """))
-def q_stock_info_changes(spark, sf):
+def q_stock_info_changes(spark: SparkSession, sf: str) -> DataFrame:
     """D5 true-history option: every change of a symbol's attributes is a
     version (A -> B -> A keeps three), over the whole history."""
     h = _fx(spark, sf, "fx_history")
@@ -410,7 +410,7 @@ SELECT sym_cd, info_update, sym_nm, mkt_cd, sec_krx FROM (
   SELECT *, row_number() OVER (PARTITION BY sym_cd ORDER BY info_update DESC) AS rn FROM fx_history) z
 WHERE rn = 1
 """))
-def q_latest_stock_info(spark, sf):
+def q_latest_stock_info(spark: SparkSession, sf: str) -> DataFrame:
     """Each symbol's latest attribute row (a max_by aggregate)."""
     return latest_per_key(_fx(spark, sf, "fx_history"), ["sym_cd"], "info_update")
 
@@ -427,7 +427,7 @@ SELECT (SELECT m FROM mk) + row_number() OVER (ORDER BY p.base_dt, p.sym_cd) AS
         WHERE h.sym_cd = p.sym_cd AND h.info_update <= p.base_dt) AS info_update
 FROM px p LEFT JOIN fx_vendor v ON v.base_dt = p.base_dt AND v.sym_cd = p.sym_cd
 """))
-def q_stock_daily(spark, sf):
+def q_stock_daily(spark: SparkSession, sf: str) -> DataFrame:
     """Landed prices from the split day on + vendor items + attribute
     version as of each day + contiguous num_key after the stored maximum."""
     d = _fx(spark, sf, "fx_daily")
@@ -443,7 +443,7 @@ SELECT d.num_key, {", ".join("v." + c for c in _CONS)}
 FROM fx_vendor_universe v LEFT JOIN fx_daily d ON d.base_dt = v.base_dt AND d.sym_cd = v.sym_cd
 WHERE {" OR ".join("v." + c + " IS NOT NULL" for c in _CONS)}
 """))
-def q_stock_cons(spark, sf):
+def q_stock_cons(spark: SparkSession, sf: str) -> DataFrame:
     """Consensus rows keyed by num_key; vendor data is fetched for the
     day's universe, so every row finds its key (the right join's NULL-key
     branch is unit-tested)."""
@@ -457,7 +457,7 @@ SELECT num_key, CAST(1 AS INTEGER) AS type FROM k WHERE sym_mng <> '정상'
 UNION ALL SELECT num_key, CAST(2 AS INTEGER) FROM k WHERE sym_stop <> '정상'
 UNION ALL SELECT num_key, CAST(3 AS INTEGER) FROM k WHERE sym_reg <> '정상'
 """))
-def q_stock_managed(spark, sf):
+def q_stock_managed(spark: SparkSession, sf: str) -> DataFrame:
     """Unpivot the three status columns; keep non-normal ones as type 1/2/3."""
     return ing.stock_managed(_fx(spark, sf, "fx_daily"), _fx(spark, sf, "fx_vendor_universe"))
 
@@ -465,7 +465,7 @@ def q_stock_managed(spark, sf):
 @register("stocks_in_index", _sql(["fx_daily", "fx_members"], """
 SELECT d.num_key, m.idx_code FROM fx_daily d JOIN fx_members m ON m.base_dt = d.base_dt AND m.sym_cd = d.sym_cd
 """))
-def q_stocks_in_index(spark, sf):
+def q_stocks_in_index(spark: SparkSession, sf: str) -> DataFrame:
     """Index membership keyed by num_key."""
     return ing.stocks_in_index(_fx(spark, sf, "fx_daily"), _fx(spark, sf, "fx_members"))
 
@@ -486,7 +486,7 @@ SELECT j.base_dt, il.idx_code, {_pn('ACC_TRDVOL')} AS trd_vol, {_pn('ACC_TRDVAL'
 FROM j LEFT JOIN il ON il.codeName = j.sym_nm
   AND il.mkt_nm = CASE j.mkt WHEN '01' THEN 'X' WHEN '02' THEN 'P' WHEN '03' THEN 'Q' WHEN '04' THEN 'T' ELSE j.mkt END
 """))
-def q_index_daily(spark, sf):
+def q_index_daily(spark: SparkSession, sf: str) -> DataFrame:
     """Index levels joined to base values and index codes."""
     il = ing.index_list(_fx(spark, sf, "fx_index_raw"))
     return ing.index_daily(_fx(spark, sf, "fx_index_levels"), _fx(spark, sf, "fx_index_base"), il)
@@ -530,7 +530,7 @@ _GRID = f"""
 """
 
 
-def _stmt_inputs(spark, sf):
+def _stmt_inputs(spark: SparkSession, sf: str):
     return _fx(spark, sf, "fx_bs"), _fx(spark, sf, "fx_pl")
 
 
@@ -546,7 +546,7 @@ def _cs_typed_sql() -> str:
 @register("split_statements", _sql(["fx_cs_raw"], _cs_typed_sql() + f"""
 SELECT sym_cd, fs_q, {", ".join(_PL_META)} FROM cs WHERE {" OR ".join(c + " IS NOT NULL" for c in _PL_META)}
 """))
-def q_split_pl(spark, sf):
+def q_split_pl(spark: SparkSession, sf: str) -> DataFrame:
     """Normalised statement export -> P&L part (metadata pl flag),
     all-NULL rows dropped."""
     meta = item_metadata(spark)
@@ -557,7 +557,7 @@ def q_split_pl(spark, sf):
 @register("split_statements_bs", _sql(["fx_cs_raw"], _cs_typed_sql() + f"""
 SELECT sym_cd, fs_q, {", ".join(_BS_ITEMS)} FROM cs WHERE {" OR ".join(c + " IS NOT NULL" for c in _BS_ITEMS)}
 """))
-def q_split_bs(spark, sf):
+def q_split_bs(spark: SparkSession, sf: str) -> DataFrame:
     """Balance-sheet part (metadata bs flag), all-NULL rows dropped."""
     meta = item_metadata(spark)
     bs, _ = st.split_statements(cross_section(_fx(spark, sf, "fx_cs_raw"), meta, "fs", F.col("period")), meta)
@@ -570,7 +570,7 @@ def q_split_bs(spark, sf):
 SELECT sym_cd, fs_q, {", ".join(_PL_META)} FROM fb
 WHERE ({" OR ".join(c + " IS NOT NULL" for c in _PL_META)}) AND fs_q IN (SELECT fs_q FROM fx_bs)
 """))
-def q_split_new(spark, sf):
+def q_split_new(spark: SparkSession, sf: str) -> DataFrame:
     """D11 new-symbol variant: fiscal-basis export, P&L part, only quarters
     already in the stored balance sheet (semi join)."""
     meta = item_metadata(spark)
@@ -580,7 +580,7 @@ def q_split_new(spark, sf):
 
 
 @register("trailing_pl", _sql(["fx_bs", "fx_pl"], _GRID + _tp_sql("grid") + "SELECT * FROM tpf"))
-def q_trailing_pl(spark, sf):
+def q_trailing_pl(spark: SparkSession, sf: str) -> DataFrame:
     """D12 on the full (symbol x quarter) grid of the stored statements."""
     bs, pl = _stmt_inputs(spark, sf)
     grid = st.complete_grid(bs, "sym_cd", "fs_q", pl.drop("dpr", "prop_div"))
@@ -601,7 +601,7 @@ _WQ = """
 """ + _tp_sql("grid") + """
 SELECT * FROM tpf WHERE fs_q >= (SELECT a FROM wq) AND fs_q <= (SELECT b FROM wq)
 """))
-def q_trailing_existing(spark, sf):
+def q_trailing_existing(spark: SparkSession, sf: str) -> DataFrame:
     """D13 existing symbols: the quarters published over the trading
     calendar (first..last), grid from Q1 of the year before."""
     bs, pl = _stmt_inputs(spark, sf)
@@ -612,7 +612,7 @@ def q_trailing_existing(spark, sf):
     "LEFT JOIN fx_pl p ON p.sym_cd = s.sym_cd AND p.fs_q = q.fs_q",
     "LEFT JOIN fx_pl p ON p.sym_cd = s.sym_cd AND p.fs_q = q.fs_q "
     "WHERE s.sym_cd IN (SELECT sym_cd FROM fx_pl)") + _tp_sql("grid") + "SELECT * FROM tpf"))
-def q_trailing_new(spark, sf):
+def q_trailing_new(spark: SparkSession, sf: str) -> DataFrame:
     """D13 new-symbol variant: every quarter for the given symbols (here
     every symbol with a P&L row: a full rebuild)."""
     bs, pl = _stmt_inputs(spark, sf)
@@ -632,7 +632,7 @@ _FBS = """
 
 
 @register("filled_balance_sheet", _sql(["fx_bs"], _FBS + "SELECT * FROM fbs"))
-def q_filled_bs(spark, sf):
+def q_filled_bs(spark: SparkSession, sf: str) -> DataFrame:
     """Complete grid, balance-sheet items carried forward per symbol."""
     return st.filled_balance_sheet(_fx(spark, sf, "fx_bs"))
 
@@ -663,7 +663,7 @@ _VF_SQL = _GRID + _tp_sql("grid") + _FBS + """
 _VF_FIX = ["fx_daily", "fx_cons", "fx_workdays", "fx_bs", "fx_pl"]
 
 
-def _value_factors(spark, sf):
+def _value_factors(spark: SparkSession, sf: str):
     bs, pl = _stmt_inputs(spark, sf)
     prep = st.trailing_pl(st.complete_grid(bs, "sym_cd", "fs_q", pl.drop("dpr", "prop_div")))
     return fac.value_factors(_fx(spark, sf, "fx_daily"), _fx(spark, sf, "fx_cons"),
@@ -671,7 +671,7 @@ def _value_factors(spark, sf):
 
 
 @register("value_factors", _sql(_VF_FIX, _VF_SQL + "SELECT * FROM vf"))
-def q_value_factors(spark, sf):
+def q_value_factors(spark: SparkSession, sf: str) -> DataFrame:
     """Ten value factors for every stock_daily row (point-in-time
     statements through the calendar's published quarter)."""
     return _value_factors(spark, sf)
@@ -685,12 +685,12 @@ _FACTOR_TABLE = _VF_SQL + _MOM_CTE + f"""
 """
 
 
-def _factor_table(spark, sf):
+def _factor_table(spark: SparkSession, sf: str):
     return fac.update_factors(_value_factors(spark, sf), fac.momentum(_fx(spark, sf, "fx_daily")))
 
 
 @register("update_factors", _sql(_VF_FIX, _FACTOR_TABLE + "SELECT * FROM ft", list(MOM)))
-def q_update_factors(spark, sf):
+def q_update_factors(spark: SparkSession, sf: str) -> DataFrame:
     """D16 + D17 writes: factor table after upserting value factors, then
     momentum, each on num_key touching only its own columns."""
     return finish(_factor_table(spark, sf), list(MOM))
@@ -700,7 +700,7 @@ def q_update_factors(spark, sf):
 SELECT d.num_key, d.base_dt, d.sym_cd, {", ".join("ft." + c for c in _VF + list(MOM))}
 FROM fx_daily d LEFT JOIN ft ON ft.num_key = d.num_key WHERE d.base_dt >= DATE '{PANEL_START}'
 """, list(MOM)))
-def q_factor_panel(spark, sf):
+def q_factor_panel(spark: SparkSession, sf: str) -> DataFrame:
     """First three stock_daily columns from the panel start on, with
     every factor."""
     return finish(fac.factor_panel(_fx(spark, sf, "fx_daily"), _factor_table(spark, sf), start=PANEL_START),
@@ -711,7 +711,7 @@ def q_factor_panel(spark, sf):
 SELECT d.sym_cd, count(m.ret_12m) AS count FROM fx_daily d LEFT JOIN mom m ON m.num_key = d.num_key
 GROUP BY d.sym_cd
 """))
-def q_factor_coverage(spark, sf):
+def q_factor_coverage(spark: SparkSession, sf: str) -> DataFrame:
     """Per symbol, how many rows have a 12-month momentum."""
     d = _fx(spark, sf, "fx_daily")
     return fac.factor_coverage(fac.factor_panel(d, fac.momentum(d)), "ret_12m")
@@ -730,13 +730,13 @@ _NAMES = f"""
 """
 
 
-def _names(spark, sf) -> DataFrame:
+def _names(spark: SparkSession, sf: str) -> DataFrame:
     h = _fx(spark, sf, "fx_history")
     return h.filter(F.col("info_update") <= F.lit(NAME_YEAR_END).cast("date")).select("sym_nm").distinct()
 
 
 @register("symbol_lookup", _sql(["fx_history"], _NAMES + "SELECT sym_cd FROM codes"))
-def q_symbol_lookup(spark, sf):
+def q_symbol_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """Codes whose latest name is among the names used in the first
     year (a symbol renamed since does not match)."""
     return prc.symbol_lookup(_fx(spark, sf, "fx_history"), _names(spark, sf))
@@ -745,7 +745,7 @@ def q_symbol_lookup(spark, sf):
 @register("ohlc", _sql(["fx_history", "fx_daily"], _NAMES + """
 SELECT sym_cd, base_dt, open, high, low, close, base_p FROM fx_daily WHERE sym_cd IN (SELECT sym_cd FROM codes)
 """))
-def q_ohlc(spark, sf):
+def q_ohlc(spark: SparkSession, sf: str) -> DataFrame:
     """Raw prices of the looked-up symbols."""
     return prc.ohlc(_fx(spark, sf, "fx_history"), _fx(spark, sf, "fx_daily"), _names(spark, sf))
 
@@ -766,7 +766,7 @@ _OHLC_ADJ = ", ".join(f"round_even({c} / nullif(close, 0) * close_adj, 0) AS {c}
 
 @register("adjusted_close", _sql(["fx_daily"], _adj_sql("fx_daily") + "SELECT sym_cd, base_dt, close_adj AS close FROM adj",
                                  ["close"], 4))
-def q_adjusted_close(spark, sf):
+def q_adjusted_close(spark: SparkSession, sf: str) -> DataFrame:
     """D22 close-only: back-adjusted close for every symbol over its whole
     history (unrounded)."""
     d = _fx(spark, sf, "fx_daily").select("sym_cd", "base_dt", "open", "high", "low", "close", "base_p")
@@ -774,7 +774,7 @@ def q_adjusted_close(spark, sf):
 
 
 @register("adjusted_ohlc", _sql(["fx_daily"], _adj_sql("fx_daily") + f"SELECT sym_cd, base_dt, {_OHLC_ADJ} FROM adj"))
-def q_adjusted_ohlc(spark, sf):
+def q_adjusted_ohlc(spark: SparkSession, sf: str) -> DataFrame:
     """Adjusted open/high/low/close, half-even rounded; small date
     blocks so that the cross-block suffix path runs."""
     d = _fx(spark, sf, "fx_daily").select("sym_cd", "base_dt", "open", "high", "low", "close", "base_p")
@@ -785,7 +785,7 @@ def q_adjusted_ohlc(spark, sf):
 , pv AS (SELECT * FROM fx_daily WHERE sym_cd IN (SELECT sym_cd FROM codes)
          AND base_dt BETWEEN DATE '{VIEW_START}' AND DATE '{VIEW_END}')
 """ + _adj_sql("pv") + f"SELECT sym_cd, base_dt, {_OHLC_ADJ} FROM adj"))
-def q_price_view(spark, sf):
+def q_price_view(spark: SparkSession, sf: str) -> DataFrame:
     """Named stocks, date range first, then adjustment anchored at
     the range end (candle form)."""
     return prc.price_view(_fx(spark, sf, "fx_history"), _fx(spark, sf, "fx_daily"),
@@ -796,7 +796,7 @@ def q_price_view(spark, sf):
 SELECT d.* FROM fx_daily d JOIN (SELECT sym_cd, max(base_dt) AS last FROM fx_daily GROUP BY sym_cd) m
   ON m.sym_cd = d.sym_cd WHERE d.base_dt >= m.last - INTERVAL 12 MONTH
 """))
-def q_lookback(spark, sf):
+def q_lookback(spark: SparkSession, sf: str) -> DataFrame:
     """each symbol's last year of rows (the 1y range button)."""
     return prc.recent_prices(_fx(spark, sf, "fx_daily"), "1y")
 
@@ -805,7 +805,7 @@ def q_lookback(spark, sf):
 SELECT d.* FROM fx_daily d JOIN (SELECT sym_cd, max(base_dt) AS last FROM fx_daily GROUP BY sym_cd) m
   ON m.sym_cd = d.sym_cd WHERE d.base_dt >= date_trunc('month', m.last)
 """))
-def q_lookback_mtd(spark, sf):
+def q_lookback_mtd(spark: SparkSession, sf: str) -> DataFrame:
     """each symbol's rows from the first of its last month (MTD)."""
     return prc.recent_prices(_fx(spark, sf, "fx_daily"), "mtd")
 
@@ -814,7 +814,7 @@ def q_lookback_mtd(spark, sf):
 SELECT d.* FROM fx_daily d JOIN (SELECT sym_cd, max(base_dt) AS last FROM fx_daily GROUP BY sym_cd) m
   ON m.sym_cd = d.sym_cd WHERE d.base_dt >= date_trunc('year', m.last)
 """))
-def q_lookback_ytd(spark, sf):
+def q_lookback_ytd(spark: SparkSession, sf: str) -> DataFrame:
     """each symbol's rows from January 1st of its last year (YTD)."""
     return prc.recent_prices(_fx(spark, sf, "fx_daily"), "ytd")
 
@@ -823,7 +823,7 @@ def q_lookback_ytd(spark, sf):
 , pv AS (SELECT * FROM fx_daily WHERE sym_cd IN (SELECT sym_cd FROM codes)
          AND base_dt BETWEEN DATE '{VIEW_START}' AND DATE '{VIEW_END}')
 """ + _adj_sql("pv") + "SELECT sym_cd, base_dt, close_adj AS close FROM adj", ["close"], 4))
-def q_price_view_line(spark, sf):
+def q_price_view_line(spark: SparkSession, sf: str) -> DataFrame:
     """D23 line form: unrounded adjusted close of the named stocks over the
     range, anchored at the range end."""
     return finish(prc.price_view(_fx(spark, sf, "fx_history"), _fx(spark, sf, "fx_daily"),
@@ -842,7 +842,7 @@ SELECT coalesce(t.num_key, s.num_key) AS num_key, t.sales_12mf, t.opr_prof_12mf,
        CASE WHEN s.num_key IS NOT NULL THEN s.eps_down_fy2 ELSE t.eps_down_fy2 END AS eps_down_fy2
 FROM fx_cons t FULL OUTER JOIN src s ON s.num_key = t.num_key
 """))
-def q_upsert(spark, sf):
+def q_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """S3: consensus table upserted with two supplied columns for every
     stock_daily key (matched: those columns replaced, NULL included;
     unmatched: inserted with the other items NULL)."""
@@ -857,7 +857,7 @@ def q_upsert(spark, sf):
 @register("delete_where", _sql(["fx_daily", "fx_cons"], """
 SELECT * FROM fx_cons WHERE NOT coalesce(earn_dom_12mf > 1000, false)
 """))
-def q_delete(spark, sf):
+def q_delete(spark: SparkSession, sf: str) -> DataFrame:
     """Delete consensus rows with earn_dom_12mf > 1000 (a NULL
     predicate keeps the row)."""
     c = _fx(spark, sf, "fx_cons")
@@ -874,7 +874,7 @@ _LOADED = f"fx_daily WHERE base_dt < DATE '{LOADED_UNTIL}'"
 SELECT base_dt, fs_q, fs_y FROM fx_workdays WHERE CAST(year(base_dt) AS INTEGER) NOT IN (SELECT y FROM ry)
 UNION ALL SELECT base_dt, {_lag_cols()} FROM newdays
 """))
-def q_replace_year(spark, sf):
+def q_replace_year(spark: SparkSession, sf: str) -> DataFrame:
     """S5 + D2 + D1: the years to update (last loaded year and the current
     one) are replaced in the workdays table by a fresh business calendar."""
     wd = _fx(spark, sf, "fx_workdays")
@@ -893,7 +893,7 @@ _CUTOFF = (AS_OF.date() - _dt.timedelta(days=2 if AS_OF.hour < 9 else 1)).isofor
 @register("days_to_update", _sql(["fx_daily"], _YEARS_SQL + f"""
 SELECT base_dt FROM bdays WHERE base_dt > (SELECT max(base_dt) FROM {_LOADED}) AND base_dt <= DATE '{_CUTOFF}'
 """))
-def q_days_to_update(spark, sf):
+def q_days_to_update(spark: SparkSession, sf: str) -> DataFrame:
     """Calendar days after the last loaded day up to the cut-off."""
     loaded = _fx(spark, sf, "fx_daily").filter(F.col("base_dt") < F.lit(LOADED_UNTIL).cast("date"))
     return cal.days_to_update(_workdays(spark, sf), loaded, AS_OF)
@@ -903,7 +903,7 @@ def q_days_to_update(spark, sf):
 SELECT DISTINCT y AS year FROM (SELECT CAST(year(max(base_dt)) AS INTEGER) AS y FROM {_LOADED}
                                UNION ALL SELECT {AS_OF.year}) u WHERE y IS NOT NULL
 """))
-def q_years_to_update(spark, sf):
+def q_years_to_update(spark: SparkSession, sf: str) -> DataFrame:
     """Last loaded year and the current year."""
     loaded = _fx(spark, sf, "fx_daily").filter(F.col("base_dt") < F.lit(LOADED_UNTIL).cast("date"))
     return cal.years_to_update(loaded, AS_OF)
@@ -917,7 +917,7 @@ SELECT DISTINCT fs_q FROM wd
 WHERE fs_q >= (SELECT max(fs_q) FROM fx_bs WHERE fs_q <= '{BS_LOADED_UNTIL}')
   AND base_dt <= (SELECT d FROM lastday)
 """))
-def q_quarters_to_update(spark, sf):
+def q_quarters_to_update(spark: SparkSession, sf: str) -> DataFrame:
     """Published quarters from the last stored statement quarter on, as
     of the last planned day."""
     loaded = _fx(spark, sf, "fx_daily").filter(F.col("base_dt") < F.lit(LOADED_UNTIL).cast("date"))
@@ -929,7 +929,7 @@ def q_quarters_to_update(spark, sf):
 SELECT DISTINCT sym_cd FROM fx_history
 WHERE sym_cd NOT IN (SELECT sym_cd FROM fx_history WHERE info_update < DATE '{SNAPSHOT_DAY}')
 """))
-def q_new_symbols(spark, sf):
+def q_new_symbols(spark: SparkSession, sf: str) -> DataFrame:
     """Symbols in stock_info not in the snapshot taken before the load."""
     h = _fx(spark, sf, "fx_history")
     return cal.new_symbols(h, h.filter(F.col("info_update") < F.lit(SNAPSHOT_DAY).cast("date")))
