@@ -2,9 +2,10 @@
 over the stand-in tables of ``fixtures`` and has an equivalent DuckDB SQL
 oracle over the same source tables.
 
-Doubles are rounded to 6 places at the very end in both engines (never
-earlier): products and sums are associated differently by the two
-engines, and the last bits would otherwise differ.
+Only the values whose last bits depend on how an engine associates a
+window product (momentum, rolling products, adjusted closes) are rounded,
+at the very end and identically in both engines; every other value is
+computed by the same IEEE operations in both and compared as is.
 """
 
 from __future__ import annotations
