@@ -60,6 +60,10 @@ def rolling(df: DataFrame, value: str, windows: dict[str, int], keys: list[str],
     rolling default) the value is NULL unless all ``n`` ordinals are present
     with non-NULL values.  Adds one column per entry of ``windows``.
     """
+    if agg not in AGGREGATES:
+        raise ValueError(f"agg must be one of {sorted(AGGREGATES)}, not {agg!r}")
+    if not windows or min(windows.values()) < 1:
+        raise ValueError("windows must map output names to lengths >= 1")
     fn = AGGREGATES[agg]
     halo = max(windows.values()) - 1
     size = max(block, halo, 1)

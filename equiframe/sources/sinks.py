@@ -29,6 +29,9 @@ def upsert_partial(target: DataFrame, source: DataFrame, keys: list[str]) -> Dat
     AQE splits a skewed key).  Source keys are expected to be unique, as in a
     keyed table.
     """
+    missing = [k for k in keys if k not in target.columns or k not in source.columns]
+    if missing:
+        raise ValueError(f"upsert keys {missing} must be columns of both target and source")
     supplied = [c for c in source.columns if c not in keys and c in target.columns]
     t = target.select(*[F.col(c).alias(c if c in keys else f"_t_{c}") for c in target.columns])
     s = source.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in supplied], F.lit(True).alias("_src"))

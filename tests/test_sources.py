@@ -70,3 +70,17 @@ def test_more_operator_paths(spark):
     meta = item_metadata(spark, [("fs", "sales", 1, 0, 0, 1), ("fs", "earn_dom", 1, 1, 0, 1)])
     raw = spark.createDataFrame([("A1", "10", "2")], "sym_cd string, sales string, earn_dom string")
     assert cross_section(raw, meta, "fs", "2023 Q1", new_only=True).columns == ["sym_cd", "fs_q", "earn_dom"]
+
+
+def test_argument_errors_are_clear(spark):
+    import pytest
+
+    from equiframe.operators.windows import rolling
+    from equiframe.sources.sinks import upsert_partial
+    df = spark.createDataFrame([("a", 1, 1.0)], "k string, t int, v double")
+    with pytest.raises(ValueError, match="agg must be one of"):
+        rolling(df, "v", {"r": 2}, ["k"], "t", agg="median")
+    with pytest.raises(ValueError, match="lengths >= 1"):
+        rolling(df, "v", {"r": 0}, ["k"], "t")
+    with pytest.raises(ValueError, match="upsert keys"):
+        upsert_partial(df, df.select("t", "v"), ["k"])
