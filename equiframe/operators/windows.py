@@ -64,6 +64,8 @@ def rolling(df: DataFrame, value: str, windows: dict[str, int], keys: list[str],
         raise ValueError(f"agg must be one of {sorted(AGGREGATES)}, not {agg!r}")
     if not windows or min(windows.values()) < 1:
         raise ValueError("windows must map output names to lengths >= 1")
+    if block < 1:
+        raise ValueError("block must be >= 1")
     fn = AGGREGATES[agg]
     halo = max(windows.values()) - 1
     size = max(block, halo, 1)
@@ -110,6 +112,8 @@ def suffix_product(df: DataFrame, value: str, keys: list[str], order: str, out:
     table that is two pruned scans; for a derived input ``materialize``
     checkpoints it once (in ``spark.checkpoint.dir``) instead.
     """
+    if block_days < 1:
+        raise ValueError("block_days must be >= 1")
     last_cols = last_cols or {}
     blk = F.floor(F.datediff(F.col(order), F.lit("1970-01-01").cast("date")) / block_days).cast("long")
     v = F.col(value)
@@ -195,6 +199,8 @@ def as_of_latest(left: DataFrame, right: DataFrame, keys: list[str], left_time:
     over one row per (key, block), and the in-block carry runs on a
     (key, block) shuffle, so a hot key spreads over many tasks.
     """
+    if block_days < 1:
+        raise ValueError("block_days must be >= 1")
     epoch = F.lit("1970-01-01").cast("date")
 
     def blk(c: str) -> Column:

@@ -84,3 +84,16 @@ def test_argument_errors_are_clear(spark):
         rolling(df, "v", {"r": 0}, ["k"], "t")
     with pytest.raises(ValueError, match="upsert keys"):
         upsert_partial(df, df.select("t", "v"), ["k"])
+
+
+def test_block_sizes_must_be_positive(spark):
+    import pytest
+
+    from equiframe.operators.windows import as_of_latest, rolling, suffix_product
+    df = spark.createDataFrame([("a", 1, dt.date(2023, 1, 2), 1.0)], "k string, t int, d date, v double")
+    with pytest.raises(ValueError, match="block"):
+        rolling(df, "v", {"r": 2}, ["k"], "t", block=0)
+    with pytest.raises(ValueError, match="block_days"):
+        suffix_product(df, "v", ["k"], "d", "f", block_days=0)
+    with pytest.raises(ValueError, match="block_days"):
+        as_of_latest(df, df.select("k", F.col("d").alias("w")), ["k"], "d", "w", "w", block_days=0)
