@@ -68,3 +68,24 @@ def test_partial_upsert_matches_dict_model(spark, target, source):
         model[k] = (model.get(k, (None, None))[0], b)
     got = {r.k: (r.a, r.b) for r in upsert_partial(t, s, ["k"]).collect()}
     assert got == model
+
+
+series = st.lists(st.tuples(st.integers(1, 60), st.one_of(st.none(), st.floats(0.9, 1.1))),
+                  min_size=1, max_size=40, unique_by=lambda r: r[0])
+
+
+@SETTINGS
+@given(series, st.integers(1, 8), st.integers(1, 20))
+def test_blocked_rolling_matches_dense_product(spark, rows, n, block):
+    from math import isclose, prod
+
+    from equiframe.operators.windows import rolling
+    df = spark.createDataFrame([("k", t, g) for t, g in rows], "k string, t int, g double")
+    got = {r.t: r.r for r in rolling(df, "g", {"r": n}, ["k"], "t", block=block).collect()}
+    vals = dict(rows)
+    for t in vals:
+        window = [vals.get(u) for u in range(t - n + 1, t + 1)]
+        want = None if any(v is None for v in window) else prod(window)
+        assert (want is None) == (got[t] is None)
+        if want is not None:
+            assert isclose(want, got[t], rel_tol=1e-12)
