@@ -89,3 +89,41 @@ def test_blocked_rolling_matches_dense_product(spark, rows, n, block):
         assert (want is None) == (got[t] is None)
         if want is not None:
             assert isclose(want, got[t], rel_tol=1e-12)
+
+
+dated = st.lists(st.tuples(st.integers(0, 200), st.one_of(st.none(), st.floats(0.5, 2.0))),
+                 min_size=1, max_size=30, unique_by=lambda r: r[0])
+
+
+@SETTINGS
+@given(dated, st.integers(1, 50))
+def test_blocked_suffix_product_matches_brute_force(spark, rows, block_days):
+    from math import isclose, prod
+
+    from equiframe.operators.windows import suffix_product
+    df = spark.createDataFrame([("k", D0 + dt.timedelta(days=d), r, float(d)) for d, r in rows],
+                               "k string, d date, r double, c double")
+    got = {r.d: (r.f, r.last) for r in
+           suffix_product(df, "r", ["k"], "d", "f", {"last": "c"}, block_days=block_days).collect()}
+    ordered = sorted(rows)
+    for i, (d, _) in enumerate(ordered):
+        later = [r for _, r in ordered[i + 1:]]
+        want = None if any(v is None for v in later) else prod(later)
+        f, last = got[D0 + dt.timedelta(days=d)]
+        assert last == float(ordered[-1][0])
+        assert (want is None) == (f is None)
+        if want is not None:
+            assert isclose(want, f, rel_tol=1e-12)
+
+
+@SETTINGS
+@given(st.lists(st.integers(0, 300), min_size=1, max_size=30), st.lists(st.integers(-20, 300), max_size=8),
+       st.integers(1, 60))
+def test_blocked_as_of_matches_brute_force(spark, lefts, rights, block_days):
+    from equiframe.operators.windows import as_of_latest
+    left = spark.createDataFrame([("k", D0 + dt.timedelta(days=d)) for d in lefts], "k string, d date")
+    right = spark.createDataFrame([("k", D0 + dt.timedelta(days=d)) for d in rights], "k string, v date")
+    got = sorted((r.d, r.v) for r in as_of_latest(left, right, ["k"], "d", "v", "v", block_days).collect())
+    want = sorted((D0 + dt.timedelta(days=d),
+                   max((D0 + dt.timedelta(days=v) for v in rights if v <= d), default=None)) for d in lefts)
+    assert got == want
