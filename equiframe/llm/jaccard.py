@@ -43,7 +43,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from equiframe.llm.components import components
@@ -52,6 +52,7 @@ from equiframe.llm.shared import not_last, or_last, stored
 WORDS = 4
 NUM, DEN = 85, 100     # links from NUM / DEN on
 MOST_SMALL = 32        # sizes among which the boundary is chosen
+SLACK = 12             # a set's least hashes: one in so many beyond the necessary
 SCAN_COST = 4          # postings moved per shingle of a large set
 TASK_SHINGLES = 1_500_000
 SALTS = 8
@@ -73,8 +74,8 @@ def partners(n: int) -> range:
 
 
 def slack(n):
-    """How many of the least hashes must be shared beyond the first."""
-    return np.maximum(1, n // 12)
+    """How many of a set's least hashes a partner must share."""
+    return np.maximum(1, n // SLACK)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -154,15 +155,15 @@ def _sketch(batches):
 
 
 def _sets_of(batches):
-    """(sig, n, shingles) of the rows whose set is the wanted one."""
+    """(id, n, shingles) of the rows whose set is the wanted one."""
     for b in batches:
-        for start, raws in _text_slices(b.column(1)):
+        for start, raws in _text_slices(b.column(2)):
             sets = shingle_sets(raws)
-            wanted = b.column(0).slice(start, len(raws)).to_pylist()
-            mine = [(sig, s) for sig, s in zip(wanted, sets) if xxhash.xxh3_128_digest(s.tobytes()) == sig]
+            ids, wanted = (b.column(k).slice(start, len(raws)).to_pylist() for k in (0, 1))
+            mine = [(i, s) for i, sig, s in zip(ids, wanted, sets) if xxhash.xxh3_128_digest(s.tobytes()) == sig]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([m[0] for m in mine], pa.binary()), pa.array([len(m[1]) for m in mine], pa.int64()),
-                 _lists([m[1] for m in mine])], names=["sig", "n", "shingles"])
+                [pa.array([m[0] for m in mine], pa.int64()), pa.array([len(m[1]) for m in mine], pa.int64()),
+                 _lists([m[1] for m in mine])], names=["id", "n", "shingles"])
 
 
 def boundary(histogram: dict[int, int]) -> int:
@@ -179,10 +180,10 @@ def boundary(histogram: dict[int, int]) -> int:
 
 
 def _subsets(batches):
-    """(key, sig, n, other) for every subset that a partner could share."""
+    """(key, id, n, other) for every subset that a partner could share."""
     for b in batches:
-        keys, sigs, sizes, others = [], [], [], []
-        for sig, n, s in zip(*(c.to_pylist() for c in b.columns)):
+        keys, ids, sizes, others = [], [], [], []
+        for i, n, s in zip(*(c.to_pylist() for c in b.columns)):
             mixed = [int(x) for x in _mix(np.array(s, np.int64).view(np.uint64))]
             whole = sum(mixed)
             for m in partners(n):
@@ -191,29 +192,28 @@ def _subsets(batches):
                 for left in combinations(mixed, n - c):
                     kept = (whole - sum(left)) & 0xFFFFFFFFFFFFFFFF
                     keys.append(xxhash.xxh3_128_digest(pair + kept.to_bytes(8, "little")))
-                    sigs.append(sig)
+                    ids.append(i)
                     sizes.append(n)
                     others.append(m)
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(sigs, pa.binary()),
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(ids, pa.int64()),
                                           pa.array(sizes, pa.int64()), pa.array(others, pa.int64())],
-                                         names=["key", "sig", "n", "other"])
+                                         names=["key", "id", "n", "other"])
 
 
 def _small_links(small: DataFrame) -> DataFrame:
     """Edges among small sets: under each key, from every member to the least
     member of the other size (of the same size, where both are equal)."""
-    rows = small.mapInArrow(_subsets, "key binary, sig binary, n long, other long")
-    least = rows.groupBy("key", "n").agg(F.min("sig").alias("v"))
+    rows = small.mapInArrow(_subsets, "key binary, id long, n long, other long")
+    least = rows.groupBy("key", "n").agg(F.min("id").alias("v"))
     met = rows.withColumn("match", F.col("other")).join(least.withColumnRenamed("n", "match"), ["key", "match"])
-    return met.select(F.col("sig").alias("u"), "v").filter("u <> v").distinct()
+    return met.select(F.col("id").alias("u"), "v").filter("u <> v").distinct()
 
 
 def _scan(group: pd.DataFrame) -> pd.DataFrame:
     """Spanning links of the sets of one task, by scanning inverted lists."""
-    group = group.drop_duplicates("sig")
-    sigs, sizes = group["sig"].to_list(), group["n"].to_numpy()
+    ids, sizes = group["id"].to_numpy(), group["n"].to_numpy()
     sets = group["shingles"].to_list()
-    k = len(sigs)
+    k = len(ids)
     owner = np.repeat(np.arange(k), [len(s) for s in sets])
     token = np.unique(np.concatenate(sets), return_inverse=True)[1] if k else owner
     ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
@@ -258,41 +258,46 @@ def _scan(group: pd.DataFrame) -> pd.DataFrame:
                 listed, starts, size = inverted()
         if not left:
             break
-    return pd.DataFrame({"u": [sigs[a] for a, _ in links], "v": [sigs[b] for _, b in links]}, columns=["u", "v"])
+    return pd.DataFrame({"u": ids[[a for a, _ in links]], "v": ids[[b for _, b in links]]})
 
 
 def _survivors(sketch: DataFrame, classes: DataFrame, low: int) -> DataFrame:
-    """Classes of at least ``low`` shingles that pass the first filter."""
+    """Classes of at least ``low`` shingles that pass the first filter.  One
+    shuffle and sort of the least hashes tells, by its neighbours in the list
+    of its hash, whether a set is counted there already and whether another
+    set stands beside it."""
     postings = (sketch.filter((F.size("least") > 0) & (F.col("n") >= low))
-                      .select("node", F.explode("least").alias("token"))
-                      .repartition("token").dropDuplicates(["token", "node"]))
-    shared = postings.groupBy("token").agg(F.count("*").alias("k")).filter("k > 1").select("token")
-    counts = postings.join(shared, "token", "left_semi").groupBy("node").agg(F.count("*").alias("k"))
+                      .select("node", F.explode("least").alias("token")))
+    listed = Window.partitionBy("token").orderBy("node")
+    before = F.lag("node").over(listed)
+    counts = (postings.select("node", before.alias("before"), F.max("node").over(Window.partitionBy("token")).alias("most"))
+                      .filter("(before is null or before <> node) and (before is not null or most <> node)")
+                      .groupBy("node").agg(F.count("*").alias("k")))
     least = F.ceil(F.col("n") * NUM / DEN)
-    enough = F.greatest(F.lit(1), F.floor(least / 12))
-    return (classes.filter(F.col("n") >= low).join(counts, "node")
-                   .filter(F.col("k") >= enough).select("sig", "cid"))
+    enough = F.greatest(F.lit(1), F.floor(least / SLACK))
+    return (classes.filter(F.col("n") >= low).join(counts, "node").filter(F.col("k") >= enough)
+                   .select("id", "sig", F.col("cid").alias("did")))
 
 
 def _families(sets: DataFrame) -> DataFrame:
-    """(sig, n, shingles, family): shared shingles of the sets that may have a
+    """(id, n, shingles, family): shared shingles of the sets that may have a
     partner."""
-    postings = sets.select("sig", F.explode("shingles").alias("token")).repartition("token")
-    df = postings.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
-    listed = postings.join(df, "token").groupBy("sig").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("s"))
+    postings = sets.select("id", F.explode("shingles").alias("token"))
+    listed = (postings.withColumn("df", F.count("*").over(Window.partitionBy("token"))).filter("df > 1")
+                      .groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("s")))
     spare = F.col("n") - F.ceil(F.col("n") * NUM / DEN)  # shingles that a link can leave unmatched
     alone = F.col("n") - F.size("s")
-    kept = stored(sets.select("sig", "n").join(listed, "sig").filter(alone <= spare)
+    kept = stored(sets.select("id", "n").join(listed, "id").filter(alone <= spare)
                       .withColumn("prefix", F.slice("s", 1, (spare + 1 - alone).cast("int")))
-                      .select("sig", "n", F.col("s.token").alias("shingles"), F.col("prefix.token").alias("prefix")),
-                  "jaccard-sets")
-    rare = kept.select("sig", F.explode("prefix").alias("token"))
-    first = rare.groupBy("token").agg(F.min("sig").alias("v"), F.count("*").alias("k")).filter("k > 1")
-    edges = rare.join(first, "token").select(F.col("sig").alias("u"), "v")
+                      .select("id", "n", F.col("s.token").alias("shingles"), F.col("prefix.token").alias("prefix")),
+                  "jaccard-sets", release=True)
+    rare = kept.select("id", F.explode("prefix").alias("token"))
+    first = F.min("id").over(Window.partitionBy("token"))
+    edges = rare.select(F.col("id").alias("u"), first.alias("v")).filter("u <> v")
     roots = components(edges)
-    least = roots.select(F.col("root").alias("sig"), F.col("root").alias("family")).distinct()
-    return kept.select("sig", "n", "shingles").join(
-        roots.select(F.col("node").alias("sig"), F.col("root").alias("family")).union(least), "sig")
+    least = roots.select(F.col("root").alias("id"), F.col("root").alias("family")).distinct()
+    return kept.select("id", "n", "shingles").join(
+        roots.select(F.col("node").alias("id"), F.col("root").alias("family")).union(least), "id")
 
 
 def _large_links(family: DataFrame, task_shingles: int) -> DataFrame:
@@ -304,7 +309,7 @@ def _large_links(family: DataFrame, task_shingles: int) -> DataFrame:
     tasks = max(1, -(-int(total) * 2 // task_shingles))
     cut = sums.select("family", F.ceil(F.col("w") / F.lit(task_shingles / 2)).alias("blocks"))
     rows = family.join(cut, "family")
-    block = F.pmod(F.xxhash64("sig"), F.col("blocks"))
+    block = F.pmod(F.xxhash64("id"), F.col("blocks"))
     pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
                         lambda j: F.struct(F.least(F.col("block"), j).alias("i"), F.greatest(F.col("block"), j).alias("j")))
     pairs = F.filter(pairs, lambda p: (p["i"] < p["j"]) | (F.col("blocks") == 1))
@@ -313,8 +318,8 @@ def _large_links(family: DataFrame, task_shingles: int) -> DataFrame:
              .otherwise(F.struct(F.xxhash64("family").alias("g"), F.col("pair.i").alias("i"), F.col("pair.j").alias("j")))
     dealt = (rows.withColumn("block", block)
                  .withColumn("pair", F.explode(F.when(F.col("blocks") <= 2, F.slice(pairs, 1, 1)).otherwise(pairs)))
-                 .select(place.alias("place"), "sig", "n", "shingles").select("place.*", "sig", "n", "shingles"))
-    return dealt.groupBy("g", "i", "j").applyInPandas(_scan, "u binary, v binary")
+                 .select(place.alias("place"), "id", "n", "shingles").select("place.*", "id", "n", "shingles"))
+    return dealt.groupBy("g", "i", "j").applyInPandas(_scan, "u long, v long")
 
 
 def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", task_shingles: int = TASK_SHINGLES) -> DataFrame:
@@ -325,29 +330,30 @@ def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", task_shing
     sketch = stored(rows.mapInArrow(_sketch, _SKETCH), "jaccard-sketch")
     classes = stored(sketch.filter("n > 0").groupBy("sig")
                            .agg(F.min("did").alias("cid"), F.min("n").alias("n"), F.min("node").alias("node"),
-                                F.count("*").alias("members")),
-                     "jaccard-classes")
+                                F.count("*").alias("members"))
+                           .withColumn("id", F.monotonically_increasing_id()), "jaccard-classes")
     sizes = {r.n: r["count"] for r in classes.filter(F.col("n") <= MOST_SMALL).groupBy("n").count().collect()}
     x = boundary(sizes)
-    small = sketch.filter((F.col("n") <= x) & (F.size("least") > 0)).select("sig", "n", "least").dropDuplicates(["sig"])
-    found = _survivors(sketch, classes, least_overlap(x + 1))
-    sets = stored(rows.select("did", "raw").join(found.withColumnRenamed("cid", "did"), "did")
-                      .select("sig", "raw").mapInArrow(_sets_of, "sig binary, n long, shingles array<long>")
-                      .dropDuplicates(["sig"]), "jaccard-candidates")
+    small = (sketch.filter((F.col("n") <= x) & (F.size("least") > 0)).select("sig", "least").dropDuplicates(["sig"])
+                   .join(classes.filter(F.col("n") <= x).select("sig", "id", "n"), "sig").select("id", "n", "least"))
+    found = stored(_survivors(sketch, classes, least_overlap(x + 1)), "jaccard-survivors", release=True)
+    sets = stored(rows.select("did", "raw").join(found, "did").select("id", "sig", "raw")
+                      .mapInArrow(_sets_of, "id long, n long, shingles array<long>")
+                      .dropDuplicates(["id"]), "jaccard-candidates", release=True)
     links = _small_links(small).union(_large_links(_families(sets), task_shingles))
     roots = components(links)
-    every = roots.select(F.col("node").alias("sig"), "root").union(
-        roots.select(F.col("root").alias("sig"), "root").distinct())
-    linked = (classes.join(every, "sig", "left").filter("members > 1 or root is not null")
-                     .withColumn("root", F.coalesce("root", "sig")))
-    least = linked.groupBy("root").agg(F.min("cid").alias("component"))
-    names = linked.join(least, "root").select("sig", "root", "component", F.explode(
+    every = roots.select(F.col("node").alias("id"), "root").union(
+        roots.select(F.col("root").alias("id"), "root").distinct())
+    linked = (classes.join(every, "id", "left").filter("members > 1 or root is not null")
+                     .withColumn("root", F.coalesce("root", "id")))
+    least = linked.groupBy("root").agg(F.min("cid").alias("component_id"), F.min("sig").alias("component"))
+    names = linked.join(least, "root").select("sig", "component_id", "component", F.explode(
         F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     member = sketch.select("did", "n", "sig", "text_hash", F.pmod(F.xxhash64("did"), F.lit(SALTS)).cast("int").alias("salt"))
     return member.join(names, ["sig", "salt"], "left").select(
         not_last(F.col("did")).alias("doc_id"), F.col("n").alias("n_shingles"),
-        not_last(F.coalesce("component", "did")).alias("component_id"), F.hex(F.coalesce("root", "sig")).alias("component"),
-        "text_hash")
+        not_last(F.coalesce("component_id", "did")).alias("component_id"),
+        F.hex(F.coalesce("component", "sig")).alias("component"), "text_hash")
 
 
 def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

@@ -8,6 +8,7 @@ only its own tasks.
 
 from __future__ import annotations
 
+import gc
 import mmap
 import tempfile
 import uuid
@@ -46,11 +47,16 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/equiframe-llm/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, release: bool = False) -> DataFrame:
     """``df`` written to the shared folder and read back: lineage ends here
-    and nothing above is computed twice."""
+    and nothing above is computed twice.  ``release``: its shuffles were large;
+    collect the driver's garbage, so that Spark's cleaner deletes their files
+    now and not when the driver next runs short of memory."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
+    if release:
+        gc.collect()
+        df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
