@@ -4,7 +4,7 @@ A non-decreasing sequence of n numbers below u keeps the low
 l = log2(u / n) bits of each number packed in a row, and the high bits as a
 bit vector of n ones and u / 2**l zeros.  Both parts are plain bytes, so a
 sequence is read where it lies in a mapped file; only the counts of ones per
-``BLOCK`` bytes, an eighth of the vector or less, are held in memory.
+``BLOCK`` bytes are held in memory.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ import struct
 
 import numpy as np
 
-BLOCK = 32             # bytes of the bit vector per count
+BLOCK = 8              # bytes of the bit vector per count
 _HEAD = "<QQQQ"        # numbers, low bits, bytes of the low part, bytes of the vector
 HEAD_BYTES = struct.calcsize(_HEAD)
 _ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
@@ -53,7 +53,7 @@ class Sequence:
         self.low, self.vector = data[at:at + low], data[at + low:at + low + vector]
         self.end = at + low + vector
         ones = np.add.reduceat(_ONES[self.vector], np.arange(0, vector, BLOCK)) if vector else np.zeros(0, np.int64)
-        self.ones = np.concatenate([[0], np.cumsum(ones, dtype=np.int64)])
+        self.ones = np.concatenate([[0], np.cumsum(ones, dtype=np.int64)])  # before each block
         self.zeros = np.arange(len(self.ones)) * (8 * BLOCK) - self.ones
 
     def _select(self, k: np.ndarray, counts: np.ndarray, flip: int) -> np.ndarray:
@@ -112,11 +112,35 @@ class Sequence:
         return a
 
     def find(self, x: np.ndarray, begin: np.ndarray | int = 0, end: np.ndarray | int | None = None) -> np.ndarray:
-        """The place in [begin, end) that holds x, else -1."""
-        at = self.successor(x, begin, end)
-        end = self.n if end is None else end
-        inside = np.flatnonzero((at < end) & (at < self.n))
-        out = np.full(len(at), -1, np.int64)
-        same = self.get(at[inside]) == x[inside]
-        out[inside[same]] = at[inside[same]]
+        """The place in [begin, end) that holds x, else -1.  Best with
+        ascending x.  The few numbers with the high bits of x are walked over
+        one by one, where there are many the successor is searched."""
+        out = np.full(len(x), -1, np.int64)
+        if not self.n or not len(x):
+            return out
+        end = np.minimum(np.broadcast_to(self.n if end is None else end, len(x)), self.n)
+        high = np.minimum(x >> np.uint64(self.low_bits), np.uint64(1 << 62)).astype(np.int64)
+        low = x & np.uint64((1 << self.low_bits) - 1)
+        at = np.maximum(self._before(high), begin)
+        live = np.flatnonzero(at < end)
+        for _ in range(4):
+            place = at[live]
+            bit = place + high[live]  # where a number of these high bits would stand
+            byte = np.minimum(bit >> 3, len(self.vector) - 1)
+            same = (bit >> 3 == byte) & ((self.vector[byte] >> (bit & 7).astype(np.uint8)) & 1 == 1)
+            live, place = live[same], place[same]
+            if not len(live):
+                return out
+            value = self._low(place)
+            hit = value == low[live]
+            out[live[hit]] = place[hit]
+            live = live[value < low[live]]
+            at[live] += 1
+            live = live[at[live] < end[live]]
+            if not len(live):
+                return out
+        place = self.successor(x[live], at[live], end[live])
+        inside = np.flatnonzero(place < end[live])
+        same = self.get(place[inside]) == x[live[inside]]
+        out[live[inside[same]]] = place[inside[same]]
         return out

@@ -138,10 +138,11 @@ class Words:
 
     def ids(self, h: np.ndarray) -> np.ndarray:
         """Ids of hashes, -1 for words that training lacks."""
-        part, out = _part_of(h, self.parts), np.full(len(h), -1, np.int64)
+        out, order = np.full(len(h), -1, np.int64), np.argsort(h)
+        part = _part_of(h[order], self.parts)
         for p in np.unique(part).tolist():
             if p in self.known:
-                mine = np.flatnonzero(part == p)
+                mine = order[slice(*np.searchsorted(part, [p, p + 1]))]
                 at = self.known[p][0].find(h[mine])
                 out[mine] = np.where(at >= 0, at + self.first[p], -1)
         return out
@@ -334,33 +335,35 @@ class Bigrams:
                               model[2048:2048 + monotone.n], model[2048 + monotone.n:])
         return self.opened[k]
 
-    def log10(self, context: np.ndarray, ids: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        """log10 probabilities of distinct bigrams; ``lower`` holds the words'
-        unigram log10 probabilities, for backing off."""
-        out, weight, found = lower.copy(), np.zeros(len(ids)), np.zeros(len(ids), bool)
-        order = np.argsort(context, kind="stable")
-        ranked = context[order]
+    def log10(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For ascending distinct keys (context and id): whether the bigram is
+        known, its log10 probability if it is, its context's backoff weight."""
+        found, logs, weight = np.zeros(len(keys), bool), np.zeros(len(keys)), np.zeros(len(keys))
+        all_contexts = (keys >> np.uint64(32)).astype(np.int64)
         for k, row in enumerate(self.parts):
-            a, b = np.searchsorted(ranked, [row["first_context"], row["last_context"] + 1])
+            a, b = np.searchsorted(all_contexts, [row["first_context"], row["last_context"] + 1])
             if a == b:
                 continue
-            mine = order[a:b]
             first, pointers, monotone, book, weight_book, codes, weights = self._open(k)
-            at = context[mine] - first
-            begin, end = pointers.get(at).astype(np.int64), pointers.get(at + 1).astype(np.int64)
-            weight[mine] = np.where(end > begin, weight_book[weights[at]], weight[mine])
-            search = np.flatnonzero((end > begin) & (ids[mine] >= 0) & ~found[mine])
-            if not len(search):
-                continue
-            begin, end = begin[search], end[search]
-            shift = np.zeros(len(search), np.uint64)
-            later = np.flatnonzero(begin > 0)
+            # a context's range is looked up once, for all its words
+            context, which = np.unique(all_contexts[a:b], return_inverse=True)
+            ends = np.unique(np.concatenate([context, context + 1])) - first
+            value = pointers.get(ends).astype(np.int64)
+            begin = value[np.searchsorted(ends, context - first)]
+            end = value[np.searchsorted(ends, context + 1 - first)]
+            shift = np.zeros(len(context), np.uint64)
+            later = np.flatnonzero((begin > 0) & (end > begin))
             shift[later] = monotone.get(begin[later] - 1) + np.uint64(1)
-            place = monotone.find(shift + ids[mine[search]].astype(np.uint64), begin, end)
+            known = (end > begin)[which]
+            weight[a:b][known] = weight_book[weights[context - first]][which][known]
+            search = np.flatnonzero(known & ~found[a:b])
+            ids = keys[a:b][search] & np.uint64(0xFFFFFFFF)
+            at = which[search]
+            place = monotone.find(shift[at] + ids, begin[at], end[at])
             hit = np.flatnonzero(place >= 0)
-            out[mine[search[hit]]] = book[codes[place[hit]]]
-            found[mine[search[hit]]] = True
-        return np.where(found, out, lower + weight)
+            logs[a + search[hit]] = book[codes[place[hit]]]
+            found[a + search[hit]] = True
+        return found, logs, weight
 
 
 _OPEN: dict = {}
@@ -457,16 +460,16 @@ def score_slice(raws: list, words: Words, level2: Bigrams) -> tuple[np.ndarray,
     context[1:] = ids[:-1]
     begins = np.concatenate([[0], ends[:-1]]).astype(np.int64)
     context[begins] = words.size
-    # distinct bigrams, by their numbers in this slice
-    before = np.empty_like(flat)
-    before[1:] = flat[:-1]
-    before[begins] = len(hashes)
-    keys, first, back = np.unique(before * (len(hashes) + 1) + flat, return_index=True, return_inverse=True)
-    logs = level2.log10(context[first], ids[first], unigram[flat[first]])
+    logs = unigram[flat]
+    # words that training lacks take the rank after all others: no bigram has it
+    known = np.flatnonzero(context >= 0)
+    keys, back = np.unique(_key(context[known], np.where(ids[known] >= 0, ids[known], 0xFFFFFFFF)), return_inverse=True)
+    found, own, weight = level2.log10(keys)
+    logs[known] = np.where(found[back], own[back], logs[known] + weight[back])
     if not words.total:
         unigram, logs = np.zeros_like(unigram), np.zeros_like(logs)
     add = lambda x: np.add.reduceat(x, begins) if len(begins) else x[:0]
-    return np.diff(ends, prepend=0), add((counts > 0)[flat].astype(np.int64)), add(unigram[flat]), add(logs[back])
+    return np.diff(ends, prepend=0), add((counts > 0)[flat].astype(np.int64)), add(unigram[flat]), add(logs)
 
 
 def held_out(doc_id: Column, modulus: int = 7, rest: int = 2) -> Column:
