@@ -117,10 +117,11 @@ def suffix_product(df: DataFrame, value: str, keys: list[str], order: str, out:
     last_cols = last_cols or {}
     blk = F.floor(F.datediff(F.col(order), F.lit("1970-01-01").cast("date")) / block_days).cast("long")
     v = F.col(value)
-    base = df.withColumn("_blk", blk).repartition(*[F.col(k) for k in keys], F.col("_blk"))
+    rows = df.withColumn("_blk", blk)
     if materialize:
         checkpoint_dir(df.sparkSession)
-        base = base.checkpoint(eager=True)
+        rows = rows.checkpoint(eager=True)
+    base = rows.repartition(*[F.col(k) for k in keys], F.col("_blk"))
 
     w_in = (Window.partitionBy(*keys, "_blk").orderBy(F.col(order).desc())
             .rowsBetween(Window.unboundedPreceding, -1))
@@ -128,7 +129,8 @@ def suffix_product(df: DataFrame, value: str, keys: list[str], order: str, out:
                     F.product(v).over(w_in).alias("_p_in"),
                     (F.count(F.lit(1)).over(w_in) - F.count(v).over(w_in)).alias("_n_in"))
 
-    per_block = base.groupBy(*keys, "_blk").agg(
+    # block totals from the rows as they come: partial sums are shuffled, not rows
+    per_block = rows.groupBy(*keys, "_blk").agg(
         F.product(v).alias("_p_b"),
         (F.count(F.lit(1)) - F.count(v)).alias("_n_b"),
         *[F.max_by(F.col(c), F.col(order)).alias(f"_lb_{o}") for o, c in last_cols.items()])

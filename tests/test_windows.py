@@ -126,3 +126,16 @@ def test_momentum_range_equals_full_history_restricted(spark):
     part = {r.num_key: (r.r5, r.r60) for r in momentum(daily, windows, start="1998-03-01", end="1999-06-30").collect()}
     assert set(part) == keys
     assert all(part[k] == full[k] for k in keys)
+
+
+def test_suffix_product_shuffles_raw_rows_once(spark):
+    import re
+
+    from equiframe.operators.windows import suffix_product
+
+    df = spark.range(100).selectExpr("cast(id % 3 as string) AS k", "date_add(date'2020-01-01', cast(id as int)) AS d",
+                                     "1.0D + id AS v", "'payload' AS wide")
+    plan = suffix_product(df, "v", ["k"], "d", "out")._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall("REPARTITION_BY_COL", plan)) == 1
+    # the other branch shuffles only what was aggregated before
+    assert re.search(r"Exchange hashpartitioning\([^\n]*ENSURE[^\n]*\n[^\n]*(Hash|Sort|ObjectHash)Aggregate\([^\n]*partial", plan)
