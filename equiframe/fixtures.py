@@ -46,12 +46,9 @@ def _fx(name: str, deps: list[str], sql: str) -> None:
 _BARS = """
 SELECT sym_cd, nation, base_dt,
        sum(qty) AS trd_vol, round(sum(ext), 2) AS trd_val,
-       min(CASE WHEN ts = first_ts THEN px END) AS open,
-       max(px) AS high, min(px) AS low,
-       max(CASE WHEN ts = last_ts THEN px END) AS close
+       min_by(lo, ts) AS open, max(hi) AS high, min(lo) AS low, max_by(hi, ts) AS close
 FROM (
-  SELECT x.*, min(ts) OVER (PARTITION BY sym_cd, base_dt) AS first_ts,
-              max(ts) OVER (PARTITION BY sym_cd, base_dt) AS last_ts
+  SELECT sym_cd, nation, base_dt, ts, sum(qty) AS qty, sum(ext) AS ext, min(px) AS lo, max(px) AS hi
   FROM (
     SELECT {sym} AS sym_cd, {nation} AS nation,
            CAST(date_trunc('{unit}', l.l_shipdate) AS DATE) AS base_dt, l.l_shipdate AS ts,
@@ -59,6 +56,7 @@ FROM (
            l.l_quantity AS qty, l.l_extendedprice AS ext
     FROM {lineitem} l {join}
   ) x
+  GROUP BY sym_cd, nation, base_dt, ts
 ) y
 GROUP BY sym_cd, nation, base_dt
 """
@@ -94,13 +92,13 @@ _fx("fx_part_daily", [], _DAILY.replace("{keymul}", "10000000").replace("{bars}"
 # --- stock_cons: consensus items keyed by num_key ---------------------------
 _fx("fx_cons", ["fx_daily"], """
 SELECT num_key,
-       close * CAST(4.0 AS DOUBLE) AS sales_12mf,
+       CASE WHEN num_key % 7 = 0 THEN NULL ELSE close * CAST(4.0 AS DOUBLE) END AS sales_12mf,
        close * CAST(0.6 AS DOUBLE) AS opr_prof_12mf,
        close * CAST(0.45 AS DOUBLE) AS earn_12mf,
        CASE WHEN num_key % 3 = 0 THEN NULL ELSE close * CAST(0.4 AS DOUBLE) END AS earn_dom_12mf,
        close * CAST(0.9 AS DOUBLE) AS bps_12mf,
        close * CAST(0.05 AS DOUBLE) AS eps_down_fy2
-FROM fx_daily WHERE num_key % 7 <> 0
+FROM fx_daily
 """)
 
 # --- workdays: the trading calendar of fx_daily with the report lag ---------
@@ -148,7 +146,7 @@ SELECT CAST(nation AS STRING) AS sym_cd,
        CAST(ytd_all AS DOUBLE) / 100 * CAST(0.15 AS DOUBLE) AS cash_flow,
        CAST(ytd_all AS DOUBLE) / 100 * CAST(0.05 AS DOUBLE) AS dpr,
        CAST(ytd_all AS DOUBLE) / 100 * CAST(0.02 AS DOUBLE) AS prop_div
-FROM fx_orders_q WHERE (nation + y * 4 + q) % 11 <> 0
+FROM fx_orders_q
 """)
 
 # --- company_fs_bs: balance-sheet items on the same grid --------------------
@@ -160,7 +158,7 @@ SELECT CAST(nation AS STRING) AS sym_cd,
             ELSE CAST(all_c AS DOUBLE) / 100 * CAST(0.5 AS DOUBLE) END AS cap,
        CASE WHEN (nation + q) % 5 = 0 THEN NULL
             ELSE CAST(all_c AS DOUBLE) / 100 * CAST(1.2 AS DOUBLE) END AS net_asset
-FROM fx_orders_q WHERE (nation + y * 4 + q) % 11 <> 0
+FROM fx_orders_q
 """)
 
 # --- vendor daily items per (customer nation, order week) -------------------
@@ -245,7 +243,7 @@ _fx("fx_base_price", [], """
 SELECT CAST(p_partkey AS STRING) AS ISU_SRT_CD,
        CASE WHEN p_size = 1 THEN '1'
             ELSE {commas:CAST(round(p_retailprice * 100, 0) AS BIGINT) - 7} END AS BAS_PRC
-FROM {part} WHERE p_partkey % 17 <> 0
+FROM {part}
 """)
 
 _fx("fx_excluded", [], """
@@ -312,7 +310,6 @@ SELECT DISTINCT CAST(date_trunc('week', l.l_shipdate) AS DATE) AS base_dt,
        {commas:CAST(1000 + 10 * k.n_nationkey AS BIGINT)} AS OPN_DD_INDX
 FROM {lineitem} l JOIN {supplier} s ON l.l_suppkey = s.s_suppkey
 JOIN {nation} k ON s.s_nationkey = k.n_nationkey JOIN {region} r ON k.n_regionkey = r.r_regionkey
-WHERE (k.n_nationkey + month(l.l_shipdate)) % 8 <> 0
 """)
 
 # --- vendor statement exports (all text, 'A'-prefixed codes) ----------------
