@@ -49,3 +49,11 @@ def assign_keys(df: DataFrame, order: list[str], key: str = "num_key", start: Co
                  .join(F.broadcast(offsets), on="_part", how="inner")
                  .withColumn(key, (start_col + F.col("_off") + pos + 1).cast("long")))
     return out.select(key, *[c for c in df.columns if c != key])
+
+
+def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key: where rows that share a key differ, the largest by
+    their other columns in order (NULL least).  Aggregated before the shuffle."""
+    rest = [c for c in df.columns if c not in keys]
+    best = df.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_row"))
+    return best.select(*keys, "_row.*").select(*df.columns)

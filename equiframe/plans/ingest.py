@@ -144,9 +144,10 @@ def stock_daily(universe: DataFrame, vendor: DataFrame, info: DataFrame,
     """The stock_daily rows for the landed days.
 
     prices (base_dt..base_p) + vendor daily items + the symbol's current
-    attribute version (as of the day) + a surrogate ``num_key`` continuing
-    after the largest key already stored (0 when empty), numbered in
-    (base_dt, sym_cd) order without a single-partition sort.
+    attribute version (as of the day) + a surrogate ``num_key``: a listing
+    that ``existing`` holds keeps its key, the others are numbered after the
+    largest key stored (0 when empty) in (base_dt, sym_cd) order, without a
+    single-partition sort.  Only the keys are numbered, before the joins.
     """
     px = universe.select("base_dt", "sym_cd", "trd_vol", "trd_val", "open", "high", "low",
                          "close", "base_p")
@@ -154,13 +155,19 @@ def stock_daily(universe: DataFrame, vendor: DataFrame, info: DataFrame,
     rows = px.join(v, on=["base_dt", "sym_cd"], how="left")
     rows = rows.join(info_as_of(px.select("sym_cd", "base_dt"), info), on=["sym_cd", "base_dt"],
                      how="left")
-    start: Column | int = 0
-    if existing is not None:
+    listed = px.select("base_dt", "sym_cd")
+    if existing is None:
+        keys = assign_keys(listed, ["base_dt", "sym_cd"], "num_key", 0)
+    else:
         start = F.coalesce(existing.agg(F.max("num_key")).scalar(), F.lit(0)).cast("long")
-    keyed = assign_keys(rows.select("base_dt", "sym_cd", "trd_vol", "trd_val", "open", "high",
-                                    "low", "close", "base_p", *VENDOR_DAILY, "info_update"),
-                        ["base_dt", "sym_cd"], "num_key", start)
-    return keyed
+        held = existing.select("num_key", "base_dt", "sym_cd").filter(F.col("base_dt").between(
+            listed.agg(F.min("base_dt")).scalar(), listed.agg(F.max("base_dt")).scalar()))
+        unseen = listed.join(held, on=["base_dt", "sym_cd"], how="left_anti")
+        keys = assign_keys(unseen, ["base_dt", "sym_cd"], "num_key", start).unionByName(
+            held.join(listed, on=["base_dt", "sym_cd"], how="left_semi"))
+    return rows.join(keys, on=["base_dt", "sym_cd"], how="inner").select(
+        "num_key", "base_dt", "sym_cd", "trd_vol", "trd_val", "open", "high", "low", "close", "base_p",
+        *VENDOR_DAILY, "info_update")
 
 
 def stock_cons(daily: DataFrame, vendor: DataFrame) -> DataFrame:

@@ -27,12 +27,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from equiframe.operators.filters import DateLike
+from equiframe.operators.keys import one_per_key
 from equiframe.plans import calendar as cal
 from equiframe.plans import factors as fac
 from equiframe.plans import ingest as ing
 from equiframe.plans import statements as st
 from equiframe import schemas
-from equiframe.sources.sinks import not_yet_stored, read_if_present, replace_partitions, upsert_table
+from equiframe.sources.sinks import finish_swap, read_if_present, replace_partitions, upsert_table
 from equiframe.session import checkpoint_dir
 from equiframe.sources.tables import TableStore
 
@@ -99,6 +100,7 @@ class EquityStore(TableStore):
         """The stored table (``None`` if never written).  With a date range a
         ``year`` predicate is added so only the touched partitions are read;
         the partition column itself is dropped."""
+        finish_swap(self.spark, self.path(name))
         df = read_if_present(self.spark, self.path(name))
         if df is None:
             return None
@@ -124,8 +126,10 @@ class EquityStore(TableStore):
         """Upsert ``rows`` with the table's keys.  Rows keyed by num_key get
         their partition year from ``key_days`` (num_key, base_dt) -- the
         stock_daily rows of the same load -- or, when not given, from the
-        stored stock_daily; rows whose key is unknown there are not stored."""
+        stored stock_daily; rows whose key is unknown there are not stored.
+        Neither are rows with a NULL in their key: a keyed table has none."""
         keys, parts = TABLES[name]
+        rows = rows.dropna(subset=keys)
         if name in FULL_COLUMNS and not self.exists(name):
             # first write creates the whole table, so later column-wise
             # upserts have their columns to fill
@@ -161,19 +165,29 @@ class EquityStore(TableStore):
         """D4-D10 for every landed day at once.
 
         ``prices`` carry a ``base_dt`` column (any number of days); the other
-        landed frames are keyed by (base_dt, ...) as well.  Listings already
-        stored (same base_dt, sym_cd) are skipped, so a re-run -- also after
-        a partially applied one -- writes nothing twice.
+        landed frames are keyed by (base_dt, ...) as well.  A listing that is
+        stored already keeps its num_key and takes the landed values, so a
+        re-run -- also after a partially applied one -- changes nothing and a
+        correction replaces what it corrects.  A listing landed twice counts
+        once (``one_per_key``).  Without landed prices the index levels are
+        stored all the same.
         """
-        stored_daily = self.table("stock_daily")
-        # no global sorts on the way to storage: files are sorted per partition
-        universe = ing.listed_universe(prices, base, excluded, sectors, F.col("base_dt"), ordered=False)
-        universe = not_yet_stored(universe, read_if_present(self.spark, self.path("stock_daily")),
-                                  ["base_dt", "sym_cd"])
+        idx = self.table("index_list")
+        if idx is not None:
+            daily_index = ing.index_daily(levels, index_base, idx, ordered=False)
+            self.upsert("index_daily", one_per_key(daily_index.dropna(subset=["idx_code"]), ["base_dt", "idx_code"]))
         # the landed span (two scalars) bounds the partitions read back below
         span = prices.agg(F.min("base_dt").alias("a"), F.max("base_dt").alias("b")).first()
         if span["a"] is None:
             return
+        checkpoint_dir(self.spark)
+        # no global sorts on the way to storage: files are sorted per partition;
+        # the universe is used by several tables and computed once
+        universe = one_per_key(ing.listed_universe(prices, base, excluded, sectors, F.col("base_dt"), ordered=False),
+                               ["base_dt", "sym_cd"]).checkpoint(eager=True)
+        vendor = one_per_key(vendor.filter(F.col("base_dt").between(F.lit(span["a"]), F.lit(span["b"]))),
+                             ["base_dt", "sym_cd"])
+        stored_daily = self.table("stock_daily")
 
         batch = info_batch if info_batch is not None else universe.join(
             vendor.select("base_dt", "sym_cd", "sec_fn_1", "sec_fn_2", "sec_fn_3"),
@@ -197,8 +211,6 @@ class EquityStore(TableStore):
         self.upsert("stock_cons", ing.stock_cons(daily, vendor), key_days)
         self.upsert("stock_managed", ing.stock_managed(daily, vendor), key_days)
         self.upsert("stocks_in_index", ing.stocks_in_index(daily, members, ordered=False), key_days)
-        idx = self.require("index_list")
-        self.upsert("index_daily", ing.index_daily(levels, index_base, idx, ordered=False))
 
     def load_statements(self, normalised: DataFrame, meta: DataFrame, quarters: DataFrame) -> None:
         """D11 + D13 for existing symbols: bs/pl upserts, then the trailing
@@ -235,8 +247,12 @@ class EquityStore(TableStore):
         value = fac.value_factors(in_range, cons, self.require("workdays"),
                                   self.require("company_fs_bs"), self.require("company_fs_pl_prep"))
         self.upsert("factor_daily", value, key_days)
-        # momentum needs up to 251 trading days before ``start``: read from two
-        # years earlier (partition pruning), bounded exactly inside momentum
-        lo_year = _year(start)
-        history = self.table("stock_daily", f"{lo_year - 2}-01-01" if lo_year else None, end)
+        # the windows reach back as many trading days as the longest has: the
+        # stored calendar says since when, and only those years are read
+        history = self.table("stock_daily", end=end)
+        if start is not None:
+            earlier = (history.select("base_dt").distinct().filter(F.col("base_dt") < F.lit(start).cast("date"))
+                              .orderBy(F.desc("base_dt")).limit(max(fac.MOMENTUM_WINDOWS.values()) - 1))
+            since = earlier.agg(F.min("base_dt")).first()[0]
+            history = self.table("stock_daily", since or start, end)
         self.upsert("factor_daily", fac.momentum(history, start=start, end=end), key_days)

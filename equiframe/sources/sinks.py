@@ -6,6 +6,10 @@ queries use.  ``upsert_table`` / ``replace_partitions`` write them: only the
 partitions the source touches are read, merged, staged under the cluster's
 checkpoint folder and swapped in with dynamic partition overwrite, so a
 Parquet path is never overwritten while it is being read.
+
+A swap survives a lost driver: once the staged rows are complete, a marker
+beside the table names them; whoever opens the table next (``finish_swap``)
+repeats the overwrite from the staged rows, which are removed only after it.
 """
 
 from __future__ import annotations
@@ -64,31 +68,14 @@ def replace_partition_values(target: DataFrame, new_rows: DataFrame, part: Colum
                              values: DataFrame) -> DataFrame:
     """S5 with the partitions named by data: rows of ``target`` whose
     ``part`` value is in ``values`` (one column) are replaced by the rows of
-    ``new_rows`` with such a value.  The value set (years, days) is bounded
-    and broadcast."""
-    vals = F.broadcast(values.select(F.col(values.columns[0]).alias("_part")).distinct())
+    ``new_rows`` with such a value.  The value set (years, days) is small;
+    Spark picks the join by its size."""
+    vals = values.select(F.col(values.columns[0]).alias("_part")).distinct()
     kept = target.withColumn("_part", part).join(vals, on="_part", how="left_anti").drop("_part")
     fresh = new_rows.withColumn("_part", part).join(vals, on="_part", how="left_semi").drop("_part")
     return kept.unionByName(fresh.select(*target.columns))
 
 
-def not_yet_stored(batch: DataFrame, stored: DataFrame | None, keys: list[str],
-                   date_col: str = "base_dt") -> DataFrame:
-    """Landed rows whose key is not stored yet (a replayed or partially
-    applied load writes nothing twice).  Only the stored rows inside the
-    batch's date span are read; with a ``year`` partition column the span
-    also prunes partitions."""
-    if stored is None:
-        return batch
-    lo = batch.agg(F.min(date_col)).scalar()
-    hi = batch.agg(F.max(date_col)).scalar()
-    recent = stored
-    if "year" in stored.columns:
-        recent = recent.filter(F.col("year").between(F.year(lo), F.year(hi)))
-    recent = recent.filter(F.col(date_col).between(lo, hi)).select(*keys)
-    return batch.join(recent, on=keys, how="left_anti")
-
-
 def _staging(spark: SparkSession, staging_root: str | None) -> str:
     root = staging_root or checkpoint_dir(spark)
     return f"{root.rstrip('/')}/staging-{uuid.uuid4().hex}"
@@ -105,6 +92,46 @@ def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def _marker(path: str) -> str:
+    return f"{path.rstrip('/')}._swap"
+
+
+def finish_swap(spark: SparkSession, path: str) -> None:
+    """Finish the swap that a lost driver left unfinished, if there is one.
+    The overwrite from staged rows can be repeated any number of times."""
+    try:
+        marker = spark.read.schema("stage string, partition_by array<string>").parquet(_marker(path)).collect()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return
+    for m in marker:  # a marker whose write broke off has no row: nothing was swapped yet
+        staged = read_if_present(spark, m["stage"])
+        if staged is not None:
+            (staged.write.mode("overwrite")
+                   .option("partitionOverwriteMode", "dynamic" if m["partition_by"] else "static")
+                   .partitionBy(*m["partition_by"]).parquet(path))
+    _delete(spark, _marker(path))
+    for m in marker:
+        _delete(spark, m["stage"])
+
+
+def _swap(spark: SparkSession, path: str, stage: str, partition_by: list[str]) -> None:
+    """Put the complete staged rows in place of the table's partitions."""
+    if read_if_present(spark, stage) is None:  # nothing touched
+        _delete(spark, stage)
+        return
+    (spark.createDataFrame([(stage, partition_by)], "stage string, partition_by array<string>")
+          .coalesce(1).write.mode("overwrite").parquet(_marker(path)))
+    finish_swap(spark, path)
+
+
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: list[str],
                  partition_by: list[str] | None = None, staging_root: str | None = None,
                  sort_within: list[str] | None = None) -> None:
@@ -116,6 +143,7 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: list[s
     they are rewritten.
     """
     partition_by = partition_by or []
+    finish_swap(spark, path)
     order = [*partition_by, *(sort_within or [])]
 
     def laid_out(df: DataFrame) -> DataFrame:
@@ -129,26 +157,18 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: list[s
     if partition_by:
         # partition values (years, days) are a bounded set
         touched = source.select(*partition_by).distinct()
-        target = target.join(F.broadcast(touched), on=partition_by, how="left_semi")
+        target = target.join(touched, on=partition_by, how="left_semi")
     merged = upsert_partial(target, source, keys)
     stage = _staging(spark, staging_root)
     laid_out(merged).write.partitionBy(*partition_by).parquet(stage)
-    staged = read_if_present(spark, stage)
-    if staged is None:  # nothing touched (empty source)
-        return
-    (staged.write.mode("overwrite")
-          .option("partitionOverwriteMode", "dynamic" if partition_by else "static")
-          .partitionBy(*partition_by).parquet(path))
+    _swap(spark, path, stage, partition_by)
 
 
 def replace_partitions(spark: SparkSession, path: str, new_rows: DataFrame, partition_by: list[str],
                        staging_root: str | None = None) -> None:
     """S5 on a stored table: the partitions present in ``new_rows`` are
     replaced wholesale (dynamic partition overwrite), others untouched."""
+    finish_swap(spark, path)
     stage = _staging(spark, staging_root)
     new_rows.write.partitionBy(*partition_by).parquet(stage)
-    staged = read_if_present(spark, stage)
-    if staged is None:  # no new rows
-        return
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy(*partition_by).parquet(path))
+    _swap(spark, path, stage, partition_by)

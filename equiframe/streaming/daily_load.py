@@ -1,17 +1,17 @@
 """Incremental daily load as a Structured Streaming job.
 
 The reference asks "which trading days are after the last loaded one?",
-fetches them and upserts the daily tables.  Here the landed day files are a
-file stream: each micro-batch holds the newly landed files, and
-``foreachBatch``
+fetches them and upserts the daily tables.  Here the landed day files of
+``stock_daily`` (no other table) are a file stream: each micro-batch holds the
+newly landed files, and ``foreachBatch``
 
-1. drops landed rows whose (base_dt, sym_cd) is already stored (a replayed
-   or partially applied batch after a failure writes nothing twice; only
-   the batch's date span of the table is read),
+1. keeps one row per (base_dt, sym_cd) of the batch,
 2. builds the stock_daily rows (vendor items, attribute version as of the
-   day, contiguous ``num_key`` after the stored maximum),
+   day; a listing already stored keeps its ``num_key``, the others get
+   contiguous ones after the stored maximum),
 3. upserts them on (base_dt, sym_cd) into the year-partitioned table
-   (only touched years are rewritten; staged, then swapped).
+   (only touched years are rewritten; staged, then swapped), so a replayed
+   batch changes nothing and a corrected day replaces the old values.
 
 Offsets live in the checkpoint location under ``spark.checkpoint.dir``; run
 with ``available_now=True`` for a catch-up batch job, or with a processing
@@ -30,7 +30,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from equiframe.plans.ingest import stock_daily
 from equiframe.session import checkpoint_dir
-from equiframe.sources.sinks import not_yet_stored, read_if_present, upsert_table
+from equiframe.operators.keys import one_per_key
+from equiframe.sources.sinks import finish_swap, read_if_present, upsert_table
 
 UNIVERSE_SCHEMA = T.StructType([
     T.StructField("base_dt", T.DateType()),
@@ -47,10 +48,12 @@ UNIVERSE_SCHEMA = T.StructType([
 
 def load_batch(spark: SparkSession, batch: DataFrame, table_path: str, vendor: DataFrame,
                info: DataFrame) -> None:
-    """One micro-batch: new days only, keyed, upserted by year partition."""
+    """One micro-batch into stock_daily: a row per listing, stored listings
+    keep their key and take the landed values, upserted by year partition."""
+    finish_swap(spark, table_path)
     existing = read_if_present(spark, table_path)
-    fresh = not_yet_stored(batch, existing, ["base_dt", "sym_cd"])
-    rows = stock_daily(fresh, vendor, info, existing.drop("year") if existing is not None else None)
+    keys = ["base_dt", "sym_cd"]
+    rows = stock_daily(one_per_key(batch, keys), one_per_key(vendor, keys), info, existing.drop("year") if existing is not None else None)
     rows = rows.withColumn("year", F.year("base_dt"))
     upsert_table(spark, table_path, rows, ["base_dt", "sym_cd"], partition_by=["year"])
 

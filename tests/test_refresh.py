@@ -92,3 +92,94 @@ def test_missing_prerequisite_is_a_clear_error(spark):
     store = EquityStore(spark, f"{root}/db")
     with pytest.raises(ValueError, match="load_daily"):
         store.refresh_factors()
+
+
+def test_reload_keeps_keys_takes_corrections_and_counts_duplicates_once(spark):
+    root = tempfile.mkdtemp(prefix="equiframe-store-", dir="/tmp")
+    store = EquityStore(spark, f"{root}/db", staging_root=f"{root}/staging")
+    load = lambda n: fx.load(spark, SF, n)
+    store.refresh_index_list(load("fx_index_raw"))
+    listing = load("fx_listing")
+    prices = listing.withColumn("base_dt", F.lit("1998-01-05").cast("date"))
+    landed = dict(base=load("fx_base_price"), excluded=load("fx_excluded"), sectors=load("fx_sectors"),
+                  vendor=load("fx_vendor"), members=load("fx_members"), levels=load("fx_index_levels"),
+                  index_base=load("fx_index_base"))
+    names = ("stock_daily", "stock_info", "stock_cons", "stock_managed", "stocks_in_index", "index_daily")
+
+    def all_rows():
+        return {n: sorted(map(str, store.table(n).collect())) for n in names if store.exists(n)}
+
+    store.load_daily(prices, **landed)
+    first = all_rows()
+    assert first["stock_daily"] and first["index_daily"]
+    assert store.table("index_daily").filter("idx_code is null").count() == 0
+    store.load_daily(prices.unionByName(prices), **landed)  # again, every listing twice
+    assert all_rows() == first
+    keys = {r.sym_cd: r.num_key for r in store.table("stock_daily").collect()}
+    store.load_daily(prices.withColumn("TDD_CLSPRC", F.lit("999,999")), **landed)
+    got = store.table("stock_daily").collect()
+    assert {r.sym_cd: r.num_key for r in got} == keys and {r.close for r in got} == {999999.0}
+    # levels are stored without prices, too
+    store.load_daily(prices.limit(0), **landed)
+    assert all_rows()["index_daily"] == first["index_daily"]
+    import os
+    assert not os.path.exists(f"{root}/staging") or os.listdir(f"{root}/staging") == []
+
+
+def test_ranged_momentum_reads_as_far_back_as_its_windows(spark):
+    root = tempfile.mkdtemp(prefix="equiframe-store-", dir="/tmp")
+    store = EquityStore(spark, f"{root}/db", staging_root=f"{root}/staging")
+    daily = fx.load(spark, SF, "fx_daily")  # weekly bars: 252 of them are five years
+    store.upsert("stock_daily", daily.withColumn("info_update", F.col("base_dt")))
+    store.refresh_workdays(daily.select(F.year("base_dt").alias("year")).distinct(),
+                           cal.fixed_holidays(daily.select(F.year("base_dt").alias("year")).distinct()))
+    from equiframe.plans import factors as fac
+    for name, cols in (("company_fs_bs", "fx_bs"), ("company_fs_pl_prep", "fx_prep")):
+        if cols in fx._FIXTURES:
+            store.upsert(name, fx.load(spark, SF, cols))
+    if not store.exists("company_fs_pl_prep"):
+        from equiframe.plans import statements as st
+        store.upsert("company_fs_pl_prep", st.trailing_pl_range(fx.load(spark, SF, "fx_bs"), fx.load(spark, SF, "fx_pl"),
+                                                                fx.load(spark, SF, "fx_bs").select("fs_q").distinct()))
+    store.refresh_factors(start="1998-01-01")
+    want = {r.num_key: r for r in fac.momentum(daily).join(daily.select("num_key", "base_dt"), "num_key")
+            .filter("base_dt >= '1998-01-01'").collect()}
+    got = store.table("factor_daily").collect()
+    assert {r.num_key for r in got} == set(want)
+    for r in got:
+        for c in ("ret_3m", "ret_6m", "ret_12m"):
+            a, b = r[c], want[r.num_key][c]
+            assert (a is None) == (b is None) and (a is None or abs(a - b) < 1e-9)
+
+
+def test_unfinished_swap_is_finished_by_the_next_open(spark, monkeypatch):
+    from equiframe.sources import sinks
+
+    root = tempfile.mkdtemp(prefix="equiframe-store-", dir="/tmp")
+    path, staging = f"{root}/t", f"{root}/staging"
+    make = lambda rows: spark.createDataFrame(rows, "k int, v string, year int")
+    sinks.upsert_table(spark, path, make([(1, "a", 2000), (2, "b", 2001)]), ["k"], ["year"], staging)
+
+    def lost(spark, path):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(sinks, "finish_swap", lambda s, p: None if not hasattr(lost, "armed") else lost(s, p))
+    real_swap = sinks._swap
+
+    def broken(spark, path, stage, parts):
+        lost.armed = True
+        real_swap(spark, path, stage, parts)
+
+    monkeypatch.setattr(sinks, "_swap", broken)
+    try:
+        sinks.upsert_table(spark, path, make([(2, "B", 2001), (3, "c", 2001)]), ["k"], ["year"], staging)
+        raise AssertionError("the swap should have broken off")
+    except RuntimeError:
+        pass
+    monkeypatch.undo()
+    import shutil
+    shutil.rmtree(f"{path}/year=2001")  # the overwrite had begun
+    sinks.finish_swap(spark, path)
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(1, "a", 2000), (2, "B", 2001), (3, "c", 2001)]
+    import os
+    assert os.listdir(staging) == [] and not os.path.exists(f"{path}._swap")
