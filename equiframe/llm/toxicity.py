@@ -39,7 +39,7 @@ from equiframe.llm.quality import plain_words
 
 FIT_ROWS = 2500        # toxic, and as many clean, labelled rows at most
 PREFIXES = (4, 5, 6, 7, 8, 9)   # bytes
-MIN_SHARE, MIN_ODDS = 0.02, 8.0   # of toxic texts
+MIN_SHARE, MIN_ODDS = 0.02, 12.0   # of toxic texts
 LEAST_TOXIC, MOST_FEATURES = 4, 4000
 GRADES = (0, 2, 4)     # distinct marked words from which a toxic text has grade 1, 2, 3
 ROUNDS, RATE, RIDGE = 500, 0.1, 1e-4
@@ -53,20 +53,24 @@ def features(words: set[bytes], prefixes: tuple[int, ...] = PREFIXES) -> set[byt
     return out
 
 
-def choose(toxic: list[set], clean: list[set]) -> list[bytes]:
-    """Features that mark toxic texts, the likeliest first."""
-    a, b = Counter(), Counter()
-    for f in toxic:
-        a.update(f)
-    for f in clean:
-        b.update(f)
+def choose(toxic: list[set], clean: list[set], prefixes: tuple[int, ...] = PREFIXES) -> list[bytes]:
+    """Features of texts (sets of words) that mark toxic ones, the likeliest
+    first.  Words, then the prefixes of each length, are counted in turn, in
+    clean texts only what toxic ones hold often enough."""
     least = max(LEAST_TOXIC, MIN_SHARE * len(toxic))
-    odds = {f: ((n + 0.1) / (len(toxic) + 1)) / ((b[f] + 0.1) / (len(clean) + 1)) for f, n in a.items() if n >= least}
+    count: dict[bytes, int] = {}
+    odds: dict[bytes, float] = {}
+    for k in (None, *prefixes):
+        a = Counter(f for words in toxic for f in (words if k is None else features(words, (k,)) - words))
+        a = Counter({f: n for f, n in a.items() if n >= least})
+        b = Counter(f for words in clean for f in (words if k is None else features(words, (k,))) if f in a)
+        count.update(a)
+        odds.update({f: ((n + 0.1) / (len(toxic) + 1)) / ((b[f] + 0.1) / (len(clean) + 1)) for f, n in a.items()})
     marked = [f for f, o in odds.items() if o >= MIN_ODDS]
     words = [f for f in marked if not f.endswith(b"*")]
-    own = {f: max((a[w] for w in words if w.startswith(f[:-1])), default=0) for f in marked if f.endswith(b"*")}
-    marked = [f for f in marked if own.get(f, 0) < 0.9 * a[f]]  # a prefix must cover more than one word
-    return sorted(marked, key=lambda f: (-odds[f] * a[f], f))[:MOST_FEATURES]
+    own = {f: max((count[w] for w in words if w.startswith(f[:-1])), default=0) for f in marked if f.endswith(b"*")}
+    marked = [f for f in marked if own.get(f, 0) < 0.9 * count[f]]  # a prefix must cover more than one word
+    return sorted(marked, key=lambda f: (-odds[f] * count[f], f))[:MOST_FEATURES]
 
 
 def grade_labels(toxic: list[set], chosen: list[bytes]) -> list[int]:
@@ -112,16 +116,14 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, n_features: int, levels: int
 def fit_words(texts: list[set[bytes]], labels: list[int], graded: bool = False) -> dict | None:
     """A model from the distinct words of labelled texts; None if one kind is
     missing."""
-    found = [features(t) for t in texts]
-    toxic = [f for f, y in zip(found, labels) if y > 0]
-    clean = [f for f, y in zip(found, labels) if y == 0]
+    toxic = [t for t, y in zip(texts, labels) if y > 0]
+    clean = [t for t, y in zip(texts, labels) if y == 0]
     if not toxic or not clean:
         return None
     chosen = choose(toxic, clean)
     number = {f: i for i, f in enumerate(chosen)}
-    ordered = toxic + clean
     grades = np.array(([y for y in labels if y > 0] if graded else grade_labels(toxic, chosen)) + [0] * len(clean))
-    rows = [np.array(sorted(number[x] for x in f if x in number), int) for f in ordered]
+    rows = [np.array(sorted(number[x] for x in features(t) & number.keys()), int) for t in toxic + clean]
     weights, theta = fit(rows, grades, len(chosen), int(grades.max()))
     return {"weights": dict(zip(chosen, weights.tolist())), "theta": theta}
 
