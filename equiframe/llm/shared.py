@@ -26,11 +26,16 @@ NO_ID = (1 << 63) - 1
 
 
 _SHIPPED: set[str] = set()
+BATCH_ROWS = "2500"    # texts in an Arrow batch, unless the session says otherwise
 
 
 def ship_package(spark: SparkSession) -> None:
     """Give the package to the Python workers of the session's executors, once
-    an application (as ``--py-files`` does for a submitted job)."""
+    an application (as ``--py-files`` does for a submitted job), and keep
+    Arrow batches of texts small, for the workers' memory."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows, None) in (None, "10000"):
+        spark.conf.set(rows, BATCH_ROWS)
     app = spark.sparkContext.applicationId
     if app not in _SHIPPED:
         package = Path(__file__).resolve().parents[1]

@@ -38,7 +38,7 @@ from equiframe.llm.shared import map_file, not_last, or_last, shared_path, write
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 # Fixed value: the pre-tokenizer's pattern, written for the characters of _PLAIN after lower-casing.
 _PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
-CACHED = 500_000   # words of a cache generation; two are kept
+CACHED = 200_000        # words of a cache generation; two are kept
 
 
 def _byte_letters() -> dict[int, str]:
