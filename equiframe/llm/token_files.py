@@ -38,7 +38,7 @@ from equiframe.llm.shared import map_file, not_last, or_last, shared_path, write
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 # Fixed value: the pre-tokenizer's pattern, written for the characters of _PLAIN after lower-casing.
 _PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
-CACHED = 200_000        # words of a cache generation; two are kept
+CACHED = 250_000        # words of a cache generation; two are kept
 
 
 def _byte_letters() -> dict[int, str]:
@@ -49,6 +49,19 @@ def _byte_letters() -> dict[int, str]:
     return {**{b: chr(b) for b in shown}, **{b: chr(256 + i) for i, b in enumerate(hidden)}}
 
 
+class _Cache(dict):
+    """Words to ids; a missing word is taken from the older generation or
+    encoded."""
+
+    def __init__(self, make, old: dict):
+        super().__init__()
+        self.make, self.old = make, old
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self[word] = self.old.get(word) or self.make(word)
+        return ids
+
+
 class Encoder:
     """Word-cached encoding with a tokenizer file of the tokenizers library."""
 
@@ -57,7 +70,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
-        self.letters, self.words, self.old, self.pieces = _byte_letters(), {}, {}, {}
+        self.letters, self.words, self.pieces = _byte_letters(), _Cache(self._word, {}), {}
         self.plain = plain_words
 
     def _word(self, raw: bytes) -> bytes:
@@ -77,19 +90,11 @@ class Encoder:
 
     def encode(self, raw: bytes) -> bytes:
         """The ids of a UTF-8 text, little-endian, ``width`` wide."""
-        words, known = raw.split(), self.words
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            pass
-        if len(known) > CACHED:  # frequent words come back from the older generation
-            self.old, self.words, self.pieces = known, {}, {}
-            known = self.words
-        old = self.old
-        for w in set(words):
-            if w not in known:
-                known[w] = old[w] if w in old else self._word(w)
-        return b"".join([known[w] for w in words])
+        if len(self.words) > CACHED:  # frequent words come back from the older generation
+            self.words.old = {}
+            self.words, self.pieces = _Cache(self._word, self.words), {}
+        known = self.words
+        return b"".join([known[w] for w in raw.split()])
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
