@@ -11,6 +11,7 @@ computed by the same IEEE operations in both and compared as is.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,9 +19,9 @@ from pyspark.sql import functions as F
 
 from equiframe import fixtures as fx
 from equiframe.functions.dates import parse_yyyymmdd
-from equiframe.functions.text import NUMBER_PATTERN, parse_number, remove_dashes, sector_recode
+from equiframe.functions.text import parse_number, remove_dashes, sector_recode
 from equiframe.operators.columns import drop_range, select_range
-from equiframe.operators.filters import sym_dt_pick
+from equiframe.operators.filters import on_date, sym_dt_pick
 from equiframe.operators.joins import bounded_broadcast
 from equiframe.operators.windows import latest_per_key, market_calendar, rolling
 from equiframe.plans import calendar as cal
@@ -28,9 +29,11 @@ from equiframe.plans import factors as fac
 from equiframe.plans import ingest as ing
 from equiframe.plans import prices as prc
 from equiframe.plans import statements as st
+from equiframe.plans.refresh import EquityStore
+from equiframe.session import checkpoint_dir
 from equiframe.sources import sinks
 from equiframe.sources.payload import explode_payload
-from equiframe.sources.tables import read_parquet
+from equiframe.sources.tables import TableStore, read_parquet
 from equiframe.sources.vendor import cross_section, fiscal_basis, item_metadata
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,7 +47,8 @@ AS_OF = _dt.datetime(2000, 9, 1, 8, 30)
 LOADED_UNTIL = "2000-06-01"        # stock_daily loaded before this day
 BS_LOADED_UNTIL = "2000 Q1"        # statements loaded up to this quarter
 SNAPSHOT_DAY = "1995-01-09"        # symbol list snapshot taken before this day
-NAME_YEAR_END = "1995-12-31"       # names looked up: those in use in the first year
+NAMES_UNTIL = "1995-01-05"         # names looked up: those in use in the first days
+LAND_DAYS = ("1998-01-05", "1998-01-12", "1998-01-19")  # days landed in the stored load
 
 
 def finish(df: DataFrame, cols: list[str] | None = None, digits: int = 6) -> DataFrame:
@@ -252,11 +256,9 @@ def q_day_codes(spark: SparkSession, sf: str) -> DataFrame:
 # Step 4: scalar functions and ingest normalisers
 # --------------------------------------------------------------------------
 
-_NUM_RE = NUMBER_PATTERN
-
-
 def _pn(x: str) -> str:
-    return f"TRY_CAST(replace(regexp_extract({x}, '{_NUM_RE}', 0), ',', '') AS DOUBLE)"
+    """The first number of a text, stated apart from the library's rule."""
+    return f"TRY_CAST(regexp_extract(replace({x}, ',', ''), '-?([0-9]+([.][0-9]+)?|[.][0-9]+)', 0) AS DOUBLE)"
 
 
 _LISTING_NUM = ["ACC_TRDVOL", "ACC_TRDVAL", "TDD_OPNPRC", "TDD_HGPRC", "TDD_LWPRC", "TDD_CLSPRC", "ISU_ABBRV"]
@@ -286,7 +288,7 @@ def q_json_explode(spark: SparkSession, sf: str) -> DataFrame:
                        F.col("value").try_cast("double").alias("value"), "props")
 
 
-_CS_NUM = ["sales", "opr_prof", "earn", "earn_dom", "grs_asset", "net_asset", "cash_flow"]
+_CS_NUM = ["sales", "opr_prof", "earn", "earn_dom", "grs_asset", "net_asset", "op_cash_flow", "cash_flow"]
 
 
 @register("vendor_cross_section", _sql(["fx_cs_raw"], "SELECT substr(sym_cd, 2) AS sym_cd, period AS fs_q, " +
@@ -299,6 +301,51 @@ def q_vendor_cs(spark: SparkSession, sf: str) -> DataFrame:
     return cross_section(raw, meta, "fs", F.col("period"))
 
 
+_DAILY_TEXT = ["sym_mng", "sym_stop", "sym_reg"]
+_DAILY_NUM = ["net_buy_fi", "mkt_cap", "bps_12mf", "eps_down_fy2"]
+
+
+@register("vendor_cross_section_daily", _sql(["fx_vendor_raw"], "SELECT base_dt, substr(sym_cd, 2) AS sym_cd, " +
+                                             ", ".join([*_DAILY_TEXT, *(f"{_pn(c)} AS {c}" for c in _DAILY_NUM)]) +
+                                             " FROM fx_vendor_raw"))
+def q_vendor_daily(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily export text -> typed items keyed (base_dt, sym_cd)."""
+    return cross_section(_fx(spark, sf, "fx_vendor_raw"), item_metadata(spark), "daily", F.col("base_dt"))
+
+
+@register("vendor_cross_section_new", _sql(["fx_vendor_raw"], f"""
+SELECT base_dt, substr(sym_cd, 2) AS sym_cd, sym_reg, {_pn("eps_down_fy2")} AS eps_down_fy2 FROM fx_vendor_raw
+"""))
+def q_vendor_new(spark: SparkSession, sf: str) -> DataFrame:
+    """Only the items the metadata flags as new."""
+    return cross_section(_fx(spark, sf, "fx_vendor_raw"), item_metadata(spark), "daily", F.col("base_dt"),
+                         new_only=True)
+
+
+_SQL_TEXT = """
+SELECT n.n_name, count(*) AS orders, sum(CASE WHEN o.o_orderstatus = 'F' THEN 1 ELSE 0 END) AS filled
+FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey
+GROUP BY n.n_name
+"""
+
+
+@register("sql_tables", """
+SELECT n_name, count(*) AS orders, count(*) FILTER (WHERE o_orderstatus = 'F') AS filled
+FROM orders, customer, nation WHERE c_custkey = o_custkey AND n_nationkey = c_nationkey GROUP BY n_name
+""")
+def q_sql_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """SQL text over stored tables."""
+    return TableStore(spark, str(sf), ".parquet").sql(_SQL_TEXT, ["orders", "customer", "nation"])
+
+
+@register("info_on_date", _sql(["fx_history"], f"""
+SELECT * FROM fx_history WHERE info_update = DATE '{SPLIT_DAY}'
+"""))
+def q_on_date(spark: SparkSession, sf: str) -> DataFrame:
+    """the attribute rows stamped with one day."""
+    return on_date(_fx(spark, sf, "fx_history"), SPLIT_DAY)
+
+
 _QMAP = "CASE quarter WHEN '1st-Quarter' THEN 'Q1' WHEN 'Semi-Annual' THEN 'Q2' WHEN 'Semi-Quarter' THEN 'Q2' " \
         "WHEN '3rd-Quarter' THEN 'Q3' WHEN 'Annual' THEN 'Q4' ELSE quarter END"
 
@@ -311,10 +358,20 @@ def q_vendor_fb(spark: SparkSession, sf: str) -> DataFrame:
     return fiscal_basis(_fx(spark, sf, "fx_fb_raw"), item_metadata(spark))
 
 
+# The industries' sectors, stated apart from the library's table
+# so that a wrong entry there shows.
+_SECTORS = """VALUES
+  ('음식료·담배', '음식료품'), ('섬유·의류', '섬유의복'), ('종이·목재', '종이목재'), ('출판·매체복제', '종이목재'),
+  ('제약', '의약품'), ('비금속', '비금속광물'), ('금속', '철강금속'), ('기계·장비', '기계'), ('일반전기전자', '전기전자'),
+  ('의료·정밀기기', '의료정밀'), ('운송장비·부품', '운수장비'), ('기타제조', '기타제조업'), ('전기·가스·수도', '전기가스업'),
+  ('건설', '건설업'), ('유통', '유통업'), ('숙박·음식', '서비스업'), ('운송', '운수창고업'), ('금융', '기타금융'),
+  ('기타서비스', '서비스업'), ('오락·문화', '서비스업'), ('통신서비스', '통신업'), ('방송서비스', '서비스업'),
+  ('인터넷', '서비스업'), ('디지털컨텐츠', '서비스업'), ('소프트웨어', '서비스업'), ('컴퓨터서비스', '서비스업'),
+  ('통신장비', '전기전자'), ('정보기기', '전기전자'), ('반도체', '전기전자'), ('IT부품', '전기전자')"""
+
+
 def _sector_case(col: str) -> str:
-    from equiframe.functions.text import SECTOR_RECODE
-    arms = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SECTOR_RECODE.items())
-    return f"CASE {col} {arms} ELSE {col} END"
+    return f"coalesce((SELECT sector FROM ({_SECTORS}) m(industry, sector) WHERE industry = {col}), {col})"
 
 
 
@@ -439,28 +496,30 @@ def q_stock_daily(spark: SparkSession, sf: str) -> DataFrame:
                                   stored)
 
 
-@register("stock_cons", _sql(["fx_daily", "fx_vendor_universe"], f"""
-SELECT d.num_key, {", ".join("v." + c for c in _CONS)}
-FROM fx_vendor_universe v LEFT JOIN fx_daily d ON d.base_dt = v.base_dt AND d.sym_cd = v.sym_cd
+@register("stock_cons", _sql(["fx_daily", "fx_vendor"], f"""
+SELECT CAST(d.num_key AS VARCHAR) AS num_key, {", ".join("v." + c for c in _CONS)}
+FROM fx_vendor v LEFT JOIN fx_daily d ON d.base_dt = v.base_dt AND d.sym_cd = v.sym_cd
 WHERE {" OR ".join("v." + c + " IS NOT NULL" for c in _CONS)}
 """))
 def q_stock_cons(spark: SparkSession, sf: str) -> DataFrame:
-    """Consensus rows keyed by num_key; vendor data is fetched for the
-    day's universe, so every row finds its key (the right join's NULL-key
-    branch is unit-tested)."""
-    return ing.stock_cons(_fx(spark, sf, "fx_daily"), _fx(spark, sf, "fx_vendor_universe"))
+    """Consensus rows keyed by num_key (as text: a vendor row without a
+    stock_daily row keeps a NULL key)."""
+    cons = ing.stock_cons(_fx(spark, sf, "fx_daily"), _fx(spark, sf, "fx_vendor"))
+    return cons.withColumn("num_key", F.col("num_key").cast("string"))
 
 
-@register("stock_managed", _sql(["fx_daily", "fx_vendor_universe"], """
-, k AS (SELECT d.num_key, v.sym_mng, v.sym_stop, v.sym_reg
-        FROM fx_vendor_universe v LEFT JOIN fx_daily d ON d.base_dt = v.base_dt AND d.sym_cd = v.sym_cd)
+@register("stock_managed", _sql(["fx_daily", "fx_vendor"], """
+, k AS (SELECT CAST(d.num_key AS VARCHAR) AS num_key, v.sym_mng, v.sym_stop, v.sym_reg
+        FROM fx_vendor v LEFT JOIN fx_daily d ON d.base_dt = v.base_dt AND d.sym_cd = v.sym_cd)
 SELECT num_key, CAST(1 AS INTEGER) AS type FROM k WHERE sym_mng <> '정상'
 UNION ALL SELECT num_key, CAST(2 AS INTEGER) FROM k WHERE sym_stop <> '정상'
 UNION ALL SELECT num_key, CAST(3 AS INTEGER) FROM k WHERE sym_reg <> '정상'
 """))
 def q_stock_managed(spark: SparkSession, sf: str) -> DataFrame:
-    """Unpivot the three status columns; keep non-normal ones as type 1/2/3."""
-    return ing.stock_managed(_fx(spark, sf, "fx_daily"), _fx(spark, sf, "fx_vendor_universe"))
+    """Unpivot the three status columns; keep non-normal ones as type
+    1/2/3 (keys as text: a vendor row may have none)."""
+    managed = ing.stock_managed(_fx(spark, sf, "fx_daily"), _fx(spark, sf, "fx_vendor"))
+    return managed.withColumn("num_key", F.col("num_key").cast("string"))
 
 
 @register("stocks_in_index", _sql(["fx_daily", "fx_members"], """
@@ -472,7 +531,7 @@ def q_stocks_in_index(spark: SparkSession, sf: str) -> DataFrame:
 
 
 
-@register("index_daily", _sql(["fx_index_levels", "fx_index_base", "fx_index_raw"], f"""
+_INDEX_CTE = f"""
 , il AS (SELECT coalesce({_MKT_SQL}, 'NA') || coalesce(short_code, 'NA') AS idx_code,
                 {_MKT_SQL} AS mkt_nm, codeName FROM fx_index_raw)
 , j AS (SELECT l.base_dt, l.mkt, l.IDX_NM AS sym_nm, l.ACC_TRDVOL, l.ACC_TRDVAL, l.OPNPRC_IDX, l.HGPRC_IDX,
@@ -481,12 +540,15 @@ def q_stocks_in_index(spark: SparkSession, sf: str) -> DataFrame:
           ON b.base_dt = l.base_dt AND b.mkt = l.mkt AND b.IDX_IND_NM = l.IDX_NM
         WHERE l.ACC_TRDVOL <> '-' AND l.ACC_TRDVAL <> '-' AND l.OPNPRC_IDX <> '-' AND l.HGPRC_IDX <> '-'
           AND l.LWPRC_IDX <> '-' AND l.CLSPRC_IDX <> '-' AND b.OPN_DD_INDX <> '-')
-SELECT j.base_dt, il.idx_code, {_pn('ACC_TRDVOL')} AS trd_vol, {_pn('ACC_TRDVAL')} AS trd_val,
+, ix AS (SELECT j.base_dt, il.idx_code, {_pn('ACC_TRDVOL')} AS trd_vol, {_pn('ACC_TRDVAL')} AS trd_val,
        {_pn('OPNPRC_IDX')} AS open, {_pn('HGPRC_IDX')} AS high, {_pn('LWPRC_IDX')} AS low,
        {_pn('CLSPRC_IDX')} AS close, {_pn('OPN_DD_INDX')} AS base_p
 FROM j LEFT JOIN il ON il.codeName = j.sym_nm
-  AND il.mkt_nm = CASE j.mkt WHEN '01' THEN 'X' WHEN '02' THEN 'P' WHEN '03' THEN 'Q' WHEN '04' THEN 'T' ELSE j.mkt END
-"""))
+  AND il.mkt_nm = CASE j.mkt WHEN '01' THEN 'X' WHEN '02' THEN 'P' WHEN '03' THEN 'Q' WHEN '04' THEN 'T' ELSE j.mkt END)
+"""
+
+
+@register("index_daily", _sql(["fx_index_levels", "fx_index_base", "fx_index_raw"], _INDEX_CTE + "SELECT * FROM ix"))
 def q_index_daily(spark: SparkSession, sf: str) -> DataFrame:
     """Index levels joined to base values and index codes."""
     il = ing.index_list(_fx(spark, sf, "fx_index_raw"))
@@ -536,7 +598,7 @@ def _stmt_inputs(spark: SparkSession, sf: str):
 
 
 _BS_ITEMS = ["grs_asset", "net_asset"]
-_PL_META = ["sales", "opr_prof", "earn", "earn_dom", "cash_flow"]
+_PL_META = ["sales", "opr_prof", "earn", "earn_dom", "op_cash_flow", "cash_flow"]
 
 
 def _cs_typed_sql() -> str:
@@ -569,14 +631,14 @@ def q_split_bs(spark: SparkSession, sf: str) -> DataFrame:
                                        f"\n, fb AS (SELECT substr(sym_cd, 2) AS sym_cd, year || ' ' || {_QMAP} AS fs_q, " +
                                        ", ".join(f"{_pn(c)} AS {c}" for c in _CS_NUM) + " FROM fx_fb_raw)\n" + f"""
 SELECT sym_cd, fs_q, {", ".join(_PL_META)} FROM fb
-WHERE ({" OR ".join(c + " IS NOT NULL" for c in _PL_META)}) AND fs_q IN (SELECT fs_q FROM fx_bs)
+WHERE ({" OR ".join(c + " IS NOT NULL" for c in _PL_META)}) AND fs_q IN (SELECT fs_q FROM fx_bs WHERE fs_q <= '{BS_LOADED_UNTIL}')
 """))
 def q_split_new(spark: SparkSession, sf: str) -> DataFrame:
     """D11 new-symbol variant: fiscal-basis export, P&L part, only quarters
-    already in the stored balance sheet (semi join)."""
+    already in the stored balance sheet (semi join; later ones drop out)."""
     meta = item_metadata(spark)
     df = fiscal_basis(_fx(spark, sf, "fx_fb_raw"), meta)
-    _, pl = st.split_statements(df, meta, known_quarters=_fx(spark, sf, "fx_bs"))
+    _, pl = st.split_statements(df, meta, known_quarters=_fx(spark, sf, "fx_bs").filter(F.col("fs_q") <= BS_LOADED_UNTIL))
     return pl
 
 
@@ -723,7 +785,7 @@ def q_factor_coverage(spark: SparkSession, sf: str) -> DataFrame:
 # --------------------------------------------------------------------------
 
 _NAMES = f"""
-, names AS (SELECT DISTINCT sym_nm FROM fx_history WHERE info_update <= DATE '{NAME_YEAR_END}')
+, names AS (SELECT DISTINCT sym_nm FROM fx_history WHERE info_update <= DATE '{NAMES_UNTIL}')
 , latest AS (SELECT sym_cd, sym_nm FROM (
     SELECT sym_cd, sym_nm, row_number() OVER (PARTITION BY sym_cd ORDER BY info_update DESC) AS rn
     FROM fx_history) z WHERE rn = 1)
@@ -733,13 +795,13 @@ _NAMES = f"""
 
 def _names(spark: SparkSession, sf: str) -> DataFrame:
     h = _fx(spark, sf, "fx_history")
-    return h.filter(F.col("info_update") <= F.lit(NAME_YEAR_END).cast("date")).select("sym_nm").distinct()
+    return h.filter(F.col("info_update") <= F.lit(NAMES_UNTIL).cast("date")).select("sym_nm").distinct()
 
 
 @register("symbol_lookup", _sql(["fx_history"], _NAMES + "SELECT sym_cd FROM codes"))
 def q_symbol_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """Codes whose latest name is among the names used in the first
-    year (a symbol renamed since does not match)."""
+    days (a symbol renamed since does not match)."""
     return prc.symbol_lookup(_fx(spark, sf, "fx_history"), _names(spark, sf))
 
 
@@ -820,6 +882,23 @@ def q_lookback_ytd(spark: SparkSession, sf: str) -> DataFrame:
     return prc.recent_prices(_fx(spark, sf, "fx_daily"), "ytd")
 
 
+def _register_lookback(span: str, months: int | None) -> None:
+    bound = f"WHERE d.base_dt >= m.last - INTERVAL {months} MONTH" if months else ""
+
+    @register(f"lookback_{span}", _sql(["fx_daily"], f"""
+SELECT d.* FROM fx_daily d JOIN (SELECT sym_cd, max(base_dt) AS last FROM fx_daily GROUP BY sym_cd) m
+  ON m.sym_cd = d.sym_cd {bound}
+"""))
+    def q(spark: SparkSession, sf: str) -> DataFrame:
+        return prc.recent_prices(_fx(spark, sf, "fx_daily"), span)
+
+    q.__doc__ = f"F9: each symbol's rows of the {span} range button."
+
+
+for _span, _months in {"1m": 1, "6m": 6, "3y": 36, "5y": 60, "10y": 120, "all": None}.items():
+    _register_lookback(_span, _months)
+
+
 @register("price_view_line", _sql(["fx_history", "fx_daily"], _NAMES + f"""
 , pv AS (SELECT * FROM fx_daily WHERE sym_cd IN (SELECT sym_cd FROM codes)
          AND base_dt BETWEEN DATE '{VIEW_START}' AND DATE '{VIEW_END}')
@@ -936,6 +1015,162 @@ def q_new_symbols(spark: SparkSession, sf: str) -> DataFrame:
     return cal.new_symbols(h, h.filter(F.col("info_update") < F.lit(SNAPSHOT_DAY).cast("date")))
 
 
+# --------------------------------------------------------------------------
+# Step 11: the growing panel (weekly bars per supplier)
+# --------------------------------------------------------------------------
+
+WEEKS = {"ret_5w": 5, "ret_13w": 13, "ret_26w": 26}
+_SUPP_CAL = _CAL.replace("fx_daily", "fx_supp_daily")
+
+
+@register("supp_momentum", _sql(["fx_supp_daily"], _SUPP_CAL + "SELECT num_key, " +
+                                ", ".join(_roll_sql(k, n, True) for k, n in WEEKS.items()) + " FROM gp", list(WEEKS)))
+def q_supp_momentum(spark: SparkSession, sf: str) -> DataFrame:
+    """D17 with windows of 5, 13 and 26 weeks over the supplier panel."""
+    return finish(fac.momentum(_fx(spark, sf, "fx_supp_daily"), WEEKS), list(WEEKS))
+
+
+@register("supp_rolling_product", _sql(["fx_supp_daily"], _SUPP_CAL + "SELECT num_key, " +
+                                       _roll_sql("p5", 5, False) + " FROM gp", ["p5"]))
+def q_supp_rolling(spark: SparkSession, sf: str) -> DataFrame:
+    """W4 over the supplier panel, blocks of 64 weeks."""
+    daily = _fx(spark, sf, "fx_supp_daily")
+    p = daily.select("num_key", "sym_cd", "base_dt", F.try_divide(F.col("close"), F.col("base_p")).alias("g"))
+    p = p.join(bounded_broadcast(market_calendar(daily)), "base_dt")
+    return finish(rolling(p, "g", {"p5": 5}, ["sym_cd"], "t", "product", block=64).select("num_key", "p5"), ["p5"])
+
+
+@register("supp_adjusted_close", _sql(["fx_supp_daily"], _adj_sql("fx_supp_daily") +
+                                      "SELECT sym_cd, base_dt, close_adj AS close FROM adj", ["close"], 4))
+def q_supp_adjusted(spark: SparkSession, sf: str) -> DataFrame:
+    """D22 over the supplier panel."""
+    d = _fx(spark, sf, "fx_supp_daily").select("sym_cd", "base_dt", "open", "high", "low", "close", "base_p")
+    return finish(prc.adjust_prices(d, close_only=True), ["close"], 4)
+
+
+@register("supp_lookback", _sql(["fx_supp_daily"], """
+SELECT d.* FROM fx_supp_daily d JOIN (SELECT sym_cd, max(base_dt) AS last FROM fx_supp_daily GROUP BY sym_cd) m
+  ON m.sym_cd = d.sym_cd WHERE d.base_dt >= m.last - INTERVAL 6 MONTH
+"""))
+def q_supp_lookback(spark: SparkSession, sf: str) -> DataFrame:
+    """F9 over the supplier panel."""
+    return prc.recent_prices(_fx(spark, sf, "fx_supp_daily"), "6m")
+
+
+@register("supp_upsert", _sql(["fx_supp_daily"], f"""
+, t AS (SELECT num_key, close, mkt_cap FROM fx_supp_daily WHERE base_dt < DATE '{SPLIT_DAY}')
+, s AS (SELECT num_key, mkt_cap * 2 AS mkt_cap FROM fx_supp_daily WHERE base_dt >= DATE '{PANEL_START}')
+SELECT coalesce(t.num_key, s.num_key) AS num_key, t.close,
+       CASE WHEN s.num_key IS NULL THEN t.mkt_cap ELSE s.mkt_cap END AS mkt_cap
+FROM t FULL OUTER JOIN s ON s.num_key = t.num_key
+"""))
+def q_supp_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """S3 over the supplier panel: kept, updated and inserted rows."""
+    d = _fx(spark, sf, "fx_supp_daily")
+    target = d.filter(F.col("base_dt") < F.lit(SPLIT_DAY).cast("date")).select("num_key", "close", "mkt_cap")
+    source = d.filter(F.col("base_dt") >= F.lit(PANEL_START).cast("date")).select(
+        "num_key", (F.col("mkt_cap") * 2).alias("mkt_cap"))
+    return sinks.upsert_partial(target, source, ["num_key"])
+
+
+# --------------------------------------------------------------------------
+# Step 12: stored loads, read back
+# --------------------------------------------------------------------------
+
+def _store(spark: SparkSession) -> EquityStore:
+    """An empty store in the shared folder."""
+    return EquityStore(spark, f"{checkpoint_dir(spark).rstrip('/')}/store-{uuid.uuid4().hex}")
+
+
+def _landed(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    return dict(base=_fx(spark, sf, "fx_base_price"), excluded=_fx(spark, sf, "fx_excluded"),
+                sectors=_fx(spark, sf, "fx_sectors"), vendor=_fx(spark, sf, "fx_vendor"),
+                members=_fx(spark, sf, "fx_members"), index_base=_fx(spark, sf, "fx_index_base"))
+
+
+def _listed_on(listing: DataFrame, *days: str) -> DataFrame:
+    """The listing as landed on each of ``days``."""
+    return listing.withColumn("base_dt", F.explode(F.array(*[F.lit(d).cast("date") for d in days])))
+
+
+_STORED = f"""
+, typed AS (
+  SELECT p.ISU_SRT_CD AS sym_cd, {_pn('p.ACC_TRDVOL')} AS trd_vol, {_pn('p.ACC_TRDVAL')} AS trd_val,
+         {_pn('p.TDD_OPNPRC')} AS open, {_pn('p.TDD_HGPRC')} AS high,
+         {_pn('p.TDD_LWPRC')} AS low, {_pn('p.TDD_CLSPRC')} AS close,
+         nullif({_pn('b.BAS_PRC')}, 1) AS base_p, p.ISU_ABBRV AS sym_nm, p.MKT_ID AS mkt_cd
+  FROM fx_listing p LEFT JOIN fx_base_price b ON b.ISU_SRT_CD = p.ISU_SRT_CD
+  WHERE p.ISU_SRT_CD IS NOT NULL)
+, landed AS (
+  SELECT d.base_dt, d.corrected, t.*, {_sector_case('s.IDX_IND_NM')} AS sec_krx,
+         v.net_buy_fi, v.mkt_cap, v.num_stock_o, v.num_stock_t, v.sec_fn_1, v.sec_fn_2, v.sec_fn_3
+  FROM typed t
+  CROSS JOIN (VALUES (DATE '{LAND_DAYS[0]}', 0), (DATE '{LAND_DAYS[1]}', 1), (DATE '{LAND_DAYS[2]}', 1)) d(base_dt, corrected)
+  LEFT JOIN fx_sectors s ON s.ISU_SRT_CD = t.sym_cd
+  LEFT JOIN fx_vendor v ON v.sym_cd = t.sym_cd AND v.base_dt = d.base_dt
+  WHERE t.mkt_cd <> 'KNX' AND t.sym_cd LIKE '%0' AND t.sym_cd NOT LIKE '9%'
+    AND t.sym_nm NOT LIKE '%스팩%' AND t.base_p IS NOT NULL
+    AND t.sym_cd NOT IN (SELECT ISU_SRT_CD FROM fx_excluded))
+, versions AS (
+  SELECT sym_cd, min(base_dt) AS info_update FROM landed
+  GROUP BY sym_cd, sym_nm, mkt_cd, sec_krx, sec_fn_1, sec_fn_2, sec_fn_3)
+SELECT row_number() OVER (ORDER BY l.base_dt, l.sym_cd) AS num_key, l.base_dt, l.sym_cd, trd_vol, trd_val, open, high,
+       low, CASE WHEN corrected = 1 THEN high ELSE close END AS close, base_p, net_buy_fi, mkt_cap, num_stock_o,
+       num_stock_t, (SELECT max(v.info_update) FROM versions v
+                     WHERE v.sym_cd = l.sym_cd AND v.info_update <= l.base_dt) AS info_update
+FROM landed l
+"""
+
+
+@register("store_reload", _sql(["fx_listing", "fx_base_price", "fx_excluded", "fx_sectors", "fx_vendor"], _STORED))
+def q_store_reload(spark: SparkSession, sf: str) -> DataFrame:
+    """D6 stored: two days landed, then the second again with corrected
+    closes beside a third, every listing twice; read back."""
+    store = _store(spark)
+    listing, landed = _fx(spark, sf, "fx_listing"), _landed(spark, sf)
+    levels = _fx(spark, sf, "fx_index_levels")
+    store.load_daily(_listed_on(listing, *LAND_DAYS[:2]), levels=levels, **landed)
+    corrected = _listed_on(listing.withColumn("TDD_CLSPRC", F.col("TDD_HGPRC")), *LAND_DAYS[1:])
+    store.load_daily(corrected.unionByName(corrected), levels=levels, **landed)
+    return store.require("stock_daily")
+
+
+@register("store_index_daily", _sql(["fx_index_levels", "fx_index_base", "fx_index_raw"], _INDEX_CTE + """
+SELECT base_dt, idx_code, trd_vol, trd_val, open, high, low, close, base_p FROM (
+  SELECT *, row_number() OVER (PARTITION BY base_dt, idx_code
+    ORDER BY trd_vol DESC, trd_val DESC, open DESC, high DESC, low DESC, close DESC, base_p DESC) AS rn
+  FROM ix WHERE idx_code IS NOT NULL) k WHERE rn = 1
+"""))
+def q_store_index(spark: SparkSession, sf: str) -> DataFrame:
+    """D10 stored, without landed prices: levels up to a day, then all of
+    them twice; one row per key, none without an index code."""
+    store = _store(spark)
+    store.refresh_index_list(_fx(spark, sf, "fx_index_raw"))
+    none = _listed_on(_fx(spark, sf, "fx_listing"), LAND_DAYS[0]).filter(F.lit(False))
+    levels, landed = _fx(spark, sf, "fx_index_levels"), _landed(spark, sf)
+    store.load_daily(none, levels=levels.filter(F.col("base_dt") < F.lit(SPLIT_DAY).cast("date")), **landed)
+    store.load_daily(none, levels=levels.unionByName(levels), **landed)
+    return store.require("index_daily")
+
+
+@register("store_factors", _sql(_VF_FIX, _FACTOR_TABLE + "SELECT * FROM ft", list(MOM)))
+def q_store_factors(spark: SparkSession, sf: str) -> DataFrame:
+    """D15-D17 stored: factors up to a day, then from it on, into the
+    existing table; ranged momentum equals that of the whole history."""
+    store = _store(spark)
+    daily = _fx(spark, sf, "fx_daily")
+    bs, pl = _stmt_inputs(spark, sf)
+    store.upsert("stock_daily", daily.withColumn("info_update", F.col("base_dt")))
+    store.upsert("stock_cons", _fx(spark, sf, "fx_cons"))
+    store.upsert("workdays", _fx(spark, sf, "fx_workdays"))
+    store.upsert("company_fs_bs", bs)
+    store.upsert("company_fs_pl_prep", st.trailing_pl(st.complete_grid(bs, "sym_cd", "fs_q", pl.drop("dpr", "prop_div"))))
+    before = _dt.date.fromisoformat(SPLIT_DAY) - _dt.timedelta(days=1)
+    store.refresh_factors(end=before.isoformat())
+    store.refresh_factors(start=SPLIT_DAY)
+    return finish(store.require("factor_daily"), list(MOM))
+
+
 # --------------------------------------------------------------------------
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:

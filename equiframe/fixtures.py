@@ -89,6 +89,12 @@ _fx("fx_part_daily", [], _DAILY.replace("{keymul}", "10000000").replace("{bars}"
     sym="CAST(l.l_partkey AS STRING)", nation="l.l_partkey", unit="day",
     lineitem="{lineitem}", join="")))
 
+# Supplier panel: weekly bars per supplier (sym_cd = supplier key); its rows
+# grow with the scale factor.
+_fx("fx_supp_daily", [], _DAILY.replace("{keymul}", "10000000").replace("{bars}", _BARS.format(
+    sym="CAST(l.l_suppkey AS STRING)", nation="l.l_suppkey", unit="week",
+    lineitem="{lineitem}", join="")))
+
 # --- stock_cons: consensus items keyed by num_key ---------------------------
 _fx("fx_cons", ["fx_daily"], """
 SELECT num_key,
@@ -213,6 +219,16 @@ _fx("fx_vendor_universe", [], _VENDOR_ITEMS.replace("{inner}", """
   GROUP BY CAST(date_trunc('week', l.l_shipdate) AS DATE), s.s_nationkey
 """))
 
+# vendor daily export (all text, 'A'-prefixed codes)
+_fx("fx_vendor_raw", ["fx_vendor"], """
+SELECT 'A' || sym_cd AS sym_cd, base_dt, sym_mng, sym_stop, sym_reg,
+       {commas:CAST(round(net_buy_fi * 100, 0) AS BIGINT)} AS net_buy_fi,
+       {commas:CAST(round(mkt_cap * 100, 0) AS BIGINT)} AS mkt_cap,
+       CASE WHEN bps_12mf IS NULL THEN 'N/A' ELSE {commas:CAST(round(bps_12mf, 0) AS BIGINT)} END AS bps_12mf,
+       CASE WHEN eps_down_fy2 IS NULL THEN '' ELSE {commas:CAST(eps_down_fy2 AS BIGINT)} END AS eps_down_fy2
+FROM fx_vendor
+""")
+
 # --- stock_info history: attributes per (nation, ship date) -----------------
 _fx("fx_history", [], """
 SELECT CAST(s.s_nationkey AS STRING) AS sym_cd, CAST(l.l_shipdate AS DATE) AS info_update,
@@ -313,31 +329,31 @@ JOIN {nation} k ON s.s_nationkey = k.n_nationkey JOIN {region} r ON k.n_regionke
 """)
 
 # --- vendor statement exports (all text, 'A'-prefixed codes) ----------------
+# A symbol that reports neither part (no P&L item, no balance-sheet item) has
+# only NA tokens there.
 _STMT_TEXT = """
-       CASE WHEN (all_c % 13) = 0 THEN 'N/A' ELSE {commas:CAST(ytd_all AS BIGINT)} END AS sales,
-       CASE WHEN (f_c % 17) = 0 THEN '' ELSE {commas:CAST(ytd_f AS BIGINT)} END AS opr_prof,
-       {commas:CAST(floor(ytd_all / 4) AS BIGINT)} AS earn,
-       CASE WHEN nation % 3 = 0 THEN 'NULL' ELSE {commas:CAST(floor(ytd_all / 5) AS BIGINT)} END AS earn_dom,
-       {commas:CAST(all_c * 2 AS BIGINT)} AS grs_asset,
-       CASE WHEN (nation + q) % 5 = 0 THEN 'NaN' ELSE {commas:CAST(all_c AS BIGINT)} END AS net_asset,
-       CASE WHEN (nation + q + y) % 4 = 0 THEN 'NA' ELSE {commas:CAST(floor(ytd_all / 3) AS BIGINT)} END AS cash_flow,
+       CASE WHEN no_pl OR (all_c % 13) = 0 THEN 'N/A' ELSE {commas:CAST(ytd_all AS BIGINT)} END AS sales,
+       CASE WHEN no_pl OR (f_c % 17) = 0 THEN '' ELSE {commas:CAST(ytd_f AS BIGINT)} END AS opr_prof,
+       CASE WHEN no_pl THEN 'NA' ELSE {commas:CAST(floor(ytd_all / 4) AS BIGINT)} END AS earn,
+       CASE WHEN no_pl OR nation % 3 = 0 THEN 'NULL' ELSE {commas:CAST(floor(ytd_all / 5) AS BIGINT)} END AS earn_dom,
+       CASE WHEN no_bs THEN 'NA' ELSE {commas:CAST(all_c * 2 AS BIGINT)} END AS grs_asset,
+       CASE WHEN no_bs OR (nation + q) % 5 = 0 THEN 'NaN' ELSE {commas:CAST(all_c AS BIGINT)} END AS net_asset,
+       CASE WHEN no_pl OR (nation + y + q) % 7 = 0 THEN 'NA' ELSE {commas:CAST(floor(ytd_f / 2) AS BIGINT)} END AS op_cash_flow,
+       CASE WHEN no_pl OR (nation + q + y) % 4 = 0 THEN 'NA' ELSE {commas:CAST(floor(ytd_all / 3) AS BIGINT)} END AS cash_flow,
        'unit-' || CAST(q AS STRING) AS memo
+FROM (SELECT *, (nation + y * 4 + q) % 11 = 0 AS no_pl, (nation + y + q) % 9 = 0 AS no_bs FROM fx_orders_q) o
 """
 _fx("fx_cs_raw", ["fx_orders_q"], """
 SELECT 'A' || CAST(nation AS STRING) AS sym_cd,
        CAST(y AS STRING) || ' Q' || CAST(q AS STRING) AS period,
-""" + _STMT_TEXT + """
-FROM fx_orders_q
-""")
+""" + _STMT_TEXT)
 
 _fx("fx_fb_raw", ["fx_orders_q"], f"""
 SELECT 'A' || CAST(nation AS STRING) AS sym_cd, 'x' AS fs_q,
        CAST(q * 3 AS STRING) AS month, CAST(y AS STRING) AS year,
        CASE WHEN q = 2 AND nation % 2 = 1 THEN 'Semi-Quarter'
             ELSE {_case_list('q - 1', QUARTER_LABELS)} END AS quarter,
-""" + _STMT_TEXT + """
-FROM fx_orders_q
-""")
+""" + _STMT_TEXT)
 
 # --- landed web payloads ----------------------------------------------------
 # One JSON document per (event type, block of 100 event ids): an object whose

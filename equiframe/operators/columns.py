@@ -34,6 +34,15 @@ def drop_range(df: DataFrame, first: str, last: str) -> DataFrame:
     return df.drop(*col_range(df, first, last))
 
 
+def require_columns(df: DataFrame, cols: list[str], what: str) -> list[str]:
+    """``cols``, all of which must be columns of ``df``: a renamed or missing
+    vendor item is an error that names it, never a column left out."""
+    missing = [c for c in cols if c not in df.columns]
+    if missing:
+        raise ValueError(f"{what}: missing columns {missing}")
+    return list(cols)
+
+
 def first_columns(df: DataFrame, n: int) -> DataFrame:
     """``select(1:n)``."""
     return df.select(*df.columns[:n])

@@ -29,12 +29,10 @@ PRICE_COLUMNS = ["sym_cd", "trd_vol", "trd_val", "open", "high", "low", "close",
 INDEX_FIELDS = ["IDX_NM", "ACC_TRDVOL", "ACC_TRDVAL", "OPNPRC_IDX", "HGPRC_IDX", "LWPRC_IDX",
                 "CLSPRC_IDX"]
 INDEX_COLUMNS = ["sym_nm", "trd_vol", "trd_val", "open", "high", "low", "close"]
-# ---------------------------------------------------------------------------
-
-INFO_ATTRS = ["sym_cd", "sym_nm", "mkt_cd", "sec_krx", "sec_fn_1", "sec_fn_2", "sec_fn_3"]
 VENDOR_DAILY = ["net_buy_fi", "mkt_cap", "num_stock_o", "num_stock_t"]
 CONSENSUS = ["sales_12mf", "opr_prof_12mf", "earn_12mf", "earn_dom_12mf", "bps_12mf", "eps_down_fy2"]
 MANAGED = ["sym_mng", "sym_stop", "sym_reg"]
+# ---------------------------------------------------------------------------
 
 
 def index_list(raw: DataFrame) -> DataFrame:
@@ -173,10 +171,9 @@ def stock_daily(universe: DataFrame, vendor: DataFrame, info: DataFrame,
 def stock_cons(daily: DataFrame, vendor: DataFrame) -> DataFrame:
     """Consensus rows with any item present, keyed by num_key (right
     join: a vendor row with no stock_daily row keeps a NULL num_key)."""
-    items = [c for c in CONSENSUS if c in vendor.columns]
-    cons = vendor.select("base_dt", "sym_cd", *items).filter(any_not_null(items))
+    cons = vendor.select("base_dt", "sym_cd", *CONSENSUS).filter(any_not_null(CONSENSUS))
     keys = daily.select("num_key", "base_dt", "sym_cd")
-    return keys.join(cons, on=["base_dt", "sym_cd"], how="right").select("num_key", *items)
+    return keys.join(cons, on=["base_dt", "sym_cd"], how="right").select("num_key", *CONSENSUS)
 
 
 def stock_managed(daily: DataFrame, vendor: DataFrame) -> DataFrame:

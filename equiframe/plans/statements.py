@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from equiframe.functions.dates import quarter_number, quarter_ordinal, quarter_string, quarter_year
 from equiframe.functions.numeric import any_not_null
+from equiframe.operators.columns import require_columns
 from equiframe.operators.filters import in_set, quarter_between
-from equiframe.operators.joins import complete_grid, expand_grid  # noqa: F401 (re-exported)
+from equiframe.operators.joins import complete_grid
 from equiframe.operators.windows import fill_forward
 from equiframe.sources.vendor import item_list, item_rows
 
@@ -35,13 +36,13 @@ def split_statements(df: DataFrame, meta: DataFrame,
                      known_quarters: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """A normalised statement export -> (balance sheet, P&L).
 
-    Columns are chosen by the metadata flags; rows with every item NULL are
-    dropped.  With ``known_quarters`` (new-symbol variant) rows are kept only
+    Columns are chosen by the metadata flags (a flagged item that ``df`` lacks
+    is an error); rows with every item NULL are dropped.  With ``known_quarters`` (new-symbol variant) rows are kept only
     for quarters already present in the stored balance sheet.
     """
     rows = item_rows(meta, "fs")
-    bs_cols = [c for c in item_list(rows, "fs", "bs") if c in df.columns]
-    pl_cols = [c for c in item_list(rows, "fs", "pl") if c in df.columns]
+    bs_cols = require_columns(df, item_list(rows, "fs", "bs"), "balance-sheet items")
+    pl_cols = require_columns(df, item_list(rows, "fs", "pl"), "P&L items")
     bs = drop_all_null(df.select(*KEYS, *bs_cols))
     pl = drop_all_null(df.select(*KEYS, *pl_cols))
     if known_quarters is not None:
@@ -140,6 +141,3 @@ def filled_balance_sheet(bs: DataFrame, cols: list[str] | None = None) -> DataFr
     grid = complete_grid(bs, "sym_cd", "fs_q")
     return fill_forward(grid, cols, ["sym_cd"], quarter_ordinal("fs_q"))
 
-
-__all__ = ["drop_all_null", "split_statements", "trailing_pl", "trailing_pl_existing",
-           "trailing_pl_range", "trailing_pl_new", "filled_balance_sheet", "expand_grid"]

@@ -8,14 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 class TableStore:
     """Tables live as Parquet directories under one root (one per table,
     optionally partitioned).  ``scan`` is lazy; filters and projections on
-    the result are pushed into the Parquet reader by Catalyst."""
+    the result are pushed into the Parquet reader by Catalyst.  ``suffix``
+    ends every table's name on disk."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, suffix: str = ""):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.suffix = suffix
 
     def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
+        return f"{self.root}/{name}{self.suffix}"
 
     def scan(self, name: str) -> DataFrame:
         """Lazy reference to a stored table."""

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from equiframe.functions.dates import parse_yyyymmdd
 from equiframe.functions.text import parse_number, quarter_label, strip_prefix
+from equiframe.operators.columns import require_columns
 from equiframe.schemas import FN_TABLES
 
 META_SCHEMA = FN_TABLES
@@ -27,8 +28,16 @@ DEFAULT_ITEMS = [
     ("fs", "earn_dom", 1, 1, 0, 1),
     ("fs", "grs_asset", 1, 0, 1, 0),
     ("fs", "net_asset", 1, 0, 1, 0),
+    ("fs", "op_cash_flow", 1, 0, 0, 1),
     ("fs", "cash_flow", 1, 1, 0, 1),
     ("fs", "memo", 0, 0, 0, 0),
+    ("daily", "sym_mng", 0, 0, 0, 0),
+    ("daily", "sym_stop", 0, 0, 0, 0),
+    ("daily", "sym_reg", 0, 1, 0, 0),
+    ("daily", "net_buy_fi", 1, 0, 0, 0),
+    ("daily", "mkt_cap", 1, 0, 0, 0),
+    ("daily", "bps_12mf", 1, 0, 0, 0),
+    ("daily", "eps_down_fy2", 1, 1, 0, 0),
 ]
 
 
@@ -69,10 +78,11 @@ def cross_section(raw: DataFrame, meta: DataFrame, kind: str, period: str | Colu
     ``"YYYY Qn"``) or ``"daily"`` (``period`` is the day, ``YYYYMMDD`` text or
     a date column).  All values are taken as text, numeric items are parsed
     with ``parse_number`` (NA tokens -> NULL) and the one-character vendor
-    prefix is dropped from ``sym_cd``.
+    prefix is dropped from ``sym_cd``.  Every item of the metadata (with
+    ``new_only`` every new one) must be in the export.
     """
     rows = item_rows(meta, kind)
-    items = [i for i in item_list(rows, kind, new_only=new_only) if i in raw.columns]
+    items = require_columns(raw, item_list(rows, kind, new_only=new_only), f"{kind} export")
     numeric = set(item_list(rows, kind, "numeric", new_only=new_only))
     if kind == "fs":
         head = [_period(period, lambda c: c).alias("fs_q")]
@@ -90,10 +100,10 @@ def fiscal_basis(raw: DataFrame, meta: DataFrame, new_only: bool = False) -> Dat
 
     ``fs_q = year + ' ' + quarter label`` (1st-Quarter -> Q1, Semi-Annual or
     Semi-Quarter -> Q2, 3rd-Quarter -> Q3, Annual -> Q4); month, year and
-    quarter columns are dropped.
+    quarter columns are dropped.  Every item of the metadata must be there.
     """
     rows = item_rows(meta, "fs")
-    items = [i for i in item_list(rows, "fs", new_only=new_only) if i in raw.columns]
+    items = require_columns(raw, item_list(rows, "fs", new_only=new_only), "fiscal-basis export")
     numeric = set(item_list(rows, "fs", "numeric", new_only=new_only))
     fs_q = F.concat_ws(" ", F.col("year").cast("string"), quarter_label(F.col("quarter").cast("string")))
     body = [(parse_number(F.col(i)) if i in numeric else F.col(i).cast("string")).alias(i) for i in items]
