@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from equiframe import fixtures as fx
 from equiframe.functions.dates import parse_yyyymmdd
 from equiframe.functions.text import parse_number, remove_dashes, sector_recode
-from equiframe.operators.columns import drop_range, select_range
+from equiframe.operators.columns import across, drop_range, select_range
 from equiframe.operators.filters import on_date, sym_dt_pick
 from equiframe.operators.joins import bounded_broadcast
 from equiframe.operators.windows import latest_per_key, market_calendar, rolling
@@ -56,8 +56,7 @@ def finish(df: DataFrame, cols: list[str] | None = None, digits: int = 6) -> Dat
     how an engine associates a product) to ``digits`` places."""
     if not cols:
         return df
-    wanted = set(cols)
-    return df.select(*[F.round(F.col(c), digits).alias(c) if c in wanted else F.col(c) for c in df.columns])
+    return across(df, cols, lambda c: F.round(c, digits))
 
 
 def _fx(spark: SparkSession, sf: str, name: str) -> DataFrame:

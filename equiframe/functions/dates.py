@@ -21,10 +21,6 @@ def parse_yyyymmdd(c) -> Column:
     return F.try_to_date(_col(c).cast("string"), "yyyyMMdd")
 
 
-def format_yyyymmdd(c) -> Column:
-    return F.date_format(_col(c), "yyyyMMdd")
-
-
 def quarter_string(year, quarter) -> Column:
     """X11: (2022, 3) -> ``"2022 Q3"``."""
     return F.concat(_col(year).cast("string"), F.lit(" Q"), _col(quarter).cast("string"))
@@ -49,11 +45,6 @@ def quarter_ordinal(fs_q) -> Column:
     return quarter_year(fs_q) * 4 + quarter_number(fs_q) - 1
 
 
-def ordinal_to_quarter(o) -> Column:
-    o = _col(o)
-    return quarter_string(F.floor(o / 4).cast("int"), (o % 4 + 1).cast("int"))
-
-
 def is_q4(fs_q) -> Column:
     """last quarter of the year."""
     return quarter_number(fs_q) == 4

@@ -69,9 +69,6 @@ QUARTER_LABEL = {
     "Annual": "Q4",
 }
 
-# Tokens the vendor uses for a missing number.
-NA_TOKENS = ["NA", "", "NaN", "NULL", "N/A"]
-
 # Word marking special-purpose acquisition companies in a listing name.
 SPAC_WORD = "스팩"
 
@@ -88,8 +85,8 @@ def _col(c) -> Column:
 def parse_number(c) -> Column:
     """First number in the text, thousands commas ignored.
 
-    Text without a number -- including every token in ``NA_TOKENS`` and a
-    lone ``-`` -- gives NULL (``try_cast`` of the empty match).
+    Text without a number -- including the vendor's NA, NaN, NULL, N/A, empty
+    text and a lone ``-`` -- gives NULL (``try_cast`` of the empty match).
     """
     hit = F.regexp_extract(_col(c).cast("string"), NUMBER_PATTERN, 0)
     return F.regexp_replace(hit, ",", "").try_cast("double")
@@ -100,10 +97,6 @@ def strip_prefix(c, n: int = 1) -> Column:
     return F.substring(_col(c), n + 1, 1 << 30)
 
 
-def add_prefix(c, prefix: str) -> Column:
-    return F.concat(F.lit(prefix), _col(c))
-
-
 def remove_dashes(c) -> Column:
     """``2023-01-02`` -> ``20230102``."""
     return F.replace(_col(c), F.lit("-"), F.lit(""))

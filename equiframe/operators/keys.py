@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from equiframe.operators.columns import relocate
 from equiframe.session import checkpoint_dir
 
 _POS_BITS = 33  # low bits of monotonically_increasing_id: position in partition
@@ -48,7 +49,7 @@ def assign_keys(df: DataFrame, order: list[str], key: str = "num_key", start: Co
     out = (ranged.withColumn("_part", part)
                  .join(F.broadcast(offsets), on="_part", how="inner")
                  .withColumn(key, (start_col + F.col("_off") + pos + 1).cast("long")))
-    return out.select(key, *[c for c in df.columns if c != key])
+    return relocate(out.select(*[c for c in df.columns if c != key], key), [key])
 
 
 def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:

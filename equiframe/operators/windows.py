@@ -164,16 +164,6 @@ def fill_forward(df: DataFrame, cols: list[str], keys: list[str], order: str | C
                        for c in df.columns])
 
 
-def first_seen(df: DataFrame, attrs: list[str], order: str) -> DataFrame:
-    """A3: distinct on ``attrs`` keeping the earliest ``order`` value.
-
-    ``distinct(across(-order), .keep_all)`` over time-ordered input: a
-    return to an earlier attribute set is not a new version.  A grouped
-    ``min`` -- map-side partial aggregation, no whole-group buffering.
-    """
-    return df.groupBy(*attrs).agg(F.min(order).alias(order)).select(*df.columns)
-
-
 def latest_per_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """The row with the greatest ``order`` per key (as a struct
     ``max_by``, a partial aggregate).  ``(keys, order)`` should be unique.
@@ -184,13 +174,6 @@ def latest_per_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:
              .select(*df.columns)
 
 
-def lag_within(col: str, keys: list[str], order: list[str], n: int = 1, default=None) -> Column:
-    """``lag(col, n, default)`` within ``keys``; the default applies
-    only when there is no prior row (a NULL prior value stays NULL)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return F.lag(F.col(col), n, default).over(w)
-
-
 def as_of_latest(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, right_time: str,
                  out: str, block_days: int = DEFAULT_BLOCK_DAYS) -> DataFrame:
     """As-of lookup: for every ``left`` row, the greatest ``right_time`` of

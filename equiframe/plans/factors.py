@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from equiframe.functions.numeric import safe_div
+from equiframe.functions.numeric import first_non_null, safe_div
 from equiframe.operators.columns import first_columns, select_range
 from equiframe.operators.filters import DateLike, sym_dt_pick
 from equiframe.operators.joins import bounded_broadcast, broadcast_if_small
@@ -59,7 +59,7 @@ def value_factors(daily: DataFrame, cons: DataFrame, workdays: DataFrame, bs: Da
     j = (d.join(bounded_broadcast(workdays.select("base_dt", "fs_q")), on="base_dt", how="left")
           .join(stmts, on=["sym_cd", "fs_q"], how="left")
           .join(c, on="num_key", how="left")
-          .withColumn("earn_12mf", F.coalesce("earn_dom_12mf", "earn_12mf")))
+          .withColumn("earn_12mf", first_non_null("earn_dom_12mf", "earn_12mf")))
     per_share = safe_div(F.col("mkt_cap"), F.col("num_stock_o"))
     adj = per_share * F.col("num_stock_t")
     ratios = {

@@ -18,6 +18,7 @@ from equiframe.functions.text import (MANAGED_NORMAL, MANAGED_TYPE_CODE, MARKET_
                                       sector_recode, unite)
 from equiframe.operators.filters import listed_common_shares
 from equiframe.operators.keys import assign_keys
+from equiframe.operators.reshape import tag, union_by_name, unpivot_columns
 from equiframe.operators.windows import as_of_latest
 
 # ---------------------------------------------------------------------------
@@ -95,8 +96,7 @@ def stock_info_changes(existing: DataFrame, batch: DataFrame, new_only: bool = T
     day).  With ``new_only`` only versions from ``batch`` are returned.
     """
     attrs = [c for c in existing.columns if c not in ("sym_cd", "info_update")]
-    tagged = (existing.withColumn("_src", F.lit(0))
-              .unionByName(batch.select(*existing.columns).withColumn("_src", F.lit(1))))
+    tagged = union_by_name(tag(existing, _src=0), tag(batch.select(*existing.columns), _src=1))
     w = Window.partitionBy("sym_cd").orderBy("info_update", "_src")
     changed = F.lag(F.lit(1)).over(w).isNull()
     for a in attrs:
@@ -119,8 +119,7 @@ def stock_info_merge(existing: DataFrame, batch: DataFrame, new_only: bool = Tru
     (the rows to save).  One grouped ``min`` with partial aggregation.
     """
     attrs = [c for c in existing.columns if c != "info_update"]
-    tagged = (existing.withColumn("_src", F.lit(0))
-              .unionByName(batch.select(*existing.columns).withColumn("_src", F.lit(1))))
+    tagged = union_by_name(tag(existing, _src=0), tag(batch.select(*existing.columns), _src=1))
     first = tagged.groupBy(*attrs).agg(F.min(F.struct("info_update", "_src")).alias("_first"))
     out = first.select(*attrs, F.col("_first.info_update").alias("info_update"),
                        F.col("_first._src").alias("_src"))
@@ -185,7 +184,7 @@ def stock_managed(daily: DataFrame, vendor: DataFrame) -> DataFrame:
     flags = vendor.select("base_dt", "sym_cd", *MANAGED)
     keyed = daily.select("num_key", "base_dt", "sym_cd").join(flags, on=["base_dt", "sym_cd"],
                                                               how="right")
-    long = keyed.unpivot(["num_key"], MANAGED, "managed", "value")
+    long = unpivot_columns(keyed, ["num_key"], MANAGED, "managed", "value")
     code = recode_exact(F.col("managed"), {k: str(v) for k, v in MANAGED_TYPE_CODE.items()})
     return (long.filter(F.col("value") != F.lit(MANAGED_NORMAL))
                 .select("num_key", code.cast("int").alias("type")))

@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from equiframe.functions.dates import quarter_number, quarter_ordinal, quarter_string, quarter_year
-from equiframe.functions.numeric import any_not_null
+from equiframe.functions.dates import is_q4, quarter_ordinal, quarter_string, quarter_year
+from equiframe.functions.numeric import any_not_null, first_non_null
 from equiframe.operators.columns import require_columns
 from equiframe.operators.filters import in_set, quarter_between
 from equiframe.operators.joins import complete_grid
@@ -71,7 +71,7 @@ def trailing_pl(grid: DataFrame, items: list[str] | None = None) -> DataFrame:
     # ordinal) order are rows in ordinal order.
     g = grid.select(*KEYS, *items, quarter_year("fs_q").alias("_y"), quarter_ordinal("fs_q").alias("_o"))
     y, o = F.col("_y"), F.col("_o")
-    q = quarter_number("fs_q")
+    q4 = is_q4("fs_q")
     by_sym = Window.partitionBy("sym_cd")
     w_rows = by_sym.orderBy(y, o)
     w_prev_year = by_sym.orderBy(y).rangeBetween(-1, -1)
@@ -85,13 +85,13 @@ def trailing_pl(grid: DataFrame, items: list[str] | None = None) -> DataFrame:
     a4q, net = {}, {}
     for x in items:
         v = F.col(x)
-        y1 = F.max(F.when(q == 4, v)).over(w_prev_year)
+        y1 = F.max(F.when(q4, v)).over(w_prev_year)
         l4 = F.col(f"_l4_{x}")
-        a4q[x] = F.when(q == 4, v).otherwise(F.coalesce(v + y1 - l4, y1))
+        a4q[x] = F.when(q4, v).otherwise(first_non_null(v + y1 - l4, y1))
         net[x] = v - F.col(f"_l1_{x}")
     if "earn" in a4q and "earn_dom" in a4q:
-        a4q["earn"] = F.coalesce(a4q["earn_dom"], a4q["earn"])
-        net["earn"] = F.coalesce(net["earn_dom"], net["earn"])
+        a4q["earn"] = first_non_null(a4q["earn_dom"], a4q["earn"])
+        net["earn"] = first_non_null(net["earn_dom"], net["earn"])
     kept = [x for x in items if x != "earn_dom"]
     out = lagged.select(*KEYS, *[a4q[x].alias(f"{x}_a4q") for x in kept],
                         *[net[x].alias(f"{x}_n") for x in kept])

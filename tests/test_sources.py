@@ -97,3 +97,19 @@ def test_block_sizes_must_be_positive(spark):
         suffix_product(df, "v", ["k"], "d", "f", block_days=0)
     with pytest.raises(ValueError, match="block_days"):
         as_of_latest(df, df.select("k", F.col("d").alias("w")), ["k"], "d", "w", "w", block_days=0)
+
+
+def test_a_missing_vendor_item_is_an_error_that_names_it(spark):
+    import pytest
+
+    from equiframe.plans.ingest import stock_cons
+    from equiframe.plans.statements import split_statements
+    from equiframe.sources.vendor import cross_section, fiscal_basis, item_metadata
+    meta = item_metadata(spark)
+    raw = spark.createDataFrame([("A1", "1")], "sym_cd string, sales string")
+    for broken in (lambda: cross_section(raw, meta, "fs", "2020 Q1"), lambda: fiscal_basis(raw, meta),
+                   lambda: split_statements(raw.withColumn("fs_q", raw.sales), meta)):
+        with pytest.raises(ValueError, match="net_asset"):
+            broken()
+    with pytest.raises(Exception, match="sales_12mf"):
+        stock_cons(raw, raw.withColumn("base_dt", raw.sales))

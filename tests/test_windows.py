@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from equiframe.operators.keys import assign_keys
-from equiframe.operators.windows import first_seen, latest_per_key, rolling, suffix_product
+from equiframe.operators.windows import latest_per_key, rolling, suffix_product
 from equiframe.plans.prices import adjust_prices
 
 
@@ -78,11 +78,12 @@ def test_suffix_product_blocks_and_nulls(spark):
 
 
 def test_first_seen_a_b_a(spark):
+    from equiframe.plans.ingest import stock_info_merge
     df = spark.createDataFrame([("s", "A", dt.date(2023, 1, 1)), ("s", "B", dt.date(2023, 1, 2)),
                                 ("s", "A", dt.date(2023, 1, 3))], "sym_cd string, nm string, info_update date")
-    got = sorted((r.nm, r.info_update) for r in first_seen(df, ["sym_cd", "nm"], "info_update").collect())
-    assert got == [("A", dt.date(2023, 1, 1)), ("B", dt.date(2023, 1, 2))]
-    latest = latest_per_key(first_seen(df, ["sym_cd", "nm"], "info_update"), ["sym_cd"], "info_update").collect()
+    seen = stock_info_merge(df.limit(0), df)
+    assert sorted((r.nm, r.info_update) for r in seen.collect()) == [("A", dt.date(2023, 1, 1)), ("B", dt.date(2023, 1, 2))]
+    latest = latest_per_key(seen, ["sym_cd"], "info_update").collect()
     assert [(r.nm, r.info_update) for r in latest] == [("B", dt.date(2023, 1, 2))]
 
 
