@@ -204,21 +204,6 @@ _fx("fx_vendor", [], _VENDOR_ITEMS.replace("{inner}", """
   GROUP BY CAST(date_trunc('week', o.o_orderdate) AS DATE), c.c_nationkey
 """))
 
-# vendor items fetched for the day's universe, as the reference does: the
-# same (supplier nation, ship week) grid as fx_daily
-_fx("fx_vendor_universe", [], _VENDOR_ITEMS.replace("{inner}", """
-  SELECT CAST(date_trunc('week', l.l_shipdate) AS DATE) AS base_dt,
-         CAST(s.s_nationkey AS STRING) AS sym_cd, s.s_nationkey AS nation,
-         count(*) AS n,
-         CAST(round(sum(l.l_extendedprice) * 100, 0) AS BIGINT) AS tot_c,
-         round(sum(CASE WHEN l.l_linestatus = 'F' THEN l.l_extendedprice
-                        ELSE CAST(0 AS DOUBLE) END), 2) AS fin,
-         sum(CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END) AS lowp,
-         max(l.l_returnflag) AS seg_hi, min(l.l_linestatus) AS seg_lo
-  FROM {lineitem} l JOIN {supplier} s ON l.l_suppkey = s.s_suppkey
-  GROUP BY CAST(date_trunc('week', l.l_shipdate) AS DATE), s.s_nationkey
-"""))
-
 # vendor daily export (all text, 'A'-prefixed codes)
 _fx("fx_vendor_raw", ["fx_vendor"], """
 SELECT 'A' || sym_cd AS sym_cd, base_dt, sym_mng, sym_stop, sym_reg,

@@ -2,8 +2,8 @@
 
 Broadcast policy: a side is broadcast only when its size is bounded --
 either structurally (a calendar has at most one row per day of the data's
-span; a quarter list at most four per year) or by a runtime row-count check
-(``broadcast_if_small``).  Everything else is left to the planner, with AQE
+span; a quarter list at most four per year) or by a runtime check of its
+bytes (``broadcast_if_small``).  Everything else is left to the planner, with AQE
 converting to a broadcast at runtime once a shuffle stage proves small.
 """
 
@@ -11,26 +11,36 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from equiframe.session import checkpoint_dir
 
-# Row bound for the runtime-checked broadcast.
-MAX_BROADCAST_ROWS = 2_000_000
+# Byte bound for the runtime-checked broadcast.
+MAX_BROADCAST_BYTES = 128 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast-hint ``df`` only if it has at most ``max_rows`` rows.
+def _row_bytes(df: DataFrame) -> Column:
+    """About the bytes of a row: 8 a fixed-width value, texts by their length."""
+    fixed = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+    out = F.lit(16)
+    for f in df.schema.fields:
+        out = out + (F.lit(8) if isinstance(f.dataType, fixed)
+                     else F.coalesce(F.octet_length(F.col(f.name).cast("string")), F.lit(0)) + 16)
+    return out.cast("long")
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast-hint ``df`` only if its rows take at most ``max_bytes``.
 
     The frame is first materialised with ``checkpoint()`` (in the cluster's
-    ``spark.checkpoint.dir``) so the row count and the join read the same
-    stored rows -- nothing is computed twice.  Beyond the bound the
-    checkpointed frame is returned unhinted and joins by shuffle.
+    ``spark.checkpoint.dir``) so the size and the join read the same stored
+    rows -- nothing is computed twice.  Beyond the bound the checkpointed
+    frame is returned unhinted and joins by shuffle.
     """
     checkpoint_dir(df.sparkSession)
     stored = df.checkpoint(eager=True)
-    if stored.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(stored)
-    return stored
+    size = stored.agg(F.sum(_row_bytes(stored))).first()[0] or 0
+    return F.broadcast(stored) if size <= max_bytes else stored
 
 
 def bounded_broadcast(df: DataFrame) -> DataFrame:

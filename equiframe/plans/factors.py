@@ -44,7 +44,7 @@ def value_factors(daily: DataFrame, cons: DataFrame, workdays: DataFrame, bs: Da
 
     Join order and sides: the calendar (one row per trading day) is
     broadcast; the statement sides (symbols x quarters, independent of the
-    daily volume) are materialised once and broadcast when under a row
+    daily volume) are materialised once and broadcast when under a byte
     bound (checked), else joined by shuffle; consensus joins last, on
     num_key, so the result comes out partitioned by num_key for the
     factor-table upsert.

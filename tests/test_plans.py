@@ -70,3 +70,17 @@ def test_trailing_pl_three_windows_share_one_sort(stored):
     between = lines[windows[0]:windows[-1] + 1]
     assert not any("Sort (" in line or "Exchange (" in line for line in between)
     assert "Sort (" in lines[windows[-1] + 1]
+
+
+def test_a_broadcast_is_bounded_in_bytes(spark):
+    from pyspark.sql import functions as F
+
+    from equiframe.operators.joins import broadcast_if_small
+    wide = spark.range(10).select("id", F.repeat(F.lit("x"), 1000).alias("text"))
+
+    def hinted(df):
+        return "strategy=broadcast" in df._jdf.queryExecution().analyzed().toString()
+
+    assert hinted(broadcast_if_small(wide))
+    assert not hinted(broadcast_if_small(wide, max_bytes=10_000))
+    assert hinted(broadcast_if_small(wide.limit(0), max_bytes=0))
