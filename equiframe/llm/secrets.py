@@ -3,10 +3,12 @@
 The text is scanned as it stands; then every layer that can be unwrapped from
 it -- percent-encoded URLs, Unicode escapes, base64 tokens, and zlib or gzip
 streams inside those -- becomes an item of a worklist, is scanned in turn and
-unwrapped further, until no new layer appears.  A layer whose content was seen
-before is not entered again, so cycles end.  Each layer carries a mapping of
-its characters to the code points of the document, and what is found in it is
-reported at the place it came from.
+unwrapped further, until no new layer appears.  Each layer carries a mapping
+of its characters to the code points of the document, and what is found in it
+is reported at the place it came from.  A layer equal to an earlier one in
+content and mapping is not entered again, so cycles end.  All that a base64
+token holds comes from the token's place: equal tokens are unwrapped once, and
+every place gets the spans.
 
 A compressed stream is unpacked up to ``max_layer`` bytes (64 MiB); one that
 holds more is opaque data to this operator and stays unscanned.  Texts
@@ -77,6 +79,13 @@ class Layer:
     def __init__(self, text: str, pieces: list[tuple[int, int, int, bool]]):
         self.text, self.pieces, self.starts = text, pieces, [p[0] for p in pieces]
 
+    def key(self) -> bytes:
+        return hashlib.sha1(self.text.encode() + b"\0" + repr(self.pieces).encode()).digest()
+
+    def single(self) -> bool:
+        """Whether everything in it comes from one place."""
+        return len(self.pieces) == 1 and not self.pieces[0][3]
+
     def origin(self, start: int, end: int) -> tuple[int, int]:
         a = self.pieces[bisect_right(self.starts, start) - 1]
         b = self.pieces[bisect_right(self.starts, max(end - 1, start)) - 1]
@@ -103,7 +112,7 @@ def _rewritten(layer: Layer, found) -> Layer | None:
             size += len(decoded)
         at = end
     text = "".join(parts)
-    return Layer(text, pieces) if text else None
+    return Layer(text, layer.pieces if layer.single() else pieces) if text else None
 
 
 def _with_tail(found, layer: Layer):
@@ -183,28 +192,43 @@ def _tokens(layer: Layer, max_layer: int):
             yield Layer(text, [(0, *layer.origin(*m.span()), False)])
 
 
-def all_spans(text: str, raw: bytes | None = None, max_layer: int = MAX_LAYER) -> tuple[list, list]:
-    """(base spans, all spans), each sorted by start, kind as listed, end."""
-    raw = text.encode() if raw is None else raw
-    base = scan(text, raw)
-    spans = set(base)
-    work, seen = [Layer(text, [(0, 0, len(text), True)])], {hashlib.sha1(raw).digest()}
+def _walk(first: Layer, max_layer: int, known: dict) -> set[tuple[str, int, int]]:
+    """Spans of a layer and of all layers in it.  ``known``: the kinds in a
+    token, by the digest of its content."""
+    spans, work, seen = set(), [first], set()
     while work:
         layer = work.pop()
-        data = raw if layer.text is text else layer.text.encode()
-        if layer.text is not text:
-            spans.update((kind, *layer.origin(s, e)) for kind, s, e in scan(layer.text, data))
+        data = layer.text.encode()
+        spans.update((kind, *layer.origin(s, e)) for kind, s, e in scan(layer.text, data))
         new = []
         if b"%" in data:
             new.append(_url(layer))
         if b"\\u" in data or b"\\x" in data:
             new.append(_unicode(layer))
         if b"x" * MIN_BASE64 in data.translate(_IN_BASE64):
-            new.extend(_tokens(layer, max_layer))
+            for token in _tokens(layer, max_layer):
+                if layer.single():
+                    new.append(token)
+                    continue
+                digest = hashlib.sha1(token.text.encode()).digest()
+                if digest not in known:
+                    known[digest] = {kind for kind, _, _ in _walk(token, max_layer, known)}
+                spans.update((kind, *token.origin(0, 1)) for kind in known[digest])
+        new = [inner for inner in new if inner is not None]
+        if new:
+            seen.add(layer.key())
         for inner in new:
-            if inner is not None and (digest := hashlib.sha1(inner.text.encode()).digest()) not in seen:
-                seen.add(digest)
+            if (key := inner.key()) not in seen:
+                seen.add(key)
                 work.append(inner)
+    return spans
+
+
+def all_spans(text: str, raw: bytes | None = None, max_layer: int = MAX_LAYER) -> tuple[list, list]:
+    """(base spans, all spans), each sorted by start, kind as listed, end."""
+    raw = text.encode() if raw is None else raw
+    base = scan(text, raw)
+    spans = _walk(Layer(text, [(0, 0, len(text), True)]), max_layer, {})
 
     def key(span):
         return span[1], KINDS.index(span[0]), span[2]

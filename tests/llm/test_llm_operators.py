@@ -336,6 +336,18 @@ def test_secret_cycles_and_bombs():
     assert secrets.all_spans(base64.b64encode(zlib.compress(SECRET.encode() * 50)).decode(), max_layer=100)[1] == []
 
 
+def test_secret_layers_repeated():
+    b64 = base64.b64encode(SECRET.encode()).decode()
+    twice = base64.b64encode(b"see " + b64.encode() + b" there").decode()
+    for layer in _layers():
+        text = f"first {layer} then {layer}, {twice} and {b64} \n{layer}"
+        found = [s for s in secrets.all_spans(text)[1] if s[0] == "assign"]
+        for m in re.finditer(re.escape(layer), text):
+            assert any(m.start() <= s < e <= m.end() for _, s, e in found)
+        for token in (twice, b64):
+            assert ("assign", text.index(token), text.index(token) + len(token)) in found
+
+
 # ---- 6: Jaccard ------------------------------------------------------------
 
 def _jaccard_brute(rows):
