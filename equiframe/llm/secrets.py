@@ -10,6 +10,10 @@ content and mapping is not entered again, so cycles end.  All that a base64
 token holds comes from the token's place: equal tokens are unwrapped once, and
 every place gets the spans.
 
+All patterns are ASCII, so layers are bytes: a document's UTF-8, and whatever
+a token or escape decodes to, text or not.  A binary layer is dropped only
+where a byte test says that it holds no pattern and no further layer.
+
 A compressed stream is unpacked up to ``max_layer`` bytes (64 MiB); one that
 holds more is opaque data to this operator and stays unscanned.  Texts
 themselves are scanned whole, whatever their length.
@@ -34,19 +38,19 @@ from pyspark.sql import functions as F
 
 KINDS = ("assign", "access", "hex")
 # The patterns and least lengths of the base spans.
-_ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
-                     re.IGNORECASE | re.ASCII)
-_ACCESS = re.compile(r"AKIA[A-Z0-9]+")
-_HEX = re.compile(r"[0-9a-f]+")
+_ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+                     re.IGNORECASE)
+_ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
+_HEX = re.compile(rb"[0-9a-f]+")
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 6, 20, 24
 
 MIN_BASE64 = 16
 MAX_LAYER = 1 << 26
 _WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
-_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_BASE64)
-_URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-_ESCAPE = re.compile(r"\\u([dD][89abAB][0-9a-fA-F]{2})\\u([dD][c-fC-F][0-9a-fA-F]{2})"
-                     r"|\\u\{([0-9a-fA-F]{1,6})\}|\\u([0-9a-fA-F]{4})|\\x([0-9a-fA-F]{2})")
+_BASE64 = re.compile(rb"[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_BASE64)
+_URL = re.compile(rb"%([0-9A-Fa-f]{2})")
+_ESCAPE = re.compile(rb"\\u([dD][89abAB][0-9a-fA-F]{2})\\u([dD][c-fC-F][0-9a-fA-F]{2})"
+                     rb"|\\u\{([0-9a-fA-F]{1,6})\}|\\u([0-9a-fA-F]{4})|\\x([0-9a-fA-F]{2})")
 
 
 def _marks(chars: bytes) -> bytes:
@@ -55,32 +59,43 @@ def _marks(chars: bytes) -> bytes:
 
 _IN_HEX = _marks(b"0123456789abcdef")
 _IN_BASE64 = _marks(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")
+_CONTINUED = bytes(range(0x80, 0xC0))    # bytes of UTF-8 that begin no code point
+
+
+def _worded(data: bytes) -> bool:
+    low = data.lower()
+    return any(w in low for w in _WORDS)
 
 
-def scan(text: str, raw: bytes) -> list[tuple[str, int, int]]:
-    """Base spans (kind, start, end) of one text; ``raw`` is its UTF-8.  The
-    byte searches only tell that a kind cannot occur."""
+def scan(data: bytes) -> list[tuple[str, int, int]]:
+    """Base spans (kind, start, end) in bytes.  The byte searches only tell
+    that a kind cannot occur."""
     out = []
-    low = raw.lower()
-    if any(w in low for w in _WORDS):
-        out += [("assign", *m.span()) for m in _ASSIGN.finditer(text) if len(m[2]) >= MIN_ASSIGN]
-    if b"AKIA" in raw:
-        out += [("access", *m.span()) for m in _ACCESS.finditer(text) if len(m[0]) >= MIN_ACCESS]
-    if b"x" * MIN_HEX in raw.translate(_IN_HEX):
-        out += [("hex", *m.span()) for m in _HEX.finditer(text) if len(m[0]) >= MIN_HEX]
+    if _worded(data):
+        out += [("assign", *m.span()) for m in _ASSIGN.finditer(data) if len(m[2]) >= MIN_ASSIGN]
+    if b"AKIA" in data:
+        out += [("access", *m.span()) for m in _ACCESS.finditer(data) if len(m[0]) >= MIN_ACCESS]
+    if b"x" * MIN_HEX in data.translate(_IN_HEX):
+        out += [("hex", *m.span()) for m in _HEX.finditer(data) if len(m[0]) >= MIN_HEX]
     return out
 
 
+def _possible(data: bytes) -> bool:
+    """False only if ``data`` holds no secret and no further layer."""
+    return (b"x" * MIN_BASE64 in data.translate(_IN_BASE64) or _worded(data) or b"\\u" in data or b"\\x" in data
+            or (b"%" in data and _URL.search(data) is not None))
+
+
 class Layer:
-    """A decoded text.  ``pieces`` are (start, origin start, origin end,
-    straight): from ``start`` on, characters come one to one (straight) or all
+    """Decoded bytes.  ``pieces`` are (start, origin start, origin end,
+    straight): from ``start`` on, bytes come one to one (straight) or all
     together from the origin's span."""
 
-    def __init__(self, text: str, pieces: list[tuple[int, int, int, bool]]):
-        self.text, self.pieces, self.starts = text, pieces, [p[0] for p in pieces]
+    def __init__(self, data: bytes, pieces: list[tuple[int, int, int, bool]]):
+        self.data, self.pieces, self.starts = data, pieces, [p[0] for p in pieces]
 
     def key(self) -> bytes:
-        return hashlib.sha1(self.text.encode() + b"\0" + repr(self.pieces).encode()).digest()
+        return hashlib.sha1(hashlib.sha1(self.data).digest() + repr(self.pieces).encode()).digest()
 
     def single(self) -> bool:
         """Whether everything in it comes from one place."""
@@ -104,48 +119,36 @@ def _rewritten(layer: Layer, found) -> Layer | None:
                 p = layer.pieces[bisect_right(layer.starts, s) - 1]
                 pieces.append((size + s - at, p[1] + s - p[0], p[1] + e - p[0], True) if p[3]
                               else (size + s - at, p[1], p[2], False))
-            parts.append(layer.text[at:start])
+            parts.append(layer.data[at:start])
             size += start - at
         if decoded:
             pieces.append((size, *layer.origin(start, end), False))
             parts.append(decoded)
             size += len(decoded)
         at = end
-    text = "".join(parts)
-    return Layer(text, layer.pieces if layer.single() else pieces) if text else None
+    data = b"".join(parts)
+    return Layer(data, layer.pieces if layer.single() else pieces) if data else None
 
 
 def _with_tail(found, layer: Layer):
     found = list(found)
-    return found + [((len(layer.text), len(layer.text)), "")] if found else []
+    return found + [((len(layer.data), len(layer.data)), b"")] if found else []
 
 
 def _url(layer: Layer) -> Layer | None:
-    def found():
-        for m in _URL.finditer(layer.text):
-            data = bytes.fromhex(m[0].replace("%", ""))
-            try:
-                decoded = data.decode()
-            except UnicodeDecodeError:
-                continue
-            at = m.start()
-            for c in decoded:  # each character from its own escapes
-                n = 3 * len(c.encode())
-                yield (at, at + n), c
-                at += n
-
-    return _rewritten(layer, f) if (f := _with_tail(found(), layer)) else None
-
-
-def _unescaped(m: re.Match) -> str:
+    found = _with_tail(((m.span(), bytes([int(m[1], 16)])) for m in _URL.finditer(layer.data)), layer)
+    return _rewritten(layer, found) if found else None
+
+
+def _unescaped(m: re.Match) -> bytes:
     if m[1]:
-        return chr(0x10000 + ((int(m[1], 16) - 0xD800) << 10) + int(m[2], 16) - 0xDC00)
+        return chr(0x10000 + ((int(m[1], 16) - 0xD800) << 10) + int(m[2], 16) - 0xDC00).encode()
     code = int(m[3] or m[4] or m[5], 16)
-    return chr(code) if code < 0xD800 or 0xDFFF < code <= 0x10FFFF else "�"
+    return (chr(code) if code < 0xD800 or 0xDFFF < code <= 0x10FFFF else "�").encode()
 
 
 def _unicode(layer: Layer) -> Layer | None:
-    found = _with_tail(((m.span(), _unescaped(m)) for m in _ESCAPE.finditer(layer.text)), layer)
+    found = _with_tail(((m.span(), _unescaped(m)) for m in _ESCAPE.finditer(layer.data)), layer)
     return _rewritten(layer, found) if found else None
 
 
@@ -168,28 +171,19 @@ def _unpacked(data: bytes, max_layer: int) -> bytes | None:
     return out
 
 
-def _text(data: bytes) -> str | None:
-    """Data as text, if it is text."""
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    odd = sum(1 for c in text if not (c.isprintable() or c in "\t\r\n"))
-    return text if text and odd == 0 else None
-
-
 def _tokens(layer: Layer, max_layer: int):
-    """A layer for each base64 token that holds text, compressed or not."""
-    for m in _BASE64.finditer(layer.text):
-        body = m[0].rstrip("=").replace("-", "+").replace("_", "/")
+    """A layer for each base64 token, compressed or not, that can hold something."""
+    for m in _BASE64.finditer(layer.data):
+        body = m[0].rstrip(b"=").replace(b"-", b"+").replace(b"_", b"/")
         if len(body) % 4 == 1:
             continue
         try:
-            data = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
+            data = base64.b64decode(body + b"=" * (-len(body) % 4), validate=True)
         except (binascii.Error, ValueError):
             continue
-        if text := _text(out if (out := _unpacked(data, max_layer)) is not None else data):
-            yield Layer(text, [(0, *layer.origin(*m.span()), False)])
+        data = out if (out := _unpacked(data, max_layer)) is not None else data
+        if _possible(data):
+            yield Layer(data, [(0, *layer.origin(*m.span()), False)])
 
 
 def _walk(first: Layer, max_layer: int, known: dict) -> set[tuple[str, int, int]]:
@@ -198,8 +192,8 @@ def _walk(first: Layer, max_layer: int, known: dict) -> set[tuple[str, int, int]
     spans, work, seen = set(), [first], set()
     while work:
         layer = work.pop()
-        data = layer.text.encode()
-        spans.update((kind, *layer.origin(s, e)) for kind, s, e in scan(layer.text, data))
+        data = layer.data
+        spans.update((kind, *layer.origin(s, e)) for kind, s, e in scan(data))
         new = []
         if b"%" in data:
             new.append(_url(layer))
@@ -210,7 +204,7 @@ def _walk(first: Layer, max_layer: int, known: dict) -> set[tuple[str, int, int]
                 if layer.single():
                     new.append(token)
                     continue
-                digest = hashlib.sha1(token.text.encode()).digest()
+                digest = hashlib.sha1(token.data).digest()
                 if digest not in known:
                     known[digest] = {kind for kind, _, _ in _walk(token, max_layer, known)}
                 spans.update((kind, *token.origin(0, 1)) for kind in known[digest])
@@ -224,16 +218,27 @@ def _walk(first: Layer, max_layer: int, known: dict) -> set[tuple[str, int, int]
     return spans
 
 
-def all_spans(text: str, raw: bytes | None = None, max_layer: int = MAX_LAYER) -> tuple[list, list]:
-    """(base spans, all spans), each sorted by start, kind as listed, end."""
-    raw = text.encode() if raw is None else raw
-    base = scan(text, raw)
-    spans = _walk(Layer(text, [(0, 0, len(text), True)]), max_layer, {})
+def _points(raw: bytes, spans) -> list[tuple[str, int, int]]:
+    """Spans in bytes of a UTF-8 text as spans in code points."""
+    if raw.isascii():
+        return list(spans)
+    point, at, n = {}, 0, 0
+    for p in sorted({p for _, s, e in spans for p in (s, e)}):
+        n += len(raw[at:p].translate(None, _CONTINUED))
+        point[p], at = n, p
+    return [(kind, point[s], point[e]) for kind, s, e in spans]
+
+
+def all_spans(text: str | bytes, max_layer: int = MAX_LAYER) -> tuple[list, list]:
+    """(base spans, all spans) in code points of a text or its UTF-8, each
+    sorted by start, kind as listed, end."""
+    raw = text.encode() if isinstance(text, str) else text
 
     def key(span):
         return span[1], KINDS.index(span[0]), span[2]
 
-    return sorted(base, key=key), sorted(spans, key=key)
+    spans = _walk(Layer(raw, [(0, 0, len(raw), True)]), max_layer, {})
+    return sorted(_points(raw, scan(raw)), key=key), sorted(_points(raw, spans), key=key)
 
 
 def joined(spans) -> str:
@@ -250,7 +255,7 @@ def find(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", max_layer:
     of the document, end exclusive."""
     def run(batches):
         for b in batches:
-            found = [all_spans(raw.decode(), raw, max_layer) if raw else ([], []) for raw in b.column(1).to_pylist()]
+            found = [all_spans(raw, max_layer) if raw else ([], []) for raw in b.column(1).to_pylist()]
             as_rows = [[[{"kind": k, "start": s, "end": e} for k, s, e in f[i]] for f in found] for i in (0, 1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(as_rows[0], _SPANS), pa.array(as_rows[1], _SPANS)],
                                              names=["doc_id", "base", "spans"])

@@ -348,6 +348,20 @@ def test_secret_layers_repeated():
             assert ("assign", text.index(token), text.index(token) + len(token)) in found
 
 
+@pytest.mark.parametrize("odd", ["\u00a0", "\ufeff", "\u200b", "\u3000", "\f", "\x1b[31m", "\0", b"\xff\xfe", b"\xc3"])
+def test_secret_layers_that_are_not_text(odd):
+    odd = odd if isinstance(odd, bytes) else odd.encode()
+    inner = base64.b64encode(SECRET.encode())
+    url = "".join(f"%{c:02X}" for c in odd + SECRET.encode())
+    for layer in (base64.b64encode(odd + SECRET.encode()).decode(), base64.b64encode(odd + b" " + inner).decode(),
+                  base64.b64encode(zlib.compress(SECRET.encode() + odd)).decode(), url,
+                  base64.b64encode(url.encode()).decode()):
+        text = f"é☃ some text, {layer} and more"
+        found = [s for s in secrets.all_spans(text)[1] if s[0] == "assign"]
+        at = text.index(layer)
+        assert found and all(at <= s < e <= at + len(layer) for _, s, e in found)
+
+
 # ---- 6: Jaccard ------------------------------------------------------------
 
 def _jaccard_brute(rows):
