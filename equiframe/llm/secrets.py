@@ -14,9 +14,12 @@ All patterns are ASCII, so layers are bytes: a document's UTF-8, and whatever
 a token or escape decodes to, text or not.  A binary layer is dropped only
 where a byte test says that it holds no pattern and no further layer.
 
-A compressed stream is unpacked up to ``max_layer`` bytes (64 MiB); one that
-holds more is opaque data to this operator and stays unscanned.  Texts
-themselves are scanned whole, whatever their length.
+Compressed streams are unpacked in chunks, whatever they hold, with all their
+members; of a stream that is cut off or broken, what it yields is scanned.  A
+layer of more than ``IN_MEMORY`` bytes is spilled to a temporary file and
+mapped, so a worker's memory does not follow it.  Only a caller who gives
+``max_layer`` makes streams of more bytes opaque.  Texts themselves are
+scanned whole, whatever their length.
 
 Defined cases: NULL and empty text have no span; equal spans of one kind that
 several layers give are one span; repeated rows give repeated results; an
@@ -28,9 +31,11 @@ from __future__ import annotations
 import base64
 import binascii
 import hashlib
+import mmap
 import re
+import tempfile
 import zlib
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,9 +50,11 @@ _HEX = re.compile(rb"[0-9a-f]+")
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 6, 20, 24
 
 MIN_BASE64 = 16
-MAX_LAYER = 1 << 26
+IN_MEMORY = 1 << 24     # bytes of a layer beyond which it is spilled
+CHUNK = 1 << 16
 _WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 _BASE64 = re.compile(rb"[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_BASE64)
+_STREAM = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]")
 _URL = re.compile(rb"%([0-9A-Fa-f]{2})")
 _ESCAPE = re.compile(rb"\\u([dD][89abAB][0-9a-fA-F]{2})\\u([dD][c-fC-F][0-9a-fA-F]{2})"
                      rb"|\\u\{([0-9a-fA-F]{1,6})\}|\\u([0-9a-fA-F]{4})|\\x([0-9a-fA-F]{2})")
@@ -62,28 +69,67 @@ _IN_BASE64 = _marks(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345
 _CONTINUED = bytes(range(0x80, 0xC0))    # bytes of UTF-8 that begin no code point
 
 
-def _worded(data: bytes) -> bool:
-    low = data.lower()
-    return any(w in low for w in _WORDS)
+def _blocks(data, overlap: int):
+    """Parts of ``data``; what is at most ``overlap`` + 1 long lies whole in one."""
+    if len(data) <= IN_MEMORY:
+        yield data if isinstance(data, bytes) else data[:]
+        return
+    for at in range(0, len(data), CHUNK):
+        yield data[at:at + CHUNK + overlap]
 
 
-def scan(data: bytes) -> list[tuple[str, int, int]]:
+def _worded(data) -> bool:
+    return any(w in low for low in (b.lower() for b in _blocks(data, 8)) for w in _WORDS)
+
+
+def _run(data, marks: bytes, least: int) -> bool:
+    return any(b"x" * least in b.translate(marks) for b in _blocks(data, least))
+
+
+def scan(data) -> list[tuple[str, int, int]]:
     """Base spans (kind, start, end) in bytes.  The byte searches only tell
     that a kind cannot occur."""
     out = []
     if _worded(data):
-        out += [("assign", *m.span()) for m in _ASSIGN.finditer(data) if len(m[2]) >= MIN_ASSIGN]
-    if b"AKIA" in data:
-        out += [("access", *m.span()) for m in _ACCESS.finditer(data) if len(m[0]) >= MIN_ACCESS]
-    if b"x" * MIN_HEX in data.translate(_IN_HEX):
-        out += [("hex", *m.span()) for m in _HEX.finditer(data) if len(m[0]) >= MIN_HEX]
+        out += [("assign", *m.span()) for m in _ASSIGN.finditer(data) if m.end(2) - m.start(2) >= MIN_ASSIGN]
+    if data.find(b"AKIA") >= 0:
+        out += [("access", *m.span()) for m in _ACCESS.finditer(data) if m.end() - m.start() >= MIN_ACCESS]
+    if _run(data, _IN_HEX, MIN_HEX):
+        out += [("hex", *m.span()) for m in _HEX.finditer(data) if m.end() - m.start() >= MIN_HEX]
     return out
 
 
-def _possible(data: bytes) -> bool:
+def _escaped(data) -> bool:
+    return data.find(b"\\u") >= 0 or data.find(b"\\x") >= 0
+
+
+def _possible(data) -> bool:
     """False only if ``data`` holds no secret and no further layer."""
-    return (b"x" * MIN_BASE64 in data.translate(_IN_BASE64) or _worded(data) or b"\\u" in data or b"\\x" in data
-            or (b"%" in data and _URL.search(data) is not None))
+    return (_run(data, _IN_BASE64, MIN_BASE64) or _worded(data) or _escaped(data) or _STREAM.search(data) is not None
+            or (data.find(b"%") >= 0 and _URL.search(data) is not None))
+
+
+def _gathered(chunks):
+    """The chunks as bytes, or as a mapped temporary file if they are large."""
+    parts, size, file = [], 0, None
+    for c in chunks:
+        parts.append(c)
+        size += len(c)
+        if size > IN_MEMORY:
+            file = file or tempfile.TemporaryFile()
+            file.writelines(parts)
+            parts = []
+    if file is None:
+        return b"".join(parts)
+    file.writelines(parts)
+    file.flush()
+    return mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
+
+
+def _cut(data, start: int, end: int):
+    """data[start:end] in chunks."""
+    for at in range(start, end, CHUNK):
+        yield data[at:min(at + CHUNK, end)]
 
 
 class Layer:
@@ -91,12 +137,16 @@ class Layer:
     straight): from ``start`` on, bytes come one to one (straight) or all
     together from the origin's span."""
 
-    def __init__(self, data: bytes, pieces: list[tuple[int, int, int, bool]]):
+    def __init__(self, data, pieces: list[tuple[int, int, int, bool]]):
         self.data, self.pieces, self.starts = data, pieces, [p[0] for p in pieces]
 
     def key(self) -> bytes:
         return hashlib.sha1(hashlib.sha1(self.data).digest() + repr(self.pieces).encode()).digest()
 
+    def plain(self) -> bool:
+        """Whether it is the document itself."""
+        return len(self.pieces) == 1 and self.pieces[0][3]
+
     def single(self) -> bool:
         """Whether everything in it comes from one place."""
         return len(self.pieces) == 1 and not self.pieces[0][3]
@@ -108,36 +158,43 @@ class Layer:
 
 
 def _rewritten(layer: Layer, found) -> Layer | None:
-    """The layer with each ((start, end), decoded) put in place."""
-    parts, pieces, at, size = [], [], 0, 0
-    for (start, end), decoded in found:
-        if at < start:
-            # a straight stretch of this layer: cut where its origin's pieces change
-            cut = [at] + [s for s in layer.starts[bisect_right(layer.starts, at):] if s < start]
+    """The layer with each ((start, end), decoded) put in place; None if
+    nothing was found."""
+    pieces, at, size = [], 0, 0
+    track = not layer.single()
+
+    def straight(start: int):
+        """This layer from ``at`` to ``start``: cut where its origin's pieces change."""
+        nonlocal size
+        if track:
+            cut = [at] + [s for s in layer.starts[bisect_right(layer.starts, at):bisect_left(layer.starts, start)]]
             for i, s in enumerate(cut):
                 e = cut[i + 1] if i + 1 < len(cut) else start
                 p = layer.pieces[bisect_right(layer.starts, s) - 1]
                 pieces.append((size + s - at, p[1] + s - p[0], p[1] + e - p[0], True) if p[3]
                               else (size + s - at, p[1], p[2], False))
-            parts.append(layer.data[at:start])
-            size += start - at
-        if decoded:
-            pieces.append((size, *layer.origin(start, end), False))
-            parts.append(decoded)
+        size += start - at
+        return _cut(layer.data, at, start)
+
+    def parts():
+        nonlocal at, size
+        for (start, end), decoded in found:
+            if at < start:
+                yield from straight(start)
+            if track:
+                pieces.append((size, *layer.origin(start, end), False))
+            yield decoded
             size += len(decoded)
-        at = end
-    data = b"".join(parts)
-    return Layer(data, layer.pieces if layer.single() else pieces) if data else None
-
+            at = end
+        if 0 < at < len(layer.data):
+            yield from straight(len(layer.data))
 
-def _with_tail(found, layer: Layer):
-    found = list(found)
-    return found + [((len(layer.data), len(layer.data)), b"")] if found else []
+    data = _gathered(parts())
+    return Layer(data, pieces if track else layer.pieces) if at else None
 
 
 def _url(layer: Layer) -> Layer | None:
-    found = _with_tail(((m.span(), bytes([int(m[1], 16)])) for m in _URL.finditer(layer.data)), layer)
-    return _rewritten(layer, found) if found else None
+    return _rewritten(layer, ((m.span(), bytes([int(m[1], 16)])) for m in _URL.finditer(layer.data)))
 
 
 def _unescaped(m: re.Match) -> bytes:
@@ -148,31 +205,67 @@ def _unescaped(m: re.Match) -> bytes:
 
 
 def _unicode(layer: Layer) -> Layer | None:
-    found = _with_tail(((m.span(), _unescaped(m)) for m in _ESCAPE.finditer(layer.data)), layer)
-    return _rewritten(layer, found) if found else None
-
-
-def _unpacked(data: bytes, max_layer: int) -> bytes | None:
-    """``data`` out of all compression layers around it; None if it isn't
-    compressed, is broken, or holds more than ``max_layer`` bytes."""
-    seen, out = set(), None
-    while data[:2] in (b"\x1f\x8b", b"x\x01", b"x\x5e", b"x\x9c", b"x\xda"):
-        if (digest := hashlib.sha1(data).digest()) in seen:
-            break
-        seen.add(digest)
-        try:
-            box = zlib.decompressobj(47)
-            inner = box.decompress(data, max_layer)
-            if not box.eof:
-                break
-        except zlib.error:
-            break
-        out = data = inner
+    return _rewritten(layer, ((m.span(), _unescaped(m)) for m in _ESCAPE.finditer(layer.data)))
+
+
+def _before_fault(box, part: bytes) -> list[bytes]:
+    """What a stream yields up to the byte that breaks it."""
+    out = []
+    try:
+        for i in range(len(part)):
+            out.append(box.decompress(part[i:i + 1]))
+    except zlib.error:
+        pass
     return out
 
 
-def _tokens(layer: Layer, max_layer: int):
-    """A layer for each base64 token, compressed or not, that can hold something."""
+def _streams(data, max_layer: int | None):
+    """(start, end, content) of each zlib or gzip stream in ``data``; members
+    that follow one another are one stream.  A broken one has what it yields."""
+    at = 0
+    while m := _STREAM.search(data, at):
+        end = again = m.start() + 1
+        size = 0
+
+        def chunks():
+            nonlocal end, again, size
+            box, place = zlib.decompressobj(47), m.start()
+            while True:
+                part = box.unconsumed_tail
+                if not part:
+                    part = data[place:place + CHUNK]
+                    place += len(part)
+                spare = box.copy()
+                try:
+                    out = [box.decompress(part, CHUNK)]
+                except zlib.error:
+                    out, end = _before_fault(spare, part), place
+                size += sum(map(len, out))
+                if max_layer is not None and size > max_layer:
+                    return
+                yield from out
+                if end == place:
+                    return
+                if box.eof:
+                    again = place - len(box.unused_data) - len(box.unconsumed_tail)
+                    if not _STREAM.match(data, again):
+                        end = again
+                        return
+                    box, place = zlib.decompressobj(47), again
+                elif not part and not out[0]:
+                    end = place
+                    return
+
+        content = _gathered(chunks())
+        if max_layer is not None and size > max_layer:
+            content = b""
+        if len(content):
+            yield m.start(), end, content
+        at = again
+
+
+def _tokens(layer: Layer):
+    """A layer for each base64 token that can hold something."""
     for m in _BASE64.finditer(layer.data):
         body = m[0].rstrip(b"=").replace(b"-", b"+").replace(b"_", b"/")
         if len(body) % 4 == 1:
@@ -181,12 +274,11 @@ def _tokens(layer: Layer, max_layer: int):
             data = base64.b64decode(body + b"=" * (-len(body) % 4), validate=True)
         except (binascii.Error, ValueError):
             continue
-        data = out if (out := _unpacked(data, max_layer)) is not None else data
         if _possible(data):
             yield Layer(data, [(0, *layer.origin(*m.span()), False)])
 
 
-def _walk(first: Layer, max_layer: int, known: dict) -> set[tuple[str, int, int]]:
+def _walk(first: Layer, max_layer: int | None, known: dict) -> set[tuple[str, int, int]]:
     """Spans of a layer and of all layers in it.  ``known``: the kinds in a
     token, by the digest of its content."""
     spans, work, seen = set(), [first], set()
@@ -195,12 +287,14 @@ def _walk(first: Layer, max_layer: int, known: dict) -> set[tuple[str, int, int]
         data = layer.data
         spans.update((kind, *layer.origin(s, e)) for kind, s, e in scan(data))
         new = []
-        if b"%" in data:
+        if data.find(b"%") >= 0:
             new.append(_url(layer))
-        if b"\\u" in data or b"\\x" in data:
+        if _escaped(data):
             new.append(_unicode(layer))
-        if b"x" * MIN_BASE64 in data.translate(_IN_BASE64):
-            for token in _tokens(layer, max_layer):
+        if not layer.plain():
+            new += [Layer(content, [(0, *layer.origin(s, e), False)]) for s, e, content in _streams(data, max_layer)]
+        if _run(data, _IN_BASE64, MIN_BASE64):
+            for token in _tokens(layer):
                 if layer.single():
                     new.append(token)
                     continue
@@ -229,7 +323,7 @@ def _points(raw: bytes, spans) -> list[tuple[str, int, int]]:
     return [(kind, point[s], point[e]) for kind, s, e in spans]
 
 
-def all_spans(text: str | bytes, max_layer: int = MAX_LAYER) -> tuple[list, list]:
+def all_spans(text: str | bytes, max_layer: int | None = None) -> tuple[list, list]:
     """(base spans, all spans) in code points of a text or its UTF-8, each
     sorted by start, kind as listed, end."""
     raw = text.encode() if isinstance(text, str) else text
@@ -250,7 +344,7 @@ SCHEMA = ("doc_id long, base array<struct<kind:string,start:long,end:long>>, "
 _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
 
-def find(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", max_layer: int = MAX_LAYER) -> DataFrame:
+def find(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", max_layer: int | None = None) -> DataFrame:
     """One row per document: its base spans and all its spans, in code points
     of the document, end exclusive."""
     def run(batches):

@@ -362,6 +362,32 @@ def test_secret_layers_that_are_not_text(odd):
         assert found and all(at <= s < e <= at + len(layer) for _, s, e in found)
 
 
+def test_secret_streams_are_read_whole(monkeypatch):
+    import gzip
+
+    def found(data):
+        text = base64.b64encode(data).decode()
+        got = [s for s in secrets.all_spans(text)[1] if s[0] == "assign"]
+        assert got in ([], [("assign", 0, len(text))])
+        return bool(got)
+
+    rng = np.random.default_rng(1)
+    noise = rng.bytes(300_000)
+    inside = b"\0" * 70_000_000 + SECRET.encode()
+    assert found(zlib.compress(inside, 9)) and found(zlib.compress(zlib.compress(inside)))
+    assert found(gzip.compress(b"one ") + gzip.compress(SECRET.encode()))
+    cut = SECRET.encode()
+    assert found(gzip.compress(cut[:9]) + gzip.compress(cut[9:]))
+    assert found(zlib.compress(cut + noise)[:-200_000]) and found(zlib.compress(cut)[:-4])
+    assert found(zlib.compress(cut + noise)[:200_000] + b"\0" * 100_000) and found(gzip.compress(cut)[:-8] + b"\1" * 8)
+    assert not found(zlib.compress(noise)) and not found(noise)
+    # spilled layers: escapes and tokens in them
+    monkeypatch.setattr(secrets, "IN_MEMORY", 1000)
+    monkeypatch.setattr(secrets, "CHUNK", 100)
+    for layer in _layers():
+        assert found(zlib.compress(noise[:3000] + b" " + layer.encode() + b" " + noise[:500]))
+
+
 # ---- 6: Jaccard ------------------------------------------------------------
 
 def _jaccard_brute(rows):
