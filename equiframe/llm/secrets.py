@@ -14,6 +14,12 @@ All patterns are ASCII, so layers are bytes: a document's UTF-8, and whatever
 a token or escape decodes to, text or not.  A binary layer is dropped only
 where a byte test says that it holds no pattern and no further layer.
 
+A token is decoded at all four alignments, so what stands before it in its run
+(``path/``, ``id_``) does not hide it; its place then begins behind the first
+of '/', '_' and '-' that fits the alignment, if all found lies behind it.  Runs are also joined over single
+line breaks, blanks beside them left out; what crosses lines is reported from
+its first line's run to its last.
+
 Compressed streams are unpacked in chunks, whatever they hold, with all their
 members; of a stream that is cut off or broken, what it yields is scanned.  A
 layer of more than ``IN_MEMORY`` bytes is spilled to a temporary file and
@@ -28,7 +34,6 @@ empty table gives an empty one; other columns are not read.
 
 from __future__ import annotations
 
-import base64
 import binascii
 import hashlib
 import mmap
@@ -54,6 +59,10 @@ IN_MEMORY = 1 << 24     # bytes of a layer beyond which it is spilled
 CHUNK = 1 << 16
 _WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 _BASE64 = re.compile(rb"[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_BASE64)
+_LINE = re.compile(rb"[A-Za-z0-9+/_-]+")
+_LINES = re.compile(rb"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[ \t]*+\r?+\n[ \t]*+[A-Za-z0-9+/_-]++)++={0,2}")
+_PART = re.compile(rb"(?<=[/_-])[A-Za-z0-9+]")
+_STANDARD = bytes.maketrans(b"-_", b"+/")
 _STREAM = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]")
 _URL = re.compile(rb"%([0-9A-Fa-f]{2})")
 _ESCAPE = re.compile(rb"\\u([dD][89abAB][0-9a-fA-F]{2})\\u([dD][c-fC-F][0-9a-fA-F]{2})"
@@ -106,7 +115,8 @@ def _escaped(data) -> bool:
 def _possible(data) -> bool:
     """False only if ``data`` holds no secret and no further layer."""
     return (_run(data, _IN_BASE64, MIN_BASE64) or _worded(data) or _escaped(data) or _STREAM.search(data) is not None
-            or (data.find(b"%") >= 0 and _URL.search(data) is not None))
+            or (data.find(b"%") >= 0 and _URL.search(data) is not None)
+            or (data.find(b"\n") >= 0 and any(m.end() - m.start() > MIN_BASE64 for m in _LINES.finditer(data))))
 
 
 def _gathered(chunks):
@@ -264,18 +274,79 @@ def _streams(data, max_layer: int | None):
         at = again
 
 
-def _tokens(layer: Layer):
-    """A layer for each base64 token that can hold something."""
-    for m in _BASE64.finditer(layer.data):
-        body = m[0].rstrip(b"=").replace(b"-", b"+").replace(b"_", b"/")
-        if len(body) % 4 == 1:
-            continue
-        try:
-            data = base64.b64decode(body + b"=" * (-len(body) % 4), validate=True)
-        except (binascii.Error, ValueError):
+def _tokens(data):
+    """(lines, end) of each base64 token of one line, then of several joined:
+    the lines' spans and where the padding ends."""
+    for m in _BASE64.finditer(data):
+        yield [_LINE.match(data, m.start()).span()], m.end()
+    if data.find(b"\n") >= 0:
+        for m in _LINES.finditer(data):
+            if m.end() - m.start() > MIN_BASE64:
+                yield [line.span() for line in _LINE.finditer(data, *m.span())], m.end()
+
+
+def _binary(body: bytes) -> bytes:
+    """Base64 decoded as far as whole bytes go."""
+    body = body[:-1] if len(body) % 4 == 1 else body
+    return binascii.a2b_base64(body + b"=" * (-len(body) % 4))
+
+
+def _decoded(data, lines: list[tuple[int, int]]) -> list:
+    """The token's content with its first 0, 1, 2 and 3 characters left out,
+    empty where it cannot hold anything."""
+    if sum(e - s for s, e in lines) <= IN_MEMORY:
+        body = b"".join(data[s:e] for s, e in lines).translate(_STANDARD)
+        found = [_binary(body[skip:]) for skip in range(4)]
+        if not _possible(b"\0".join(found)):
+            return []
+    else:
+        def chunks(skip: int):
+            rest = b""
+            for s, e in lines:
+                for part in _cut(data, s, e):
+                    rest += part.translate(_STANDARD)
+                    if len(rest) >= skip + 4:
+                        n = (len(rest) - skip) // 4 * 4 + skip
+                        yield _binary(rest[skip:n])
+                        rest, skip = rest[n:], 0
+            yield _binary(rest[skip:])
+
+        found = [_gathered(chunks(skip)) for skip in range(4)]
+    return [f if _possible(f) else b"" for f in found]
+
+
+def _part(data, start: int, end: int, skip: int) -> int:
+    """Where in the run start:end a token of that alignment can begin."""
+    if skip:
+        for m in _PART.finditer(data, start, end):
+            if (m.start() - start) % 4 == skip:
+                return m.start()
+    return start
+
+
+def _kinds(content, max_layer: int | None, known: dict) -> frozenset[str]:
+    """Kinds in a token's content and all layers in it."""
+    digest = hashlib.sha1(content).digest()
+    if digest not in known:
+        inner = _walk(Layer(content, [(0, 0, 0, False)]), max_layer, known)
+        known[digest] = frozenset(kind for kind, _, _ in inner)
+    return known[digest]
+
+
+def _line_pieces(lines: list[tuple[int, int]], skip: int) -> list[tuple[int, int, int, bool]]:
+    """Pieces of a token's content whose origins are numbers of lines."""
+    pieces, c = [(0, 0, 0, False)], -skip
+    for i, (s, e) in enumerate(lines[:-1]):
+        c += e - s
+        if c <= 0:
+            pieces = [(0, i + 1, i + 1, False)]
             continue
-        if _possible(data):
-            yield Layer(data, [(0, *layer.origin(*m.span()), False)])
+        if c % 4:  # a byte of both lines
+            at = 3 * c // 4
+            first = pieces.pop()[1] if pieces[-1][0] == at else i
+            pieces.append((at, first, i + 1, False))
+        pieces.append((-(-3 * c // 4), i + 1, i + 1, False))
+    return pieces
 
 
 def _walk(first: Layer, max_layer: int | None, known: dict) -> set[tuple[str, int, int]]:
@@ -293,15 +364,26 @@ def _walk(first: Layer, max_layer: int | None, known: dict) -> set[tuple[str, in
             new.append(_unicode(layer))
         if not layer.plain():
             new += [Layer(content, [(0, *layer.origin(s, e), False)]) for s, e, content in _streams(data, max_layer)]
-        if _run(data, _IN_BASE64, MIN_BASE64):
-            for token in _tokens(layer):
-                if layer.single():
-                    new.append(token)
-                    continue
-                digest = hashlib.sha1(token.data).digest()
-                if digest not in known:
-                    known[digest] = {kind for kind, _, _ in _walk(token, max_layer, known)}
-                spans.update((kind, *token.origin(0, 1)) for kind in known[digest])
+        if data.find(b"\n") >= 0 or _run(data, _IN_BASE64, MIN_BASE64):
+            for lines, end in _tokens(data):
+                for skip, content in enumerate(_decoded(data, lines)):
+                    if not len(content):
+                        continue
+                    if layer.single():
+                        new.append(Layer(content, layer.pieces))
+                    elif len(lines) > 1:
+                        inner = _walk(Layer(content, _line_pieces(lines, skip)), max_layer, known)
+                        spans.update((kind, *layer.origin(lines[i][0], end if j == len(lines) - 1 else lines[j][1]))
+                                     for kind, i, j in inner if i < j)
+                    else:
+                        kinds = _kinds(content, max_layer, known)
+                        if kinds:
+                            start = lines[0][0]
+                            part = _part(data, *lines[0], skip)
+                            if part > start and (len(content) > IN_MEMORY or not kinds <= _kinds(
+                                    content[3 * (part - start - skip) // 4:], max_layer, known)):
+                                part = start
+                            spans.update((kind, *layer.origin(part, end)) for kind in kinds)
         new = [inner for inner in new if inner is not None]
         if new:
             seen.add(layer.key())

@@ -388,6 +388,37 @@ def test_secret_streams_are_read_whole(monkeypatch):
         assert found(zlib.compress(noise[:3000] + b" " + layer.encode() + b" " + noise[:500]))
 
 
+def test_secret_tokens_in_lines_and_runs():
+    import gzip
+
+    def places(text, kind="assign"):
+        return [s[1:] for s in secrets.all_spans(text)[1] if s[0] == kind]
+
+    long = b"x" * 50 + b" " + SECRET.encode() + b" " + np.random.default_rng(2).bytes(400).hex(" ").encode()
+    for data in (long, gzip.compress(long), zlib.compress(long), base64.b64encode(long)):
+        b64 = base64.b64encode(data).decode()
+        for width in (76, 64, 17, 6):
+            for eol in ("\n", "\r\n", "\n    "):
+                token = eol.join(b64[i:i + width] for i in range(0, len(b64), width))
+                for before in ("", "é see\n", "key: ", "word\nabc\n\n", "\n"):
+                    text = f"{before}{token}\n\nand more"
+                    found = places(text)
+                    assert found and all(text.index(token) <= s < e <= len(before) + len(token) for s, e in found)
+    # a line of its own keeps its own span
+    one = base64.b64encode(SECRET.encode()).decode()
+    text = f"QUFBQUFBQUFBQUFBQUFB\n{one}\nQUFBQUFBQUFBQUFBQUFBQQ\n"
+    assert places(text) == [(21, 21 + len(one))]
+    for token in (one, base64.b64encode(gzip.compress(SECRET.encode())).decode()):
+        for before in ("x/", "id_", "a-", "p/ath/", "user_id_", "q"):
+            for after in ("", "/x", "_tail", "-a"):
+                token = token.rstrip("=") if after else token
+                text = f"see {before}{token}{after} there"
+                found = places(text)
+                assert found and all(4 <= s <= 4 + len(before) and 4 + len(before + token) <= e <= len(text) - 6
+                                     for s, e in found)
+        assert places(f"see x/{token} there")[0][0] == 6
+
+
 # ---- 6: Jaccard ------------------------------------------------------------
 
 def _jaccard_brute(rows):
