@@ -6,13 +6,16 @@ Jensen-Shannon distance (square root of the divergence, base 2: 0 equal, 1
 disjoint).  The references are sums over *all* documents of a language: one
 pass counts classes and words per partition, Spark adds the partial counts,
 and the ``COMMON`` most frequent words of each language make its word
-reference.  A language gets a reference if it holds at least ``MIN_SHARE`` of
-all words, so there are at most 1 / MIN_SHARE of them whatever the input.
+reference.  Every language of ``MIN_REFERENCE`` words or more has one, a number
+that does not depend on the rest of the corpus.
 
 A document is judged by its nearest language, so that a wrong language code
-rejects nothing.  Minimum-length guards: with fewer than ``min_words`` words
-the word histogram, with fewer than ``min_chars`` characters the class
-histogram is too noisy to be judged and passes.
+rejects nothing: by the ``NEAREST`` languages with most words, which every
+task holds, and by its own, which comes by a join from the stored references
+where it is none of them.  Minimum-length guards: with fewer than
+``min_words`` words the word histogram, with fewer than ``min_chars``
+characters the class histogram is too noisy to be judged and passes; so does
+a document whose language has too little text for a reference.
 
 Defined cases: NULL or empty text has no words and fails the base rules; a
 NULL language counts as a language of its own; an empty table gives an empty
@@ -35,7 +38,10 @@ from equiframe.llm.shared import stored
 WHITE = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
 COMMON = 48            # words of a word reference
-MIN_SHARE = 0.001      # of all words, for a language to have a reference
+#: Words of a language for a reference: sampling moves a histogram of 49 bins
+#: by about sqrt(48 / (8 ln 2 MIN_REFERENCE)) = 0.04, a tenth of WORD_LIMIT.
+MIN_REFERENCE = 5_000
+NEAREST = 1_000        # languages whose references every task holds
 CLASS_LIMIT = 0.24     # Jensen-Shannon distances beyond which a text is rejected
 WORD_LIMIT = 0.405
 MIN_CHARS, MIN_WORDS = 200, 60
@@ -158,20 +164,22 @@ def _record_batch(rows: list[tuple]) -> pa.RecordBatch:
          pa.array(cols[3], pa.int64())], names=["lang", "kind", "word", "n"])
 
 
-def references(docs: DataFrame, text: str = "text", lang: str = "lang", common: int = COMMON) -> dict:
+def references(docs: DataFrame, text: str = "text", lang: str = "lang", common: int = COMMON,
+               nearest: int = NEAREST) -> dict:
     """{"lang": names, "classes": counts, "words": [word lists], "counts":
-    [count arrays with the rest last]} over all documents.  What reaches the
-    driver is at most (common + N_CLASSES) / MIN_SHARE rows."""
+    [count arrays with the rest last]} of the ``nearest`` languages with most
+    words, over all documents; "more": a stored table of the references of
+    all other languages that have one, None if there is none.  What reaches
+    the driver is at most (common + N_CLASSES) * nearest rows."""
     parts = docs.select(F.col(text).cast("binary").alias("raw"), F.col(lang).cast("string").alias("lang")) \
                 .mapInArrow(_count, _COUNTS)
     sums = stored(parts.groupBy("lang", "kind", "word").agg(F.sum("n").alias("n")), "quality-counts")
-    totals = sums.filter("kind = 'total'").select(F.col("lang").alias("g"), F.col("n").alias("total"))
-    whole = totals.agg(F.sum("total")).first()[0] or 0
-    large = {r.g: r.total for r in totals.filter(F.col("total") >= MIN_SHARE * whole).collect()}
+    totals = sums.filter("kind = 'total'").filter(F.col("n") >= MIN_REFERENCE).select("lang", "n")
+    first = totals.orderBy(F.desc("n"), "lang").limit(nearest + 1).collect()
+    large = {r.lang: r.n for r in first[:nearest]}
     if not large:
-        return {"lang": [], "classes": np.zeros((0, N_CLASSES)), "words": [], "counts": []}
-    known = F.col("lang").isin([g for g in large if g is not None]) | (
-        F.col("lang").isNull() if None in large else F.lit(False))
+        return {"lang": [], "classes": np.zeros((0, N_CLASSES)), "words": [], "counts": [], "more": None}
+    known = _among(F.col("lang"), large)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
     top = sums.filter("kind = 'word'").filter(known).withColumn("r", rank).filter(F.col("r") <= common).collect()
     langs = sorted(large, key=lambda g: (g is None, g or ""))
@@ -181,10 +189,53 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang", common:
     words: dict = {g: [] for g in langs}
     for r in sorted(top, key=lambda r: r.r):
         words[r.lang].append((bytes(r.word), r.n))
+    more = None
+    if len(first) > nearest:
+        rank = F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "word"))
+        item = F.struct("word", "n")
+        more = stored(sums.filter(~known).withColumn("r", rank).filter(F.col("r") <= max(common, N_CLASSES))
+                      .groupBy("lang").agg(
+                          F.max(F.when(F.col("kind") == "total", F.col("n"))).alias("total"),
+                          F.collect_list(F.when(F.col("kind") == "class", item)).alias("classes"),
+                          F.collect_list(F.when((F.col("kind") == "word") & (F.col("r") <= common), item)).alias("words"))
+                      .filter(F.col("total") >= MIN_REFERENCE), "quality-references")
     return {"lang": langs, "classes": np.array([classes[g] for g in langs]),
             "words": [[w for w, _ in words[g]] for g in langs],
             "counts": [np.array([n for _, n in words[g]] + [large[g] - sum(n for _, n in words[g])], float)
-                       for g in langs]}
+                       for g in langs], "more": more}
+
+
+def _among(lang, names):
+    """Whether a language (NULL is one) is in ``names``."""
+    return F.coalesce(lang.isin([g for g in names if g is not None]), F.lit(None in names))
+
+
+_OWN = "equiframe_own_reference"
+_ITEMS = "array<struct<word:binary,n:bigint>>"
+_OWN_TYPE = f"struct<total:bigint,classes:{_ITEMS},words:{_ITEMS}>"
+
+
+def _with_own(docs: DataFrame, ref: dict, text: str, lang: str) -> DataFrame:
+    """``docs`` and the reference of each row's language, where the tasks do
+    not hold it.  Only languages beyond the ``NEAREST`` largest are joined, so
+    no large one meets in one task."""
+    none = docs.withColumn(_OWN, F.lit(None).cast(_OWN_TYPE))
+    if ref.get("more") is None:
+        return none
+    held = _among(F.col(lang).cast("string"), set(ref["lang"])) | (F.coalesce(F.length(text), F.lit(0)) == 0)
+    more = ref["more"].select(F.col("lang").alias(_OWN + "_lang"), F.struct("total", "classes", "words").alias(_OWN))
+    joined = docs.filter(~held).join(more, F.col(lang).cast("string").eqNullSafe(F.col(_OWN + "_lang")), "left")
+    return none.filter(held).unionByName(joined.drop(_OWN + "_lang"))
+
+
+def _as_reference(own: dict) -> dict:
+    """A row of the stored references in the form of ``references``."""
+    classes = np.zeros((1, N_CLASSES))
+    for c in own["classes"]:
+        classes[0, c["word"][0]] = c["n"]
+    counts = [w["n"] for w in own["words"]]
+    return {"lang": [None], "classes": classes, "words": [[w["word"] for w in own["words"]]],
+            "counts": [np.array(counts + [own["total"] - sum(counts)], float)]}
 
 
 def divergences(raws: list[bytes], ref: dict) -> tuple[np.ndarray, np.ndarray]:
@@ -216,16 +267,24 @@ def divergences(raws: list[bytes], ref: dict) -> tuple[np.ndarray, np.ndarray]:
 
 
 def verdicts(raws: list[bytes], ref: dict, class_limit: float = CLASS_LIMIT, word_limit: float = WORD_LIMIT,
-             min_chars: int = MIN_CHARS, min_words: int = MIN_WORDS) -> list[tuple]:
+             min_chars: int = MIN_CHARS, min_words: int = MIN_WORDS, langs: list | None = None,
+             owns: list | None = None) -> list[tuple]:
     """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, class distance, word distance, kept) of each text."""
+    base_failed, class distance, word distance, kept) of each text; ``owns``:
+    the references of the texts' languages (``langs``) that ``ref`` lacks."""
     by_class, by_word = divergences(raws, ref)
+    names = set(ref["lang"])
     out = []
-    for raw, c, w in zip(raws, by_class.tolist(), by_word.tolist()):
+    for i, (raw, c, w) in enumerate(zip(raws, by_class.tolist(), by_word.tolist())):
+        own = owns[i] if owns else None
+        if own is not None:
+            own_class, own_word = divergences([raw], _as_reference(own))
+            c, w = min(c, float(own_class[0])), min(w, float(own_word[0]))
         base = base_counts(raw)
         failed = base_failed(base[0], base[4])
+        judged = langs is None or own is not None or langs[i] in names
         far = (base[1] >= min_chars and c > class_limit) or (base[0] >= min_words and w > word_limit)
-        out.append((*base, failed, c, w, not failed and not far))
+        out.append((*base, failed, c, w, not failed and not (judged and far)))
     return out
 
 
@@ -243,27 +302,33 @@ def score(docs: DataFrame, ref: dict | None = None, text: str = "text", doc_id:
           lang: str = "lang", **limits) -> DataFrame:
     """One row per document: counts, distances and verdict (``SCHEMA``)."""
     ref = ref or references(docs, text, lang)
+    held = {k: v for k, v in ref.items() if k != "more"}
     names = SCHEMA.fieldNames()
     types = [pa.int64()] * 6 + [pa.bool_(), pa.float64(), pa.float64(), pa.bool_()]
 
     def run(batches):
         for b in batches:
-            cols = list(zip(*verdicts(_texts(b.column(1)), ref, **limits))) or [[] for _ in names[1:]]
+            found = verdicts(_texts(b.column(1)), held, langs=b.column(2).to_pylist(), owns=b.column(3).to_pylist(), **limits)
+            cols = list(zip(*found)) or [[] for _ in names[1:]]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0)] + [pa.array(c, t) for c, t in zip(cols, types[1:])], names=names)
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"),
-                       F.col(text).cast("binary").alias("raw")).mapInArrow(run, SCHEMA)
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("raw"),
+                       F.col(lang).cast("string").alias("lang"))
+    return _with_own(rows, ref, "raw", "lang").mapInArrow(run, SCHEMA)
 
 
 def keep(docs: DataFrame, ref: dict | None = None, text: str = "text", lang: str = "lang", **limits) -> DataFrame:
     """The rows of ``docs`` that pass, with their columns."""
     ref = ref or references(docs, text, lang)
-    place = docs.columns.index(text)
+    held = {k: v for k, v in ref.items() if k != "more"}
+    width, place, lang_place = len(docs.columns), docs.columns.index(text), docs.columns.index(lang)
 
     def run(batches):
         for b in batches:
             raws = [(t or "").encode() for t in b.column(place).to_pylist()]
-            yield b.filter(pa.array([v[-1] for v in verdicts(raws, ref, **limits)], pa.bool_()))
+            langs = [None if g is None else str(g) for g in b.column(lang_place).to_pylist()]
+            found = verdicts(raws, held, langs=langs, owns=b.column(width).to_pylist(), **limits)
+            yield b.select(list(range(width))).filter(pa.array([v[-1] for v in found], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return _with_own(docs, ref, text, lang).mapInArrow(run, docs.schema)

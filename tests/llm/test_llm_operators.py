@@ -280,6 +280,37 @@ def test_quality_keeps_clean_and_drops_junk(spark, documents, empty, edge):
     assert quality.keep(edge).columns == edge.columns
 
 
+def _greek(n, seed):
+    rng = np.random.default_rng(seed)
+    words = ["".join(chr(0x3b1 + c) for c in rng.integers(0, 24, rng.integers(2, 9))) for _ in range(150)]
+    share = 1 / np.arange(1, 151)
+    return [" ".join(words[k] for k in rng.choice(150, 150, p=share / share.sum())) for _ in range(n)]
+
+
+def test_quality_small_languages(spark, documents):
+    """Clean text of a language with under 0.1% of the words is kept, with a
+    reference of its own or without; junk under its code is not."""
+    from pyspark.sql import functions as F
+
+    n = documents.count()
+    base = documents.select("doc_id", "text", "lang", "source")
+    times = base.unionByName(base.crossJoin(spark.range(20)).select((base.doc_id + n * (1 + F.col("id"))).alias("doc_id"),
+                                                                   "text", "lang", "source"))
+    greek = [(-1 - i, t, "el", "x") for i, t in enumerate(_greek(50, 3))]
+    rare = [(-101 - i, t, "rare", "x") for i, t in enumerate(_greek(3, 4))]
+    junk = [(-201, " ".join(f"{i}#{i * i}%" for i in range(120)), "el", "x")]
+    small = spark.createDataFrame(greek + rare + junk, base.schema)
+    docs = times.unionByName(small).repartition(8)
+    words = 150 * 50 / sum(len(r.text.split()) for r in base.collect() if r.text) / 21
+    assert words < 0.001
+    for nearest in (quality.NEAREST, 2):  # 2: the references of the others are joined
+        ref = quality.references(docs, nearest=nearest)
+        assert (ref["more"] is None) == (nearest > 2) and len(ref["lang"]) == min(nearest, 5)
+        got = {r.doc_id: r.kept for r in quality.score(docs, ref).filter("doc_id < 0").collect()}
+        assert got == {r[0]: r[0] != -201 for r in greek + rare + junk}
+        assert {r.doc_id for r in quality.keep(docs, ref).filter("doc_id < 0").collect()} == {d for d in got if got[d]}
+
+
 # ---- 5: secrets ------------------------------------------------------------
 
 def _secrets_brute(text):
