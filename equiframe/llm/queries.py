@@ -8,8 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from equiframe.llm import (decontam, jaccard, mixing, ngram_lm, quality, secrets, sharding, token_files, toxicity,
-                           warc_zip)
+from equiframe.llm import (binary_codes, conversations, decontam, jaccard, mixing, ngram_lm, quality, runs, secrets, sharding,
+                           token_files, toxicity, warc_zip)
 from equiframe.llm.shared import ship_package
 
 
@@ -94,8 +94,67 @@ def op10_lm_scoring(spark, sf_dir):
     return ngram_lm.score(_table(spark, sf_dir, "documents"))
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``docs`` where every tenth text repeats some of its words to its end."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10).cast("long")
+
+    def planted(words):
+        n = F.size(words)
+        a = F.pmod(g, n.cast("long"))
+        p = F.lit(1) + F.floor((n - a) / (F.lit(3) + F.pmod(g, F.lit(8)))).cast("long")
+        return F.array_join(F.transform(words, lambda w, i: F.when(i < a, w).otherwise(
+            F.get(words, (a + F.pmod(i - a, p)).cast("int")))), " ")
+
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    hit = F.coalesce(F.pmod(h, F.lit(10)) == 0, F.lit(False)) & F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    return docs.withColumn("text", F.when(hit, F.get(F.transform(F.array(words), planted), F.lit(0))).otherwise(F.col("text")))
+
+
+def op11_run_detection(spark, sf_dir):
+    """Runs of repeating words in all documents, some of them planted."""
+    found = runs.find(with_planted_runs(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    best = F.aggregate("runs", F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>"), lambda b, r: F.when(
+        b.isNull() | (r["length"] * b["period"] > b["length"] * r["period"]), r).otherwise(b))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").cast("long").alias("exponent_milli"), F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words")
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversation rows with faults, by a checksum of conversation and turn."""
+    def text(c):
+        return F.coalesce(F.col(c).cast("string"), F.lit(" "))
+
+    kind = F.crc32(F.concat(text("conv_id"), F.lit(":"), text("turn"))) % 20
+    return rows.withColumn("kind", kind).filter("kind <> 0").select(
+        "conv_id", "turn", F.when(F.col("kind") == 4, "user").otherwise(text("role")).alias("role"),
+        F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.regexp_replace(text("text"), "[.!?]", "")).otherwise(text("text"))
+        .alias("text"), F.explode(F.when(F.col("kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"))
+
+
+def op12_conversation_repair(spark, sf_dir):
+    """Faults and cheapest repairs of all conversations, after damage."""
+    rows = _table(spark, sf_dir, "conversations")
+    repair = conversations.Repair(damaged(rows).drop("copy"))
+    every = rows.select("conv_id").distinct().withColumn("conv", conversations.conversation_key())
+    made = repair.faults.join(repair.cost_and_audit(), "conv").join(conversations.repaired_hash(repair.turns()), "conv", "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return every.join(made, "conv", "left").select(
+        "conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+def op13_binary_codes(spark, sf_dir):
+    """Links and components of all embeddings within their labels."""
+    return binary_codes.link(_table(spark, sf_dir, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
+
+
 Q = {f.__name__: f for f in (op1_warc_zip, op2_mixing, op3_toxicity, op4_quality_rules, op5_secret_scan,
-                             op6_ngram_jaccard, op7_decontamination, op8_token_files, op9_sharding, op10_lm_scoring)}
+                             op6_ngram_jaccard, op7_decontamination, op8_token_files, op9_sharding, op10_lm_scoring, op11_run_detection,
+                             op12_conversation_repair, op13_binary_codes)}
 
 _MIXING = r"""
 WITH d AS (

@@ -43,10 +43,13 @@ def test_every_query_has_its_contract_columns(spark):
         "op5": "doc_id n_assign n_access n_hex base_sha256 spans", "op6": "doc_id n_shingles component_id",
         "op7": "doc_id n_words n_hit n_items items_sha256 contaminated", "op8": "doc_id start n_tokens ids_crc32",
         "op9": "doc_id size text_crc32 law shard slot grown_shard",
-        "op10": "doc_id held_out n_tokens n_known train_tokens base_score score"}
+        "op10": "doc_id held_out n_tokens n_known train_tokens base_score score",
+        "op11": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
+        "op12": "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256",
+        "op13": "vec_id n_links component_id kept"}
     found = {n.split("_")[0]: f for n, f in queries.Q.items()}
-    assert len(found) == 10
-    for op in ("op4", "op5", "op7", "op9"):
+    assert len(found) == 13
+    for op in ("op4", "op5", "op7", "op9", "op11", "op12", "op13"):
         assert set(columns[op].split()) <= set(found[op](spark, "/root/testdata/sf0.001").columns), op
 
 
