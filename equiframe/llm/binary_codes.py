@@ -201,6 +201,22 @@ def _classed(rows: DataFrame, vector_col: str, group_col: str) -> tuple[DataFram
     return rows.withColumn(name, F.when(usable, F.unhex(F.md5(F.encode(text, "utf-8"))))), name
 
 
+_SIGN = -(1 << 63)
+
+
+def _by_id(least: str, digest: str) -> F.Column:
+    """A class's key: keys are ordered as the least ids of the classes, those
+    without an id last, so the least key of a component names its least id."""
+    place = F.lpad(F.hex(F.col(least).cast("long").bitwiseXOR(F.lit(_SIGN))), 16, "0")
+    return F.concat(F.unhex(F.coalesce(F.concat(F.lit("00"), place), F.lit("01" + "F" * 16))), F.col(digest))
+
+
+def _id_of(key: F.Column) -> F.Column:
+    """Inverse of :func:`_by_id`."""
+    place = F.conv(F.hex(F.substring(key, 2, 8)), 16, -10).cast("long").bitwiseXOR(F.lit(_SIGN))
+    return F.when(F.hex(F.substring(key, 1, 1)) == "00", place)
+
+
 def link(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", group_col: str = "label",
          cosine: float = COSINE, recall: float = RECALL) -> DataFrame:
     """``rows`` with n_links (other rows linked directly), component_id (least
@@ -210,7 +226,8 @@ def link(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
         F.col(cls).alias("cls"), F.col(f"`{group_col}`").cast("string").alias("grp"), F.col(f"`{id_col}`").alias("vid"),
         F.col(f"`{vector_col}`").cast("array<double>").alias("vector")).filter("cls is not null").groupBy("cls").agg(
         F.first("grp").alias("grp"), F.first("vector").alias("vector"), F.count(F.lit(1)).alias("n"), F.min("vid").alias("least")
-    ).withColumn("dims", F.size("vector")), "vector-classes")
+    ).withColumn("dims", F.size("vector")).withColumn("digest", F.col("cls")).withColumn("cls", _by_id("least", "cls")),
+        "vector-classes")
     largest = classes.groupBy("grp").count().agg(F.max("count")).first()[0] or 1
     width, bands = layout(largest, cosine, recall)
     coded = stored(classes.select("cls", "grp", "dims", "vector", "n").mapInArrow(
@@ -229,11 +246,9 @@ def link(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
         _links(width, bands, cosine), "cls binary, links long, root binary"), "vector-links")
     counted = found.groupBy("cls").agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("cls").alias("u"), F.col("root").alias("v"))).withColumnRenamed("node", "cls")
-    of = classes.select("cls", "n", "least").join(counted, "cls", "left").join(roots, "cls", "left").withColumn(
-        "root", F.coalesce("root", "cls"))
-    component = of.groupBy("root").agg(F.min("least").alias("component_id"))
-    results = of.join(component, "root").select(
-        F.col("cls").alias(cls), (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id")
+    results = classes.select("cls", "n", "digest").join(counted, "cls", "left").join(roots, "cls", "left").select(
+        F.col("digest").alias(cls), (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
+        _id_of(F.coalesce("root", "cls")).alias("component_id"))
     own = F.col(f"`{id_col}`")
     return rows.join(results, cls, "left").drop(cls).withColumns({
         "n_links": F.coalesce("n_links", F.lit(0)).cast("long"), "component_id": F.coalesce("component_id", own)}).withColumn(
