@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from equiframe.operators.filters import DateLike
@@ -33,7 +33,7 @@ from equiframe.plans import factors as fac
 from equiframe.plans import ingest as ing
 from equiframe.plans import statements as st
 from equiframe import schemas
-from equiframe.sources.sinks import finish_swap, read_if_present, replace_partitions, upsert_table
+from equiframe.sources.sinks import delete_rows, read_table, replace_partitions, upsert_table
 from equiframe.session import checkpoint_dir
 from equiframe.sources.tables import TableStore
 
@@ -94,14 +94,14 @@ class EquityStore(TableStore):
 
     # -- reads ---------------------------------------------------------------
     def exists(self, name: str) -> bool:
-        return read_if_present(self.spark, self.path(name)) is not None
+        return read_table(self.spark, self.path(name)) is not None
 
     def table(self, name: str, start: DateLike = None, end: DateLike = None) -> DataFrame | None:
         """The stored table (``None`` if never written).  With a date range a
         ``year`` predicate is added so only the touched partitions are read;
-        the partition column itself is dropped."""
-        finish_swap(self.spark, self.path(name))
-        df = read_if_present(self.spark, self.path(name))
+        the partition column itself is dropped.  Reading never writes, also
+        where a writer was lost in its swap."""
+        df = read_table(self.spark, self.path(name))
         if df is None:
             return None
         if "year" in df.columns and "year" in TABLES.get(name, ([], []))[1]:
@@ -122,12 +122,15 @@ class EquityStore(TableStore):
         return df
 
     # -- writes --------------------------------------------------------------
-    def upsert(self, name: str, rows: DataFrame, key_days: DataFrame | None = None) -> None:
+    def upsert(self, name: str, rows: DataFrame, key_days: DataFrame | None = None, unique: bool = False) -> None:
         """Upsert ``rows`` with the table's keys.  Rows keyed by num_key get
         their partition year from ``key_days`` (num_key, base_dt) -- the
         stock_daily rows of the same load -- or, when not given, from the
         stored stock_daily; rows whose key is unknown there are not stored.
-        Neither are rows with a NULL in their key: a keyed table has none."""
+        Neither are rows with a NULL in their key: a keyed table has none.
+        Rows that share a key and are equal count once, others are an error
+        that names the key (``ConflictingRows``); ``unique``: the caller knows
+        that no two rows share one."""
         keys, parts = TABLES[name]
         rows = rows.dropna(subset=keys)
         if name in FULL_COLUMNS and not self.exists(name):
@@ -147,7 +150,25 @@ class EquityStore(TableStore):
                 years = key_days.select("num_key", F.year("base_dt").alias("year"))
                 rows = rows.join(years, on="num_key", how="inner")
         upsert_table(self.spark, self.path(name), rows, keys, partition_by=parts,
-                     staging_root=self.staging_root, sort_within=SORT_WITHIN.get(name, keys))
+                     staging_root=self.staging_root, sort_within=SORT_WITHIN.get(name, keys), unique=unique)
+
+    def delete(self, name: str, predicate: Column, start: DateLike = None, end: DateLike = None) -> None:
+        """Remove the rows where ``predicate`` is TRUE -- of ``[start,
+        end]``, which for a table partitioned by year bounds the partitions
+        that are read at all.  A partition that keeps no row is removed; a
+        table that keeps none reads as never written."""
+        keys, parts = TABLES[name]
+        for bound, col in ((start, F.col("year") >= F.lit(_year(start))), (end, F.col("year") <= F.lit(_year(end)))):
+            if bound is not None and "year" in parts:
+                predicate = predicate & col
+        day = "base_dt" if name not in YEAR_SOURCE else YEAR_SOURCE[name]
+        table = read_table(self.spark, self.path(name))
+        if table is not None and day in table.columns:
+            if start is not None:
+                predicate = predicate & (F.col(day) >= F.lit(start).cast("date"))
+            if end is not None:
+                predicate = predicate & (F.col(day) <= F.lit(end).cast("date"))
+        delete_rows(self.spark, self.path(name), predicate, parts, self.staging_root, SORT_WITHIN.get(name, keys))
 
     # -- actions -------------------------------------------------------------
     def refresh_workdays(self, years: DataFrame, holidays: DataFrame) -> None:
