@@ -48,6 +48,7 @@ LOADED_UNTIL = "2000-06-01"        # stock_daily loaded before this day
 BS_LOADED_UNTIL = "2000 Q1"        # statements loaded up to this quarter
 SNAPSHOT_DAY = "1995-01-09"        # symbol list snapshot taken before this day
 NAMES_UNTIL = "1995-01-05"         # names looked up: those in use in the first days
+GONE_YEAR, PART_GONE_YEAR = 1995, 1997  # years deleted from a stored table, whole and in part
 LAND_DAYS = ("1998-01-05", "1998-01-12", "1998-01-19")  # days landed in the stored load
 
 
@@ -1170,6 +1171,86 @@ def q_store_factors(spark: SparkSession, sf: str) -> DataFrame:
     return finish(store.require("factor_daily"), list(MOM))
 
 
+@register("store_delete", _sql(["fx_supp_daily"], f"""
+SELECT * FROM fx_supp_daily
+WHERE NOT (year(base_dt) = {GONE_YEAR} OR (base_dt >= DATE '{VIEW_START}' AND year(base_dt) = {PART_GONE_YEAR}
+                                           AND coalesce(close < open, FALSE)))
+"""))
+def q_store_delete(spark: SparkSession, sf: str) -> DataFrame:
+    """S4 stored: the supplier panel written, a whole year and part of another
+    deleted, a third delete that hits nothing; read back."""
+    store = _store(spark)
+    store.upsert("stock_daily", _fx(spark, sf, "fx_supp_daily"))
+    store.delete("stock_daily", F.lit(True), start=f"{GONE_YEAR}-01-01", end=f"{GONE_YEAR}-12-31")
+    store.delete("stock_daily", (F.col("close") < F.col("open")) & (F.col("base_dt") >= F.lit(VIEW_START).cast("date")),
+                 start=f"{PART_GONE_YEAR}-01-01", end=f"{PART_GONE_YEAR}-12-31")
+    store.delete("stock_daily", F.col("sym_cd").isNull())
+    return store.require("stock_daily")
+
+
+@register("store_members", _sql(["fx_daily", "fx_members"], """
+SELECT DISTINCT d.num_key, m.idx_code FROM fx_daily d JOIN fx_members m ON m.base_dt = d.base_dt AND m.sym_cd = d.sym_cd
+"""))
+def q_store_members(spark: SparkSession, sf: str) -> DataFrame:
+    """D9 stored: index membership landed three times, each row twice."""
+    store = _store(spark)
+    daily, members = _fx(spark, sf, "fx_daily"), _fx(spark, sf, "fx_members")
+    rows = ing.stocks_in_index(daily, members.unionByName(members), ordered=False)
+    for _ in range(3):
+        store.upsert("stocks_in_index", rows, daily.select("num_key", "base_dt"))
+    return store.require("stocks_in_index")
+
+
+_STATEMENTS = _cs_typed_sql() + f"""
+, sbs AS (SELECT sym_cd, fs_q FROM cs WHERE {" OR ".join(c + " IS NOT NULL" for c in _BS_ITEMS)})
+, spl AS (SELECT sym_cd, fs_q, {", ".join(_PL_META)} FROM cs WHERE {" OR ".join(c + " IS NOT NULL" for c in _PL_META)})
+, sgrid AS (SELECT s.sym_cd, q.fs_q, {", ".join("p." + x for x in _PL_ITEMS)}
+            FROM (SELECT DISTINCT sym_cd FROM sbs) s CROSS JOIN (SELECT DISTINCT fs_q FROM sbs) q
+            LEFT JOIN spl p ON p.sym_cd = s.sym_cd AND p.fs_q = q.fs_q)
+"""
+
+
+@register("store_statements", _sql(["fx_cs_raw"], _STATEMENTS + _tp_sql("sgrid") + "SELECT * FROM tpf"))
+def q_store_statements(spark: SparkSession, sf: str) -> DataFrame:
+    """D11 + D13 stored: statements up to a quarter, one symbol's wrong; that
+    symbol corrected; the later quarters; each export twice.  Read back the
+    trailing P&L, which only ever recomputed what a load reached."""
+    store, meta = _store(spark), item_metadata(spark)
+    export = cross_section(_fx(spark, sf, "fx_cs_raw"), meta, "fs", F.col("period"))
+    quarters = export.select("fs_q").distinct()
+    first, later = export.filter(F.col("fs_q") <= BS_LOADED_UNTIL), export.filter(F.col("fs_q") > BS_LOADED_UNTIL)
+    one = F.col("sym_cd") == export.agg(F.min("sym_cd")).scalar()
+    wrong = across(first, _PL_ITEMS, lambda c: F.when(one, c * 3).otherwise(c))
+    for landed in (wrong, first.filter(one), later):
+        store.load_statements(landed.unionByName(landed), meta, quarters)
+    return store.require("company_fs_pl_prep")
+
+
+@register("store_workdays", SQL["business_calendar"])
+def q_store_workdays(spark: SparkSession, sf: str) -> DataFrame:
+    """D1 + S5 stored: all years, then the later ones replaced; read back."""
+    store = _store(spark)
+    years = read_parquet(spark, sf, "lineitem").select(F.year("l_shipdate").alias("year")).distinct()
+    for some in (years, years.filter(F.col("year") >= PART_GONE_YEAR)):
+        store.refresh_workdays(some, cal.fixed_holidays(some))
+    return store.require("workdays")
+
+
+@register("store_panel", _sql(_VF_FIX, _FACTOR_TABLE + f"""
+SELECT d.num_key, d.base_dt, d.sym_cd, {", ".join("ft." + c for c in _VF + list(MOM))}
+FROM fx_daily d LEFT JOIN ft ON ft.num_key = d.num_key WHERE d.base_dt >= DATE '{PANEL_START}'
+""", list(MOM)))
+def q_store_panel(spark: SparkSession, sf: str) -> DataFrame:
+    """D18 stored: the panel over a stored daily and a stored factor table,
+    only the years of the panel read from either."""
+    store = _store(spark)
+    daily = _fx(spark, sf, "fx_daily")
+    store.upsert("stock_daily", daily)
+    store.upsert("factor_daily", _factor_table(spark, sf), daily.select("num_key", "base_dt"), unique=True)
+    return finish(fac.factor_panel(store.require("stock_daily", PANEL_START), store.require("factor_daily", PANEL_START),
+                                   start=PANEL_START), list(MOM))
+
+
 # --------------------------------------------------------------------------
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:

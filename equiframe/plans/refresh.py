@@ -235,12 +235,23 @@ class EquityStore(TableStore):
 
     def load_statements(self, normalised: DataFrame, meta: DataFrame, quarters: DataFrame) -> None:
         """D11 + D13 for existing symbols: bs/pl upserts, then the trailing
-        P&L recomputed for the quarters to update."""
+        P&L of the quarters to update, recomputed for the keys that the landed
+        rows reach (``statements.reached_keys``); others stay as stored."""
+        checkpoint_dir(self.spark)
         bs, pl = st.split_statements(normalised, meta)
+        landed = bs.select(*st.KEYS).unionByName(pl.select(*st.KEYS)).dropna().distinct().checkpoint(eager=True)
+        # quarters the grid lacks so far: of a trailing table never built, all
+        grid = self.table("company_fs_bs") if self.exists("company_fs_pl_prep") else None
+        known = None if grid is None else grid.select("fs_q").distinct().checkpoint(eager=True)
         self.upsert("company_fs_bs", bs)
         self.upsert("company_fs_pl", pl)
-        prep = st.trailing_pl_range(self.table("company_fs_bs"), self.table("company_fs_pl"), quarters)
-        self.upsert("company_fs_pl_prep", prep)
+        bs, pl = self.table("company_fs_bs"), self.table("company_fs_pl")
+        if bs is None or pl is None:
+            return
+        new = bs.select("fs_q").distinct() if known is None else bs.select("fs_q").distinct().join(known, "fs_q", "left_anti")
+        reached = st.reached_keys(bs, landed, new).filter(F.col("fs_q").between(
+            quarters.agg(F.min("fs_q")).scalar(), quarters.agg(F.max("fs_q")).scalar())).checkpoint(eager=True)
+        self.upsert("company_fs_pl_prep", st.trailing_pl_reached(bs, pl, reached), unique=True)
 
     def load_new_symbol_statements(self, normalised: DataFrame, meta: DataFrame, symbols: DataFrame) -> None:
         """D11 (known quarters only) + D13 for new symbols, all quarters."""

@@ -16,7 +16,7 @@ from equiframe.functions.dates import is_q4, quarter_ordinal, quarter_string, qu
 from equiframe.functions.numeric import any_not_null, first_non_null
 from equiframe.operators.columns import require_columns
 from equiframe.operators.filters import in_set, quarter_between
-from equiframe.operators.joins import complete_grid
+from equiframe.operators.joins import complete_grid, value_set
 from equiframe.operators.windows import fill_forward
 from equiframe.sources.vendor import item_list, item_rows
 
@@ -131,6 +131,58 @@ def trailing_pl_new(bs: DataFrame, pl: DataFrame, symbols: DataFrame) -> DataFra
     return trailing_pl(grid)
 
 
+#: Grid rows that a row's trailing P&L looks back (last year's value, and last
+#: year's Q4 is among them), so also the later rows that a changed row reaches.
+LOOK_BACK = 4
+
+
+def reached_keys(bs: DataFrame, landed: DataFrame, new_quarters: DataFrame) -> DataFrame:
+    """Keys (sym_cd, fs_q) of the grid whose trailing P&L landed rows may
+    change: the landed keys and the ``LOOK_BACK`` quarters after each, and for
+    a quarter that the grid did not have those of every symbol.
+
+    ``bs`` is the stored balance sheet after the load; the quarters travel as
+    a scalar subquery (at most four a year).
+    """
+    quarters = value_set(bs.where(F.col("fs_q").isNotNull()), "fs_q")
+
+    def spread(keys: DataFrame) -> DataFrame:
+        at = keys.withColumn("_at", F.array_position(quarters, F.col("fs_q")).cast("int")).filter(F.col("_at") > 0)
+        return at.select("sym_cd", F.explode(F.slice(quarters, F.col("_at"), LOOK_BACK + 1)).alias("fs_q"))
+
+    # a landed symbol without a balance sheet has no row in the grid
+    listed = in_set(bs.select("sym_cd").filter(_within(bs, landed)), "sym_cd", landed.select("sym_cd")).distinct()
+    of_symbols = spread(in_set(landed.select(*KEYS), "sym_cd", listed))
+    every = bs.select("sym_cd").where(F.col("sym_cd").isNotNull()).distinct()
+    added = new_quarters.agg(F.collect_set("fs_q")).scalar()
+    of_quarters = spread(every.withColumn("fs_q", F.explode(added)))
+    return of_symbols.unionByName(of_quarters).distinct()
+
+
+def _within(table: DataFrame, keys: DataFrame) -> Column:
+    """A range on the symbol that the scan can check against row groups sorted by it."""
+    return F.col("sym_cd").between(keys.agg(F.min("sym_cd")).scalar(), keys.agg(F.max("sym_cd")).scalar())
+
+
+def trailing_pl_reached(bs: DataFrame, pl: DataFrame, reached: DataFrame) -> DataFrame:
+    """D13 by change set: the trailing P&L of the keys ``reached`` alone
+    (``reached_keys``), as the whole table would give it.
+
+    Per symbol the grid is the stretch of quarters from ``LOOK_BACK`` before
+    the first reached one to the last, without a hole, so the windows count
+    the same rows; P&L rows of other symbols are not read beyond their row
+    group and not shuffled.
+    """
+    quarters = value_set(bs.where(F.col("fs_q").isNotNull()), "fs_q")
+    at = reached.withColumn("_at", F.array_position(quarters, F.col("fs_q")).cast("int"))
+    span = at.groupBy("sym_cd").agg(F.greatest(F.min("_at") - LOOK_BACK, F.lit(1)).alias("_lo"), F.max("_at").alias("_hi"))
+    grid = span.select("sym_cd", F.explode(F.slice(quarters, F.col("_lo"), F.col("_hi") - F.col("_lo") + 1)).alias("fs_q"))
+    items = pl.drop(*[c for c in PL_EXCLUDED if c in pl.columns]).filter(_within(pl, reached))
+    values = in_set(items, "sym_cd", reached.select("sym_cd"))
+    full = trailing_pl(grid.join(values, on=KEYS, how="left"), [c for c in items.columns if c not in KEYS])
+    return full.join(reached, on=KEYS, how="left_semi").select(*full.columns)
+
+
 BS_FILL = ["grs_asset", "cap", "net_asset"]
 
 

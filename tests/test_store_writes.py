@@ -190,3 +190,57 @@ def test_a_lease_is_renewed_while_its_writer_lives(spark, root):
     mine.release()
     assert not os.path.exists(lease.lease_file(f"{root}/t"))
     shutil.rmtree(root)
+
+
+# ---- D13 by change set ------------------------------------------------------
+
+def statements(rnd, symbols, quarters):
+    return [(s, q, *(None if rnd.random() < 0.25 else float(rnd.randrange(1, 99)) for _ in range(2)),
+             None if rnd.random() < 0.2 else 1.0) for s in symbols for q in quarters if rnd.random() < 0.85]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_reached_keys_give_what_the_whole_table_gives(spark, seed):
+    import random
+
+    from equiframe.plans import statements as st
+
+    rnd = random.Random(seed)
+    quarters = [f"{y} Q{q}" for y in range(2018, 2023) for q in (1, 2, 3, 4) if rnd.random() < 0.9]
+    old = {(r[0], r[1]): r for r in statements(rnd, "abcdefg", quarters[:-2])}
+    landed = statements(rnd, "bfz", rnd.sample(quarters, 3)) + statements(rnd, "c", quarters[-2:])
+    now = {**old, **{(r[0], r[1]): r for r in landed}}
+
+    def frames(rows):
+        df = spark.createDataFrame(list(rows.values()), "sym_cd string, fs_q string, sales double, earn double, net_asset double")
+        return df.filter("net_asset IS NOT NULL").select("sym_cd", "fs_q", "net_asset"), df.select("sym_cd", "fs_q", "sales", "earn")
+
+    (bs0, pl0), (bs1, pl1) = frames(old), frames(now)
+    whole = lambda bs, pl: {(r.sym_cd, r.fs_q): r for r in st.trailing_pl(st.complete_grid(bs, "sym_cd", "fs_q", pl)).collect()}
+    keys = spark.createDataFrame([r[:2] for r in landed], "sym_cd string, fs_q string").distinct()
+    new = bs1.select("fs_q").distinct().join(bs0.select("fs_q").distinct(), "fs_q", "left_anti")
+    reached = st.reached_keys(bs1, keys, new)
+    got = {(r.sym_cd, r.fs_q): r for r in st.trailing_pl_reached(bs1, pl1, reached).collect()}
+    before, after = whole(bs0, pl0), whole(bs1, pl1)
+    at = {tuple(r) for r in reached.collect()}
+    assert {k: r for k, r in after.items() if k in at} == got
+    assert all(k in at for k in before.keys() | after.keys() if before.get(k) != after.get(k))
+    if not new.count():
+        assert {s for s, _ in at} <= {"b", "c", "f", "z"}
+
+
+def test_a_correction_recomputes_its_symbol_alone(spark, root, monkeypatch):
+    from equiframe.plans import statements as st
+
+    store = EquityStore(spark, f"{root}/db", staging_root=f"{root}/staging")
+    symbols, quarters = [f"s{i:03d}" for i in range(40)], [f"{y} Q{q}" for y in (2020, 2021, 2022) for q in (1, 2, 3, 4)]
+    store.upsert("company_fs_bs", spark.createDataFrame([(s, q, 1.0) for s in symbols for q in quarters], "sym_cd string, fs_q string, net_asset double"))
+    store.upsert("company_fs_pl", spark.createDataFrame([(s, q, 5.0 * int(q[-1])) for s in symbols for q in quarters], "sym_cd string, fs_q string, sales double"))
+    bs, pl = store.table("company_fs_bs"), store.table("company_fs_pl")
+    nothing = bs.select("fs_q").limit(0)
+    reached = st.reached_keys(bs, spark.createDataFrame([("s007", "2021 Q2")], "sym_cd string, fs_q string"), nothing)
+    assert sorted(map(tuple, reached.collect())) == [("s007", q) for q in ("2021 Q2", "2021 Q3", "2021 Q4", "2022 Q1", "2022 Q2")]
+    out = st.trailing_pl_reached(bs, pl, reached)
+    assert len(out.collect()) == 5
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "sym_cd" in plan.split("PushedFilters: [", 1)[1].split("]", 1)[0] or "DataFilters" in plan
