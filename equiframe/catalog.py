@@ -32,7 +32,8 @@ from equiframe.plans import statements as st
 from equiframe.plans.refresh import EquityStore
 from equiframe.session import checkpoint_dir
 from equiframe.sources import sinks
-from equiframe.sources.payload import explode_payload
+from equiframe.sources.landed import read_export
+from equiframe.sources.payload import explode_payload, explode_variant
 from equiframe.sources.tables import TableStore, read_parquet
 from equiframe.sources.vendor import cross_section, fiscal_basis, item_metadata
 
@@ -1251,6 +1252,66 @@ def q_store_panel(spark: SparkSession, sf: str) -> DataFrame:
                                    start=PANEL_START), list(MOM))
 
 
+# --------------------------------------------------------------------------
+# Step 13: landed text and typed payloads
+# --------------------------------------------------------------------------
+
+_EXPORT_COLS = ["sym_cd", "period", *_CS_NUM, "memo"]
+
+
+def _text_export(spark: SparkSession, sf: str):
+    """The vendor cross section as text files with a header each, every
+    second quarter's lines also broken: cut short, too long, without a key."""
+    raw = _fx(spark, sf, "fx_cs_raw")
+    whole = raw.select(F.to_csv(F.struct(*_EXPORT_COLS)).alias("value"))
+    odd = raw.filter(F.col("period").endswith("1") | F.col("period").endswith("3"))
+    broken = odd.select(F.explode(F.array(
+        F.concat_ws(",", "sym_cd", "period"),
+        F.concat_ws(",", "sym_cd", "period", F.lit(",".join("x" * len(_EXPORT_COLS)))),
+        F.concat(F.lit(","), F.col("period"), F.lit("," * (len(_EXPORT_COLS) - 2))))).alias("value"))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/export-{uuid.uuid4().hex}"
+    headers = spark.range(4).select(F.lit(",".join(_EXPORT_COLS)).alias("value"))
+    whole.unionByName(broken).unionByName(headers).write.text(path)
+    return read_export(spark, path, _EXPORT_COLS, ["sym_cd", "period"])
+
+
+@register("vendor_text", SQL["vendor_cross_section"])
+def q_vendor_text(spark: SparkSession, sf: str) -> DataFrame:
+    """S7 from landed text with broken lines in it: the rows that fit."""
+    return cross_section(_text_export(spark, sf).rows, item_metadata(spark), "fs", F.col("period"))
+
+
+@register("vendor_quarantine", _sql(["fx_cs_raw"], f"""
+, odd AS (SELECT sym_cd, period FROM fx_cs_raw WHERE period LIKE '%1' OR period LIKE '%3')
+SELECT sym_cd || ',' || period AS line, 'fields' AS reason FROM odd
+UNION ALL SELECT sym_cd || ',' || period || ',{",".join("x" * len(_EXPORT_COLS))}', 'fields' FROM odd
+UNION ALL SELECT ',' || period || '{"," * (len(_EXPORT_COLS) - 2)}', 'key' FROM odd
+"""))
+def q_vendor_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """The lines that do not fit, each with its reason."""
+    return _text_export(spark, sf).quarantine.select("line", "reason")
+
+
+@register("json_variant", _sql(["fx_daily"], """
+SELECT sym_cd, CAST(year(base_dt) AS INTEGER) AS y, num_key, base_dt, close, trd_vol, CASE WHEN close > open THEN 'up' END AS mark,
+       CAST(num_key * 2 AS BIGINT) AS second
+FROM fx_daily
+"""))
+def q_json_variant(spark: SparkSession, sf: str) -> DataFrame:
+    """S6 on nested, numeric and missing fields: one payload per symbol and
+    year, its records under the first key and other keys beside it."""
+    d = _fx(spark, sf, "fx_daily")
+    record = F.struct("num_key", F.struct(F.col("base_dt").cast("string").alias("day"), "close").alias("px"), "trd_vol",
+                      F.when(F.col("close") > F.col("open"), "up").alias("mark"),
+                      F.array(F.col("num_key"), F.col("num_key") * 2).alias("lots"))
+    payload = d.groupBy("sym_cd", F.year("base_dt").alias("y")).agg(F.collect_list(record).alias("r")).select(
+        "sym_cd", "y", F.to_json(F.struct(F.col("r").alias("output"), F.lit("2024").alias("asOf"),
+                                          F.array(F.lit(1)).alias("aside"))).alias("payload"))
+    return explode_variant(payload, {"num_key": ("$.num_key", "bigint"), "base_dt": ("$.px.day", "date"),
+                                     "close": ("$.px.close", "double"), "trd_vol": ("$.trd_vol", d.schema["trd_vol"].dataType.simpleString()),
+                                     "mark": ("$.mark", "string"), "second": ("$.lots[1]", "bigint")}, keep=["sym_cd", "y"])
+
+
 # --------------------------------------------------------------------------
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:

@@ -2,6 +2,7 @@ import datetime as dt
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from equiframe.operators.keys import assign_keys
@@ -140,3 +141,31 @@ def test_suffix_product_shuffles_raw_rows_once(spark):
     assert len(re.findall("REPARTITION_BY_COL", plan)) == 1
     # the other branch shuffles only what was aggregated before
     assert re.search(r"Exchange hashpartitioning\([^\n]*ENSURE[^\n]*\n[^\n]*(Hash|Sort|ObjectHash)Aggregate\([^\n]*partial", plan)
+
+
+def test_full_windows_of_every_length_and_aggregate(spark):
+    import random
+
+    from equiframe.operators.windows import AGGREGATES
+
+    rnd = random.Random(4)
+    rows = [(k, t, None if rnd.random() < 0.02 else rnd.randrange(1, 9)) for k in "ab" for t in range(1, 400) if rnd.random() < 0.995]
+    df = spark.createDataFrame(rows, "k string, t long, v int")
+    windows = {f"w{n}": n for n in (1, 2, 3, 4, 5, 15, 16, 17, 60, 63, 64, 65, 120)}
+    at = {(k, t): v for k, t, v in rows}
+    brute = {"product": lambda x: math.prod(map(float, x)), "sum": sum, "mean": lambda x: sum(x) / len(x), "min": min, "max": max}
+    assert brute.keys() == AGGREGATES.keys()
+    for agg, fn in brute.items():
+        for r in rolling(df, "v", windows, ["k"], "t", agg=agg, block=50).collect():
+            for name, n in windows.items():
+                cells = [at.get((r.k, t)) for t in range(r.t - n + 1, r.t + 1)]
+                if None in cells:
+                    assert r[name] is None
+                else:
+                    assert r[name] == pytest.approx(fn(cells), rel=1e-12)
+
+
+def test_full_windows_sort_once(spark):
+    df = spark.createDataFrame([("a", 1, 1.0)], "k string, t long, v double")
+    plan = rolling(df, "v", {"a": 60, "b": 252}, ["k"], "t")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 1 and plan.count("Exchange hashpartitioning") == 1 and "rangeBetween" not in plan.lower()
