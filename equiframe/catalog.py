@@ -1252,6 +1252,16 @@ def q_store_panel(spark: SparkSession, sf: str) -> DataFrame:
                                    start=PANEL_START), list(MOM))
 
 
+@register("store_plan", SQL["days_to_update"])
+def q_store_plan(spark: SparkSession, sf: str) -> DataFrame:
+    """D2 stored: trading days after the last stored one, which the daily
+    table's footers tell."""
+    store = _store(spark)
+    store.upsert("stock_daily", _fx(spark, sf, "fx_daily").filter(F.col("base_dt") < F.lit(LOADED_UNTIL).cast("date")))
+    store.upsert("workdays", _workdays(spark, sf))
+    return store.update_plan(AS_OF)["days"]
+
+
 # --------------------------------------------------------------------------
 # Step 13: landed text and typed payloads
 # --------------------------------------------------------------------------

@@ -67,6 +67,13 @@ def days_to_update(workdays: DataFrame, stock_daily: DataFrame, as_of: _dt.datet
     return pending.filter(F.col("base_dt") <= F.lit(cut))
 
 
+def days_after(workdays: DataFrame, last_day: _dt.date | None, as_of: _dt.datetime) -> DataFrame:
+    """``days_to_update`` where the last loaded day is known (``None``: nothing
+    is loaded), so that both bounds reach the calendar's scan."""
+    days = workdays.select("base_dt").filter(F.col("base_dt") <= F.lit(cutoff_date(as_of)))
+    return days if last_day is None else days.filter(F.col("base_dt") > F.lit(last_day))
+
+
 def years_to_update(stock_daily: DataFrame, as_of: _dt.datetime) -> DataFrame:
     """Calendar years to (re)build: the last loaded year and the current one."""
     last_year = stock_daily.agg(F.year(F.max("base_dt")).alias("year"))

@@ -137,14 +137,15 @@ def info_as_of(daily: DataFrame, info: DataFrame) -> DataFrame:
 
 
 def stock_daily(universe: DataFrame, vendor: DataFrame, info: DataFrame,
-                existing: DataFrame | None = None) -> DataFrame:
+                existing: DataFrame | None = None, last_key: int | None = None) -> DataFrame:
     """The stock_daily rows for the landed days.
 
     prices (base_dt..base_p) + vendor daily items + the symbol's current
     attribute version (as of the day) + a surrogate ``num_key``: a listing
     that ``existing`` holds keeps its key, the others are numbered after the
-    largest key stored (0 when empty) in (base_dt, sym_cd) order, without a
-    single-partition sort.  Only the keys are numbered, before the joins.
+    largest key stored (0 when empty; ``last_key`` if the caller knows it) in
+    (base_dt, sym_cd) order, without a single-partition sort.  Only the keys
+    are numbered, before the joins.
     """
     px = universe.select("base_dt", "sym_cd", "trd_vol", "trd_val", "open", "high", "low",
                          "close", "base_p")
@@ -156,7 +157,8 @@ def stock_daily(universe: DataFrame, vendor: DataFrame, info: DataFrame,
     if existing is None:
         keys = assign_keys(listed, ["base_dt", "sym_cd"], "num_key", 0)
     else:
-        start = F.coalesce(existing.agg(F.max("num_key")).scalar(), F.lit(0)).cast("long")
+        start = last_key if last_key is not None else F.coalesce(
+            existing.agg(F.max("num_key")).scalar(), F.lit(0)).cast("long")
         held = existing.select("num_key", "base_dt", "sym_cd").filter(F.col("base_dt").between(
             listed.agg(F.min("base_dt")).scalar(), listed.agg(F.max("base_dt")).scalar()))
         unseen = listed.join(held, on=["base_dt", "sym_cd"], how="left_anti")

@@ -22,6 +22,7 @@ table is materialised first (keys are checkpointed, small sets too).
 from __future__ import annotations
 
 import datetime as _dt
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,7 @@ from equiframe.plans import factors as fac
 from equiframe.plans import ingest as ing
 from equiframe.plans import statements as st
 from equiframe import schemas
+from equiframe.sources.marks import stored_marks
 from equiframe.sources.sinks import delete_rows, read_table, replace_partitions, upsert_table
 from equiframe.session import checkpoint_dir
 from equiframe.sources.tables import TableStore
@@ -121,6 +123,29 @@ class EquityStore(TableStore):
             raise ValueError(f"table {name!r} has no data yet; build it first ({BUILT_BY.get(name, 'load')})")
         return df
 
+    def marks(self, name: str, columns: list[str]) -> dict[str, Any]:
+        """Largest values of date or number columns and the number of rows,
+        from file footers."""
+        return stored_marks(self.spark, self.path(name), columns)
+
+    def update_plan(self, as_of: _dt.datetime, snapshot: DataFrame | None = None) -> dict[str, DataFrame]:
+        """D2 over the stored tables: the trading days, years and quarters to
+        load as of ``as_of`` and -- given the symbols (sym_cd) from before the
+        daily load -- the new symbols.  What is loaded already is told by
+        footers; the daily table itself is not read."""
+        workdays = self.require("workdays")
+        last_day = self.marks("stock_daily", ["base_dt"])["base_dt"]
+        days = cal.days_after(workdays, last_day, as_of)
+        years = self.spark.createDataFrame([(y,) for y in sorted({(last_day or as_of).year, as_of.year})], "year int")
+        bs, info = self.table("company_fs_bs"), self.table("stock_info")
+        published = workdays.filter(F.col("base_dt") <= days.agg(F.max("base_dt")).scalar())
+        if bs is not None:
+            published = published.filter(F.col("fs_q") >= F.coalesce(bs.agg(F.max("fs_q")).scalar(), F.lit("")))
+        plan = {"days": days, "years": years, "quarters": published.select("fs_q").distinct()}
+        if snapshot is not None and info is not None:
+            plan["new_symbols"] = cal.new_symbols(info, snapshot)
+        return plan
+
     # -- writes --------------------------------------------------------------
     def upsert(self, name: str, rows: DataFrame, key_days: DataFrame | None = None, unique: bool = False) -> None:
         """Upsert ``rows`` with the table's keys.  Rows keyed by num_key get
@@ -207,7 +232,7 @@ class EquityStore(TableStore):
         universe = one_per_key(ing.listed_universe(prices, base, excluded, sectors, F.col("base_dt"), ordered=False),
                                ["base_dt", "sym_cd"]).checkpoint(eager=True)
         vendor = one_per_key(vendor.filter(F.col("base_dt").between(F.lit(span["a"]), F.lit(span["b"]))),
-                             ["base_dt", "sym_cd"])
+                             ["base_dt", "sym_cd"]).checkpoint(eager=True)  # four tables are made of it
         stored_daily = self.table("stock_daily")
 
         batch = info_batch if info_batch is not None else universe.join(
@@ -222,7 +247,8 @@ class EquityStore(TableStore):
         self.upsert("stock_info", new_versions)
 
         info = self.table("stock_info")
-        daily = ing.stock_daily(universe, vendor, info, stored_daily)
+        last_key = self.marks("stock_daily", ["num_key"])["num_key"] or 0
+        daily = ing.stock_daily(universe, vendor, info, stored_daily, last_key)
         self.upsert("stock_daily", daily)
         daily = self.table("stock_daily", span["a"], span["b"]).filter(
             F.col("base_dt").between(F.lit(span["a"]), F.lit(span["b"])))

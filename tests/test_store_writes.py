@@ -244,3 +244,41 @@ def test_a_correction_recomputes_its_symbol_alone(spark, root, monkeypatch):
     assert len(out.collect()) == 5
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "sym_cd" in plan.split("PushedFilters: [", 1)[1].split("]", 1)[0] or "DataFilters" in plan
+
+
+# ---- marks from footers -------------------------------------------------------
+
+def test_marks_read_no_data_column(spark, root):
+    import datetime as dt
+
+    from equiframe.sources import marks
+
+    store = EquityStore(spark, f"{root}/db", staging_root=f"{root}/staging")
+    assert store.marks("stock_daily", ["num_key"]) == {"num_key": None, "rows": 0}
+    store.upsert("stock_daily", spark.sql("SELECT id AS num_key, DATE '2019-06-01' + CAST(id AS int) AS base_dt, 's' AS sym_cd FROM range(700)"))
+    assert store.marks("stock_daily", ["num_key", "base_dt"]) == {"num_key": 699, "base_dt": dt.date(2021, 4, 30), "rows": 700}
+    plan = marks.marks_frame(spark, store.path("stock_daily"), ["num_key", "base_dt"])._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MAX(num_key), MAX(base_dt), COUNT(*)]" in plan
+    assert marks.stored_marks(spark, store.path("stock_daily"), ["num_key"], least=True)["num_key"] == 0
+    store.delete("stock_daily", F.col("num_key") >= 500)
+    assert store.marks("stock_daily", ["num_key"]) == {"num_key": 499, "rows": 500}
+
+
+def test_the_plan_of_a_store(spark, root):
+    import datetime as dt
+
+    from equiframe.plans import calendar as cal
+
+    store = EquityStore(spark, f"{root}/db", staging_root=f"{root}/staging")
+    years = spark.createDataFrame([(2021,), (2022,)], "year int")
+    store.refresh_workdays(years, cal.fixed_holidays(years))
+    as_of = dt.datetime(2022, 3, 10, 12)
+    everything = store.update_plan(as_of)
+    assert everything["days"].count() == store.table("workdays").filter("base_dt <= '2022-03-09'").count()
+    store.upsert("stock_daily", spark.sql("SELECT 1L AS num_key, DATE '2022-03-04' AS base_dt, 's' AS sym_cd"))
+    store.upsert("company_fs_bs", spark.sql("SELECT 's' AS sym_cd, '2021 Q3' AS fs_q, 1.0D AS net_asset"))
+    store.upsert("stock_info", spark.sql("SELECT 's' AS sym_cd, DATE '2022-03-04' AS info_update UNION ALL SELECT 'n', DATE '2022-03-04'"))
+    plan = store.update_plan(as_of, snapshot=spark.sql("SELECT 's' AS sym_cd"))
+    assert sorted(str(r[0]) for r in plan["days"].collect()) == ["2022-03-07", "2022-03-08", "2022-03-09"]
+    assert [r[0] for r in plan["years"].collect()] == [2022] and [r[0] for r in plan["quarters"].collect()] == ["2021 Q3"]
+    assert [r[0] for r in plan["new_symbols"].collect()] == ["n"]
