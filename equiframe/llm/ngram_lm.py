@@ -179,14 +179,14 @@ def pack(keys: np.ndarray, counts: np.ndarray) -> bytes:
     """A sorted run of keys with their counts: differences, byte by byte in
     planes, compressed."""
     step = np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T
-    n = counts.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    n = counts.astype("<u8").view(np.uint8).reshape(-1, 8).T
     return zstandard.ZstdCompressor(1).compress(np.ascontiguousarray(np.vstack([step, n])).tobytes())
 
 
 def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(12, -1)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(16, -1)
     keys = np.cumsum(np.ascontiguousarray(planes[:8].T).view(np.uint64).ravel(), dtype=np.uint64)
-    return keys, np.ascontiguousarray(planes[8:].T).view("<u4").ravel().astype(np.int64)
+    return keys, np.ascontiguousarray(planes[8:].T).view("<u8").ravel().astype(np.int64)
 
 
 class Cuts:
@@ -264,7 +264,7 @@ def _write_bigrams(path: str):
 
 def _small_counts(counts: np.ndarray) -> bytes:
     """Counts, compressed: most are small."""
-    planes = counts.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    planes = counts.astype("<u8").view(np.uint8).reshape(-1, 8).T
     return zstandard.ZstdCompressor(1).compress(np.ascontiguousarray(planes).tobytes())
 
 
@@ -296,8 +296,8 @@ def _finish(path: str, words_manifest: list, parts: int, discount: float, starts
                 shift[used[1:]] = values[start[used[1:]] - 1] + 1
                 ids = values - shift[which]
                 planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(
-                    map_file(row["file"] + ".counts", np.uint8).tobytes()), np.uint8).reshape(4, -1)
-                counts = np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.float64)
+                    map_file(row["file"] + ".counts", np.uint8).tobytes()), np.uint8).reshape(8, -1)
+                counts = np.ascontiguousarray(planes.T).view("<u8").ravel().astype(np.float64)
                 context = row["first_context"] + np.arange(len(many))
                 whole = np.where(context == words.size, starts,
                                  words.counts(np.where(context < words.size, context, -1))).astype(np.float64)

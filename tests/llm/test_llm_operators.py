@@ -721,3 +721,8 @@ def test_lm_parts_cut_a_frequent_context():
     assert first == 3 and pointers.tolist() == [0, 10, 10, 11, 11, 11, 11, 12]
     assert np.all(np.diff(monotone) > 0)
     assert np.array_equal(ngram_lm.unpack(ngram_lm.pack(keys, np.arange(12)))[0], keys)
+
+
+def test_counts_beyond_32_bits_are_kept():
+    keys, counts = np.array([3, 9], np.uint64), np.array([2 ** 32 + 5, 7], np.int64)
+    assert [x.tolist() for x in ngram_lm.unpack(ngram_lm.pack(keys, counts))] == [[3, 9], [2 ** 32 + 5, 7]]
