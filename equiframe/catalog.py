@@ -22,7 +22,7 @@ from equiframe.functions.dates import parse_yyyymmdd
 from equiframe.functions.text import parse_number, remove_dashes, sector_recode
 from equiframe.operators.columns import across, drop_range, select_range
 from equiframe.operators.filters import on_date, sym_dt_pick
-from equiframe.operators.joins import bounded_broadcast
+from equiframe.operators.joins import bounded_broadcast, value_set
 from equiframe.operators.windows import latest_per_key, market_calendar, rolling
 from equiframe.plans import calendar as cal
 from equiframe.plans import factors as fac
@@ -648,7 +648,7 @@ def q_trailing_pl(spark: SparkSession, sf: str) -> DataFrame:
     """D12 on the full (symbol x quarter) grid of the stored statements."""
     bs, pl = _stmt_inputs(spark, sf)
     grid = st.complete_grid(bs, "sym_cd", "fs_q", pl.drop("dpr", "prop_div"))
-    return st.trailing_pl(grid)
+    return st.trailing_pl(grid, quarters=value_set(bs, "fs_q"))
 
 
 _WQ = """
@@ -729,7 +729,7 @@ _VF_FIX = ["fx_daily", "fx_cons", "fx_workdays", "fx_bs", "fx_pl"]
 
 def _value_factors(spark: SparkSession, sf: str):
     bs, pl = _stmt_inputs(spark, sf)
-    prep = st.trailing_pl(st.complete_grid(bs, "sym_cd", "fs_q", pl.drop("dpr", "prop_div")))
+    prep = st.trailing_pl(st.complete_grid(bs, "sym_cd", "fs_q", pl.drop("dpr", "prop_div")), quarters=value_set(bs, "fs_q"))
     return fac.value_factors(_fx(spark, sf, "fx_daily"), _fx(spark, sf, "fx_cons"),
                              _fx(spark, sf, "fx_workdays"), bs, prep)
 

@@ -38,6 +38,9 @@ RADIX = 4
 # Calendar days per block for ``suffix_product`` and ``as_of_latest``: no
 # halo, so blocks can be small; the per-block table has symbols x blocks rows.
 DEFAULT_BLOCK_DAYS = 512
+# Ordinals per block for ``fill_forward`` (quarters: 16 years).
+DEFAULT_BLOCK_ORDINALS = 64
+_FIRST = -(1 << 63)
 
 AGGREGATES = {
     "product": F.product,
@@ -203,17 +206,34 @@ def suffix_product(df: DataFrame, value: str, keys: list[str], order: str, out:
     return j.withColumn(out, factor).drop("_blk", "_p_in", "_n_in", "_p_after", "_n_after")
 
 
-def fill_forward(df: DataFrame, cols: list[str], keys: list[str], order: str | Column) -> DataFrame:
-    """Last non-NULL value so far within ``keys`` ordered by ``order``.
+def fill_forward(df: DataFrame, cols: list[str], keys: list[str], order: str | Column,
+                 block: int = DEFAULT_BLOCK_ORDINALS) -> DataFrame:
+    """Last non-NULL value so far within ``keys`` ordered by ``order``, an
+    integer ordinal (a NULL one comes first).
 
-    Used on quarterly statement panels: a group is one symbol's quarters, at
-    most four rows a year.
+    Blocked like ``suffix_product``: the last non-NULL value of each (key,
+    block) is a partial aggregate, carried over the few blocks of a key; it
+    enters a later block as one more row before the block's own, so a hot key
+    spreads over as many tasks as it has blocks, and NULL keys are a group as
+    in a plain window.
     """
-    o = F.col(order) if isinstance(order, str) else order
-    w = Window.partitionBy(*keys).orderBy(o).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    wanted = set(cols)
-    return df.select(*[F.last(F.col(c), ignorenulls=True).over(w).alias(c) if c in wanted else F.col(c)
-                       for c in df.columns])
+    if block < 1:
+        raise ValueError("block must be >= 1")
+    o = F.coalesce((F.col(order) if isinstance(order, str) else order).cast("long"), F.lit(_FIRST))
+    wanted = [c for c in df.columns if c in set(cols)]
+    rows = df.withColumn("_ord", o).withColumn("_blk", F.floor(F.col("_ord") / block).cast("long"))
+    state = rows.groupBy(*keys, "_blk").agg(
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("_ord"))).alias(c) for c in wanted])
+    earlier = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = state.select(*keys, "_blk", F.lit(0).alias("_own"),
+                         *[F.last(F.col(c), ignorenulls=True).over(earlier).alias(c) for c in wanted])
+    so_far = (Window.partitionBy(*keys, "_blk").orderBy("_own", "_ord")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    met = (rows.withColumn("_own", F.lit(1)).unionByName(carry, allowMissingColumns=True)
+               .repartition(*[F.col(k) for k in keys], F.col("_blk")))
+    return (met.select("_own", *[F.last(F.col(c), ignorenulls=True).over(so_far).alias(c) if c in wanted else F.col(c)
+                                 for c in df.columns])
+               .filter("_own = 1").drop("_own"))
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:

@@ -1,10 +1,11 @@
 """Statement tables, trailing-four-quarter and single-quarter P&L,
 filled balance sheet.
 
-Quarterly panels are keyed (sym_cd, fs_q); a symbol has at most four rows a
-year, so a per-symbol window holds at most ``4 x years`` rows however skewed
-the symbol universe is.  All windows share ``partitionBy(sym_cd)`` so the
-whole trailing computation is one shuffle.
+Quarterly panels are keyed (sym_cd, fs_q).  The trailing P&L cuts a symbol's
+quarters into blocks, each with the four rows before it, and the filled balance
+sheet carries the last values from block to block, so no task holds more than
+one block of a symbol.  All windows of the trailing computation share one
+shuffle and one sort.
 """
 
 from __future__ import annotations
@@ -23,6 +24,11 @@ from equiframe.sources.vendor import item_list, item_rows
 KEYS = ["sym_cd", "fs_q"]
 # P&L items excluded from the trailing computation.
 PL_EXCLUDED = ["dpr", "prop_div"]
+#: Grid rows that a row's trailing P&L looks back (last year's value, and last
+#: year's Q4 is among them), so also the later rows that a changed row reaches.
+LOOK_BACK = 4
+# Quarters per block of a symbol (16 years; each repeats the LOOK_BACK before it).
+BLOCK_QUARTERS = 64
 
 
 def drop_all_null(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -51,7 +57,8 @@ def split_statements(df: DataFrame, meta: DataFrame,
     return bs, pl
 
 
-def trailing_pl(grid: DataFrame, items: list[str] | None = None) -> DataFrame:
+def trailing_pl(grid: DataFrame, items: list[str] | None = None, quarters: Column | None = None,
+                block: int = BLOCK_QUARTERS) -> DataFrame:
     """Per item ``x`` of a (sym_cd, fs_q) grid of year-to-date values:
 
     * ``x_a4q`` -- trailing four quarters: Q4 -> ``x`` (NULL stays NULL);
@@ -63,23 +70,40 @@ def trailing_pl(grid: DataFrame, items: list[str] | None = None) -> DataFrame:
 
     ``earn`` prefers ``earn_dom`` (controlling-interest) when present, and
     the earn_dom columns are dropped.  Rows with every output NULL are
-    dropped.  ``l4`` counts grid rows: the grid must be complete.
+    dropped.  ``l4`` counts grid rows: the grid must be complete, that is hold
+    for each symbol a stretch of the quarter set ``quarters`` (a sorted array;
+    default those of the grid) without a hole.
+
+    Blocked like ``rolling``: a row's place in the quarter set gives its
+    block of ``block`` quarters, and the ``LOOK_BACK`` rows before a block are
+    copied into it.
     """
+    if block < 1:
+        raise ValueError("block must be >= 1")
     items = items or [c for c in grid.columns if c not in KEYS]
+    if quarters is None:
+        quarters = value_set(grid.select("fs_q").distinct(), "fs_q")
+    size = max(block, LOOK_BACK)
+    at = F.array_position(quarters, F.col("fs_q")) - 1
+    home = F.col("_home")
+    blocks = F.when(F.pmod(F.col("_at"), F.lit(size)) >= size - LOOK_BACK, F.array(home, home + 1)).otherwise(F.array(home))
     # Year and quarter ordinal as columns, used by every window spec, so one
-    # sort on (sym_cd, _y, _o) serves all three windows: rows in (year,
+    # sort on (sym_cd, _blk, _y, _o) serves all three windows: rows in (year,
     # ordinal) order are rows in ordinal order.
-    g = grid.select(*KEYS, *items, quarter_year("fs_q").alias("_y"), quarter_ordinal("fs_q").alias("_o"))
+    g = (grid.select(*KEYS, *items, quarter_year("fs_q").alias("_y"), quarter_ordinal("fs_q").alias("_o"), at.alias("_at"))
+             .withColumn("_home", F.floor(F.col("_at") / size).cast("long"))
+             .withColumn("_blk", F.explode(blocks)).drop("_at")
+             .repartition("sym_cd", "_blk"))
     y, o = F.col("_y"), F.col("_o")
     q4 = is_q4("fs_q")
-    by_sym = Window.partitionBy("sym_cd")
+    by_sym = Window.partitionBy("sym_cd", "_blk")
     w_rows = by_sym.orderBy(y, o)
     w_prev_year = by_sym.orderBy(y).rangeBetween(-1, -1)
-    w_year = Window.partitionBy("sym_cd", "_y").orderBy(o)
+    w_year = Window.partitionBy("sym_cd", "_blk", "_y").orderBy(o)
 
-    # the lags first, last year's Q4 on top: the (sym_cd, year) range window
+    # the lags first, last year's Q4 on top: the (symbol, block, year) range window
     # then reuses the ordering the lag windows sorted for
-    lagged = g.select(*KEYS, *items, "_y", "_o",
+    lagged = g.select(*KEYS, *items, "_y", "_o", "_home", "_blk",
                       *[F.lag(F.col(x), 4).over(w_rows).alias(f"_l4_{x}") for x in items],
                       *[F.lag(F.col(x), 1, 0.0).over(w_year).alias(f"_l1_{x}") for x in items])
     a4q, net = {}, {}
@@ -93,9 +117,14 @@ def trailing_pl(grid: DataFrame, items: list[str] | None = None) -> DataFrame:
         a4q["earn"] = first_non_null(a4q["earn_dom"], a4q["earn"])
         net["earn"] = first_non_null(net["earn_dom"], net["earn"])
     kept = [x for x in items if x != "earn_dom"]
-    out = lagged.select(*KEYS, *[a4q[x].alias(f"{x}_a4q") for x in kept],
+    out = lagged.select(*KEYS, "_home", "_blk", *[a4q[x].alias(f"{x}_a4q") for x in kept],
                         *[net[x].alias(f"{x}_n") for x in kept])
-    return drop_all_null(out)
+    return drop_all_null(out.filter(F.col("_blk").eqNullSafe(home)).drop("_home", "_blk"))
+
+
+def _quarters(bs: DataFrame) -> Column:
+    """The quarters of the stored balance sheet, in order (at most four a year)."""
+    return value_set(bs.where(F.col("fs_q").isNotNull()), "fs_q")
 
 
 def _pl_grid(bs: DataFrame, pl: DataFrame) -> DataFrame:
@@ -114,7 +143,7 @@ def trailing_pl_existing(bs: DataFrame, pl: DataFrame, first: str | Column,
     first_c = F.lit(first) if isinstance(first, str) else first
     start_1y = quarter_string(quarter_year(first_c) - 1, F.lit(1))
     grid = quarter_between(_pl_grid(bs, pl), start_1y, last)
-    return quarter_between(trailing_pl(grid), first_c, last)
+    return quarter_between(trailing_pl(grid, quarters=_quarters(bs)), first_c, last)
 
 
 def trailing_pl_range(bs: DataFrame, pl: DataFrame, quarters: DataFrame) -> DataFrame:
@@ -128,12 +157,7 @@ def trailing_pl_range(bs: DataFrame, pl: DataFrame, quarters: DataFrame) -> Data
 def trailing_pl_new(bs: DataFrame, pl: DataFrame, symbols: DataFrame) -> DataFrame:
     """D13 (new symbols): every quarter of the given symbols."""
     grid = in_set(_pl_grid(bs, pl), "sym_cd", symbols.select("sym_cd"))
-    return trailing_pl(grid)
-
-
-#: Grid rows that a row's trailing P&L looks back (last year's value, and last
-#: year's Q4 is among them), so also the later rows that a changed row reaches.
-LOOK_BACK = 4
+    return trailing_pl(grid, quarters=_quarters(bs))
 
 
 def reached_keys(bs: DataFrame, landed: DataFrame, new_quarters: DataFrame) -> DataFrame:
@@ -144,7 +168,7 @@ def reached_keys(bs: DataFrame, landed: DataFrame, new_quarters: DataFrame) -> D
     ``bs`` is the stored balance sheet after the load; the quarters travel as
     a scalar subquery (at most four a year).
     """
-    quarters = value_set(bs.where(F.col("fs_q").isNotNull()), "fs_q")
+    quarters = _quarters(bs)
 
     def spread(keys: DataFrame) -> DataFrame:
         at = keys.withColumn("_at", F.array_position(quarters, F.col("fs_q")).cast("int")).filter(F.col("_at") > 0)
@@ -173,13 +197,14 @@ def trailing_pl_reached(bs: DataFrame, pl: DataFrame, reached: DataFrame) -> Dat
     the same rows; P&L rows of other symbols are not read beyond their row
     group and not shuffled.
     """
-    quarters = value_set(bs.where(F.col("fs_q").isNotNull()), "fs_q")
+    quarters = _quarters(bs)
     at = reached.withColumn("_at", F.array_position(quarters, F.col("fs_q")).cast("int"))
     span = at.groupBy("sym_cd").agg(F.greatest(F.min("_at") - LOOK_BACK, F.lit(1)).alias("_lo"), F.max("_at").alias("_hi"))
     grid = span.select("sym_cd", F.explode(F.slice(quarters, F.col("_lo"), F.col("_hi") - F.col("_lo") + 1)).alias("fs_q"))
     items = pl.drop(*[c for c in PL_EXCLUDED if c in pl.columns]).filter(_within(pl, reached))
     values = in_set(items, "sym_cd", reached.select("sym_cd"))
-    full = trailing_pl(grid.join(values, on=KEYS, how="left"), [c for c in items.columns if c not in KEYS])
+    full = trailing_pl(grid.join(values, on=KEYS, how="left"), [c for c in items.columns if c not in KEYS],
+                       quarters)
     return full.join(reached, on=KEYS, how="left_semi").select(*full.columns)
 
 

@@ -79,3 +79,15 @@ def test_trailing_pl_matches_row_by_row_reference(spark):
     grid = spark.createDataFrame(rows, "sym_cd string, fs_q string, x double")
     got = {(r.sym_cd, r.fs_q): (r.x_a4q, r.x_n) for r in trailing_pl(grid).collect()}
     assert got == want
+
+
+def test_trailing_pl_blocks_equal_one_block(spark):
+    rnd = random.Random(22)
+    # a quarter set with holes of its own: the look-back counts its rows
+    quarters = [f"{y} Q{q}" for y in range(1990, 2021) for q in range(1, 5) if rnd.random() < 0.9]
+    rows = [(f"S{s}", q, None if rnd.random() < 0.2 else float(rnd.randrange(-500, 5000)))
+            for s in range(4) for q in quarters[9 * s:]]
+    grid = spark.createDataFrame(rows, "sym_cd string, fs_q string, x double")
+    whole = sorted(map(tuple, trailing_pl(grid, block=10_000).collect()))
+    for block in (1, 4, 5, 16):
+        assert sorted(map(tuple, trailing_pl(grid, block=block).collect())) == whole

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from equiframe.operators.keys import assign_keys
-from equiframe.operators.windows import latest_per_key, rolling, suffix_product
+from equiframe.operators.windows import fill_forward, latest_per_key, rolling, suffix_product
 from equiframe.plans.prices import adjust_prices
 
 
@@ -169,3 +169,34 @@ def test_full_windows_sort_once(spark):
     df = spark.createDataFrame([("a", 1, 1.0)], "k string, t long, v double")
     plan = rolling(df, "v", {"a": 60, "b": 252}, ["k"], "t")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Sort [") == 1 and plan.count("Exchange hashpartitioning") == 1 and "rangeBetween" not in plan.lower()
+
+
+def test_fill_forward_blocks_equal_row_by_row(spark):
+    rnd = random.Random(5)
+    rows, want = [], {}
+    for sym in ("a", "b", None):
+        last = [None, None]
+        for o in [None] + sorted(rnd.sample(range(-40, 300), 150)):
+            vals = [float(rnd.randrange(100)) if rnd.random() < 0.1 else None, f"t{o}" if rnd.random() < 0.02 else None]
+            rows.append((sym, o, *vals))
+            last = [v if v is not None else k for v, k in zip(vals, last)]
+            want[sym, o] = tuple(last)
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "sym string, o int, x double, t string")
+    for block in (1, 7, 64, 10_000):
+        out = fill_forward(df, ["x", "t"], ["sym"], "o", block=block)
+        assert out.columns == df.columns
+        got = {(r.sym, r.o): (r.x, r.t) for r in out.collect()}
+        assert got == want and out.count() == len(rows)
+    assert fill_forward(df.limit(0), ["x"], ["sym"], "o").count() == 0
+    with pytest.raises(ValueError):
+        fill_forward(df, ["x"], ["sym"], "o", block=0)
+
+
+def test_fill_forward_spreads_a_hot_key(spark):
+    df = spark.range(0, 20_000).select(F.lit("hot").alias("sym"), F.col("id").alias("o"),
+                                       F.when(F.col("id") % 5_000 == 0, F.col("id")).alias("x"))
+    out = fill_forward(df, ["x"], ["sym"], "o", block=100)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" in plan
+    assert out.filter("x <> o - o % 5000").count() == 0 and out.filter("x is not null").count() == 20_000
