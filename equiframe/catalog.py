@@ -1252,6 +1252,24 @@ def q_store_panel(spark: SparkSession, sf: str) -> DataFrame:
                                    start=PANEL_START), list(MOM))
 
 
+@register("store_by_key", SQL["store_panel"])
+def q_store_by_key(spark: SparkSession, sf: str) -> DataFrame:
+    """D18 stored: the panel from copies bucketed by num_key.  The factors
+    change after the first copies, so that some years are copied again."""
+    store = _store(spark)
+    daily, factors = _fx(spark, sf, "fx_daily"), _factor_table(spark, sf)
+    days = daily.select("num_key", "base_dt")
+    late = days.filter(F.col("base_dt") >= F.lit(PANEL_START).cast("date"))
+    store.upsert("stock_daily", daily)
+    store.upsert("factor_daily", factors.withColumn(_VF[0], F.lit(-1.0)), late, unique=True)
+    store.upsert("factor_daily", factors, days.join(late, "num_key", "left_anti"), unique=True)
+    store.co_locate()
+    store.upsert("factor_daily", factors, late, unique=True)
+    store.co_locate()
+    return finish(fac.factor_panel(store.by_key("stock_daily", PANEL_START), store.by_key("factor_daily", PANEL_START),
+                                   start=PANEL_START), list(MOM))
+
+
 @register("store_plan", SQL["days_to_update"])
 def q_store_plan(spark: SparkSession, sf: str) -> DataFrame:
     """D2 stored: trading days after the last stored one, which the daily

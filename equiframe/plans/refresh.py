@@ -34,6 +34,8 @@ from equiframe.plans import factors as fac
 from equiframe.plans import ingest as ing
 from equiframe.plans import statements as st
 from equiframe import schemas
+from equiframe.sources import files
+from equiframe.sources.bucketed import layout, read_copy, write_copy
 from equiframe.sources.marks import stored_marks
 from equiframe.sources.sinks import delete_rows, read_table, replace_partitions, upsert_table
 from equiframe.session import checkpoint_dir
@@ -58,6 +60,9 @@ TABLES: dict[str, tuple[list[str], list[str]]] = {
     "company_fs_pl_prep": (["sym_cd", "fs_q"], []),
     "factor_daily": (["num_key"], ["year"]),
 }
+# tables joined on num_key, and the bytes a bucket of their co-located copies holds
+BY_KEY = ["stock_daily", "stock_cons", "factor_daily"]
+BUCKET_BYTES = 256 << 20
 # the action that fills each table (for error messages)
 BUILT_BY = {
     "workdays": "refresh_workdays", "index_list": "refresh_index_list", "stock_daily": "load_daily",
@@ -87,6 +92,17 @@ def _year(start: DateLike) -> int | None:
     return (start if isinstance(start, _dt.date) else _dt.date.fromisoformat(str(start))).year
 
 
+def _years(df: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
+    """The partitions that days from ``start`` to ``end`` can lie in, without
+    the partition column."""
+    lo, hi = _year(start), _year(end)
+    if lo is not None:
+        df = df.filter(F.col("year") >= lo)
+    if hi is not None:
+        df = df.filter(F.col("year") <= hi)
+    return df.drop("year")
+
+
 class EquityStore(TableStore):
     """Stored equity tables plus the refresh actions."""
 
@@ -107,12 +123,7 @@ class EquityStore(TableStore):
         if df is None:
             return None
         if "year" in df.columns and "year" in TABLES.get(name, ([], []))[1]:
-            lo, hi = _year(start), _year(end)
-            if lo is not None:
-                df = df.filter(F.col("year") >= lo)
-            if hi is not None:
-                df = df.filter(F.col("year") <= hi)
-            df = df.drop("year")
+            df = _years(df, start, end)
         return df
 
     def require(self, name: str, start: DateLike = None, end: DateLike = None) -> DataFrame:
@@ -123,6 +134,30 @@ class EquityStore(TableStore):
             raise ValueError(f"table {name!r} has no data yet; build it first ({BUILT_BY.get(name, 'load')})")
         return df
 
+    def _copy(self, name: str) -> str:
+        return f"{self.root}/_by_key/{name}{self.suffix}"
+
+    def by_key(self, name: str, start: DateLike = None, end: DateLike = None) -> DataFrame:
+        """Like ``require``, from the copy bucketed by num_key if ``co_locate``
+        made one and the table is unchanged since: joins of such copies on
+        num_key need no exchange.  Else the stored table, with the same rows."""
+        df = read_copy(self.spark, self.path(name), self._copy(name))
+        return self.require(name, start, end) if df is None else _years(df, start, end)
+
+    def co_locate(self, names: list[str] | None = None, buckets: int | None = None) -> dict[str, list[str]]:
+        """Copies of the tables ``names`` (default those of ``BY_KEY`` that are
+        stored) bucketed by num_key, all into the same number of buckets: as many as the
+        copies have, or as the largest table needs at ``BUCKET_BYTES`` each if
+        that is more than four times as many.  Rewrites the years that changed
+        since the last call; they are returned by table."""
+        names = names if names is not None else [n for n in BY_KEY if self.exists(n)]
+        if buckets is None:
+            need = max([1, *(-(-files.size(self.spark, self.path(n)) // BUCKET_BYTES) for n in names)])
+            need = 1 << (need - 1).bit_length()
+            have = max([made["buckets"] for n in BY_KEY if (made := layout(self.spark, self._copy(n)))], default=0)
+            buckets = have if have and need <= 4 * have else need
+        return {n: write_copy(self.spark, self.path(n), self._copy(n), "num_key", buckets) for n in names}
+
     def marks(self, name: str, columns: list[str]) -> dict[str, Any]:
         """Largest values of date or number columns and the number of rows,
         from file footers."""

@@ -95,6 +95,22 @@ def partition_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(found)
 
 
+def data_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(name, bytes, modification time) of the files directly in a folder, by name;
+    those of writers still at work (``_`` or ``.`` first) are not listed."""
+    at, fs = _at(spark, path)
+    if not fs.exists(at):
+        return []
+    listed = [(s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(at) if s.isFile()]
+    return sorted(one for one in listed if not one[0].startswith(("_", ".")))
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes below a folder."""
+    at, fs = _at(spark, path)
+    return fs.getContentSummary(at).getLength() if fs.exists(at) else 0
+
+
 def relative_folder(spark: SparkSession, root: str, file_uri: str) -> str:
     """The partition folder, relative to ``root``, of a file's URI (as in ``_metadata.file_path``)."""
     base, fs = _at(spark, root)

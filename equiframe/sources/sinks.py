@@ -141,6 +141,11 @@ def _read_folders(spark: SparkSession, root: str, folders: list[str]) -> DataFra
     return spark.read.option("basePath", root).parquet(*[_join(root, f) for f in folders])
 
 
+def swap_pending(spark: SparkSession, path: str) -> bool:
+    """Whether a writer's rows are complete and not all of them moved into place."""
+    return _read_marker(spark, path) is not None
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     """The stored table, ``None`` if there are no rows or it was never written.
     Writes nothing: folders that a swap has staged, but not moved yet, are read
