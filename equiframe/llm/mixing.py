@@ -13,14 +13,16 @@ id, and ascending keys are taken up to the budget by prefix sums of words.  The
 document at the edge is taken if more than half of it fits, so a source misses
 its target by at most half a document.
 
-No source is ever sorted in one task: keys map monotonically to as many
-buckets as the square root of the source's documents, bucket sums are
-prefix-summed, and documents only inside their bucket.  Source facts are
-joined to documents by (source, salt).
+No source is ever sorted in one task: a key's bucket is its logarithm in steps
+that shrink with the square root of the source's documents.  A share of at most
+``ln 2 / e`` of the keys of any quality lies in an octave's densest part, so that a bucket
+holds about half the square root at most, whatever the qualities.  Bucket sums are
+prefix-summed, and documents only inside their bucket.  Source facts are joined
+to documents by (source, salt).
 
 Defined cases: NULL text has no words and is never taken; NULL source is a
-source and ranks last; NULL or repeated ids share a random number, equal rows
-are interchangeable; without any words all targets are 0; an empty table gives
+source and ranks last; repeated ids share a random number, those without an id
+share it with equal texts, equal rows are interchangeable; without any words all targets are 0; an empty table gives
 an empty result; other columns are not read.
 """
 
@@ -56,6 +58,11 @@ def unit(doc_id: Column, seed: str = SEED) -> Column:
     return (F.conv(digits, 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
+def bucket_of(key: Column, n_docs: Column) -> Column:
+    """The bucket of a positive key among ``n_docs``: greater keys are never in an earlier one."""
+    return F.floor(F.log2(key) * F.ceil(F.sqrt(n_docs) / 2)).cast("long")
+
+
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """``sizes`` (source, source_size, n_docs), with the target of each source
     and its place in code point order."""
@@ -90,21 +97,21 @@ def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"),
                        size.alias("size"), F.coalesce(weigh, F.lit(0.25)).cast("double").alias("quality"),
                        F.xxhash64(F.col(text)).alias("text_hash"))
-    rows = rows.withColumn("key", -F.ln(unit(F.col("doc_id"), seed)) / F.col("quality"))
+    name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null:"), F.col("text_hash")))
+    rows = rows.withColumn("key", -F.ln(unit(name, seed)) / F.col("quality"))
     rows = stored(rows.drop("quality"), "mix-rows")
 
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
     facts = targets(sizes, weights, cap).select(
         F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("name"), "rank", "source_size", "target",
-        F.ceil(F.sqrt("n_docs")).alias("buckets"),
+        "n_docs",
         F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     named = rows.select("*", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("name"),
                         F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(SALTS)).cast("int").alias("salt"))
-    bucket = F.least(F.floor((1 - F.exp(-F.col("key"))) * F.col("buckets")), F.col("buckets") - 1)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     placed = stored(named.join(facts, ["name", "salt"])
                          .select("doc_id", "text_hash", "size", "key", "rank", "source_size", "target",
-                                 bucket.alias("bucket"), whole.cast("long").alias("epochs")), "mix-placed")
+                                 bucket_of(F.col("key"), F.col("n_docs")).alias("bucket"), whole.cast("long").alias("epochs")), "mix-placed")
 
     earlier = Window.unboundedPreceding, -1
     before = Window.partitionBy("rank").orderBy("bucket").rowsBetween(*earlier)

@@ -726,3 +726,27 @@ def test_lm_parts_cut_a_frequent_context():
 def test_counts_beyond_32_bits_are_kept():
     keys, counts = np.array([3, 9], np.uint64), np.array([2 ** 32 + 5, 7], np.int64)
     assert [x.tolist() for x in ngram_lm.unpack(ngram_lm.pack(keys, counts))] == [[3, 9], [2 ** 32 + 5, 7]]
+
+
+def test_mixing_buckets_stay_even_for_every_quality(spark):
+    from pyspark.sql import functions as F
+
+    from equiframe.llm import mixing
+    n = 250_000
+    for quality in (1.0, 0.25, 1e-6):
+        key = -F.ln(mixing.unit(F.col("id"))) / quality
+        rows = spark.range(n).select(key.alias("key")).select("key", mixing.bucket_of(F.col("key"), F.lit(n)).alias("b"))
+        counts = rows.groupBy("b").agg(F.count("*").alias("k"), F.min("key").alias("lo"), F.max("key").alias("hi")).collect()
+        assert max(r.k for r in counts) <= 10 * n / len(counts) and max(r.k for r in counts) <= 500
+        counts.sort(key=lambda r: r.b)
+        assert all(a.hi < b.lo for a, b in zip(counts, counts[1:]))
+
+
+def test_mixing_rows_without_an_id_do_not_share_a_key(spark):
+    from equiframe.llm import mixing
+    docs = spark.createDataFrame([(None, f"word {i} of this text", "s") for i in range(300)], "doc_id long, text string, source string")
+    rows = mixing.mix(docs, weights=(1,)).collect()
+    assert len(rows) == 300 and sum(r.taken for r in rows) == 300 * 5
+    two = docs.union(spark.createDataFrame([(i, "a b c d e", "t") for i in range(100)], docs.schema))
+    taken = [r.taken for r in mixing.mix(two, weights=(1, 9)).collect() if r.source_size == 1500]
+    assert 0 < sum(map(bool, taken)) < 300
