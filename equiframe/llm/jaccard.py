@@ -276,7 +276,13 @@ def _survivors(sketch: DataFrame, classes: DataFrame, low: int) -> DataFrame:
     least = F.ceil(F.col("n") * NUM / DEN)
     enough = F.greatest(F.lit(1), F.floor(least / SLACK))
     return (classes.filter(F.col("n") >= low).join(counts, "node").filter(F.col("k") >= enough)
-                   .select("id", "sig", F.col("cid").alias("did")))
+                   .select("id", "sig", F.col("cid").alias("did"), "text_hash"))
+
+
+def _texts_of(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """The text of each class of ``found``: that of one of its rows, named by
+    id and text, as rows without an id (or with the same one) are many."""
+    return rows.join(found, ["did", "text_hash"]).select("id", "sig", "raw")
 
 
 def _families(sets: DataFrame) -> DataFrame:
@@ -329,7 +335,7 @@ def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", task_shing
                        F.xxhash64(F.col(text)).alias("text_hash"))
     sketch = stored(rows.mapInArrow(_sketch, _SKETCH), "jaccard-sketch")
     classes = stored(sketch.filter("n > 0").groupBy("sig")
-                           .agg(F.min("did").alias("cid"), F.min("n").alias("n"), F.min("node").alias("node"),
+                           .agg(F.min("did").alias("cid"), F.min_by("text_hash", "did").alias("text_hash"), F.min("n").alias("n"), F.min("node").alias("node"),
                                 F.count("*").alias("members"))
                            .withColumn("id", F.monotonically_increasing_id()), "jaccard-classes")
     sizes = {r.n: r["count"] for r in classes.filter(F.col("n") <= MOST_SMALL).groupBy("n").count().collect()}
@@ -337,7 +343,7 @@ def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", task_shing
     small = (sketch.filter((F.col("n") <= x) & (F.size("least") > 0)).select("sig", "least").dropDuplicates(["sig"])
                    .join(classes.filter(F.col("n") <= x).select("sig", "id", "n"), "sig").select("id", "n", "least"))
     found = stored(_survivors(sketch, classes, least_overlap(x + 1)), "jaccard-survivors", release=True)
-    sets = stored(rows.select("did", "raw").join(found, "did").select("id", "sig", "raw")
+    sets = stored(_texts_of(rows, found)
                       .mapInArrow(_sets_of, "id long, n long, shingles array<long>")
                       .dropDuplicates(["id"]), "jaccard-candidates", release=True)
     links = _small_links(small).union(_large_links(_families(sets), task_shingles))
@@ -349,7 +355,7 @@ def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", task_shing
     least = linked.groupBy("root").agg(F.min("cid").alias("component_id"), F.min("sig").alias("component"))
     names = linked.join(least, "root").select("sig", "component_id", "component", F.explode(
         F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    member = sketch.select("did", "n", "sig", "text_hash", F.pmod(F.xxhash64("did"), F.lit(SALTS)).cast("int").alias("salt"))
+    member = sketch.select("did", "n", "sig", "text_hash", F.pmod(F.xxhash64("did", "text_hash"), F.lit(SALTS)).cast("int").alias("salt"))
     return member.join(names, ["sig", "salt"], "left").select(
         not_last(F.col("did")).alias("doc_id"), F.col("n").alias("n_shingles"),
         not_last(F.coalesce("component_id", "did")).alias("component_id"),

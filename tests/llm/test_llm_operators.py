@@ -750,3 +750,23 @@ def test_mixing_rows_without_an_id_do_not_share_a_key(spark):
     two = docs.union(spark.createDataFrame([(i, "a b c d e", "t") for i in range(100)], docs.schema))
     taken = [r.taken for r in mixing.mix(two, weights=(1, 9)).collect() if r.source_size == 1500]
     assert 0 < sum(map(bool, taken)) < 300
+
+
+def test_jaccard_reads_a_text_once_without_ids(spark, monkeypatch):
+    from equiframe.llm import jaccard
+    base = [f"w{i}" for i in range(120)]
+    for ids in ([None] * 120, [7] * 120, list(range(120))):
+        texts = [" ".join(base[:k % 100 + 5] + [f"x{k}"] + base[k % 100 + 6:]) for k in range(120)]
+        docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+        read = []
+        texts_of = jaccard._texts_of
+
+        def counted(rows, found):
+            out = texts_of(rows, found)
+            read.append(out.count())
+            return out
+
+        monkeypatch.setattr(jaccard, "_texts_of", counted)
+        rows = jaccard.join(docs).collect()
+        monkeypatch.undo()
+        assert read == [120] and len(rows) == 120 and len({r.component for r in rows}) == 1
