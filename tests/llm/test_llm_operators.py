@@ -590,6 +590,54 @@ def test_decontamination_edges(spark, edge, edge_rows, empty, monkeypatch, block
 PROSE_CUT = " ".join(f"word{i % 97}, THE of and{i}" for i in range(5, 20))
 
 
+def _longest_brute(text, items, window=10):
+    """(start, words) -> (least item and start, places) of the longest verbatim matches."""
+    found = {}
+    words = decontam.words_of(text.encode())
+    for name, item in sorted(items):
+        x = decontam.words_of(item.encode())
+        for s in range(len(x)):
+            for d in range(len(words)):
+                if x[s] != words[d] or (s and d and x[s - 1] == words[d - 1]):
+                    continue
+                n = 0
+                while s + n < len(x) and d + n < len(words) and x[s + n] == words[d + n]:
+                    n += 1
+                if n >= min(window, len(x)):
+                    old = found.get((d, n))
+                    found[d, n] = (*(old[:2] if old else (name, s)), 1 + (old[2] if old else 0))
+    return sorted((*v[:2], *k, v[2]) for k, v in found.items())
+
+
+@pytest.mark.parametrize("block", [500_000, 60])
+def test_decontamination_matches(spark, monkeypatch, block):
+    """Passages of few distinct words, shared by items in part or whole, at several places."""
+    monkeypatch.setattr(decontam, "BLOCK_WORDS", block)
+    rng = np.random.default_rng(5)
+    base = [" ".join(rng.choice(list("abc"), 30)) for _ in range(4)]
+    items = [(f"{i:02}", t) for i, t in enumerate(base + [base[0][:41] + " x y", "q " + base[1][20:], base[2], "c a b"])]
+    texts = [" ".join(rng.choice([*base, base[0][:31], "z", "x y"], 6)) for _ in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in decontam.search(docs, spark.createDataFrame(items, "item_id string, text string")).collect()}
+    for i, t in enumerate(texts):
+        want = _longest_brute(t, items)
+        assert sorted(map(tuple, got[i].matches)) == want
+        assert got[i].n_hit == len({k for _, _, d, n, _ in want for k in range(d, d + n)})
+
+
+def test_decontamination_shared_prefix():
+    """Many items that begin alike: a row for each place, one comparison for each stretch."""
+    prompt = [f"w{k}".encode() for k in range(10)]
+    items = [(f"{i:04}", prompt + [f"item{i}".encode(), b"end"]) for i in range(2_000)]
+    block = decontam.Block(items, 10)
+    texts = [prompt + [b"other", f"item{i}".encode(), b"end"] for i in range(1_000)]
+    flat = [w for t in texts for w in [*t, b"gap"]]
+    which, at = block.occurrences(np.array([block.vocabulary.get(w, 0) for w in flat], np.uint32))
+    assert len(at) == 1_000 and len(set(which.tolist())) == 1
+    matches, names = block.passages(which[:1])
+    assert matches == [(0, 10, 0, 2_000)] and len(names) == 2_000
+
+
 # ---- 8: token files --------------------------------------------------------
 
 def test_token_files(spark, case):
