@@ -1,26 +1,28 @@
 """Quality rules by distribution divergence.
 
 Every document's character-class histogram and common-word histogram are
-compared with the references of the languages of the corpus by
-Jensen-Shannon distance (square root of the divergence, base 2: 0 equal, 1
-disjoint).  The references are sums over *all* documents of a language: one
-pass counts classes and words per partition, Spark adds the partial counts,
-and the ``COMMON`` most frequent words of each language make its word
-reference.  Every language of ``MIN_REFERENCE`` words or more has one, a number
-that does not depend on the rest of the corpus.
-
-A document is judged by its nearest language, so that a wrong language code
-rejects nothing: by the ``NEAREST`` languages with most words, which every
-task holds, and by its own, which comes by a join from the stored references
-where it is none of them.  Minimum-length guards: with fewer than
-``min_words`` words the word histogram, with fewer than ``min_chars``
-characters the class histogram is too noisy to be judged and passes; so does
-a document whose language has too little text for a reference.
+compared with the reference of its own language by Jensen-Shannon distance
+(square root of the divergence, base 2: 0 equal, 1 disjoint).  The references
+are sums over *all* documents of a language that pass the base rules, so that
+texts rejected anyway do not shape them: one pass counts classes and words per
+partition, Spark adds the partial counts, and the ``COMMON`` most frequent
+words of each language make its word reference.  Every language of
+``MIN_REFERENCE`` such words or more has one, a number that does not depend on
+the rest of the corpus.
+
+A document is judged by one reference, whatever the number of languages.  The
+references of the ``HELD`` languages with most words go to every task, those of
+the others come by a join; which way a reference comes changes no verdict.
+Minimum-length guards: with fewer than ``min_words`` words the word histogram,
+with fewer than ``min_chars`` characters the class histogram is too noisy to be
+judged and passes; so does a document whose language has too little text for a
+reference.
 
 Defined cases: NULL or empty text has no words and fails the base rules; a
 NULL language counts as a language of its own; an empty table gives an empty
-result (and no reference: nothing diverges); repeated rows are judged alike;
-further columns pass through untouched.
+result (and no reference: nothing diverges); very long texts are counted and
+judged whole; repeated rows are judged alike; further columns pass through
+untouched.
 """
 
 from __future__ import annotations
@@ -41,7 +43,7 @@ COMMON = 48            # words of a word reference
 #: Words of a language for a reference: sampling moves a histogram of 49 bins
 #: by about sqrt(48 / (8 ln 2 MIN_REFERENCE)) = 0.04, a tenth of WORD_LIMIT.
 MIN_REFERENCE = 5_000
-NEAREST = 1_000        # languages whose references every task holds
+HELD = 1_000           # languages whose references go to every task; the others' are joined
 CLASS_LIMIT = 0.24     # Jensen-Shannon distances beyond which a text is rejected
 WORD_LIMIT = 0.405
 MIN_CHARS = 200
@@ -152,7 +154,7 @@ def _count(batches):
 
     for batch in batches:
         for raw, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if raw:
+            if raw and not base_failed(len(ws := raw.split()), repeated_words(ws)):
                 classes[lang] += class_histogram(raw)
                 words[lang].update(plain_words(raw))
         if sum(map(len, words.values())) > 1_000_000:  # bounded memory: partial counts leave early
@@ -168,18 +170,18 @@ def _record_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def references(docs: DataFrame, text: str = "text", lang: str = "lang", common: int = COMMON,
-               nearest: int = NEAREST) -> dict:
+               held: int = HELD) -> dict:
     """{"lang": names, "classes": counts, "words": [word lists], "counts":
-    [count arrays with the rest last]} of the ``nearest`` languages with most
-    words, over all documents; "more": a stored table of the references of
-    all other languages that have one, None if there is none.  What reaches
-    the driver is at most (common + N_CLASSES) * nearest rows."""
+    [count arrays with the rest last]} of the ``held`` languages with most
+    words, over all documents that pass the base rules; "more": a stored table
+    of the references of all other languages that have one, None if there is
+    none.  What reaches the driver is at most (common + N_CLASSES) * held rows."""
     parts = docs.select(F.col(text).cast("binary").alias("raw"), F.col(lang).cast("string").alias("lang")) \
                 .mapInArrow(_count, _COUNTS)
     sums = stored(parts.groupBy("lang", "kind", "word").agg(F.sum("n").alias("n")), "quality-counts")
     totals = sums.filter("kind = 'total'").filter(F.col("n") >= MIN_REFERENCE).select("lang", "n")
-    first = totals.orderBy(F.desc("n"), "lang").limit(nearest + 1).collect()
-    large = {r.lang: r.n for r in first[:nearest]}
+    first = totals.orderBy(F.desc("n"), "lang").limit(held + 1).collect()
+    large = {r.lang: r.n for r in first[:held]}
     if not large:
         return {"lang": [], "classes": np.zeros((0, N_CLASSES)), "words": [], "counts": [], "more": None}
     known = _among(F.col("lang"), large)
@@ -193,7 +195,7 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang", common:
     for r in sorted(top, key=lambda r: r.r):
         words[r.lang].append((bytes(r.word), r.n))
     more = None
-    if len(first) > nearest:
+    if len(first) > held:
         rank = F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "word"))
         item = F.struct("word", "n")
         more = stored(sums.filter(~known).withColumn("r", rank).filter(F.col("r") <= max(common, N_CLASSES))
@@ -220,7 +222,7 @@ _OWN_TYPE = f"struct<total:bigint,classes:{_ITEMS},words:{_ITEMS}>"
 
 def _with_own(docs: DataFrame, ref: dict, text: str, lang: str) -> DataFrame:
     """``docs`` and the reference of each row's language, where the tasks do
-    not hold it.  Only languages beyond the ``NEAREST`` largest are joined, so
+    not hold it.  Only languages beyond the ``HELD`` largest are joined, so
     no large one meets in one task."""
     none = docs.withColumn(_OWN, F.lit(None).cast(_OWN_TYPE))
     if ref.get("more") is None:
@@ -241,53 +243,47 @@ def _as_reference(own: dict) -> dict:
             "counts": [np.array(counts + [own["total"] - sum(counts)], float)]}
 
 
-def divergences(raws: list[bytes], ref: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Nearest class and word distance of each text (0 without references)."""
-    n, far = len(raws), np.zeros(len(raws))
-    if not ref["lang"]:
-        return far, far
-    union: dict[bytes, int] = {}
-    for ws in ref["words"]:
-        for w in ws:
-            union.setdefault(w, len(union))
-    places = [np.array([union[w] for w in ws], int) for ws in ref["words"]]
-    by_class, by_word = np.zeros(n), np.zeros(n)
-    for at in range(0, n, 256):
-        part = raws[at:at + 256]
-        counts, total = np.zeros((len(part), len(union))), np.zeros(len(part))
-        for i, raw in enumerate(part):
-            ws = plain_words(raw)
-            total[i] = len(ws)
-            for w, k in Counter(filter(union.__contains__, ws)).items():
-                counts[i, union[w]] = k
-        by_class[at:at + 256] = distance(np.array([class_histogram(r) for r in part], float), ref["classes"]).min(1)
-        near = np.ones(len(part))
-        for place, q in zip(places, ref["counts"]):
-            own = counts[:, place]
-            near = np.minimum(near, distance(np.column_stack([own, total - own.sum(1)]), q[None, :])[:, 0])
-        by_word[at:at + 256] = near
-    return by_class, by_word
-
-
-def verdicts(raws: list[bytes], ref: dict, class_limit: float = CLASS_LIMIT, word_limit: float = WORD_LIMIT,
-             min_chars: int = MIN_CHARS, min_words: int = MIN_WORDS, langs: list | None = None,
-             owns: list | None = None) -> list[tuple]:
+def divergences(raws: list[bytes], ref: dict, langs: list, owns: list | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Class and word distance of each text to the reference of its language
+    (0 without one) and whether there is one.  ``owns``: references that ``ref`` lacks."""
+    by_class, by_word, judged = np.zeros(len(raws)), np.zeros(len(raws)), np.zeros(len(raws), bool)
+    number = {g: k for k, g in enumerate(ref["lang"])}
+    for g in set(langs) & set(number):
+        at, k = [i for i, x in enumerate(langs) if x == g], number[g]
+        by_class[at], by_word[at] = _distances([raws[i] for i in at], ref["classes"][k], ref["words"][k], ref["counts"][k])
+        judged[at] = True
+    for i, own in enumerate(owns or ()):
+        if own is not None:
+            one = _as_reference(own)
+            found = _distances([raws[i]], one["classes"][0], one["words"][0], one["counts"][0])
+            by_class[i], by_word[i], judged[i] = found[0][0], found[1][0], True
+    return by_class, by_word, judged
+
+
+def _distances(raws: list[bytes], classes: np.ndarray, words: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    place = {w: k for k, w in enumerate(words)}
+    hist = np.zeros((len(raws), len(words) + 1))
+    for i, raw in enumerate(raws):
+        ws = plain_words(raw)
+        for w, n in Counter(filter(place.__contains__, ws)).items():
+            hist[i, place[w]] = n
+        hist[i, -1] = len(ws) - hist[i].sum()
+    return (distance(np.array([class_histogram(r) for r in raws], float), classes[None, :])[:, 0],
+            distance(hist, counts[None, :])[:, 0])
+
+
+def verdicts(raws: list[bytes], langs: list, ref: dict, owns: list | None = None, class_limit: float = CLASS_LIMIT,
+             word_limit: float = WORD_LIMIT, min_chars: int = MIN_CHARS, min_words: int = MIN_WORDS) -> list[tuple]:
     """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, class distance, word distance, kept) of each text; ``owns``:
-    the references of the texts' languages (``langs``) that ``ref`` lacks."""
-    by_class, by_word = divergences(raws, ref)
-    names = set(ref["lang"])
+    base_failed, class distance, word distance, kept) of each text in its
+    language; ``owns``: the references of these that ``ref`` lacks."""
+    by_class, by_word, judged = divergences(raws, ref, langs, owns)
     out = []
-    for i, (raw, c, w) in enumerate(zip(raws, by_class.tolist(), by_word.tolist())):
-        own = owns[i] if owns else None
-        if own is not None:
-            own_class, own_word = divergences([raw], _as_reference(own))
-            c, w = min(c, float(own_class[0])), min(w, float(own_word[0]))
+    for raw, c, w, has in zip(raws, by_class.tolist(), by_word.tolist(), judged.tolist()):
         base = base_counts(raw)
         failed = base_failed(base[0], base[4])
-        judged = langs is None or own is not None or langs[i] in names
         far = (base[1] >= min_chars and c > class_limit) or (base[0] >= min_words and w > word_limit)
-        out.append((*base, failed, c, w, not failed and not (judged and far)))
+        out.append((*base, failed, c, w, not failed and not (has and far)))
     return out
 
 
@@ -311,7 +307,7 @@ def score(docs: DataFrame, ref: dict | None = None, text: str = "text", doc_id:
 
     def run(batches):
         for b in batches:
-            found = verdicts(_texts(b.column(1)), held, langs=b.column(2).to_pylist(), owns=b.column(3).to_pylist(), **limits)
+            found = verdicts(_texts(b.column(1)), b.column(2).to_pylist(), held, b.column(3).to_pylist(), **limits)
             cols = list(zip(*found)) or [[] for _ in names[1:]]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0)] + [pa.array(c, t) for c, t in zip(cols, types[1:])], names=names)
@@ -331,7 +327,7 @@ def keep(docs: DataFrame, ref: dict | None = None, text: str = "text", lang: str
         for b in batches:
             raws = [(t or "").encode() for t in b.column(place).to_pylist()]
             langs = [None if g is None else str(g) for g in b.column(lang_place).to_pylist()]
-            found = verdicts(raws, held, langs=langs, owns=b.column(width).to_pylist(), **limits)
+            found = verdicts(raws, langs, held, b.column(width).to_pylist(), **limits)
             yield b.select(list(range(width))).filter(pa.array([v[-1] for v in found], pa.bool_()))
 
     return _with_own(docs, ref, text, lang).mapInArrow(run, docs.schema)

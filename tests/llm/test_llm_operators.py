@@ -254,20 +254,19 @@ def test_quality_distances(documents, rows):
     plain = [marks.sub(b" ", (r[1] or "").encode()).lower().split() for r in rows]
     langs = sorted({r[2] for r in rows})
     classes, words = {}, {}
+    good = [not _base_brute(r[1])[-1] for r in rows]
     for g in langs:
-        classes[g] = sum(np.array([quality.class_histogram((r[1] or "").encode()) for r in rows if r[2] == g]))
-        words[g] = Counter(w for r, ws in zip(rows, plain) if r[2] == g for w in ws)
+        classes[g] = sum(np.array([quality.class_histogram(r[1].encode()) for r, ok in zip(rows, good) if ok and r[2] == g]))
+        words[g] = Counter(w for r, ws, ok in zip(rows, plain, good) if ok and r[2] == g for w in ws)
     top = {g: sorted(c.items(), key=lambda x: (-x[1], x[0]))[:quality.COMMON] for g, c in words.items()}
     got = {r.doc_id: r for r in quality.score(documents).collect()}
     for r, ws in list(zip(rows, plain))[::7]:
         own = quality.class_histogram((r[1] or "").encode())
-        assert got[r[0]].class_distance == pytest.approx(min(_js(own, classes[g]) for g in langs), abs=1e-9)
-        c = Counter(ws)
-        near = []
-        for g in langs:
-            hist, ref = [c[w] for w, _ in top[g]], [n for _, n in top[g]]
-            near.append(_js(hist + [len(ws) - sum(hist)], ref + [sum(words[g].values()) - sum(ref)]))
-        assert got[r[0]].word_distance == pytest.approx(min(near), abs=1e-9)
+        g, c = r[2], Counter(ws)
+        assert got[r[0]].class_distance == pytest.approx(_js(own, classes[g]), abs=1e-9)
+        hist, ref = [c[w] for w, _ in top[g]], [n for _, n in top[g]]
+        want = _js(hist + [len(ws) - sum(hist)], ref + [sum(words[g].values()) - sum(ref)])
+        assert got[r[0]].word_distance == pytest.approx(want, abs=1e-9)
 
 
 def test_quality_keeps_clean_and_drops_junk(spark, documents, empty, edge):
@@ -306,12 +305,29 @@ def test_quality_small_languages(spark, documents):
     docs = times.unionByName(small).repartition(8)
     words = 150 * 50 / sum(len(r.text.split()) for r in base.collect() if r.text) / 21
     assert words < 0.001
-    for nearest in (quality.NEAREST, 2):  # 2: the references of the others are joined
-        ref = quality.references(docs, nearest=nearest)
-        assert (ref["more"] is None) == (nearest > 2) and len(ref["lang"]) == min(nearest, 5)
+    distances = []
+    for held in (quality.HELD, 2):  # 2: the references of the others are joined
+        ref = quality.references(docs, held=held)
+        assert (ref["more"] is None) == (held > 2) and len(ref["lang"]) == min(held, 5)
+        distances.append(sorted(some(quality.score(docs, ref).filter("doc_id < 1000"))))
         got = {r.doc_id: r.kept for r in quality.score(docs, ref).filter("doc_id < 0").collect()}
         assert got == {r[0]: r[0] != -201 for r in greek + rare + junk}
         assert {r.doc_id for r in quality.keep(docs, ref).filter("doc_id < 0").collect()} == {d for d in got if got[d]}
+    assert distances[0] == distances[1]  # how a reference comes changes nothing
+
+
+def test_quality_own_language(spark, documents):
+    """A text is judged by its own language, near another or not, and texts that
+    fail the base rules shape no reference."""
+    french = " ".join(r.text for r in documents.filter("lang = 'fr' and length(text) > 1500").orderBy("doc_id").limit(3).collect())
+    junk = [(-2 - i, f"{i}#$% " * 400, "en", "x") for i in range(200)]
+    base = documents.select("doc_id", "text", "lang", "source")
+    docs = base.unionByName(spark.createDataFrame([(-1, french, "en", "x"), (-1000, french, "fr", "x")], base.schema))
+    ref, more = quality.references(docs), quality.references(docs.unionByName(spark.createDataFrame(junk, base.schema)))
+    assert ref["lang"] == more["lang"] and (ref["classes"] == more["classes"]).all() and ref["words"] == more["words"]
+    got = {r.doc_id: r for r in quality.score(docs, ref).filter("doc_id < 0").collect()}
+    assert got[-1].word_distance > quality.WORD_LIMIT > got[-1000].word_distance
+    assert not got[-1].kept and got[-1000].kept
 
 
 # ---- 5: secrets ------------------------------------------------------------
