@@ -26,7 +26,7 @@ NO_ID = (1 << 63) - 1
 
 
 _SHIPPED: set[str] = set()
-BATCH_ROWS = "2500"    # texts in an Arrow batch, unless the session says otherwise
+BATCH_ROWS = "2500"    # texts in an Arrow batch, unless the session says otherwise; Spark ends one at 64 MiB too
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -34,7 +34,7 @@ def ship_package(spark: SparkSession) -> None:
     an application (as ``--py-files`` does for a submitted job), and keep
     Arrow batches of texts small, for the workers' memory."""
     rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(rows, None) in (None, "10000"):
+    if spark.conf.get(rows, None) is None:
         spark.conf.set(rows, BATCH_ROWS)
     app = spark.sparkContext.applicationId
     if app not in _SHIPPED:
